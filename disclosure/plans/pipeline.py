@@ -1,0 +1,71 @@
+"""The refresh job: choose the snapshot, read it, build the report, refresh the sinks.
+
+::
+
+    report = run(spark, "s3a://bucket/loans/", sinks=[TableSink("loans"), TableSink("loans_kql", mode="clear_and_append")])
+
+Plan shape: ``FileScan csv -> Project (report) -> write`` per sink; no shuffle unless a sink
+asks for ``partitions``. With two or more sinks the report is computed once and staged (see
+:func:`disclosure.sinks.tables.fan_out`). Targets are validated *before* any data is read.
+With no sinks nothing runs and the lazy report is returned for inspection.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from disclosure.operators.report import loan_report
+from disclosure.sinks import tables
+from disclosure.sources.csv import read_loans
+from disclosure.sources.listing import resolve_paths
+
+
+@dataclass(frozen=True)
+class TableSink:
+    """A table target: ``mode`` is ``overwrite``, ``append`` or ``clear_and_append``."""
+
+    table: str
+    mode: str = "overwrite"
+    fmt: str = "parquet"
+    path: str | None = None
+    partitions: int | None = None
+
+    def validate(self) -> None:
+        tables.validate_table_name(self.table)
+        if self.mode not in ("overwrite", "append", "clear_and_append"):
+            raise ValueError(f"Unknown sink mode: {self.mode!r}")
+
+    def __call__(self, df: DataFrame) -> None:
+        if self.mode == "overwrite":
+            tables.overwrite_table(df, self.table, fmt=self.fmt, path=self.path)
+        elif self.mode == "append":
+            tables.append_table(df, self.table, fmt=self.fmt, path=self.path, partitions=self.partitions)
+        else:
+            tables.clear_and_append(df, self.table, fmt=self.fmt, path=self.path, partitions=self.partitions)
+
+
+def run(
+    spark: SparkSession,
+    source: str | Sequence[str],
+    sinks: Sequence[TableSink] = (),
+    row_limit: int | None = None,
+    strategy: str = "stage",
+    **reader_options,
+) -> DataFrame:
+    """Read ``source`` (a ``.csv`` file, a folder snapshot, or explicit files), publish, return.
+
+    Returns the report the sinks were fed (the staged copy when there are several sinks).
+    """
+    for sink in sinks:
+        sink.validate()
+    if isinstance(source, str):
+        _, files = resolve_paths(spark, source)
+    else:
+        files = list(source)
+    report = loan_report(read_loans(spark, files, row_limit=row_limit, **reader_options))
+    if not sinks:
+        return report
+    return tables.fan_out(report, list(sinks), strategy=strategy)
