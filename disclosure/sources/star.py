@@ -6,10 +6,16 @@ placeholders and odd values are injected by ``k % n`` rules on the order key ``k
 one of the 53 source columns is filled, in the source layout, so the result can be written
 as a source CSV file or fed to the report directly.
 
-Plan: ``customer`` is joined to ``nation``/``region`` (broadcast after a row-count check),
-then ``orders`` to that by ``o_custkey`` (a shuffle join of two large sides; AQE splits a hot
-customer). The supplier side is filtered to the ten keys used, checked, and broadcast, so the
-ten-valued join key never becomes a ten-partition shuffle.
+Plan: ``orders`` (the fact side, streamed) joins ``customer`` on ``o_custkey``: Spark
+broadcasts ``customer`` when its file statistics are below the broadcast threshold and
+otherwise shuffles both sides by the key (AQE splits a hot customer). ``nation`` and
+``region`` are joined next; their tiny files are broadcast by the same size check. The
+supplier side is filtered to the ten keys used; that filter's selectivity is invisible to the
+planner's size estimate, so its row count is checked explicitly and it is broadcast, which
+keeps the ten-valued join key from ever becoming a ten-partition shuffle. The joins are
+written fact-first: without cost-based reordering, Spark keeps this order, and an estimate of
+a dimension-only join (product of its input sizes) can no longer make the fact table the
+build side.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosure.schema import LOAN_FIELDS
-from disclosure.session import broadcast_if_small
+from disclosure.session import broadcast_if_small, spread
 
 SUPPLIER_KEYS = 10
 
@@ -37,23 +43,21 @@ def _null() -> Column:
 
 def loans_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 53-column loan source built from the star schema under ``sf_dir``."""
-    orders = read_table(spark, sf_dir, "orders")
+    orders = spread(read_table(spark, sf_dir, "orders"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = broadcast_if_small(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     supplier = broadcast_if_small(
         read_table(spark, sf_dir, "supplier")
         .filter((F.col("s_suppkey") >= 0) & (F.col("s_suppkey") < SUPPLIER_KEYS))
         .select("s_suppkey", "s_name")
     )
 
-    customers = (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    joined = (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
-        .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
-    )
-    joined = orders.join(customers, orders.o_custkey == customers.c_custkey).join(
-        supplier, (orders.o_custkey % SUPPLIER_KEYS) == supplier.s_suppkey
+        .join(supplier, (orders.o_custkey % SUPPLIER_KEYS) == supplier.s_suppkey)
     )
 
     k = F.col("o_orderkey")
