@@ -33,6 +33,7 @@ from disclosure.sources import derived, listing  # noqa: E402
 from disclosure.sources import manifest as M  # noqa: E402
 from disclosure.sources.csv import read_loans, read_loans_with_rejects, write_loans_csv  # noqa: E402
 from disclosure.sources.star import loans_from_star, read_table  # noqa: E402
+from disclosure.streaming import publish_available  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SEARCH_Q = O.SEARCH_Q
@@ -41,7 +42,6 @@ WILDCARD_Q = "supplier#00000000? svc*household"
 DETAIL_ID = "10000"
 ROW_LIMIT = 1000
 TOP_N = 3
-CSV_FILES = 3
 
 
 # ---------------------------------------------------------------- helpers
@@ -59,7 +59,7 @@ def _loan_cols(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
 def _write_loans(spark: SparkSession, sf: str, label: str, where=None) -> str:
     path = scratch_path(spark, label)
     loans = loans_from_star(spark, sf)
-    write_loans_csv(loans.filter(where) if where is not None else loans, path, files=CSV_FILES)
+    write_loans_csv(loans.filter(where) if where is not None else loans, path)
     return path
 
 
@@ -268,7 +268,7 @@ def _malformed_text(loans: DataFrame) -> DataFrame:
 
 def q_csv_rejects(spark, sf):
     path = scratch_path(spark, "csv-rejects")
-    write_loans_csv(_malformed_text(loans_from_star(spark, sf)), path, files=CSV_FILES)
+    write_loans_csv(_malformed_text(loans_from_star(spark, sf)), path)
     _, rejects = read_loans_with_rejects(spark, _csv_files(spark, path))
     return rejects.select("LoanNumber", "DateApproved", "JobsReported")
 
@@ -276,11 +276,24 @@ def q_csv_rejects(spark, sf):
 def q_pipeline(spark, sf):
     base = scratch_path(spark, "landing")
     loans = loans_from_star(spark, sf)
-    write_loans_csv(loans.filter(F.col("ProcessingMethod") == "PPP"), f"{base}/20240101", files=CSV_FILES)
-    write_loans_csv(loans, f"{base}/20240102", files=CSV_FILES)
+    write_loans_csv(loans.filter(F.col("ProcessingMethod") == "PPP"), f"{base}/20240101")
+    write_loans_csv(loans, f"{base}/20240102")
     return run(spark, base)
 
 
+def q_stream_publish(spark, sf):
+    """Two landings drained by two runs of the same incremental query: every loan once."""
+    landing = scratch_path(spark, "stream-landing")
+    output = scratch_path(spark, "stream-report")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    loans = loans_from_star(spark, sf)
+    first = F.col("ProcessingMethod") == "PPP"
+    write_loans_csv(loans.filter(first), landing)
+    publish_available(spark, landing, output, checkpoint)
+    write_loans_csv(loans.filter(~first | first.isNull()), landing, mode="append")
+    return publish_available(spark, landing, output, checkpoint)
+
+
 # ---------------------------------------------------------------- listings and snapshots
 
 
@@ -417,6 +430,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_multi_scan": q_csv_multi_scan,
     "csv_rejects": q_csv_rejects,
     "pipeline": q_pipeline,
+    "stream_publish": q_stream_publish,
     "list_files": q_list_files,
     "subfolder_times": q_subfolder_times,
     "latest_snapshot": q_latest_snapshot,

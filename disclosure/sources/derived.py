@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosure.functions.display import base_name
+from disclosure.session import spread
 from disclosure.sources.manifest import catalog_documents
 from disclosure.sources.star import read_table
 
@@ -41,7 +42,7 @@ def event_inventory(spark: SparkSession, sf_dir: str, with_direct: bool = True)
     Files sit in a subfolder named after the event day (``yyyyMMdd``); with ``with_direct``,
     events of every tenth user sit directly in the base folder instead.
     """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"))
     name = F.concat(F.lit("events_"), F.col("event_id").cast("string"), _suffix(F.col("event_id")))
     nested = F.concat(F.lit(LANDING + "/"), F.date_format("ts", "yyyyMMdd"), F.lit("/"), name)
     path = F.when(F.col("user_id") % 10 == 0, F.concat(F.lit(LANDING + "/"), name)) if with_direct else None
@@ -54,7 +55,7 @@ def event_inventory(spark: SparkSession, sf_dir: str, with_direct: bool = True)
 
 def document_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One catalog resource per document: ``(doc_id, block, id, name, url, size, format)``."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars"))
     k = F.col("doc_id")
     return d.select(
         k.alias("doc_id"),

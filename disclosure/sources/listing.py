@@ -18,6 +18,7 @@ Snapshot rules of the source layout (a folder of CSVs, or a base folder of dated
 
 from __future__ import annotations
 
+import re
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from disclosure.functions.display import has_csv_suffix
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?"
 
 
 def path_only(path: Column | str) -> Column:
@@ -53,17 +54,17 @@ def list_tree(spark: SparkSession, base: str) -> DataFrame:
 def with_relative(listing: DataFrame, base: str) -> DataFrame:
     """Adds ``rel`` (path below ``base``), ``folder`` (first segment or null) and ``depth``.
 
-    Entries outside ``base`` are dropped.
+    Entries outside ``base`` are dropped. One anchored regex both checks the prefix (with any
+    scheme/authority) and extracts the relative part.
     """
-    prefix = _base_path(base) + "/"
-    p = path_only("path")
-    rel = F.when(p.startswith(prefix), F.substring(p, len(prefix) + 1, 1 << 30))
-    parts = F.split(rel, "/")
+    pattern = f"^(?:{_SCHEME[1:]})?" + re.escape(_base_path(base).rstrip("/")) + "/(.+)$"
+    rel = F.regexp_extract(F.col("path"), pattern, 1)
+    slashes = F.length(F.col("rel")) - F.length(F.regexp_replace(F.col("rel"), "/", ""))
     return (
         listing.withColumn("rel", rel)
-        .filter(F.col("rel").isNotNull())
-        .withColumn("depth", F.size(parts) - 1)
-        .withColumn("folder", F.when(F.col("depth") > 0, F.element_at(parts, 1)))
+        .filter(F.col("rel") != "")
+        .withColumn("depth", slashes)
+        .withColumn("folder", F.when(F.col("depth") > 0, F.substring_index(F.col("rel"), "/", 1)))
     )
 
 

@@ -383,6 +383,7 @@ def oracle_queries() -> dict[str, str]:
             f"WHERE ({k_rej} % 23 = 0 AND DateApproved IS NOT NULL) OR ({k_rej} % 29 = 0 AND JobsReported IS NOT NULL)"
         ),
         "pipeline": csv_report_all,
+        "stream_publish": csv_report_all,
         "list_files": (
             _inventory(True) + "SELECT path, length, modificationTime FROM inv WHERE depth = 0 AND lower(rel) LIKE '%.csv'"
         ),
