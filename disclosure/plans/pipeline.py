@@ -5,7 +5,7 @@
     report = run(spark, "s3a://bucket/loans/", sinks=[TableSink("loans"), TableSink("loans_kql", mode="clear_and_append")])
 
 Plan shape: ``FileScan csv -> Project (report) -> write`` per sink; no shuffle unless a sink
-asks for ``partitions``. With two or more sinks the report is computed once and staged (see
+asks for ``partitions``. With two or more sinks the report is computed once (see
 :func:`disclosure.sinks.tables.fan_out`). Targets are validated *before* any data is read.
 With no sinks nothing runs and the lazy report is returned for inspection.
 """
@@ -38,6 +38,17 @@ class TableSink:
         if self.mode not in ("overwrite", "append", "clear_and_append"):
             raise ValueError(f"Unknown sink mode: {self.mode!r}")
 
+    @property
+    def replaces_content(self) -> bool:
+        """True when, after the write, the table holds exactly the written rows and columns.
+
+        Only ``overwrite``: ``clear_and_append`` keeps an existing table's own columns.
+        """
+        return self.mode == "overwrite"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.table)
+
     def __call__(self, df: DataFrame) -> None:
         if self.mode == "overwrite":
             tables.overwrite_table(df, self.table, fmt=self.fmt, path=self.path)
@@ -52,7 +63,7 @@ def run(
     source: str | Sequence[str],
     sinks: Sequence[TableSink] = (),
     row_limit: int | None = None,
-    strategy: str = "stage",
+    strategy: str = "auto",
     **reader_options,
 ) -> DataFrame:
     """Read ``source`` (a ``.csv`` file, a folder snapshot, or explicit files), publish, return.

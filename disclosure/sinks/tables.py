@@ -148,15 +148,20 @@ def replace_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | N
 Sink = Callable[[DataFrame], object]
 
 
-def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "stage") -> DataFrame:
-    """Feeds one computation to every sink; returns the DataFrame the sinks read.
+def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto") -> DataFrame:
+    """Feeds one computation to every sink; returns the DataFrame the later sinks read.
 
     With one sink, ``df`` is written directly (one job). With several, ``df`` is computed once:
 
-    * ``stage`` (default): written once as Parquet to the shared checkpoint folder and read
-      back. This cuts the lineage, so a lost executor never re-runs the source parse, and the
-      sinks read a compact columnar copy. The staged files stay until the checkpoint folder
-      is cleaned.
+    * ``auto`` (default): when the first sink is a full refresh of a table (it has a
+      ``read(spark)`` method and ``replaces_content``), that write is the one computation and
+      the other sinks read the table it wrote. Otherwise as ``stage``.
+    * ``stage``: written once as Parquet to the shared checkpoint folder and read back.
+
+    Both cut the lineage at a written table: a lost executor never re-runs the source parse,
+    and the later sinks read a compact columnar copy. Staged files stay until the checkpoint
+    folder is cleaned.
+
     * ``cache``: ``persist(MEMORY_AND_DISK)`` and ``count()`` first, always unpersisted
       afterwards (even when a sink fails); the returned DataFrame then recomputes from source.
     """
@@ -165,8 +170,17 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "stage") -> Da
         for sink in sinks:
             sink(df)
         return df
+    spark = df.sparkSession
+    if strategy == "auto":
+        first = sinks[0]
+        if getattr(first, "replaces_content", False) and hasattr(first, "read"):
+            first(df)
+            written = first.read(spark)
+            for sink in sinks[1:]:
+                sink(written)
+            return written
+        strategy = "stage"
     if strategy == "stage":
-        spark = df.sparkSession
         staged_path = scratch_path(spark, "stage")
         df.write.parquet(staged_path)
         staged = spark.read.parquet(staged_path)

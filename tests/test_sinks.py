@@ -67,11 +67,15 @@ def test_replace_table(spark, nine):
     assert spark.table("t_swap").columns == ["LoanNumber", "Amount"]
 
 
-@pytest.mark.parametrize("strategy", ["stage", "cache"])
+@pytest.mark.parametrize("strategy", ["auto", "stage", "cache"])
 def test_fan_out(spark, nine, strategy):
     a, b = f"t_fa_{strategy}", f"t_fb_{strategy}"
     T.fan_out(nine, [TableSink(a), TableSink(b, mode="clear_and_append")], strategy=strategy)
     assert spark.table(a).count() == 9 and spark.table(b).count() == 9
+    c, d = f"t_fc_{strategy}", f"t_fd_{strategy}"
+    T.append_table(nine, c)
+    T.fan_out(nine, [TableSink(c, mode="append"), TableSink(d)], strategy=strategy)
+    assert spark.table(c).count() == 18 and spark.table(d).count() == 9
 
 
 def test_fan_out_unpersists_when_a_sink_fails(spark, nine):
