@@ -2,7 +2,7 @@
 
 ::
 
-    report = run(spark, "s3a://bucket/loans/", sinks=[TableSink("loans"), TableSink("loans_kql", mode="clear_and_append")])
+    report = run(spark, "s3a://bucket/loans/", sinks=[TableSink("loans_report"), TableSink("loans_store", mode="clear_and_append")])
 
 Plan shape: ``FileScan csv -> Project (report) -> write`` per sink; no shuffle unless a sink
 asks for ``partitions``. With two or more sinks the report is computed once (see

@@ -48,7 +48,7 @@ GOLDEN_COLS = ["Location_Display", "Lender_Display", "LoanAmount_Display", "Forg
 
 @pytest.fixture(scope="module")
 def sample_report(spark):
-    if not os.path.exists(SAMPLE_CSV):
+    if not SAMPLE_CSV or not os.path.exists(SAMPLE_CSV):
         pytest.skip("sample CSV not present")
     return loan_report(read_loans(spark, SAMPLE_CSV)).cache()
 
