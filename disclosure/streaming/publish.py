@@ -14,17 +14,20 @@ Structured Streaming query instead:
 
 ``trigger(availableNow=True)`` processes everything that has landed and stops, so the query
 can be scheduled like a batch job. The checkpoint must live in a shared folder; by default it
-is placed under the session's checkpoint folder.
+is a stable folder, derived from the landing and output paths, under the session's
+checkpoint folder.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from disclosure.operators.report import loan_report
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
-from disclosure.session import scratch_path
+from disclosure.session import scratch_root
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -52,6 +55,15 @@ def loan_stream(
     return reader.load(landing)
 
 
+def default_checkpoint(spark: SparkSession, landing: str, output: str) -> str:
+    """A stable checkpoint folder for the (landing, output) pair under the shared checkpoint folder.
+
+    Stable, so that every scheduled run resumes where the previous one stopped.
+    """
+    key = hashlib.sha256(f"{landing}\0{output}".encode()).hexdigest()[:24]
+    return f"{scratch_root(spark)}/disclosure/stream-checkpoint-{key}"
+
+
 def publish_stream(
     spark: SparkSession,
     landing: str,
@@ -70,7 +82,7 @@ def publish_stream(
         loan_report(loan_stream(spark, landing, **stream_options))
         .writeStream.format("parquet")
         .option("path", output)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint"))
+        .option("checkpointLocation", checkpoint or default_checkpoint(spark, landing, output))
         .outputMode("append")
     )
     if available_now:
@@ -80,7 +92,9 @@ def publish_stream(
     return writer.start()
 
 
-def publish_available(spark: SparkSession, landing: str, output: str, checkpoint: str, **stream_options) -> DataFrame:
+def publish_available(
+    spark: SparkSession, landing: str, output: str, checkpoint: str | None = None, **stream_options
+) -> DataFrame:
     """Drains newly landed files into ``output`` and returns the published report (batch read)."""
     query = publish_stream(spark, landing, output, checkpoint=checkpoint, available_now=True, **stream_options)
     query.awaitTermination()

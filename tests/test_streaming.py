@@ -30,3 +30,15 @@ def test_incremental_publish_is_exactly_once(spark, tmp_dir):
     assert report.count() == total
     assert report.select("LoanNumber").distinct().count() == total
     loans.unpersist()
+
+
+def test_default_checkpoint_is_stable(spark, tmp_dir):
+    from disclosure.streaming.publish import default_checkpoint
+
+    landing, out = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "o")
+    assert default_checkpoint(spark, landing, out) == default_checkpoint(spark, landing, out)
+    assert default_checkpoint(spark, landing, out) != default_checkpoint(spark, landing, out + "2")
+    loans = loans_from_star(spark, SF001)
+    write_loans_csv(loans, landing)
+    assert publish_available(spark, landing, out).count() == loans.count()
+    assert publish_available(spark, landing, out).count() == loans.count()
