@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from disclosure.operators.report import loan_report
 from disclosure.sinks import tables
-from disclosure.sources.csv import read_loans
+from disclosure.sources.csv import read_loans, read_loans_with_rejects
 from disclosure.sources.listing import resolve_paths
 
 
@@ -64,19 +64,30 @@ def run(
     sinks: Sequence[TableSink] = (),
     row_limit: int | None = None,
     strategy: str = "auto",
+    rejects: TableSink | None = None,
     **reader_options,
 ) -> DataFrame:
     """Read ``source`` (a ``.csv`` file, a folder snapshot, or explicit files), publish, return.
 
-    Returns the report the sinks were fed (the staged copy when there are several sinks).
+    With ``rejects``, malformed source lines (with their raw text) are written to that table
+    and left out of the report; the parse then runs once, staged (see
+    :func:`disclosure.sources.csv.read_loans_with_rejects`). Returns the report the sinks were
+    fed (the first sink's table when it is a full refresh and there are several sinks).
     """
-    for sink in sinks:
+    for sink in [*sinks, *([rejects] if rejects else [])]:
         sink.validate()
     if isinstance(source, str):
         _, files = resolve_paths(spark, source)
     else:
         files = list(source)
-    report = loan_report(read_loans(spark, files, row_limit=row_limit, **reader_options))
+    if rejects is not None:
+        loans, bad = read_loans_with_rejects(spark, files, **reader_options)
+        rejects(bad)
+        if row_limit is not None:
+            loans = loans.limit(row_limit)
+    else:
+        loans = read_loans(spark, files, row_limit=row_limit, **reader_options)
+    report = loan_report(loans)
     if not sinks:
         return report
     return tables.fan_out(report, list(sinks), strategy=strategy)

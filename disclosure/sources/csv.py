@@ -13,9 +13,9 @@ Reader settings (never inferred, never changing session conf):
 
 Rejected rows: with ``corrupt_column`` set, a malformed line (bad cell, too few or too many
 cells) keeps its raw text there. Spark only fills that column when the *whole* row is parsed,
-so :func:`read_loans_with_rejects` materialises the parse once (``persist``) before the good
-and rejected rows are split; selecting only some columns before that would change which
-rows count as malformed.
+so :func:`read_loans_with_rejects` materialises one full parse before the good and rejected
+rows are split; selecting only some columns before that would change which rows count as
+malformed (the CSV reader prunes columns and only converts those it returns).
 """
 
 from __future__ import annotations
@@ -25,11 +25,13 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
+from disclosure.session import scratch_path
 
 CORRUPT_COLUMN = "_corrupt_record"
+REJECTED_FLAG = "_rejected"
 
 
 def loan_reader(
@@ -79,21 +81,36 @@ def read_loans_with_rejects(
     spark: SparkSession,
     paths: str | Sequence[str],
     corrupt_column: str = CORRUPT_COLUMN,
-    storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    materialize: str = "stage",
     **reader_options,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)`` from one full parse of the files.
+    """``(good, rejects)`` from ONE full parse of the files.
 
-    ``good`` has the 53 source columns; ``rejects`` additionally has ``corrupt_column`` with
-    the raw line. Both come from one persisted parse (memory, spilling to disk; a lost
-    executor's blocks are recomputed from the files). Call ``unpersist_parse(good)`` when
-    both have been consumed.
+    ``good`` has the source columns; ``rejects`` also has ``corrupt_column`` with the raw line.
+    The parse must cover every column before it is split (see the module notes), so it is
+    materialised once:
+
+    * ``stage`` (default): written as Parquet, partitioned by a ``_rejected`` flag, to the shared
+      checkpoint folder, and read back; each side then reads only its own partition folder and
+      only the columns it needs, and a lost executor never re-parses the CSV.
+    * ``persist``: kept in executor memory, spilling to disk; a lost executor's blocks are
+      re-parsed from the files. Unpersist ``good`` when both sides are consumed.
     """
     files = [paths] if isinstance(paths, str) else list(paths)
-    parsed = loan_reader(spark, corrupt_column=corrupt_column, **reader_options).load(files).persist(storage_level)
-    is_bad = F.col(corrupt_column).isNotNull()
-    good = parsed.filter(~is_bad).drop(corrupt_column)
-    rejects = parsed.filter(is_bad)
+    reader = loan_reader(spark, corrupt_column=corrupt_column, **reader_options)
+    parsed = reader.load(files)
+    if materialize == "persist":
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        is_bad = F.col(corrupt_column).isNotNull()
+        return parsed.filter(~is_bad).drop(corrupt_column), parsed.filter(is_bad)
+    if materialize != "stage":
+        raise ValueError(f"Unknown materialization: {materialize!r}")
+    path = scratch_path(spark, "parsed")
+    parsed.withColumn(REJECTED_FLAG, F.col(corrupt_column).isNotNull()).write.partitionBy(REJECTED_FLAG).parquet(path)
+    schema = StructType(parsed.schema.fields + [StructField(REJECTED_FLAG, BooleanType(), True)])
+    staged = spark.read.schema(schema).parquet(path)
+    good = staged.filter(~F.col(REJECTED_FLAG)).drop(REJECTED_FLAG, corrupt_column)
+    rejects = staged.filter(F.col(REJECTED_FLAG)).drop(REJECTED_FLAG)
     return good, rejects
 
 

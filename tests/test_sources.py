@@ -55,9 +55,10 @@ def _write(folder, name, lines):
     return path
 
 
-def test_csv_edge_rows(spark, tmp_dir):
+@pytest.mark.parametrize("materialize", ["stage", "persist"])
+def test_csv_edge_rows(spark, tmp_dir, materialize):
     path = _write(tmp_dir, "edge.csv", EDGE_LINES)
-    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
+    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA, materialize=materialize)
     rows = {r["id"]: r for r in good.unionByName(rejects.drop(CORRUPT_COLUMN)).collect()}
     assert len(rows) == 10
     assert tuple(rows["1"]) == ("1", dt.date(2021, 1, 22), 5, 1.5, "ok")
@@ -73,6 +74,14 @@ def test_csv_edge_rows(spark, tmp_dir):
     rejected = sorted(r["id"] for r in rejects.collect())
     assert rejected == sorted(["2", "3", "4", "5", "8"])
     assert all(r[CORRUPT_COLUMN] for r in rejects.collect())
+    # the good side alone (pruned to one column) still excludes every rejected row
+    assert sorted(r["id"] for r in good.select("id").collect()) == ["1", "10", "6", "7", "9"]
+
+
+def test_no_rejects(spark, tmp_dir):
+    path = _write(tmp_dir, "ok.csv", EDGE_LINES[:2])
+    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
+    assert good.count() == 1 and rejects.count() == 0
 
 
 def test_backslash_escape_shifts_doubled_quotes(spark, tmp_dir):
@@ -131,3 +140,22 @@ def test_snapshot_without_csv_raises(spark, tmp_dir):
     _write(os.path.join(base, "2025"), "only.json", ["{}"])
     with pytest.raises(ValueError):
         resolve_paths(spark, base)
+
+
+def test_run_with_rejects_table(spark, tmp_dir):
+    from disclosure.operators import loan_report
+    from disclosure.plans import TableSink, run
+    from disclosure.schema import LOAN_COLUMNS
+    from disclosure.sources.csv import write_loans_csv
+    from disclosure.sources.star import loans_from_star
+    from tests.conftest import SF001
+
+    base = os.path.join(tmp_dir, "landing")
+    loans = loans_from_star(spark, SF001)
+    write_loans_csv(loans, os.path.join(base, "good"))
+    bad_line = ",".join(["999999", "2021-01-22"] + [""] * (len(LOAN_COLUMNS) - 2))
+    _write(os.path.join(base, "good"), "late.csv", [",".join(LOAN_COLUMNS), bad_line])
+    report = run(spark, os.path.join(base, "good"), sinks=[TableSink("t_run_report")], rejects=TableSink("t_run_rejects"))
+    assert report.count() == loans.count()
+    assert report.columns == loan_report(loans).columns
+    assert [r["LoanNumber"] for r in spark.table("t_run_rejects").collect()] == ["999999"]
