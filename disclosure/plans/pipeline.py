@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from disclosure.operators.report import loan_report
 from disclosure.sinks import tables
 from disclosure.sources.csv import read_loans, read_loans_with_rejects
-from disclosure.sources.listing import resolve_paths
+from disclosure.sources.listing import snapshot_glob
 
 
 @dataclass(frozen=True)
@@ -76,10 +76,7 @@ def run(
     """
     for sink in [*sinks, *([rejects] if rejects else [])]:
         sink.validate()
-    if isinstance(source, str):
-        _, files = resolve_paths(spark, source)
-    else:
-        files = list(source)
+    files = [snapshot_glob(spark, source)] if isinstance(source, str) else list(source)
     if rejects is not None:
         loans, bad = read_loans_with_rejects(spark, files, **reader_options)
         rejects(bad)

@@ -11,9 +11,10 @@ Snapshot rules of the source layout (a folder of CSVs, or a base folder of dated
   case, sorted by path.
 * ``latest_subfolder``: the first-level subfolder holding the newest file (greatest
   modification time among all files below it; ties go to the greatest name).
-* ``resolve``: a path ending in ``.csv`` is that file; else the base's own CSV files if it has
-  any (even when newer subfolders exist); else the CSV files directly in the latest subfolder.
-  Nothing found raises ``ValueError``.
+* ``resolve`` / ``snapshot_glob``: a path ending in ``.csv`` is that file; else the base's own
+  CSV files if it has any (even when newer subfolders exist); else the CSV files directly in
+  the latest subfolder. Nothing found raises ``ValueError``. The job reads the snapshot through
+  ``snapshot_glob``: a glob Spark expands itself, so no file list passes through the driver.
 """
 
 from __future__ import annotations
@@ -29,6 +30,14 @@ from disclosure.functions.display import has_csv_suffix
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?"
 
 
+CSV_GLOB = "*.[cC][sS][vV]"
+
+
+def _glob_escape(text: str) -> str:
+    """``text`` with glob characters escaped, so Spark reads it as a literal path."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", text)
+
+
 def path_only(path: Column | str) -> Column:
     """The path part of a URI column (scheme and authority removed)."""
     c = F.col(path) if isinstance(path, str) else path
@@ -46,7 +55,7 @@ def list_tree(spark: SparkSession, base: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(base)
+        .load(_glob_escape(base))
         .select("path", "length", "modificationTime")
     )
 
@@ -68,13 +77,10 @@ def with_relative(listing: DataFrame, base: str) -> DataFrame:
     )
 
 
-def direct_csv_files(listing: DataFrame, base: str, folder: Column | None = None) -> DataFrame:
-    """CSV files directly in ``base`` (or directly in its subfolder ``folder``), sorted by path."""
+def direct_csv_files(listing: DataFrame, base: str) -> DataFrame:
+    """CSV files directly in ``base`` (not in its subfolders), sorted by path."""
     rel = with_relative(listing, base)
-    if folder is None:
-        chosen = rel.filter((F.col("depth") == 0) & has_csv_suffix("rel"))
-    else:
-        chosen = rel.filter((F.col("depth") == 1) & (F.col("folder") == folder) & has_csv_suffix("rel"))
+    chosen = rel.filter((F.col("depth") == 0) & has_csv_suffix("rel"))
     return chosen.select("path", "length", "modificationTime").orderBy("path")
 
 
@@ -116,6 +122,30 @@ def resolve(listing: DataFrame, base: str) -> DataFrame:
     return nested.select("path", "length", "modificationTime").orderBy("path")
 
 
+def snapshot_glob(spark: SparkSession, source: str) -> str:
+    """The path to hand the CSV reader for ``source``: the file itself, or a glob of the snapshot.
+
+    ``base/*.[cC][sS][vV]`` when the base holds CSV files, else ``base/<latest>/*.[cC][sS][vV]``.
+    Spark expands the glob (and skips hidden files) when it plans the scan, so no file list
+    passes through the driver; the only values brought back are one boolean and one folder name.
+    """
+    if source.lower().endswith(".csv"):
+        return source
+    base = source.rstrip("/")
+    listing = list_tree(spark, base)
+    if not direct_csv_files(listing, base).isEmpty():
+        return f"{_glob_escape(base)}/{CSV_GLOB}"
+    latest = latest_subfolder(listing, base).select("folder").first()
+    nested = None
+    if latest is not None:
+        nested = with_relative(listing, base).filter(
+            (F.col("depth") == 1) & (F.col("folder") == latest["folder"]) & has_csv_suffix("rel")
+        )
+    if nested is None or nested.isEmpty():
+        raise ValueError(f"No .csv files found in {source} or its latest subfolder")
+    return f"{_glob_escape(base)}/{_glob_escape(latest['folder'])}/{CSV_GLOB}"
+
+
 def resolve_paths(spark: SparkSession, source: str) -> tuple[str, list[str]]:
     """``(folder, files)`` to load for ``source``: a ``.csv`` file, or a folder snapshot.
 

@@ -159,3 +159,21 @@ def test_run_with_rejects_table(spark, tmp_dir):
     assert report.count() == loans.count()
     assert report.columns == loan_report(loans).columns
     assert [r["LoanNumber"] for r in spark.table("t_run_rejects").collect()] == ["999999"]
+
+
+def test_snapshot_glob(spark, tmp_dir):
+    from disclosure.sources.listing import snapshot_glob
+
+    base = os.path.join(tmp_dir, "landing4")
+    _tree(base)
+    _write(base, ".hidden.csv", ["id", "9"])
+    assert snapshot_glob(spark, base) == f"{base}/*.[cC][sS][vV]"
+    got = sorted(r["id"] for r in spark.read.option("header", True).csv(snapshot_glob(spark, base)).collect())
+    assert got == ["1", "2"]
+    os.remove(os.path.join(base, "a.csv"))
+    os.remove(os.path.join(base, "B.CSV"))
+    os.remove(os.path.join(base, ".hidden.csv"))
+    assert snapshot_glob(spark, base) == f"{base}/2025/*.[cC][sS][vV]"
+    odd = os.path.join(tmp_dir, "we{ir}d[1]")
+    _write(odd, "x.csv", ["id", "7"])
+    assert [r["id"] for r in spark.read.option("header", True).csv(snapshot_glob(spark, odd)).collect()] == ["7"]
