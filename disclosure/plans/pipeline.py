@@ -25,13 +25,19 @@ from disclosure.sources.listing import snapshot_glob
 
 @dataclass(frozen=True)
 class TableSink:
-    """A table target: ``mode`` is ``overwrite``, ``append`` or ``clear_and_append``."""
+    """A table target: ``mode`` is ``overwrite``, ``append`` or ``clear_and_append``.
+
+    ``fmt`` and ``options`` select and configure the writer (``parquet`` by default; a
+    connector's format with its settings for an external store); ``partitions`` asks for a
+    round-robin repartition before an append (off by default: it is a full shuffle).
+    """
 
     table: str
     mode: str = "overwrite"
     fmt: str = "parquet"
     path: str | None = None
     partitions: int | None = None
+    options: dict | None = None
 
     def validate(self) -> None:
         tables.validate_table_name(self.table)
@@ -50,12 +56,13 @@ class TableSink:
         return spark.table(self.table)
 
     def __call__(self, df: DataFrame) -> None:
+        common = {"fmt": self.fmt, "path": self.path, "options": self.options}
         if self.mode == "overwrite":
-            tables.overwrite_table(df, self.table, fmt=self.fmt, path=self.path)
+            tables.overwrite_table(df, self.table, **common)
         elif self.mode == "append":
-            tables.append_table(df, self.table, fmt=self.fmt, path=self.path, partitions=self.partitions)
+            tables.append_table(df, self.table, partitions=self.partitions, **common)
         else:
-            tables.clear_and_append(df, self.table, fmt=self.fmt, path=self.path, partitions=self.partitions)
+            tables.clear_and_append(df, self.table, partitions=self.partitions, **common)
 
 
 def run(

@@ -57,16 +57,21 @@ def store_column_types(schema: StructType) -> list[tuple[str, str]]:
     return out
 
 
-def _writer(df: DataFrame, fmt: str, path: str | None, partitions: int | None):
+def _writer(df: DataFrame, fmt: str, path: str | None, partitions: int | None, options: dict | None = None):
     out = df.repartition(partitions) if partitions else df
-    w = out.write.format(fmt)
+    w = out.write.format(fmt).options(**(options or {}))
     return w.option("path", path) if path else w
 
 
-def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Full refresh: rows and schema of ``table`` are replaced by ``df``."""
+def overwrite_table(
+    df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None, options: dict | None = None
+) -> None:
+    """Full refresh: rows and schema of ``table`` are replaced by ``df``.
+
+    ``options`` go to the writer (a connector format's settings, for example).
+    """
     validate_table_name(table)
-    _writer(df, fmt, path, None).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    _writer(df, fmt, path, None, options).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 
 
 def append_table(
@@ -75,14 +80,15 @@ def append_table(
     fmt: str = "parquet",
     path: str | None = None,
     partitions: int | None = None,
+    options: dict | None = None,
 ) -> None:
     """Appends ``df`` (columns matched by name); creates the table if it is missing.
 
     ``partitions`` round-robins the rows into that many write tasks first (a full shuffle);
-    leave it unset to write straight from the upstream partitions.
+    leave it unset to write straight from the upstream partitions. ``options`` go to the writer.
     """
     validate_table_name(table)
-    _writer(df, fmt, path, partitions).mode("append").saveAsTable(table)
+    _writer(df, fmt, path, partitions, options).mode("append").saveAsTable(table)
 
 
 def create_if_missing(
@@ -113,6 +119,7 @@ def clear_and_append(
     fmt: str = "parquet",
     path: str | None = None,
     partitions: int | None = None,
+    options: dict | None = None,
 ) -> bool:
     """Full refresh that keeps an existing table's schema; returns True if it created the table.
 
@@ -125,7 +132,7 @@ def clear_and_append(
     aligned = df.select(*columns)
     if partitions:
         aligned = aligned.repartition(partitions)
-    aligned.write.insertInto(table, overwrite=True)
+    aligned.write.options(**(options or {})).insertInto(table, overwrite=True)
     return created
 
 

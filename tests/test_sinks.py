@@ -90,3 +90,13 @@ def test_fan_out_unpersists_when_a_sink_fails(spark, nine):
 def test_run_validates_targets_first(spark):
     with pytest.raises(ValueError):
         run(spark, "/nonexistent/folder", sinks=[TableSink("bad name")])
+
+
+def test_writer_options_reach_the_files(spark, nine, tmp_dir):
+    import glob
+    import os
+
+    path = os.path.join(tmp_dir, "t_opts")
+    TableSink("t_opts", path=path, options={"compression": "gzip"})(nine)
+    assert glob.glob(os.path.join(path, "*.gz.parquet"))
+    assert spark.table("t_opts").count() == 9
