@@ -177,3 +177,20 @@ def test_snapshot_glob(spark, tmp_dir):
     odd = os.path.join(tmp_dir, "we{ir}d[1]")
     _write(odd, "x.csv", ["id", "7"])
     assert [r["id"] for r in spark.read.option("header", True).csv(snapshot_glob(spark, odd)).collect()] == ["7"]
+
+
+def test_bom_file_reads_clean_header(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bom.csv")
+    with open(path, "w", encoding="utf-8-sig") as fh:
+        fh.write("id,d,n,x,s\n1,01/22/2021,5,1.5,ok\n")
+    row = loan_reader(spark, schema=EDGE_SCHEMA).load(path).first()
+    assert tuple(row) == ("1", dt.date(2021, 1, 22), 5, 1.5, "ok")
+
+
+def test_quoted_line_break_splits_the_record(spark, tmp_dir):
+    # multiLine stays off so files split into parallel tasks; a quoted line break then splits
+    # the record: the first line keeps the text up to the break, the rest is a rejected row.
+    path = _write(tmp_dir, "ml.csv", [EDGE_LINES[0], '11,01/22/2021,1,1,"two', 'lines"', EDGE_LINES[1]])
+    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
+    assert sorted((r["id"], r["s"]) for r in good.collect()) == [("1", "ok"), ("11", "two")]
+    assert [(r["id"], r[CORRUPT_COLUMN]) for r in rejects.collect()] == [('lines"', 'lines"')]
