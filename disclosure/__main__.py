@@ -44,8 +44,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from pyspark.sql import SparkSession
 
         spark = SparkSession.builder.appName("disclosure").getOrCreate()
-        for key, value in SESSION_CONF.items():  # runtime SQL settings only; static ones are spark-submit's
-            if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
+        submitted = spark.sparkContext.getConf()
+        for key, value in SESSION_CONF.items():  # runtime SQL settings the submitter left unset
+            if key.startswith("spark.sql.") and not submitted.contains(key):
                 spark.conf.set(key, value)
     report = run(spark, args.source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, escape=args.escape)
     if not sinks:
