@@ -53,7 +53,13 @@ def scratch_root(spark: SparkSession) -> str:
     local-mode session without one gets a fresh temporary folder, as in tests; on a cluster a
     machine-local folder would be invisible to other executors, so it is an error instead.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors") from None
+        return configured.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
@@ -77,8 +83,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     narrow operator in a single task. Large inputs have many splits, so at scale this is a
     no-op and adds no shuffle. Counting splits plans the scan; it runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
