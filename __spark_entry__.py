@@ -64,8 +64,8 @@ def _write_loans(spark: SparkSession, sf: str, label: str, where=None) -> str:
 
 
 def _csv_files(spark: SparkSession, folder: str) -> list[str]:
-    files = listing.direct_csv_files(listing.list_tree(spark, folder), folder)
-    return [r.path for r in files.select("path").collect()]
+    """The folder's CSV files as one glob Spark expands (no file list through the driver)."""
+    return [listing.snapshot_glob(spark, folder)]
 
 
 def _table(label: str) -> str:
