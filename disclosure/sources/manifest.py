@@ -12,7 +12,8 @@ is an aggregate with map-side partial aggregation.
 
 Rules kept from the reference job:
 
-* a document whose ``success`` is not true fails the job;
+* a document whose ``success`` is not true, or without a resource list, fails the job; so does
+  a kept entry without a ``url``, or without both a name and an ``id``;
 * entries are kept when their upper-cased format (null -> ``''``) is in the wanted set; an
   empty or ``None`` set keeps every entry;
 * ``name`` is the entry name, or its ``id`` when the name is null or empty; ``format`` is
@@ -73,15 +74,33 @@ def _format_filter(formats: Iterable[str] | None):
 
 
 def parse_catalog(documents: DataFrame, doc_column: str = "doc") -> DataFrame:
-    """Parses the JSON column; a document whose ``success`` is not true raises at run time."""
+    """Parses the JSON column into ``_resources``.
+
+    A document whose ``success`` is not true, or that has no resource list, fails the job.
+    """
     parsed = F.from_json(F.col(doc_column), CATALOG_SCHEMA)
-    checked = F.when(
-        parsed["success"].isNull() | ~parsed["success"],
-        F.raise_error(F.lit("Catalog lookup failed: success is not true")),
-    ).otherwise(parsed["result"]["resources"])
+    resources = parsed["result"]["resources"]
+    checked = (
+        F.when(
+            parsed["success"].isNull() | ~parsed["success"],
+            F.raise_error(F.lit("Catalog lookup failed: success is not true")),
+        )
+        .when(resources.isNull(), F.raise_error(F.lit("Catalog document has no resource list")))
+        .otherwise(resources)
+    )
     return documents.withColumn("_resources", checked)
 
 
+def _entry_name(r: Column) -> Column:
+    return F.coalesce(F.nullif(r["name"], F.lit("")), r["id"])
+
+
+def _require_fields(resources: Column) -> Column:
+    """Fails the job when a kept entry has no url, or neither a name nor an id."""
+    incomplete = F.exists(resources, lambda r: r["url"].isNull() | _entry_name(r).isNull())
+    return F.when(incomplete, F.raise_error(F.lit("Catalog entry without url or name/id"))).otherwise(resources)
+
+
 def manifest(
     documents: DataFrame,
     formats: Iterable[str] | None = DEFAULT_FORMATS,
@@ -98,6 +117,7 @@ def manifest(
     keep = _format_filter(formats)
     if keep is not None:
         resources = F.filter(resources, keep)
+    resources = _require_fields(resources)
     if limit is not None:
         resources = F.slice(resources, 1, max(limit, 0))
     key_cols = list(keys)
@@ -105,7 +125,7 @@ def manifest(
         *key_cols, F.posexplode(resources).alias("_pos", "_r")
     )
     r = F.col("_r")
-    name = F.coalesce(F.nullif(r["name"], F.lit("")), r["id"])
+    name = _entry_name(r)
     return exploded.select(
         *key_cols,
         (F.col("_pos") + 1).alias("pos"),

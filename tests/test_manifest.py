@@ -94,3 +94,18 @@ def test_duplicate_names(spark):
         "dataset string, doc string",
     )
     assert [tuple(r) for r in M.duplicate_names(M.manifest(docs)).collect()] == [("x.csv", 2)]
+
+
+def test_incomplete_entries_fail(spark):
+    no_url = [{"id": "1", "name": "a.csv", "url": None, "size": 1, "format": "CSV"}]
+    no_name = [{"id": None, "name": "", "url": "u", "size": 1, "format": "CSV"}]
+    skipped = [{"id": "1", "name": "a.xlsx", "url": None, "size": 1, "format": "XLSX"}]
+    schema = "dataset string, doc string"
+    for bad in (no_url, no_name):
+        with pytest.raises(SPARK_ERRORS):
+            M.manifest(spark.createDataFrame([("d", _doc(bad))], schema)).collect()
+    # entries left out by the format filter are never checked
+    assert M.manifest(spark.createDataFrame([("d", _doc(skipped))], schema)).count() == 0
+    no_list = json.dumps({"success": True, "result": {}})
+    with pytest.raises(SPARK_ERRORS):
+        M.manifest(spark.createDataFrame([("d", no_list)], schema)).collect()
