@@ -210,6 +210,14 @@ def q_business_type(spark, sf):
     return _loan_cols(spark, sf, "BusinessType_Display")
 
 
+def q_business_age(spark, sf):
+    return _loan_cols(spark, sf, "BusinessAge_Display")
+
+
+def q_industry(spark, sf):
+    return _loan_cols(spark, sf, "NAICSCode", "Industry_Display")
+
+
 def q_int_to_text(spark, sf):
     return _loan_cols(spark, sf, "JobsReported", "JobsReported_Display")
 
@@ -423,6 +431,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_type": q_area_type,
     "lender": q_lender,
     "business_type": q_business_type,
+    "business_age": q_business_age,
+    "industry": q_industry,
     "int_to_text": q_int_to_text,
     "human_bytes": q_human_bytes,
     "valid_name": q_valid_name,

@@ -361,6 +361,8 @@ def oracle_queries() -> dict[str, str]:
         "area_type": _loan_cols("AreaType_Display"),
         "lender": _loan_cols("Lender_Display"),
         "business_type": _loan_cols("BusinessType_Display"),
+        "business_age": _loan_cols("BusinessAge_Display"),
+        "industry": _loan_cols("NAICSCode, Industry_Display"),
         "int_to_text": _loan_cols("JobsReported, JobsReported_Display"),
         "human_bytes": (
             f"SELECT doc_id, n_bytes, {human_bytes('n_bytes')} AS display FROM "
