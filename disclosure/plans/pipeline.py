@@ -29,7 +29,8 @@ class TableSink:
 
     ``fmt`` and ``options`` select and configure the writer (``parquet`` by default; a
     connector's format with its settings for an external store); ``partitions`` asks for a
-    round-robin repartition before an append (off by default: it is a full shuffle).
+    round-robin repartition before an append (off by default: it is a full shuffle);
+    ``sort_within`` sorts each write task's rows (e.g. by ``LoanNumber`` for detail lookups).
     """
 
     table: str
@@ -38,6 +39,7 @@ class TableSink:
     path: str | None = None
     partitions: int | None = None
     options: dict | None = None
+    sort_within: tuple[str, ...] = ()
 
     def validate(self) -> None:
         tables.validate_table_name(self.table)
@@ -58,9 +60,9 @@ class TableSink:
     def __call__(self, df: DataFrame) -> None:
         common = {"fmt": self.fmt, "path": self.path, "options": self.options}
         if self.mode == "overwrite":
-            tables.overwrite_table(df, self.table, **common)
+            tables.overwrite_table(df, self.table, sort_within=self.sort_within, **common)
         elif self.mode == "append":
-            tables.append_table(df, self.table, partitions=self.partitions, **common)
+            tables.append_table(df, self.table, partitions=self.partitions, sort_within=self.sort_within, **common)
         else:
             tables.clear_and_append(df, self.table, partitions=self.partitions, **common)
 

@@ -57,21 +57,39 @@ def store_column_types(schema: StructType) -> list[tuple[str, str]]:
     return out
 
 
-def _writer(df: DataFrame, fmt: str, path: str | None, partitions: int | None, options: dict | None = None):
+def _writer(
+    df: DataFrame,
+    fmt: str,
+    path: str | None,
+    partitions: int | None,
+    options: dict | None = None,
+    sort_within: Sequence[str] = (),
+):
     out = df.repartition(partitions) if partitions else df
+    if sort_within:
+        out = out.sortWithinPartitions(*sort_within)
     w = out.write.format(fmt).options(**(options or {}))
     return w.option("path", path) if path else w
 
 
 def overwrite_table(
-    df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None, options: dict | None = None
+    df: DataFrame,
+    table: str,
+    fmt: str = "parquet",
+    path: str | None = None,
+    options: dict | None = None,
+    sort_within: Sequence[str] = (),
 ) -> None:
     """Full refresh: rows and schema of ``table`` are replaced by ``df``.
 
-    ``options`` go to the writer (a connector format's settings, for example).
+    ``options`` go to the writer (a connector format's settings, for example). ``sort_within``
+    sorts each write task's rows by those columns first (a local sort, no shuffle), so every
+    file's row groups cover narrow key ranges and an equality lookup on the key skips the
+    other row groups of each file.
     """
     validate_table_name(table)
-    _writer(df, fmt, path, None, options).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    w = _writer(df, fmt, path, None, options, sort_within)
+    w.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 
 
 def append_table(
@@ -81,14 +99,16 @@ def append_table(
     path: str | None = None,
     partitions: int | None = None,
     options: dict | None = None,
+    sort_within: Sequence[str] = (),
 ) -> None:
     """Appends ``df`` (columns matched by name); creates the table if it is missing.
 
     ``partitions`` round-robins the rows into that many write tasks first (a full shuffle);
-    leave it unset to write straight from the upstream partitions. ``options`` go to the writer.
+    leave it unset to write straight from the upstream partitions. ``options`` and
+    ``sort_within`` as in :func:`overwrite_table`.
     """
     validate_table_name(table)
-    _writer(df, fmt, path, partitions, options).mode("append").saveAsTable(table)
+    _writer(df, fmt, path, partitions, options, sort_within).mode("append").saveAsTable(table)
 
 
 def create_if_missing(

@@ -100,3 +100,22 @@ def test_writer_options_reach_the_files(spark, nine, tmp_dir):
     TableSink("t_opts", path=path, options={"compression": "gzip"})(nine)
     assert glob.glob(os.path.join(path, "*.gz.parquet"))
     assert spark.table("t_opts").count() == 9
+
+
+def test_sorted_files_let_lookups_skip_row_groups(spark, tmp_dir):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    df = spark.range(200000).select(F.format_string("%07d", (F.col("id") * 7919) % 200000).alias("LoanNumber"))
+    path = os.path.join(tmp_dir, "t_sorted")
+    TableSink("t_sorted", path=path, sort_within=("LoanNumber",),
+              options={"parquet.block.size": "65536"})(df.repartition(2))
+    for f in glob.glob(os.path.join(path, "*.parquet")):
+        meta = pq.ParquetFile(f).metadata
+        assert meta.num_row_groups > 1
+        ranges = [(meta.row_group(i).column(0).statistics.min, meta.row_group(i).column(0).statistics.max)
+                  for i in range(meta.num_row_groups)]
+        assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))  # disjoint, ascending
+    assert spark.table("t_sorted").filter(F.col("LoanNumber") == "0000000").count() == 1
