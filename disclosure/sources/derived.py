@@ -5,8 +5,8 @@
   folder, with mixed-case ``.csv`` and other suffixes.
 * :func:`document_resources` / :func:`catalog_from_documents` - catalog resources (one per
   document) and the catalog JSON documents listing them, one per block of 64 document ids.
-* :func:`document_inventory` - the files already downloaded for those resources (some
-  missing, some with a different size).
+* :func:`document_inventory` - the files already in the download folder for those resources
+  (some unfinished ``.part`` files, some with a different size).
 * :func:`label_outcomes` - one fetch outcome per labelled document, failed when toxic.
 
 Nulls, blanks and odd values are injected by ``id % n`` rules, as the tables hold none.
@@ -86,13 +86,15 @@ def catalog_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files already in :data:`DOWNLOADS`: every document but each third, some one byte off."""
+    """One file in :data:`DOWNLOADS` per document: every third is an unfinished ``.part``
+    download (so its entry has no file of its name), some are one byte off."""
     res = document_resources(spark, sf_dir)
     k = F.col("doc_id")
     file_name = base_name(F.coalesce(F.nullif(F.col("name"), F.lit("")), F.col("id")))
+    unfinished = F.when(k % 3 == 0, F.lit(".part")).otherwise(F.lit(""))
     length = F.coalesce(F.col("size"), F.lit(0)) + F.when(k % 5 == 2, F.lit(1)).otherwise(F.lit(0))
-    return res.filter(k % 3 != 0).select(
-        F.concat(F.lit(DOWNLOADS + "/"), file_name).alias("path"),
+    return res.select(
+        F.concat(F.lit(DOWNLOADS + "/"), file_name, unfinished).alias("path"),
         length.cast("bigint").alias("length"),
     )
 

@@ -264,9 +264,10 @@ FROM kept {keep}"""
 
 
 DOC_INVENTORY = """
-SELECT 'file:/downloads/' || regexp_extract(coalesce(nullif(name, ''), id), '[^/]+$', 0) AS path,
+SELECT 'file:/downloads/' || regexp_extract(coalesce(nullif(name, ''), id), '[^/]+$', 0)
+    || CASE WHEN doc_id % 3 = 0 THEN '.part' ELSE '' END AS path,
   CAST(coalesce(size, 0) + CASE WHEN doc_id % 5 = 2 THEN 1 ELSE 0 END AS BIGINT) AS length
-FROM (""" + DOC_RESOURCES + """) WHERE doc_id % 3 <> 0"""
+FROM (""" + DOC_RESOURCES + """)"""
 
 
 LABEL_OUTCOMES = """
