@@ -6,7 +6,9 @@
         --source s3a://bucket/loans/ --table loans_report --table loans_store:clear_and_append \\
         --rejects loans_rejects
 
-``--table NAME[:MODE]`` may repeat (modes: overwrite, append, clear_and_append); with no table
+With ``--catalog docs.json --download-to /mnt/shared/loans`` the files the catalog lists are
+downloaded first (a Spark job; present files of the right size are skipped) and that folder is
+the source. ``--table NAME[:MODE]`` may repeat (modes: overwrite, append, clear_and_append); with no table
 the report is computed and counted only. The session is the one ``spark-submit`` configures,
 plus :data:`disclosure.session.SESSION_CONF` for keys it leaves unset.
 """
@@ -27,7 +29,10 @@ def _sink(spec: str, fmt: str, options: dict) -> TableSink:
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     p = argparse.ArgumentParser(prog="disclosure", description=__doc__.split("\n\n")[0])
-    p.add_argument("--source", required=True, help="a .csv file, or a folder (snapshot chosen by listing)")
+    p.add_argument("--source", help="a .csv file, or a folder (snapshot chosen by listing)")
+    p.add_argument("--catalog", help="catalog JSON document file(s) to download from first")
+    p.add_argument("--download-to", help="shared folder for the downloaded files (then the source)")
+    p.add_argument("--file-limit", type=int, help="download only the first N entries per document")
     p.add_argument("--table", action="append", default=[], help="NAME[:MODE] target table, repeatable")
     p.add_argument("--rejects", help="table for malformed source lines")
     p.add_argument("--format", default="parquet", help="table format (parquet, delta, a connector)")
@@ -48,7 +53,22 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         for key, value in SESSION_CONF.items():  # runtime SQL settings the submitter left unset
             if key.startswith("spark.sql.") and not submitted.contains(key):
                 spark.conf.set(key, value)
-    report = run(spark, args.source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, escape=args.escape)
+    source = args.source
+    if args.catalog:
+        if not args.download_to:
+            p.error("--catalog needs --download-to")
+        from pyspark.sql import functions as F
+
+        from disclosure.sources.fetch import download
+
+        docs = spark.read.text(args.catalog, wholetext=True).select(
+            F.col("_metadata.file_path").alias("dataset"), F.col("value").alias("doc")
+        )
+        download(docs, args.download_to, limit=args.file_limit)
+        source = source or args.download_to
+    if not source:
+        p.error("give --source, or --catalog with --download-to")
+    report = run(spark, source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, escape=args.escape)
     if not sinks:
         print(f"{report.count()} report rows (nothing written)")
     return 0

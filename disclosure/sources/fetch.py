@@ -1,0 +1,127 @@
+"""Downloading the planned files as a distributed Spark job.
+
+The fetch plan (:func:`disclosure.sources.manifest.fetch_plan`) is a DataFrame of entries
+``(name, url, size, ...)``. :func:`fetch` spreads its rows over Spark tasks and each task
+streams its URLs into the download folder with a small per-file helper (``mapInPandas``, one
+Arrow batch of entries at a time), so the number of parallel transfers is the number of task
+slots, not a thread pool on one machine. Each file is written to a unique ``.part`` name and
+renamed into place only when complete, so a retried or speculative task never leaves a
+partial file under the final name. Each task returns one outcome row per entry
+``(name, url, bytes, error)``; a failure is recorded, never raised, so every file is tried.
+
+:func:`download` is the whole acquisition: manifest -> cap -> skip rule against the folder's
+listing -> fetch -> one failure roll-up. Its outcomes are written once to the shared
+checkpoint folder, so counting and reporting them never repeats a download.
+
+The download folder must be a path every executor can write (a shared mount), as it must be
+for the single-machine job.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from disclosure.session import scratch_path
+from disclosure.sources import manifest as M
+from disclosure.sources.listing import list_tree
+
+OUTCOME_SCHEMA = StructType(
+    [
+        StructField("name", StringType(), True),
+        StructField("url", StringType(), True),
+        StructField("bytes", LongType(), True),
+        StructField("error", StringType(), True),
+    ]
+)
+
+CHUNK_BYTES = 8 * 1024 * 1024
+
+
+def _fetch_one(url: str, dest: str, chunk_bytes: int, timeout: float) -> int:
+    import urllib.request
+
+    tmp = f"{dest}.{uuid.uuid4().hex}.part"
+    written = 0
+    try:
+        with urllib.request.urlopen(url, timeout=timeout) as response, open(tmp, "wb") as out:
+            while chunk := response.read(chunk_bytes):
+                out.write(chunk)
+                written += len(chunk)
+        os.replace(tmp, dest)
+    except BaseException:
+        if os.path.exists(tmp):
+            os.remove(tmp)
+        raise
+    return written
+
+
+def _fetcher(folder: str, chunk_bytes: int, timeout: float):
+    def fetch_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            rows = []
+            for name, url in zip(batch["name"], batch["url"]):
+                try:
+                    n = _fetch_one(url, os.path.join(folder, name), chunk_bytes, timeout)
+                    rows.append((name, url, n, None))
+                except Exception as exc:  # recorded as the entry's outcome; the rest go on
+                    rows.append((name, url, None, f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(rows, columns=[f.name for f in OUTCOME_SCHEMA.fields]).astype({"bytes": "Int64"})
+
+    return fetch_batches
+
+
+def local_folder(path: str) -> str:
+    """The POSIX path of a ``file:`` URI (or the path itself)."""
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def fetch(
+    plan: DataFrame,
+    folder: str,
+    tasks: int | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
+    timeout: float = 60.0,
+) -> DataFrame:
+    """Lazy outcomes ``(name, url, bytes, error)`` of downloading every entry of ``plan``.
+
+    ``tasks`` (default: the cluster's parallelism) round-robins the entries over that many
+    tasks, so files are fetched in parallel however the plan was partitioned. Each action on
+    the result downloads again; :func:`download` writes the outcomes once.
+    """
+    n = tasks or plan.sparkSession.sparkContext.defaultParallelism
+    entries = plan.select("name", "url").repartition(n)
+    return entries.mapInPandas(_fetcher(local_folder(folder), chunk_bytes, timeout), OUTCOME_SCHEMA)
+
+
+def download(
+    documents: DataFrame,
+    folder: str,
+    formats: Iterable[str] | None = M.DEFAULT_FORMATS,
+    limit: int | None = None,
+    overwrite: bool = False,
+    tasks: int | None = None,
+    max_listed: int = 100,
+) -> DataFrame:
+    """Downloads what the catalog documents list into ``folder``; returns the outcomes.
+
+    Entries whose file is already there with the expected size are skipped (unless
+    ``overwrite``). No matching entry raises ``ValueError``; any failed file raises
+    :class:`disclosure.sources.manifest.FetchFailed` after all files were tried.
+    """
+    spark = documents.sparkSession
+    entries = M.require_entries(M.manifest(documents, formats=formats, limit=limit))
+    os.makedirs(local_folder(folder), exist_ok=True)
+    inventory = list_tree(spark, folder)
+    todo = M.fetch_plan(entries, inventory, overwrite=overwrite)
+    outcomes_path = scratch_path(spark, "fetch-outcomes")
+    fetch(todo, folder, tasks=tasks).write.parquet(outcomes_path)
+    outcomes = spark.read.schema(OUTCOME_SCHEMA).parquet(outcomes_path)
+    M.raise_on_failures(outcomes, max_listed=max_listed, total=entries.count())
+    return outcomes

@@ -192,18 +192,22 @@ class FetchFailed(RuntimeError):
         self.failures = failures
 
 
-def raise_on_failures(outcomes: DataFrame, max_listed: int = 100, error_column: str = "error") -> None:
+def raise_on_failures(
+    outcomes: DataFrame, max_listed: int = 100, error_column: str = "error", total: int | None = None
+) -> None:
     """Run all, then fail once: ``Failed to download n of total file(s): a, b, ...``.
 
-    Counting is distributed. The message lists failed names (sorted) only while there are at
-    most ``max_listed`` of them; the complete list is always available, as a DataFrame, on the
+    Counting is distributed. ``total`` overrides the outcome count (when skipped entries have
+    no outcome row). The message lists failed names (sorted) only while there are at most
+    ``max_listed`` of them; the complete list is always available, as a DataFrame, on the
     raised exception's ``failures``.
     """
     summary = failure_summary(outcomes, error_column).first()
     if not summary or summary["n_failed"] == 0:
         return
     failures = failed_entries(outcomes, error_column)
-    message = f"Failed to download {summary['n_failed']} of {summary['n_total']} file(s)"
+    n_total = summary["n_total"] if total is None else total
+    message = f"Failed to download {summary['n_failed']} of {n_total} file(s)"
     if summary["n_failed"] <= max_listed:
         message += ": " + ", ".join(r["name"] for r in failures.select("name").collect())
     else:

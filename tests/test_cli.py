@@ -22,3 +22,21 @@ def test_cli_publishes_tables(spark, tmp_dir, capsys):
     assert spark.table("cli_rejects").count() == 0
     assert main(["--source", base, "--row-limit", "10"], spark=spark) == 0
     assert "10 report rows" in capsys.readouterr().out
+
+
+def test_cli_downloads_then_publishes(spark, tmp_dir):
+    import json
+
+    remote = os.path.join(tmp_dir, "remote")
+    loans = loans_from_star(spark, SF001)
+    write_loans_csv(loans, remote)
+    parts = sorted(f for f in os.listdir(remote) if f.endswith(".csv"))
+    resources = [{"id": str(i), "name": f"loans_{i}.csv", "url": f"file://{remote}/{f}",
+                  "size": os.path.getsize(os.path.join(remote, f)), "format": "CSV"} for i, f in enumerate(parts)]
+    catalog = os.path.join(tmp_dir, "catalog.json")
+    with open(catalog, "w") as fh:
+        json.dump({"success": True, "result": {"resources": resources}}, fh)
+    dl = os.path.join(tmp_dir, "dl")
+    assert main(["--catalog", catalog, "--download-to", dl, "--table", "cli_dl_report"], spark=spark) == 0
+    assert sorted(os.listdir(dl)) == sorted(r["name"] for r in resources)
+    assert spark.table("cli_dl_report").count() == loans.count()

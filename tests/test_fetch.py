@@ -1,0 +1,72 @@
+"""Downloading as a Spark job, with file: URLs standing in for the remote server."""
+
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from disclosure.sources import manifest as M
+from disclosure.sources.fetch import download, fetch
+
+
+def _remote(tmp_dir, files):
+    root = os.path.join(tmp_dir, "remote")
+    os.makedirs(root)
+    for name, body in files.items():
+        with open(os.path.join(root, name), "wb") as fh:
+            fh.write(body)
+    return root
+
+
+def _docs(spark, root, entries):
+    resources = [
+        {"id": f"id{i}", "name": name, "url": f"file://{root}/{src}", "size": size, "format": fmt}
+        for i, (name, src, size, fmt) in enumerate(entries)
+    ]
+    doc = json.dumps({"success": True, "result": {"resources": resources}})
+    return spark.createDataFrame([("ppp", doc)], "dataset string, doc string")
+
+
+def test_fetch_outcomes(spark, tmp_dir):
+    root = _remote(tmp_dir, {"a.csv": b"x" * 1000, "b.csv": b"y" * 10})
+    plan = spark.createDataFrame(
+        [("a.csv", f"file://{root}/a.csv"), ("b.csv", f"file://{root}/b.csv"), ("c.csv", f"file://{root}/missing")],
+        "name string, url string",
+    )
+    dest = os.path.join(tmp_dir, "dl")
+    got = {r["name"]: r for r in fetch(plan, dest, tasks=3).collect()}
+    assert got["a.csv"]["bytes"] == 1000 and got["a.csv"]["error"] is None
+    assert got["b.csv"]["bytes"] == 10
+    assert got["c.csv"]["bytes"] is None and "Error" in got["c.csv"]["error"]
+    assert sorted(os.listdir(dest)) == ["a.csv", "b.csv"]  # no .part left behind
+
+
+def test_download_skips_present_files_and_reports_failures(spark, tmp_dir):
+    root = _remote(tmp_dir, {"a.csv": b"a" * 100, "b.csv": b"b" * 200, "notes.xlsx": b"z"})
+    dest = os.path.join(tmp_dir, "dl")
+    entries = [("a.csv", "a.csv", 100, "CSV"), ("b.csv", "b.csv", 200, "csv"), ("dict.xlsx", "notes.xlsx", 1, "XLSX")]
+    out = download(_docs(spark, root, entries), dest)
+    assert sorted(r["name"] for r in out.collect()) == ["a.csv", "b.csv"]
+    assert sorted(os.listdir(dest)) == ["a.csv", "b.csv"]
+    # second run: both files are present with their sizes, so nothing is fetched
+    assert download(_docs(spark, root, entries), dest).count() == 0
+    assert download(_docs(spark, root, entries), dest, overwrite=True).count() == 2
+    # a failing entry is reported once, after the others were fetched
+    broken = entries[:1] + [("c.csv", "missing.csv", 5, "CSV")]
+    with pytest.raises(M.FetchFailed) as info:
+        download(_docs(spark, root, broken), os.path.join(tmp_dir, "dl2"))
+    assert str(info.value).startswith("Failed to download 1 of 2 file(s): c.csv")
+    assert os.listdir(os.path.join(tmp_dir, "dl2")) == ["a.csv"]
+    with pytest.raises(ValueError):
+        download(_docs(spark, root, entries), dest, formats=["PDF"])
+
+
+def test_fetch_runs_in_parallel_tasks(spark, tmp_dir):
+    root = _remote(tmp_dir, {f"f{i}.csv": b"." * i for i in range(1, 41)})
+    plan = spark.createDataFrame([(f"f{i}.csv", f"file://{root}/f{i}.csv") for i in range(1, 41)], "name string, url string")
+    out = fetch(plan, os.path.join(tmp_dir, "dl"), tasks=8)
+    assert out.rdd.getNumPartitions() == 8
+    assert out.agg(F.sum("bytes")).first()[0] == sum(range(1, 41))
