@@ -349,6 +349,16 @@ def q_failed_files(spark, sf):
     return M.failed_entries(derived.label_outcomes(spark, sf))
 
 
+def q_download(spark, sf):
+    """Every document's text served as a file, listed in catalog documents, downloaded by tasks."""
+    from disclosure.sources.fetch import download
+
+    resources = derived.document_files(spark, sf, scratch_path(spark, "remote"))
+    catalog = M.catalog_documents(resources, ["block"], "doc_id")
+    outcomes = download(catalog.withColumnRenamed("block", "dataset"), scratch_path(spark, "downloads"), formats=["TXT"])
+    return outcomes.select("name", "bytes", "error")
+
+
 # ---------------------------------------------------------------- sinks
 
 
@@ -451,6 +461,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fetch_plan": q_fetch_plan,
     "fetch_failures": q_fetch_failures,
     "failed_files": q_failed_files,
+    "download": q_download,
     "overwrite_table": q_overwrite_table,
     "append_table": q_append_table,
     "clear_and_append": q_clear_and_append,

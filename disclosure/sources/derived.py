@@ -106,3 +106,28 @@ def label_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv")).alias("name"),
         F.when(F.col("toxic") == 1, F.lit("HTTP Error 500: Internal Server Error")).alias("error"),
     )
+
+
+def document_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Writes every document's whole text as its own file under ``folder`` (one text line per
+    file, in a ``doc_id=<id>`` subfolder) and returns their catalog resources
+    ``(doc_id, block, id, name, url, size, format)``, from a listing of what was written."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs.write.partitionBy("doc_id").text(folder)
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+        .select("path", "length")
+    )
+    doc_id = F.regexp_extract("path", r"/doc_id=(\d+)/", 1).cast("bigint")
+    return files.select(
+        doc_id.alias("doc_id"),
+        (doc_id / CATALOG_BLOCK).cast("bigint").alias("block"),
+        F.concat(F.lit("doc-"), doc_id.cast("string")).alias("id"),
+        F.concat(F.lit("doc-"), doc_id.cast("string"), F.lit(".txt")).alias("name"),
+        F.col("path").alias("url"),
+        F.col("length").alias("size"),
+        F.lit("TXT").alias("format"),
+    )
+

@@ -414,6 +414,10 @@ def oracle_queries() -> dict[str, str]:
             f"CAST(count(*) AS BIGINT) AS n_total FROM ({LABEL_OUTCOMES})"
         ),
         "failed_files": f"SELECT name, error FROM ({LABEL_OUTCOMES}) WHERE error IS NOT NULL",
+        "download": (
+            "SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS name, "
+            "CAST(strlen(text) + 1 AS BIGINT) AS bytes, CAST(NULL AS VARCHAR) AS error FROM documents"
+        ),
         "overwrite_table": report_all,
         "append_table": _over_report("SELECT * FROM report UNION ALL SELECT * FROM report"),
         "clear_and_append": report_all,
