@@ -20,10 +20,12 @@ for the single-machine job.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -42,6 +44,10 @@ OUTCOME_SCHEMA = StructType(
 
 CHUNK_BYTES = 8 * 1024 * 1024
 
+# Ship this module's task-side helpers by value, so Python workers need not import the package
+# (they may start where it is not on the path unless it was shipped with --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _fetch_one(url: str, dest: str, chunk_bytes: int, timeout: float) -> int:
     import urllib.request
