@@ -83,8 +83,12 @@ def run(
     :func:`disclosure.sources.csv.read_loans_with_rejects`). Returns the report the sinks were
     fed (the first sink's table when it is a full refresh and there are several sinks).
     """
-    for sink in [*sinks, *([rejects] if rejects else [])]:
+    targets = [*sinks, *([rejects] if rejects else [])]
+    for sink in targets:
         sink.validate()
+    names = [t.table.lower() for t in targets]
+    if len(set(names)) != len(names):
+        raise ValueError(f"A table is named by more than one sink: {names}")
     files = [snapshot_glob(spark, source)] if isinstance(source, str) else list(source)
     if rejects is not None:
         loans, bad = read_loans_with_rejects(spark, files, **reader_options)

@@ -117,3 +117,8 @@ def test_no_python_in_builders(spark):
     from disclosure.plans.checks import python_nodes
 
     assert python_nodes(df.select(D.currency("x"), D.human_bytes("x"))) == []
+
+
+def test_trim_keeps_non_breaking_space(spark):
+    # Spark's trim strips U+0020 only, so NBSP-padded placeholders are kept as text.
+    assert one(spark, D.clean_location("x"), "x string", [(" NA ",), ("\tNA",)]) == [" NA ", "\tNA"]

@@ -119,3 +119,8 @@ def test_sorted_files_let_lookups_skip_row_groups(spark, tmp_dir):
                   for i in range(meta.num_row_groups)]
         assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))  # disjoint, ascending
     assert spark.table("t_sorted").filter(F.col("LoanNumber") == "0000000").count() == 1
+
+
+def test_run_rejects_duplicate_targets(spark):
+    with pytest.raises(ValueError):
+        run(spark, "/nonexistent/folder", sinks=[TableSink("t_dup"), TableSink("T_DUP", mode="append")])
