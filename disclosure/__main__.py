@@ -30,7 +30,7 @@ def _sink(spec: str, fmt: str, options: dict) -> TableSink:
 def main(argv: list[str] | None = None, spark=None) -> int:
     p = argparse.ArgumentParser(prog="disclosure", description=__doc__.split("\n\n")[0])
     p.add_argument("--source", help="a .csv file, or a folder (snapshot chosen by listing)")
-    p.add_argument("--catalog", help="catalog JSON document file(s) to download from first")
+    p.add_argument("--catalog", help="catalog lookup URL, or catalog JSON file(s), to download from first")
     p.add_argument("--download-to", help="shared folder for the downloaded files (then the source)")
     p.add_argument("--file-limit", type=int, help="download only the first N entries per document")
     p.add_argument("--table", action="append", default=[], help="NAME[:MODE] target table, repeatable")
@@ -57,14 +57,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.catalog:
         if not args.download_to:
             p.error("--catalog needs --download-to")
-        from pyspark.sql import functions as F
+        from disclosure.sources.fetch import download, read_catalog
 
-        from disclosure.sources.fetch import download
-
-        docs = spark.read.text(args.catalog, wholetext=True).select(
-            F.col("_metadata.file_path").alias("dataset"), F.col("value").alias("doc")
-        )
-        download(docs, args.download_to, limit=args.file_limit)
+        download(read_catalog(spark, args.catalog), args.download_to, limit=args.file_limit)
         source = source or args.download_to
     if not source:
         p.error("give --source, or --catalog with --download-to")

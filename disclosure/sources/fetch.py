@@ -83,6 +83,27 @@ def _fetcher(folder: str, chunk_bytes: int, timeout: float):
     return fetch_batches
 
 
+def read_catalog(spark, location: str, timeout: float = 60.0) -> DataFrame:
+    """Catalog documents ``(dataset, doc)`` from ``location``.
+
+    An ``http(s)`` URL is the catalog's lookup address for one dataset: one GET on the driver,
+    returning one bounded JSON document. Anything else is read by Spark as files, one document
+    per file (``wholetext``), keyed by file path.
+    """
+    from pyspark.sql import functions as F
+
+    if location.startswith(("http://", "https://")):
+        import urllib.request
+
+        request = urllib.request.Request(location, headers={"User-Agent": "disclosure-catalog/1.0"})
+        with urllib.request.urlopen(request, timeout=timeout) as response:
+            doc = response.read().decode("utf-8")
+        return spark.createDataFrame([(location, doc)], "dataset string, doc string")
+    return spark.read.text(location, wholetext=True).select(
+        F.col("_metadata.file_path").alias("dataset"), F.col("value").alias("doc")
+    )
+
+
 def local_folder(path: str) -> str:
     """The POSIX path of a ``file:`` URI (or the path itself)."""
     return path[len("file:"):] if path.startswith("file:") else path
