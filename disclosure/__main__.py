@@ -53,17 +53,23 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         for key, value in SESSION_CONF.items():  # runtime SQL settings the submitter left unset
             if key.startswith("spark.sql.") and not submitted.contains(key):
                 spark.conf.set(key, value)
-    source = args.source
+    source, listed = args.source, None
     if args.catalog:
         if not args.download_to:
             p.error("--catalog needs --download-to")
+        from disclosure.sources import manifest as M
         from disclosure.sources.fetch import download, read_catalog
 
-        download(read_catalog(spark, args.catalog), args.download_to, limit=args.file_limit)
-        source = source or args.download_to
+        catalog = read_catalog(spark, args.catalog)
+        download(catalog, args.download_to, limit=args.file_limit)
+        if not source:  # read exactly the files this catalog lists, not older ones in the folder
+            source = args.download_to
+            listed = M.manifest(catalog, limit=args.file_limit)
     if not source:
         p.error("give --source, or --catalog with --download-to")
-    report = run(spark, source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, escape=args.escape)
+    report = run(
+        spark, source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, manifest=listed, escape=args.escape
+    )
     if not sinks:
         print(f"{report.count()} report rows (nothing written)")
     return 0

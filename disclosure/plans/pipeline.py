@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from disclosure.operators.report import loan_report
 from disclosure.sinks import tables
 from disclosure.sources.csv import read_loans, read_loans_with_rejects
-from disclosure.sources.listing import snapshot_glob
+from disclosure.sources.listing import manifest_glob, snapshot_glob
 
 
 @dataclass(frozen=True)
@@ -74,11 +74,14 @@ def run(
     row_limit: int | None = None,
     strategy: str = "auto",
     rejects: TableSink | None = None,
+    manifest: DataFrame | None = None,
     **reader_options,
 ) -> DataFrame:
     """Read ``source`` (a ``.csv`` file, a folder snapshot, or explicit files), publish, return.
 
-    With ``rejects``, malformed source lines (with their raw text) are written to that table
+    With ``manifest`` (catalog entries, e.g. from :func:`disclosure.sources.manifest.manifest`),
+    only the files it names are read from the ``source`` folder, so files of an older
+    generation left in the folder are not loaded a second time. With ``rejects``, malformed source lines (with their raw text) are written to that table
     and left out of the report; the parse then runs once, staged (see
     :func:`disclosure.sources.csv.read_loans_with_rejects`). Returns the report the sinks were
     fed (the first sink's table when it is a full refresh and there are several sinks).
@@ -89,7 +92,16 @@ def run(
     names = [t.table.lower() for t in targets]
     if len(set(names)) != len(names):
         raise ValueError(f"A table is named by more than one sink: {names}")
-    files = [snapshot_glob(spark, source)] if isinstance(source, str) else list(source)
+    if manifest is not None:
+        if not isinstance(source, str):
+            raise ValueError("A manifest selects files in one source folder")
+        # Catalog metadata: one name per listed file, a bounded list.
+        names = [r["name"] for r in manifest.select("name").distinct().collect()]
+        files = [manifest_glob(source, names)]
+    elif isinstance(source, str):
+        files = [snapshot_glob(spark, source)]
+    else:
+        files = list(source)
     if rejects is not None:
         loans, bad = read_loans_with_rejects(spark, files, **reader_options)
         rejects(bad)

@@ -146,6 +146,14 @@ def snapshot_glob(spark: SparkSession, source: str) -> str:
     return f"{_glob_escape(base)}/{_glob_escape(latest['folder'])}/{CSV_GLOB}"
 
 
+def manifest_glob(folder: str, names: list[str]) -> str:
+    """A glob of exactly the named files directly in ``folder`` (``folder/{a.csv,b.csv}``)."""
+    if not names:
+        raise ValueError("The manifest names no files")
+    alternatives = ",".join(_glob_escape(n).replace(",", "\\,") for n in sorted(set(names)))
+    return f"{_glob_escape(folder.rstrip('/'))}/{{{alternatives}}}"
+
+
 def resolve_paths(spark: SparkSession, source: str) -> tuple[str, list[str]]:
     """``(folder, files)`` to load for ``source``: a ``.csv`` file, or a folder snapshot.
 

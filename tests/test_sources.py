@@ -194,3 +194,22 @@ def test_quoted_line_break_splits_the_record(spark, tmp_dir):
     good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
     assert sorted((r["id"], r["s"]) for r in good.collect()) == [("1", "ok"), ("11", "two")]
     assert [(r["id"], r[CORRUPT_COLUMN]) for r in rejects.collect()] == [('lines"', 'lines"')]
+
+
+def test_manifest_selects_files_of_one_generation(spark, tmp_dir):
+    from disclosure.plans import run
+    from disclosure.schema import LOAN_COLUMNS
+    from disclosure.sources.listing import manifest_glob
+
+    folder = os.path.join(tmp_dir, "dl")
+    header = ",".join(LOAN_COLUMNS)
+    row = lambda k: ",".join([k] + [""] * (len(LOAN_COLUMNS) - 1))
+    _write(folder, "loans_240930.csv", [header, row("1"), row("2")])
+    _write(folder, "loans_250331.csv", [header, row("1"), row("2"), row("3")])
+    _write(folder, "odd{name},x.csv", [header, row("9")])
+    manifest = spark.createDataFrame([("loans_250331.csv",), ("odd{name},x.csv",)], "name string")
+    got = sorted(r["LoanNumber"] for r in run(spark, folder, manifest=manifest).collect())
+    assert got == ["1", "2", "3", "9"]
+    assert sorted(r["LoanNumber"] for r in run(spark, folder).collect()) == ["1", "1", "2", "2", "3", "9"]
+    with pytest.raises(ValueError):
+        manifest_glob(folder, [])
