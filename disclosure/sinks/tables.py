@@ -156,17 +156,23 @@ def clear_and_append(
     return created
 
 
-def replace_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> int:
+def replace_table(
+    df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None, min_rows: int = 1
+) -> int:
     """Writes ``<table>__next``, verifies its row count, then swaps it in; returns the count.
 
-    The count check reads only Parquet footers. Dropping the old table and renaming are two
-    catalog operations, so a reader between them finds no table; rows are never half-written.
+    With fewer than ``min_rows`` rows (an empty refresh, by default) nothing is swapped, the
+    published table stays as it was, and ``ValueError`` is raised. The count reads only Parquet
+    footers. Dropping the old table and renaming are two catalog operations, so a reader
+    between them finds no table; rows are never half-written.
     """
     spark = df.sparkSession
     nxt = validate_table_name(f"{table}__next")
     spark.sql(f"DROP TABLE IF EXISTS {nxt}")
     overwrite_table(df, nxt, fmt=fmt, path=path)
     n = spark.table(nxt).count()
+    if n < min_rows:
+        raise ValueError(f"Refresh of {table} produced {n} rows (< {min_rows}); kept the published table")
     spark.sql(f"DROP TABLE IF EXISTS {validate_table_name(table)}")
     spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
     return n

@@ -65,6 +65,9 @@ def test_replace_table(spark, nine):
     T.overwrite_table(nine.select("LoanNumber"), "t_swap")
     assert T.replace_table(nine, "t_swap") == 9
     assert spark.table("t_swap").columns == ["LoanNumber", "Amount"]
+    with pytest.raises(ValueError):
+        T.replace_table(nine.limit(0), "t_swap")
+    assert spark.table("t_swap").count() == 9
 
 
 @pytest.mark.parametrize("strategy", ["auto", "stage", "cache"])
