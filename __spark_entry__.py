@@ -289,6 +289,14 @@ def q_pipeline(spark, sf):
     return run(spark, base)
 
 
+def q_pipeline_rejects(spark, sf):
+    """The job over malformed CSV: rejected lines go to their own table, the report has the rest."""
+    base = scratch_path(spark, "landing-rejects")
+    write_loans_csv(_malformed_text(loans_from_star(spark, sf)), f"{base}/20240102")
+    t = _table("rejects")
+    return run(spark, base, rejects=TableSink(t, path=_sink_path(spark, t)))
+
+
 def q_stream_publish(spark, sf):
     """Two landings drained by two runs of the same incremental query: every loan once."""
     landing = scratch_path(spark, "stream-landing")
@@ -402,6 +410,13 @@ def q_create_if_missing(spark, sf):
     return spark.table(t)
 
 
+def q_replace_table(spark, sf):
+    t = _table("replace")
+    tables.overwrite_table(loans_from_star(spark, sf).select("LoanNumber"), t, path=_sink_path(spark, t))
+    tables.replace_table(_report(spark, sf), t, path=_sink_path(spark, t + "__next"))
+    return spark.table(t)
+
+
 def q_fan_out(spark, sf):
     a, b = _table("fan_a"), _table("fan_b")
     sinks = [
@@ -450,6 +465,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_multi_scan": q_csv_multi_scan,
     "csv_rejects": q_csv_rejects,
     "pipeline": q_pipeline,
+    "pipeline_rejects": q_pipeline_rejects,
     "stream_publish": q_stream_publish,
     "list_files": q_list_files,
     "subfolder_times": q_subfolder_times,
@@ -466,6 +482,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_table": q_append_table,
     "clear_and_append": q_clear_and_append,
     "create_if_missing": q_create_if_missing,
+    "replace_table": q_replace_table,
     "fan_out": q_fan_out,
 }
 

@@ -386,6 +386,12 @@ def oracle_queries() -> dict[str, str]:
             f"WHERE ({k_rej} % 23 = 0 AND DateApproved IS NOT NULL) OR ({k_rej} % 29 = 0 AND JobsReported IS NOT NULL)"
         ),
         "pipeline": csv_report_all,
+        "pipeline_rejects": _over_report(
+            "SELECT * FROM report WHERE NOT ((CAST(LoanNumber AS BIGINT) % 23 = 0 AND DateApproved IS NOT NULL) "
+            "OR (CAST(LoanNumber AS BIGINT) % 29 = 0 AND JobsReported IS NOT NULL))",
+            src="csv_loans",
+            ctes=CSV_LOANS_CTES,
+        ),
         "stream_publish": csv_report_all,
         "list_files": (
             _inventory(True) + "SELECT path, length, modificationTime FROM inv WHERE depth = 0 AND lower(rel) LIKE '%.csv'"
@@ -422,6 +428,7 @@ def oracle_queries() -> dict[str, str]:
         "append_table": _over_report("SELECT * FROM report UNION ALL SELECT * FROM report"),
         "clear_and_append": report_all,
         "create_if_missing": report_all,
+        "replace_table": report_all,
         "fan_out": _over_report("SELECT *, 'a' AS sink FROM report UNION ALL SELECT *, 'b' AS sink FROM report"),
     }
     return q
