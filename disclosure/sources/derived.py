@@ -59,7 +59,7 @@ def document_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
     return d.select(
         k.alias("doc_id"),
-        F.expr(f"doc_id div {CATALOG_BLOCK}").alias("block"),
+        F.floor(k / F.lit(CATALOG_BLOCK)).alias("block"),
         F.concat(F.lit("doc-"), k.cast("string")).alias("id"),
         F.when(k % 5 == 0, F.lit(None).cast("string"))
         .when(k % 5 == 1, F.lit(""))
@@ -123,7 +123,7 @@ def document_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     doc_id = F.regexp_extract("path", r"/doc_id=(\d+)/", 1).cast("bigint")
     return files.select(
         doc_id.alias("doc_id"),
-        (doc_id / CATALOG_BLOCK).cast("bigint").alias("block"),
+        F.floor(doc_id / F.lit(CATALOG_BLOCK)).alias("block"),
         F.concat(F.lit("doc-"), doc_id.cast("string")).alias("id"),
         F.concat(F.lit("doc-"), doc_id.cast("string"), F.lit(".txt")).alias("name"),
         F.col("path").alias("url"),
