@@ -59,3 +59,13 @@ def test_spread_only_when_under_split(spark, tmp_dir):
     one_split.repartition(16).write.parquet(many)
     wide = spark.read.parquet(many)
     assert spread(wide, 8) is wide
+
+
+def test_plan_checks_see_exchanges_and_python(spark):
+    from disclosure.plans.checks import exchanges, python_nodes
+
+    df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert exchanges(df) >= 1
+    assert python_nodes(df) == []
+    mapped = spark.range(10).mapInPandas(lambda it: it, "id long")
+    assert python_nodes(mapped) == ["MapInPandas"]
