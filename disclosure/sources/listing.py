@@ -152,19 +152,3 @@ def manifest_glob(folder: str, names: list[str]) -> str:
         raise ValueError("The manifest names no files")
     alternatives = ",".join(_glob_escape(n).replace(",", "\\,") for n in sorted(set(names)))
     return f"{_glob_escape(folder.rstrip('/'))}/{{{alternatives}}}"
-
-
-def resolve_paths(spark: SparkSession, source: str) -> tuple[str, list[str]]:
-    """``(folder, files)`` to load for ``source``: a ``.csv`` file, or a folder snapshot.
-
-    The file list is metadata (one path per file), collected so the CSV reader gets explicit
-    paths; the data itself never passes through the driver.
-    """
-    if source.lower().endswith(".csv"):
-        return source, [source]
-    listing = list_tree(spark, source)
-    files = [r.path for r in resolve(listing, source).select("path").collect()]
-    if not files:
-        raise ValueError(f"No .csv files found in {source} or its latest subfolder")
-    folder = files[0].rsplit("/", 1)[0]
-    return folder, files

@@ -209,7 +209,7 @@ def raise_on_failures(
     n_total = summary["n_total"] if total is None else total
     message = f"Failed to download {summary['n_failed']} of {n_total} file(s)"
     if summary["n_failed"] <= max_listed:
-        message += ": " + ", ".join(r["name"] for r in failures.select("name").collect())
+        message += ": " + ", ".join(r["name"] for r in failures.select("name").limit(max_listed).collect())
     else:
         message += " (see .failures for the list)"
     raise FetchFailed(message, failures)

@@ -19,7 +19,7 @@ from disclosure.sources.listing import (
     latest_subfolder,
     list_tree,
     resolve,
-    resolve_paths,
+    snapshot_glob,
 )
 
 EDGE_SCHEMA = StructType(
@@ -120,9 +120,8 @@ def test_listing_and_snapshot(spark, tmp_dir):
     assert direct == ["B.CSV", "a.csv"]
     assert latest_subfolder(listing, base).first()["folder"] == "2025"
     assert [os.path.basename(r.path) for r in resolve(listing, base).collect()] == ["B.CSV", "a.csv"]
-    _, files = resolve_paths(spark, base)
-    assert [os.path.basename(f) for f in files] == ["B.CSV", "a.csv"]
-    assert resolve_paths(spark, os.path.join(base, "a.csv"))[1] == [os.path.join(base, "a.csv")]
+    assert snapshot_glob(spark, base) == f"{base}/*.[cC][sS][vV]"
+    assert snapshot_glob(spark, os.path.join(base, "a.csv")) == os.path.join(base, "a.csv")
 
 
 def test_snapshot_falls_back_to_latest_subfolder(spark, tmp_dir):
@@ -130,16 +129,15 @@ def test_snapshot_falls_back_to_latest_subfolder(spark, tmp_dir):
     _tree(base)
     os.remove(os.path.join(base, "a.csv"))
     os.remove(os.path.join(base, "B.CSV"))
-    folder, files = resolve_paths(spark, base)
-    assert [os.path.basename(f) for f in files] == ["y.csv"]
-    assert folder.endswith("/2025")
+    assert [os.path.basename(r.path) for r in resolve(list_tree(spark, base), base).collect()] == ["y.csv"]
+    assert snapshot_glob(spark, base) == f"{base}/2025/*.[cC][sS][vV]"
 
 
 def test_snapshot_without_csv_raises(spark, tmp_dir):
     base = os.path.join(tmp_dir, "landing3")
     _write(os.path.join(base, "2025"), "only.json", ["{}"])
     with pytest.raises(ValueError):
-        resolve_paths(spark, base)
+        snapshot_glob(spark, base)
 
 
 def test_run_with_rejects_table(spark, tmp_dir):
@@ -162,8 +160,6 @@ def test_run_with_rejects_table(spark, tmp_dir):
 
 
 def test_snapshot_glob(spark, tmp_dir):
-    from disclosure.sources.listing import snapshot_glob
-
     base = os.path.join(tmp_dir, "landing4")
     _tree(base)
     _write(base, ".hidden.csv", ["id", "9"])
