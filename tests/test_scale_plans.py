@@ -69,3 +69,19 @@ def test_plan_checks_see_exchanges_and_python(spark):
     assert python_nodes(df) == []
     mapped = spark.range(10).mapInPandas(lambda it: it, "id long")
     assert python_nodes(mapped) == ["MapInPandas"]
+
+
+def test_broadcast_only_within_the_bound(spark):
+    from disclosure.session import broadcast_if_small
+
+    small, big = spark.range(10), spark.range(1000)
+    probe = spark.range(100)
+    assert "BroadcastExchange" in plan_text(probe.join(broadcast_if_small(small, max_rows=10), "id"), "simple")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        plan = plan_text(probe.join(broadcast_if_small(big, max_rows=999), "id"), "simple")
+        assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set(conf, old)
