@@ -72,3 +72,45 @@ def test_query_normalisation(q):
     assert "  " not in n and n == n.strip(" ")
     if "*" not in n and "?" not in n:
         assert _wildcard_regex(n) is None
+
+
+_SEARCH_CACHE: dict = {}
+
+
+def _py_match(text: str, q: str) -> bool:
+    """The search measure in plain Python: TRIM/LOWER, then CONTAINSSTRING with * ? ~."""
+    import re as _re
+
+    needle = _re.sub(" {2,}", " ", (q or "").strip(" ")).lower()
+    if needle == "":
+        return True
+    out, i = "", 0
+    while i < len(needle):
+        ch = needle[i]
+        if ch == "~" and i + 1 < len(needle) and needle[i + 1] in "*?~":
+            out += _re.escape(needle[i + 1])
+            i += 2
+            continue
+        out += ".*" if ch == "*" else "." if ch == "?" else _re.escape(ch)
+        i += 1
+    return _re.search(out, text, flags=_re.S) is not None
+
+
+@settings(max_examples=15, deadline=None)
+@given(data=st.data())
+def test_search_matches_python_statement(spark, data):
+    from disclosure.operators import loan_report, search
+    from disclosure.sources.star import loans_from_star
+    from tests.conftest import SF001
+
+    if "report" not in _SEARCH_CACHE:
+        report = loan_report(loans_from_star(spark, SF001)).select("LoanNumber", "searchtext").cache()
+        _SEARCH_CACHE.update(report=report, rows=[tuple(r) for r in report.collect()])
+    report, rows = _SEARCH_CACHE["report"], _SEARCH_CACHE["rows"]
+    text = data.draw(st.sampled_from([t for _, t in rows]))
+    start = data.draw(st.integers(0, max(len(text) - 1, 0)))
+    piece = text[start:start + data.draw(st.integers(1, 12))]
+    q = data.draw(st.sampled_from(["{}", " {} ", "{}*", "?{}", "{}".upper()])).format(piece)
+    got = sorted(r[0] for r in search(report, q).select("LoanNumber").collect())
+    want = sorted(k for k, t in rows if _py_match(t, q))
+    assert got == want, q
