@@ -18,7 +18,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from disclosure.plans.pipeline import TableSink, run
+from disclosure.plans.pipeline import ConnectorSink, TableSink, run
 from disclosure.session import SESSION_CONF
 
 
@@ -37,6 +37,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--rejects", help="table for malformed source lines")
     p.add_argument("--format", default="parquet", help="table format (parquet, delta, a connector)")
     p.add_argument("--option", action="append", default=[], help="KEY=VALUE writer option, repeatable")
+    p.add_argument("--connector", help="also append to an external store through this connector format")
+    p.add_argument("--connector-option", action="append", default=[], help="KEY=VALUE connector option")
+    p.add_argument("--connector-partitions", type=int, help="round-robin into N writer tasks first")
     p.add_argument("--row-limit", type=int, help="sample run: keep the first N rows (unordered)")
     p.add_argument("--escape", default='"', help="CSV escape character (default: doubled quotes)")
     args = p.parse_args(argv)
@@ -44,6 +47,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     options = dict(o.split("=", 1) for o in args.option)
     sinks = [_sink(t, args.format, options) for t in args.table]
     rejects = _sink(args.rejects, args.format, options) if args.rejects else None
+    if args.connector:
+        connector_options = dict(o.split("=", 1) for o in args.connector_option)
+        sinks.append(ConnectorSink(args.connector, connector_options, partitions=args.connector_partitions))
 
     if spark is None:
         from pyspark.sql import SparkSession

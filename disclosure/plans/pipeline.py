@@ -67,10 +67,34 @@ class TableSink:
             tables.clear_and_append(df, self.table, partitions=self.partitions, **common)
 
 
+@dataclass(frozen=True)
+class ConnectorSink:
+    """An external store written through its connector's format (``.save()``, no catalog table)."""
+
+    fmt: str
+    options: dict
+    mode: str = "append"
+    partitions: int | None = None
+
+    @property
+    def table(self) -> str:
+        """A name for duplicate-target checks: the connector's table option, else the format."""
+        return str(self.options.get("table") or self.options.get("dbtable") or self.options.get("path") or self.fmt)
+
+    def validate(self) -> None:
+        if not self.fmt:
+            raise ValueError("A connector sink needs a format")
+        if self.mode not in ("append", "overwrite"):
+            raise ValueError(f"Unknown connector write mode: {self.mode!r}")
+
+    def __call__(self, df: DataFrame) -> None:
+        tables.connector_write(df, self.fmt, self.options, mode=self.mode, partitions=self.partitions)
+
+
 def run(
     spark: SparkSession,
     source: str | Sequence[str],
-    sinks: Sequence[TableSink] = (),
+    sinks: Sequence[TableSink | ConnectorSink] = (),
     row_limit: int | None = None,
     strategy: str = "auto",
     rejects: TableSink | None = None,

@@ -3,6 +3,7 @@
 from disclosure.sinks.tables import (
     append_table,
     clear_and_append,
+    connector_write,
     create_if_missing,
     fan_out,
     overwrite_table,
@@ -14,6 +15,7 @@ from disclosure.sinks.tables import (
 __all__ = [
     "append_table",
     "clear_and_append",
+    "connector_write",
     "create_if_missing",
     "fan_out",
     "overwrite_table",

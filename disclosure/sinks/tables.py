@@ -111,6 +111,21 @@ def append_table(
     _writer(df, fmt, path, partitions, options, sort_within).mode("append").saveAsTable(table)
 
 
+def connector_write(
+    df: DataFrame, fmt: str, options: dict, mode: str = "append", partitions: int | None = None
+) -> None:
+    """Writes ``df`` through a connector format that is not a catalog table (``.save()``).
+
+    ``options`` carry the connector's settings (its cluster, database, table, batching);
+    ``partitions`` round-robins the rows into that many writer tasks first (a full shuffle, for
+    connectors that want a bounded number of concurrent writers).
+    """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"Unknown connector write mode: {mode!r}")
+    out = df.repartition(partitions) if partitions else df
+    out.write.format(fmt).options(**options).mode(mode).save()
+
+
 def create_if_missing(
     spark: SparkSession,
     table: str,

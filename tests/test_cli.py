@@ -20,6 +20,10 @@ def test_cli_publishes_tables(spark, tmp_dir, capsys):
     assert spark.table("cli_report").count() == n
     assert spark.table("cli_store").count() == n
     assert spark.table("cli_rejects").count() == 0
+    store = os.path.join(tmp_dir, "store")
+    assert main(["--source", base, "--table", "cli_report2", "--connector", "parquet",
+                 "--connector-option", f"path={store}", "--connector-partitions", "2"], spark=spark) == 0
+    assert spark.read.parquet(store).count() == n
     assert main(["--source", base, "--row-limit", "10"], spark=spark) == 0
     assert "10 report rows" in capsys.readouterr().out
 

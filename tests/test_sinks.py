@@ -127,3 +127,20 @@ def test_sorted_files_let_lookups_skip_row_groups(spark, tmp_dir):
 def test_run_rejects_duplicate_targets(spark):
     with pytest.raises(ValueError):
         run(spark, "/nonexistent/folder", sinks=[TableSink("t_dup"), TableSink("T_DUP", mode="append")])
+
+
+def test_connector_sink_appends_through_save(spark, nine, tmp_dir):
+    import os
+
+    from disclosure.plans.pipeline import ConnectorSink
+
+    target = os.path.join(tmp_dir, "store")
+    sink = ConnectorSink("parquet", {"path": target}, partitions=3)
+    sink.validate()
+    sink(nine)
+    sink(nine)
+    assert spark.read.parquet(target).count() == 18
+    with pytest.raises(ValueError):
+        ConnectorSink("parquet", {"path": target}, mode="merge").validate()
+    T.fan_out(nine, [TableSink("t_conn_first"), ConnectorSink("parquet", {"path": target})])
+    assert spark.read.parquet(target).count() == 27
