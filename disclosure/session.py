@@ -27,6 +27,9 @@ SESSION_CONF = {
     # Small inputs are still divided by the cluster's parallelism (Spark caps the split size
     # at total bytes / default parallelism), so local runs keep all cores busy.
     "spark.sql.files.maxPartitionBytes": "512m",
+    # Published tables are written once and scanned by every search: zstd wrote the 49-column
+    # report as fast as snappy (8.2 s vs 8.2-8.8 s for 1.5M rows) and 23% smaller (106 vs 137 MB).
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
