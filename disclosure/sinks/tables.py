@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructType
 
 from disclosure.functions.display import IDENTIFIER_PATTERN
-from disclosure.session import scratch_path
+from disclosure.session import SCRATCH_WRITE_OPTIONS, scratch_path
 
 # --- Fixed values: column types the external event store accepts, by Spark type. ---
 STORE_TYPES = {StringType: "string", IntegerType: "int", DoubleType: "real", DateType: "datetime"}
@@ -230,7 +230,7 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto") -> Dat
         strategy = "stage"
     if strategy == "stage":
         staged_path = scratch_path(spark, "stage")
-        df.write.parquet(staged_path)
+        df.write.options(**SCRATCH_WRITE_OPTIONS).parquet(staged_path)
         staged = spark.read.parquet(staged_path)
         for sink in sinks:
             sink(staged)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
-from disclosure.session import scratch_path
+from disclosure.session import SCRATCH_WRITE_OPTIONS, scratch_path
 
 CORRUPT_COLUMN = "_corrupt_record"
 REJECTED_FLAG = "_rejected"
@@ -106,7 +106,8 @@ def read_loans_with_rejects(
     if materialize != "stage":
         raise ValueError(f"Unknown materialization: {materialize!r}")
     path = scratch_path(spark, "parsed")
-    parsed.withColumn(REJECTED_FLAG, F.col(corrupt_column).isNotNull()).write.partitionBy(REJECTED_FLAG).parquet(path)
+    flagged = parsed.withColumn(REJECTED_FLAG, F.col(corrupt_column).isNotNull())
+    flagged.write.options(**SCRATCH_WRITE_OPTIONS).partitionBy(REJECTED_FLAG).parquet(path)
     schema = StructType(parsed.schema.fields + [StructField(REJECTED_FLAG, BooleanType(), True)])
     staged = spark.read.schema(schema).parquet(path)
     good = staged.filter(~F.col(REJECTED_FLAG)).drop(REJECTED_FLAG, corrupt_column)
