@@ -209,3 +209,14 @@ def test_manifest_selects_files_of_one_generation(spark, tmp_dir):
     assert sorted(r["LoanNumber"] for r in run(spark, folder).collect()) == ["1", "1", "2", "2", "3", "9"]
     with pytest.raises(ValueError):
         manifest_glob(folder, [])
+
+
+def test_crlf_line_endings(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "crlf.csv")
+    with open(path, "wb") as fh:
+        fh.write(b"id,d,n,x,s\r\n1,01/22/2021,5,1.5,ok\r\n2,02/01/2021,6,2.5,\r\n")
+    rows = loan_reader(spark, schema=EDGE_SCHEMA).load(path).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", dt.date(2021, 1, 22), 5, 1.5, "ok"),
+        ("2", dt.date(2021, 2, 1), 6, 2.5, None),
+    ]
