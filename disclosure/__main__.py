@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--connector-partitions", type=int, help="round-robin into N writer tasks first")
     p.add_argument("--row-limit", type=int, help="sample run: keep the first N rows (unordered)")
     p.add_argument("--escape", default='"', help="CSV escape character (default: doubled quotes)")
+    p.add_argument("--explain", action="store_true", help="print the report's physical plan; write nothing")
     args = p.parse_args(argv)
 
     options = dict(o.split("=", 1) for o in args.option)
@@ -73,6 +74,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             listed = M.manifest(catalog, limit=args.file_limit)
     if not source:
         p.error("give --source, or --catalog with --download-to")
+    if args.explain:
+        run(spark, source, row_limit=args.row_limit, manifest=listed, escape=args.escape).explain(mode="formatted")
+        return 0
     report = run(
         spark, source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, manifest=listed, escape=args.escape
     )

@@ -26,6 +26,10 @@ def test_cli_publishes_tables(spark, tmp_dir, capsys):
     assert spark.read.parquet(store).count() == n
     assert main(["--source", base, "--row-limit", "10"], spark=spark) == 0
     assert "10 report rows" in capsys.readouterr().out
+    assert main(["--source", base, "--explain", "--table", "cli_never_written"], spark=spark) == 0
+    plan = capsys.readouterr().out
+    assert "Scan csv" in plan and "Exchange" not in plan
+    assert not spark.catalog.tableExists("cli_never_written")
 
 
 def test_cli_downloads_then_publishes(spark, tmp_dir):
