@@ -105,23 +105,27 @@ def run(
 
     With ``manifest`` (catalog entries, e.g. from :func:`disclosure.sources.manifest.manifest`),
     only the files it names are read from the ``source`` folder, so files of an older
-    generation left in the folder are not loaded a second time. With ``rejects``, malformed source lines (with their raw text) are written to that table
+    generation left in the folder are not loaded a second time.
+
+    With ``rejects``, malformed source lines (with their raw text) are written to that table
     and left out of the report; the parse then runs once, staged (see
-    :func:`disclosure.sources.csv.read_loans_with_rejects`). Returns the report the sinks were
-    fed (the first sink's table when it is a full refresh and there are several sinks).
+    :func:`disclosure.sources.csv.read_loans_with_rejects`).
+
+    Returns the report the sinks were fed (the first sink's table when it is a full refresh and
+    there are several sinks).
     """
     targets = [*sinks, *([rejects] if rejects else [])]
     for sink in targets:
         sink.validate()
-    names = [t.table.lower() for t in targets]
-    if len(set(names)) != len(names):
-        raise ValueError(f"A table is named by more than one sink: {names}")
+    target_names = [t.table.lower() for t in targets]
+    if len(set(target_names)) != len(target_names):
+        raise ValueError(f"A table is named by more than one sink: {target_names}")
     if manifest is not None:
         if not isinstance(source, str):
             raise ValueError("A manifest selects files in one source folder")
         # Catalog metadata: one name per listed file, a bounded list.
-        names = [r["name"] for r in manifest.select("name").distinct().collect()]
-        files = [manifest_glob(source, names)]
+        file_names = [r["name"] for r in manifest.select("name").distinct().collect()]
+        files = [manifest_glob(source, file_names)]
     elif isinstance(source, str):
         files = [snapshot_glob(spark, source)]
     else:
