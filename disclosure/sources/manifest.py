@@ -180,8 +180,12 @@ def failure_summary(outcomes: DataFrame, error_column: str = "error") -> DataFra
 
 
 def failed_entries(outcomes: DataFrame, error_column: str = "error") -> DataFrame:
-    """The failed outcomes ``(name, error)``, sorted by name (a distributed sort)."""
-    return outcomes.filter(F.col(error_column).isNotNull()).select("name", error_column).orderBy("name")
+    """The failed outcomes ``(name, error)`` (a filter; no shuffle).
+
+    Not sorted: a range-partitioned sort cannot split a name repeated across many outcomes.
+    Ordered listings take a bounded top-N (see :func:`raise_on_failures`).
+    """
+    return outcomes.filter(F.col(error_column).isNotNull()).select("name", error_column)
 
 
 class FetchFailed(RuntimeError):
@@ -209,7 +213,8 @@ def raise_on_failures(
     n_total = summary["n_total"] if total is None else total
     message = f"Failed to download {summary['n_failed']} of {n_total} file(s)"
     if summary["n_failed"] <= max_listed:
-        message += ": " + ", ".join(r["name"] for r in failures.select("name").limit(max_listed).collect())
+        first = failures.select("name").orderBy("name").limit(max_listed)  # per-task top-N, then merged
+        message += ": " + ", ".join(r["name"] for r in first.collect())
     else:
         message += " (see .failures for the list)"
     raise FetchFailed(message, failures)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
@@ -109,3 +110,18 @@ def test_incomplete_entries_fail(spark):
     no_list = json.dumps({"success": True, "result": {}})
     with pytest.raises(SPARK_ERRORS):
         M.manifest(spark.createDataFrame([("d", no_list)], schema)).collect()
+
+
+def test_failure_listing_needs_no_range_sort(spark):
+    from disclosure.plans.checks import plan_text
+
+    # a third of the failures share one name
+    name = F.when(F.col("id") % 3 == 0, F.lit("a_hot.csv")).otherwise(F.concat(F.lit("f"), F.col("id").cast("string")))
+    outcomes = spark.range(999).select(name.alias("name"), F.lit("boom").alias("error"))
+    assert "rangepartitioning" not in plan_text(M.failed_entries(outcomes), "simple")
+    top = M.failed_entries(outcomes).select("name").orderBy("name").limit(3)
+    assert "TakeOrderedAndProject" in plan_text(top, "simple")
+    with pytest.raises(M.FetchFailed) as info:
+        M.raise_on_failures(outcomes, max_listed=999)
+    assert str(info.value).startswith("Failed to download 999 of 999 file(s): a_hot.csv, a_hot.csv")
+    assert info.value.failures.count() == 999
