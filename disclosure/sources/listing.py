@@ -77,11 +77,14 @@ def with_relative(listing: DataFrame, base: str) -> DataFrame:
     )
 
 
+def _direct_csv(listing: DataFrame, base: str) -> DataFrame:
+    rel = with_relative(listing, base)
+    return rel.filter((F.col("depth") == 0) & has_csv_suffix("rel")).select("path", "length", "modificationTime")
+
+
 def direct_csv_files(listing: DataFrame, base: str) -> DataFrame:
     """CSV files directly in ``base`` (not in its subfolders), sorted by path."""
-    rel = with_relative(listing, base)
-    chosen = rel.filter((F.col("depth") == 0) & has_csv_suffix("rel"))
-    return chosen.select("path", "length", "modificationTime").orderBy("path")
+    return _direct_csv(listing, base).orderBy("path")
 
 
 def subfolder_times(listing: DataFrame, base: str) -> DataFrame:
@@ -110,9 +113,8 @@ def resolve(listing: DataFrame, base: str) -> DataFrame:
     Which branch applies is one bounded action (does the base hold any CSV file?); the files
     themselves stay a lazy DataFrame.
     """
-    direct = direct_csv_files(listing, base)
-    if not direct.isEmpty():
-        return direct
+    if not _direct_csv(listing, base).isEmpty():
+        return direct_csv_files(listing, base)
     latest = latest_subfolder(listing, base).select("folder")
     nested = (
         with_relative(listing, base)
@@ -133,7 +135,7 @@ def snapshot_glob(spark: SparkSession, source: str) -> str:
         return source
     base = source.rstrip("/")
     listing = list_tree(spark, base)
-    if not direct_csv_files(listing, base).isEmpty():
+    if not _direct_csv(listing, base).isEmpty():
         return f"{_glob_escape(base)}/{CSV_GLOB}"
     latest = latest_subfolder(listing, base).select("folder").first()
     nested = None
