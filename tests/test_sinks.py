@@ -144,3 +144,14 @@ def test_connector_sink_appends_through_save(spark, nine, tmp_dir):
         ConnectorSink("parquet", {"path": target}, mode="merge").validate()
     T.fan_out(nine, [TableSink("t_conn_first"), ConnectorSink("parquet", {"path": target})])
     assert spark.read.parquet(target).count() == 27
+
+
+def test_bloom_filter_option_for_key_lookups(spark, tmp_dir):
+    import os
+
+    df = spark.range(50000).select(F.format_string("%07d", F.col("id")).alias("LoanNumber"), F.col("id"))
+    path = os.path.join(tmp_dir, "t_bloom")
+    TableSink("t_bloom", path=path, options={"parquet.bloom.filter.enabled#LoanNumber": "true"})(df)
+    hit = spark.table("t_bloom").filter(F.col("LoanNumber") == "0012345")
+    assert [r["id"] for r in hit.collect()] == [12345]
+    assert spark.table("t_bloom").filter(F.col("LoanNumber") == "missing").count() == 0
