@@ -25,7 +25,7 @@ import oracle_sql as O  # noqa: E402
 from disclosure.functions import display as D  # noqa: E402
 from disclosure.operators.report import loan_report  # noqa: E402
 from disclosure.operators.search import detail, search, search_cards  # noqa: E402
-from disclosure.plans.pipeline import TableSink, run  # noqa: E402
+from disclosure.plans.job import TableSink, run  # noqa: E402
 from disclosure.schema import DATE_COLUMNS, LOAN_FIELDS, PROCEEDS, SOURCE_DATE_FORMAT  # noqa: E402
 from disclosure.session import scratch_path  # noqa: E402
 from disclosure.sinks import tables  # noqa: E402
@@ -281,7 +281,7 @@ def q_csv_rejects(spark, sf):
     return rejects.select("LoanNumber", "DateApproved", "JobsReported")
 
 
-def q_pipeline(spark, sf):
+def q_refresh_job(spark, sf):
     base = scratch_path(spark, "landing")
     loans = loans_from_star(spark, sf)
     write_loans_csv(loans.filter(F.col("ProcessingMethod") == "PPP"), f"{base}/20240101")
@@ -289,7 +289,7 @@ def q_pipeline(spark, sf):
     return run(spark, base)
 
 
-def q_pipeline_rejects(spark, sf):
+def q_refresh_job_rejects(spark, sf):
     """The job over malformed CSV: rejected lines go to their own table, the report has the rest."""
     base = scratch_path(spark, "landing-rejects")
     write_loans_csv(_malformed_text(loans_from_star(spark, sf)), f"{base}/20240102")
@@ -464,8 +464,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "csv_multi_scan": q_csv_multi_scan,
     "csv_rejects": q_csv_rejects,
-    "pipeline": q_pipeline,
-    "pipeline_rejects": q_pipeline_rejects,
+    "refresh_job": q_refresh_job,
+    "refresh_job_rejects": q_refresh_job_rejects,
     "stream_publish": q_stream_publish,
     "list_files": q_list_files,
     "subfolder_times": q_subfolder_times,

@@ -18,7 +18,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from disclosure.plans.pipeline import ConnectorSink, TableSink, run
+from disclosure.plans.job import ConnectorSink, TableSink, run
 from disclosure.session import SESSION_CONF
 
 

@@ -1,5 +1,5 @@
 """The refresh job and the physical-plan checks."""
 
-from disclosure.plans.pipeline import ConnectorSink, TableSink, run
+from disclosure.plans.job import ConnectorSink, TableSink, run
 
 __all__ = ["ConnectorSink", "TableSink", "run"]

@@ -1,6 +1,6 @@
 """Incremental publishing: the report job over CSV files as they land.
 
-The batch job (:func:`disclosure.plans.pipeline.run`) re-reads the whole snapshot on every
+The batch job (:func:`disclosure.plans.job.run`) re-reads the whole snapshot on every
 refresh. When the source only ever *adds* files, the same report can be kept current with a
 Structured Streaming query instead:
 

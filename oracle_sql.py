@@ -385,8 +385,8 @@ def oracle_queries() -> dict[str, str]:
             f"CASE WHEN {k_rej} % 29 = 0 THEN NULL ELSE JobsReported END AS JobsReported FROM loans "
             f"WHERE ({k_rej} % 23 = 0 AND DateApproved IS NOT NULL) OR ({k_rej} % 29 = 0 AND JobsReported IS NOT NULL)"
         ),
-        "pipeline": csv_report_all,
-        "pipeline_rejects": _over_report(
+        "refresh_job": csv_report_all,
+        "refresh_job_rejects": _over_report(
             "SELECT * FROM report WHERE NOT ((CAST(LoanNumber AS BIGINT) % 23 = 0 AND DateApproved IS NOT NULL) "
             "OR (CAST(LoanNumber AS BIGINT) % 29 = 0 AND JobsReported IS NOT NULL))",
             src="csv_loans",

@@ -15,7 +15,7 @@ import __spark_entry__ as E  # noqa: E402
 from disclosure.plans.checks import plan_text  # noqa: E402
 from disclosure.session import build_session  # noqa: E402
 
-KEYS = ["loan_report", "search", "pipeline", "csv_rejects", "resolve_snapshot", "manifest", "fetch_plan",
+KEYS = ["loan_report", "search", "refresh_job", "csv_rejects", "resolve_snapshot", "manifest", "fetch_plan",
         "manifest_total", "fan_out", "stream_publish"]
 WIDTH = 160
 

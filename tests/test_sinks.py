@@ -10,7 +10,7 @@ SPARK_ERRORS = (PySparkException, Py4JJavaError)
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from disclosure.plans.pipeline import TableSink, run
+from disclosure.plans.job import TableSink, run
 from disclosure.sinks import tables as T
 
 
@@ -132,7 +132,7 @@ def test_run_rejects_duplicate_targets(spark):
 def test_connector_sink_appends_through_save(spark, nine, tmp_dir):
     import os
 
-    from disclosure.plans.pipeline import ConnectorSink
+    from disclosure.plans.job import ConnectorSink
 
     target = os.path.join(tmp_dir, "store")
     sink = ConnectorSink("parquet", {"path": target}, partitions=3)
