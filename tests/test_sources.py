@@ -98,10 +98,11 @@ def test_reordered_header_fails_instead_of_shifting(spark, tmp_dir):
     assert shifted["d"] is None  # the position-only reader loads the wrong cells
 
 
-def _tree(base):
-    """base/a.csv, base/B.CSV, base/notes.txt, base/2024/x.csv (old), base/2025/y.csv + z.json (new)."""
-    _write(base, "a.csv", ["id", "1"])
-    _write(base, "B.CSV", ["id", "2"])
+def _tree(base, direct: bool = True):
+    """[base/a.csv, base/B.CSV,] base/notes.txt, base/2024/x.csv (old), base/2025/y.csv + z.json (new)."""
+    if direct:
+        _write(base, "a.csv", ["id", "1"])
+        _write(base, "B.CSV", ["id", "2"])
     _write(base, "notes.txt", ["x"])
     old = _write(os.path.join(base, "2024"), "x.csv", ["id", "3"])
     new1 = _write(os.path.join(base, "2025"), "y.csv", ["id", "4"])
@@ -126,9 +127,7 @@ def test_listing_and_snapshot(spark, tmp_dir):
 
 def test_snapshot_falls_back_to_latest_subfolder(spark, tmp_dir):
     base = os.path.join(tmp_dir, "landing2")
-    _tree(base)
-    os.remove(os.path.join(base, "a.csv"))
-    os.remove(os.path.join(base, "B.CSV"))
+    _tree(base, direct=False)
     assert [os.path.basename(r.path) for r in resolve(list_tree(spark, base), base).collect()] == ["y.csv"]
     assert snapshot_glob(spark, base) == f"{base}/2025/*.[cC][sS][vV]"
 
@@ -166,10 +165,10 @@ def test_snapshot_glob(spark, tmp_dir):
     assert snapshot_glob(spark, base) == f"{base}/*.[cC][sS][vV]"
     got = sorted(r["id"] for r in spark.read.option("header", True).csv(snapshot_glob(spark, base)).collect())
     assert got == ["1", "2"]
-    os.remove(os.path.join(base, "a.csv"))
-    os.remove(os.path.join(base, "B.CSV"))
-    os.remove(os.path.join(base, ".hidden.csv"))
-    assert snapshot_glob(spark, base) == f"{base}/2025/*.[cC][sS][vV]"
+    nested = os.path.join(tmp_dir, "landing5")
+    _tree(nested, direct=False)
+    _write(nested, ".hidden.csv", ["id", "9"])  # hidden files do not count as direct CSV files
+    assert snapshot_glob(spark, nested) == f"{nested}/2025/*.[cC][sS][vV]"
     odd = os.path.join(tmp_dir, "we{ir}d[1]")
     _write(odd, "x.csv", ["id", "7"])
     assert [r["id"] for r in spark.read.option("header", True).csv(snapshot_glob(spark, odd)).collect()] == ["7"]
