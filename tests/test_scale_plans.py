@@ -85,3 +85,12 @@ def test_broadcast_only_within_the_bound(spark):
         assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set(conf, old)
+
+
+def test_session_settings_are_real_runtime_keys(spark):
+    from disclosure.session import SESSION_CONF
+
+    for key, value in SESSION_CONF.items():
+        if key.startswith("spark.sql."):
+            assert spark.conf.isModifiable(key), key
+            assert spark.conf.get(key) == value, key  # build_session applied it
