@@ -15,6 +15,7 @@ Refresh semantics:
 * :func:`create_if_missing` - creates an empty table from a schema; True if it did.
 * :func:`replace_table` - builds ``<table>__next``, checks its row count, then swaps names:
   readers see the old or the new table, never a half-written one (not a transaction).
+* :func:`connector_write` - an external store through its connector format's ``save()``.
 * :func:`fan_out` - one computation feeding several sinks.
 
 None of these shuffle unless ``partitions`` asks for a round-robin repartition before writing.
