@@ -487,14 +487,32 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _optional() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the optional subpackage and its pipeline; none when it isn't there."""
+    from importlib.util import find_spec
+
+    if find_spec("disclosure.llm") is None:
+        return {}, {}
+    from disclosure.llm.queries import ORACLES, QUERIES
+
+    queries, sql = dict(QUERIES), dict(ORACLES)
+    if find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        queries["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return queries, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: star-schema loans at sf0.001 -> report -> search box -> result cards."""
     return search_cards(_report(spark, SMOKE_DIR), SEARCH_Q)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _optional()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return O.oracle_queries()
+    return O.oracle_queries() | _optional()[1]
