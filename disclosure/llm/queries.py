@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, lengths
+from disclosure.llm import bpe, chat, lengths, mixing
 from disclosure.llm.stage import prepare, written
 from disclosure.sources.star import read_table
 
@@ -25,14 +26,71 @@ def op1_token_lengths(spark: SparkSession, sf: str) -> DataFrame:
     return lengths.suffix_sums(written(histogram, "lengths"))
 
 
+def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    tricky = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+    )
+    rows = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.digests(chat.format_conversations(chat.conversations(rows)))
+
+
 def op6_bpe(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     return bpe.round_trip(read_table(spark, sf, "documents").select("doc_id", "text"), vocabulary())
 
 
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
+    measured = written(
+        mixing.measure(docs).select(F.struct("doc.doc_id").alias("doc"), "source", "size", "place", "block"), "mix-measured"
+    )
+    allocated = mixing.allocate(measured, mixing.plan(measured, written=written))
+    return allocated.select(
+        "doc.doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.size("draws")).alias("taken"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_lengths": op1_token_lengths,
+    "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+# The same conversations in SQL. Escaping adds one backslash to a control string, so a formatted
+# conversation is as long as its texts, their control strings (one more each) and its markers.
+_CONTROLS = r"""([<\[])(\\*)(s>|/s>|INST\]|/INST\]|SYS\]|/SYS\]|ROLE\]|/ROLE\]|END\])"""
+OP5_SQL = rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), numbered AS (
+  SELECT *, row_number() OVER w - 1 AS pos, coalesce(lag(role) OVER w, '') AS state,
+    count(*) OVER (PARTITION BY conv_id) AS n,
+    length(regexp_replace(text, '{_CONTROLS}', '\', 'g')) AS text_chars,
+    length(regexp_replace(role, '{_CONTROLS}', '\', 'g')) AS role_chars
+  FROM given WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), judged AS (
+  SELECT *, CASE WHEN state || '>' || role NOT IN
+      ('>system', '>user', 'system>user', 'user>assistant', 'assistant>XX
+    WHEN pos = n - 1 AND role NOT IN ('user', 'assistant') THEN n END AS bad
+  FROM numbered
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(text_chars + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 8
+    ELSE role_chars + 21 END) AS BIGINT) AS formatted_chars,
+  min(bad) IS NULL AS valid, CAST(min(bad) AS INTEGER) AS bad_turn
+FROM judged GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op5_chat": OP5_SQL}
