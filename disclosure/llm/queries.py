@@ -79,7 +79,7 @@ WITH given AS (
   FROM given WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), judged AS (
   SELECT *, CASE WHEN state || '>' || role NOT IN
-      ('>system', '>user', 'system>user', 'user>assistant', 'assistant>XX
+      ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') THEN pos
     WHEN pos = n - 1 AND role NOT IN ('user', 'assistant') THEN n END AS bad
   FROM numbered
 )
