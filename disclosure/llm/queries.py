@@ -74,8 +74,8 @@ WITH given AS (
 ), numbered AS (
   SELECT *, row_number() OVER w - 1 AS pos, coalesce(lag(role) OVER w, '') AS state,
     count(*) OVER (PARTITION BY conv_id) AS n,
-    length(regexp_replace(text, '{_CONTROLS}', '\', 'g')) AS text_chars,
-    length(regexp_replace(role, '{_CONTROLS}', '\', 'g')) AS role_chars
+    length(regexp_replace(text, '{_CONTROLS}', '\1\\\2\3', 'g')) AS text_chars,
+    length(regexp_replace(role, '{_CONTROLS}', '\1\\\2\3', 'g')) AS role_chars
   FROM given WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), judged AS (
   SELECT *, CASE WHEN state || '>' || role NOT IN
