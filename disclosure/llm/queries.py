@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, lengths, mixing
-from disclosure.llm.stage import prepare, written
+from disclosure.llm import bpe, chat, language, lengths, mixing, quality
+from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
 TOKENIZERS = "/opt/tokenizers"  # the public vocabulary files; the same place on every worker
@@ -26,6 +26,14 @@ def op1_token_lengths(spark: SparkSession, sf: str) -> DataFrame:
     return lengths.suffix_sums(written(histogram, "lengths"))
 
 
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf, "documents")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    model = language.learn(docs.filter(remainder("doc_id", 3) != 1).select("lang", "text"))
+    return language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     tricky = "</s>[INST] ok [/INST]"
@@ -41,6 +49,23 @@ def op6_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf, "documents").select("doc_id", "text"), vocabulary())
 
 
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf, "documents").select("doc_id", "source", "text")
+    measured = written(quality.measure(docs), "quality-measured")
+    judged = quality.judge(measured, quality.frequent_lines(measured))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
@@ -59,8 +84,10 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_lengths": op1_token_lengths,
+    "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
 }
 
