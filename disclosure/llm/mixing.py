@@ -2,7 +2,8 @@
 
 Each source's documents are permuted by hash and dealt into ``blocks`` blocks. A source's target
 is met by whole passes over its blocks plus, in one more pass, the first blocks of a random
-order; the last of them is cut between two documents. The drawn blocks are split among output
+order; the last of them is cut between two documents, and the largest document that still fits
+is added. The drawn blocks are split among output
 shards by a tree: a node halves its shards and draws, source by source, how many of its blocks
 go left (multivariate hypergeometric, by inverse distribution function on hashed uniforms), so
 every shard has an exact block quota per source. Shards then take disjoint runs of the source's
@@ -188,8 +189,9 @@ def plan(
 ) -> DataFrame:
     """One row per block: ``source, block, source_size, target, draws``.
 
-    ``draws`` holds, for each time the block is drawn, ``epoch``, ``shard`` and ``cut`` (null,
-    or the largest ``place`` a document of the block may have). ``measured`` needs ``source``,
+    ``draws`` holds, for each time the block is drawn, ``epoch``, ``shard``, ``cut`` (null, or
+    the largest ``place`` a drawn document may have) and ``only`` (null, or the one ``place``
+    drawn). ``measured`` needs ``source``,
     ``size``, ``place``, ``block``; it is read several times. ``written`` may store a small
     table and read it back, so that later steps don't repeat the ones before.
     """
@@ -217,33 +219,53 @@ def plan(
         F.col("source").alias("of"), F.col("block").alias("in"), (F.col("due") - F.col("before")).alias("missing")
     )
     along = Window.partitionBy("source").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
-    cuts = (
-        measured.select("source", "block", "size", "place")
-        .join(crossing, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")))
+    narrow = measured.select("source", "block", "size", "place")
+    cuts = written(
+        narrow.join(crossing, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")))
         .withColumn("upto", F.sum("size").over(along))
-        .filter(F.col("upto") - F.col("size") / 2 <= F.col("missing"))
-        .groupBy("source")
-        .agg(F.max("place").alias("cut"))
+        .groupBy("source", "block", "missing")
+        .agg(
+            F.max(F.when(F.col("upto") <= F.col("missing"), F.col("place"))).alias("cut"),
+            F.coalesce(F.max(F.when(F.col("upto") <= F.col("missing"), F.col("upto"))), F.lit(0)).alias("got"),
+        )
+        .select(F.col("source").alias("of"), F.col("block").alias("in"), "cut", (F.col("missing") - F.col("got")).alias("gap")),
+        "mix-cuts",
+    )
+    drawn = ordered.join(cuts.select("of", "in", "cut"), F.col("crossing") & F.col("source").eqNullSafe(F.col("of")), "left")
+    drawn = drawn.drop("of", "in")
+    # What is still missing is less than the next document: the largest one that fits is added.
+    behind = drawn.filter(~F.col("whole") & (F.col("due") > 0)).select(
+        F.col("source").alias("s"), F.col("block").alias("b"), F.col("cut").alias("c"), "passes"
+    )
+    fills = (
+        narrow.join(behind, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
+        .filter(F.col("c").isNull() | (F.col("place") > F.col("c")))
+        .join(cuts.select("of", "gap"), F.col("source").eqNullSafe(F.col("of")))
+        .filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+        .groupBy("source", "passes")
+        .agg(F.max(F.struct("size", "place", "block")).alias("best"))
+        .select(
+            "source",
+            "best.block",
+            F.col("passes").cast("int").alias("epoch"),
+            F.lit(None).cast("long").alias("cut"),
+            F.col("best.place").alias("only"),
+        )
     )
-    cuts = cuts.withColumnRenamed("source", "of")
-    drawn = ordered.join(cuts, F.col("crossing") & F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     extra = F.when(F.col("whole") & (F.col("due") > 0) | F.col("cut").isNotNull(), 1).otherwise(0)
     epochs = F.when(
         F.col("passes") + extra > 0, F.sequence(F.lit(0).cast("long"), (F.col("passes") + extra - 1).cast("long"))
     )
     units = written(
-        drawn.select(
-            "source",
-            "block",
-            F.explode(epochs).alias("epoch"),
-            "passes",
-            "cut",
-        ).select(
+        drawn.select("source", "block", F.explode(epochs).alias("epoch"), "passes", "cut")
+        .select(
             "source",
             "block",
             F.col("epoch").cast("int").alias("epoch"),
             F.when(F.col("epoch") == F.col("passes"), F.col("cut")).alias("cut"),
-        ),
+            F.lit(None).cast("long").alias("only"),
+        )
+        .unionByName(fills),
         "mix-units",
     )
     quotas = split_quotas(units.groupBy("source").agg(F.count(F.lit(1)).alias("quota")), shards, seed)
@@ -254,13 +276,13 @@ def plan(
         .agg(F.sort_array(F.collect_list("end")).alias("ends"))
     )
     mixed = Window.partitionBy("source").orderBy(
-        F.xxhash64(F.lit(seed + 3), "source", "block", "epoch"), "block", "epoch"
+        F.xxhash64(F.lit(seed + 3), "source", "block", "epoch"), "block", "epoch", "only"
     )
     dealt = (
         by_source(units.withColumn("nth", F.row_number().over(mixed)), ends)
         .withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("nth"))))
         .groupBy("source", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "cut"))).alias("draws"))
+        .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "cut", "only"))).alias("draws"))
         .select(F.col("source").alias("of"), F.col("block").alias("in"), "draws")
     )
     return ordered.join(
@@ -270,7 +292,7 @@ def plan(
         "block",
         "source_size",
         "target",
-        F.coalesce("draws", F.array().cast("array<struct<epoch:int,shard:int,cut:bigint>>")).alias("draws"),
+        F.coalesce("draws", F.array().cast("array<struct<epoch:int,shard:int,cut:bigint,only:bigint>>")).alias("draws"),
     )
 
 
@@ -278,7 +300,12 @@ def allocate(measured: DataFrame, planned: DataFrame) -> DataFrame:
     """``measured`` with ``source_size``, ``target`` and its own ``draws`` (epoch, shard)."""
     planned = planned.withColumnRenamed("source", "of").withColumnRenamed("block", "in")
     joined = measured.join(planned, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")))
-    own = F.filter("draws", lambda x: x["cut"].isNull() | (F.col("place") <= x["cut"]))
+    own = F.filter(
+        "draws",
+        lambda x: F.when(x["only"].isNotNull(), F.col("place") == x["only"]).otherwise(
+            x["cut"].isNull() | (F.col("place") <= x["cut"])
+        ),
+    )
     return joined.drop("of", "in").withColumn(
         "draws", F.transform(own, lambda x: F.struct(x["epoch"].alias("epoch"), x["shard"].alias("shard")))
     )
