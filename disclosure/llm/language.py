@@ -40,7 +40,7 @@ UNKNOWN = "und"
 _FOLD: list[np.ndarray] = []
 
 
-def _fold() -> np.ndarray:
+def fold_table() -> np.ndarray:
     """Lower-case code point of every letter, 0 for anything else."""
     if not _FOLD:
         table = np.zeros(0x110000, dtype=np.uint32)
@@ -65,7 +65,7 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # One border before every text and one at the end of all.
     folded = np.zeros(len(points) + n + 1, dtype=np.int64)
     shift = np.repeat(np.arange(1, n + 1), np.diff(starts))
-    folded[np.arange(len(points)) + shift] = _fold()[points]
+    folded[np.arange(len(points)) + shift] = fold_table()[points]
     middle = np.flatnonzero(folded)
     codes = (folded[middle - 1] << 42) | (folded[middle] << 21) | folded[middle + 1]
     rows = np.searchsorted(starts + np.arange(n + 1), middle, "right") - 1

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, language, lengths, mixing, quality
+from disclosure.llm import bpe, chat, language, lengths, mixing, quality, toxicity
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -82,6 +82,15 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(docs, labels.filter(remainder("doc_id", 4) != 2))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_lengths": op1_token_lengths,
     "op4_language": op4_language,
@@ -89,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 # The same conversations in SQL. Escaping adds one backslash to a control string, so a formatted
