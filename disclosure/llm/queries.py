@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, language, lengths, mixing, quality, toxicity
+from disclosure.llm import bpe, chat, language, lengths, mixing, neardup, quality, toxicity
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -26,6 +26,11 @@ def op1_token_lengths(spark: SparkSession, sf: str) -> DataFrame:
     return lengths.suffix_sums(written(histogram, "lengths"))
 
 
+def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    return neardup.near_duplicates(read_table(spark, sf, "documents").select("doc_id", "text"), size=2)
+
+
 def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     docs = read_table(spark, sf, "documents")
@@ -93,6 +98,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_lengths": op1_token_lengths,
+    "op2_minhash": op2_minhash,
     "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
