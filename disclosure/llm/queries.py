@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, language, lengths, mixing, neardup, quality, toxicity
+from disclosure.llm import bpe, chat, language, lengths, mixing, neardup, quality, substring, toxicity
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -31,6 +31,11 @@ def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf, "documents").select("doc_id", "text"), size=2)
 
 
+def op3_substring(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    return substring.digests(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     docs = read_table(spark, sf, "documents")
@@ -99,6 +104,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_lengths": op1_token_lengths,
     "op2_minhash": op2_minhash,
+    "op3_substring": op3_substring,
     "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
@@ -136,4 +142,26 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM judged GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op5_chat": OP5_SQL}
+OP3_SQL = r"""
+WITH given AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), phrases AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS p
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM given)
+), firsts AS (
+  SELECT p, min(doc_id) AS ref FROM phrases GROUP BY p
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM phrases JOIN firsts USING (p) WHERE doc_id > ref
+), lost AS (
+  SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM given) ANTI JOIN gone USING (doc_id, j)
+  GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM given LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_substring": OP3_SQL, "op5_chat": OP5_SQL}
