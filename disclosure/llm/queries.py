@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, language, lengths, mixing, neardup, quality, substring, toxicity
+from disclosure.llm import bpe, chat, language, lengths, mixing, neardup, neighbours, quality, substring, toxicity
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -59,6 +59,11 @@ def op6_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf, "documents").select("doc_id", "text"), vocabulary())
 
 
+def op7_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    return neighbours.neighbours(read_table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     docs = read_table(spark, sf, "documents").select("doc_id", "source", "text")
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
+    "op7_neighbours": op7_neighbours,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
