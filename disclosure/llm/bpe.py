@@ -434,11 +434,11 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     return _mapped(docs, [("decoded", T.StringType())], work, ids, sliced=False)
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``n_tokens`` and digests of the ids and of their decoding.
+def round_trip(docs: DataFrame, path: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """``docs`` without the text, with ``n_tokens`` and digests of the ids and of their decoding
+    (and ``token_ids`` themselves, if asked for).
 
-    The ids are encoded and decoded as :func:`encode` and :func:`decode` do, in one pass, so
-    that neither leaves the task.
+    The ids are encoded and decoded as :func:`encode` and :func:`decode` do, in one pass.
     """
 
     def work(column: pa.Array) -> list[pa.Array]:
@@ -450,7 +450,9 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             at += n
             digests.append(hashlib.sha256(b",".join(map(vocab.ascii.__getitem__, ids))).hexdigest())
             decoded.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())
-        return [pa.array(counts), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+        out = [pa.array(counts), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+        return [lists(flat, counts), *out] if with_ids else out
 
-    added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    added: list[tuple[str, T.DataType]] = [("token_ids", T.ArrayType(T.IntegerType()))] if with_ids else []
+    added += [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
     return _mapped(docs, added, work, text).drop(text)

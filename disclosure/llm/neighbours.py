@@ -137,15 +137,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
-    # Scaled first, so that squares of very large or small components stay finite.
-    scaled = matrix / np.abs(matrix).max(axis=1, keepdims=True) if len(matrix) else matrix
-    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True) if len(matrix) else matrix
+    if not len(matrix):
+        return matrix
+    scaled = _scaled(matrix)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two (which rounds nothing), so that squares stay finite."""
+    return np.ldexp(matrix, -np.frexp(np.abs(matrix).max(axis=1, keepdims=True))[1])
 
 
 def cosines(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Cosine of every pair, each summed in the same order, so that equal vectors tie exactly."""
-    a = queries / np.abs(queries).max(axis=1, keepdims=True)
-    b = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    a, b = _scaled(queries), _scaled(vectors)
     norms = [np.sqrt(np.einsum("ij,ij->i", x, x)) for x in (a, b)]
     return np.clip(np.einsum("ij,kj->ik", a, b) / (norms[0][:, None] * norms[1][None, :]), -1.0, 1.0)
 
