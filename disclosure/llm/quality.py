@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from disclosure.llm.text import IS_SPACE, Words, blocks, lists, signed, span_hashes
+from disclosure.llm.text import IS_SPACE, Words, blocks, lists, signed, span_hashes, utf8
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -71,9 +71,9 @@ def _lines(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     breaks = np.flatnonzero(words.data == 10)
     starts = np.unique(np.concatenate([words.offsets[:-1], breaks + 1]))
     starts = starts[starts < len(words.data)]
-    ends = np.minimum(np.append(starts[1:], len(words.data)), len(words.data))
+    ends = np.append(starts, len(words.data))[1:]
     # A line ends before its line break; the last line of a text has none.
-    ends -= (words.data[ends - 1] == 10) if len(ends) else 0
+    ends -= words.data[ends - 1] == 10
     first = np.searchsorted(words.starts, np.append(starts, len(words.data)))
     held = np.flatnonzero(first[1:] > first[:-1])
     rows = np.searchsorted(words.offsets, starts[held], "right") - 1
@@ -148,13 +148,13 @@ def judge(
 ) -> DataFrame:
     """``measured`` with ``removed_lines`` (keys), ``words_left``, ``base_failed`` and ``kept``."""
     key = F.xxhash64(F.col(row_key), F.col(host), F.col("text_key"))
-    held = measured.select(key.alias("k"), F.col(host).alias("in"), F.explode("line_keys").alias("of"))
+    held = measured.select(key.alias("quality_row"), F.col(host).alias("in"), F.explode("line_keys").alias("of"))
     hits = (
         held.join(frequent, F.col("in").eqNullSafe(F.col("host")) & (F.col("of") == F.col("line_key")))
-        .groupBy("k")
-        .agg(F.collect_set("line_key").alias("hits"))
+        .groupBy("quality_row")
+        .agg(F.collect_set("line_key").alias("quality_hits"))
     )
-    removed = F.coalesce("hits", F.array().cast("array<bigint>"))
+    removed = F.coalesce("quality_hits", F.array().cast("array<bigint>"))
     lost = F.aggregate(
         F.zip_with("line_keys", "line_words", lambda x, n: F.when(F.array_contains("removed_lines", x), n).otherwise(0)),
         F.lit(0).cast("long"),
@@ -164,10 +164,10 @@ def judge(
         F.lit(100) * F.col("n_repeat_words") > F.lit(round(100 * MAX_REPEAT_SHARE)) * F.col("n_words")
     )
     return (
-        measured.withColumn("row_key_", key)
-        .join(hits, F.col("row_key_") == F.col("k"), "left")
+        measured.withColumn("quality_key", key)
+        .join(hits, F.col("quality_key") == F.col("quality_row"), "left")
         .withColumn("removed_lines", removed)
-        .drop("k", "hits", "row_key_")
+        .drop("quality_row", "quality_hits", "quality_key")
         .withColumn("words_left", F.col("n_words") - lost)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("words_left") >= F.col("n_words") * min_left))
@@ -184,7 +184,7 @@ def without_lines(docs: DataFrame, text: str = "text", removed: str = "removed_l
             starts, ends, rows, first = _lines(words)
             keys = span_hashes(words.hashes(), first[:-1], first[1:]).view(np.int64)
             gone = [set(x or ()) for x in batch.column(removed).to_pylist()]
-            raw = utf8_bytes(column)
+            raw = utf8(column)[0].tobytes()
             cuts: list[list[tuple[int, int]]] = [[] for _ in gone]
             for i, j, row, key in zip(starts.tolist(), ends.tolist(), rows.tolist(), keys.tolist()):
                 if key in gone[row]:
@@ -201,7 +201,3 @@ def without_lines(docs: DataFrame, text: str = "text", removed: str = "removed_l
             yield batch.set_column(place, text, pa.array(texts, pa.string()))
 
     return docs.mapInArrow(run, docs.schema)
-
-
-def utf8_bytes(column: pa.Array) -> bytes:
-    return Words(column).data.tobytes()

@@ -168,7 +168,8 @@ def repeats(docs: DataFrame, size: int = PHRASE, key: str = "doc_id", text: str
     of_id = of_doc.join(firsts.select(F.col("a").alias("doc"), F.col("ref").alias("id")), "doc")
     of_id = written(of_id.groupBy("id").agg(F.flatten(F.collect_list("anchors")).alias("anchors")), "anchored")
 
-    texts = _narrow(docs, key, text).join(of_id, F.col(key) == F.col("id")).drop("id")
+    of_id = of_id.withColumnRenamed("id", "anchored_id")
+    texts = _narrow(docs, key, text).join(of_id, F.col(key) == F.col("anchored_id"))
     found_phrases = written(phrases(texts, size, key, text), "phrases")
     index = (
         found_phrases.groupBy("h", "g")
@@ -199,8 +200,8 @@ class _Parse:
         n = batch.num_rows
         hashes = words.hashes()
         own, _ = _documents(words, hashes)
-        copied, key = _listed(batch.column("whole"), "a")
-        _, ref = _listed(batch.column("whole"), "ref")
+        copied, key = _listed(batch.column("repeat_whole"), "a")
+        _, ref = _listed(batch.column("repeat_whole"), "ref")
         hit = own[copied].view(np.int64) == key
         self.copy_of = np.full(n, -1, dtype=np.int64)
         self.copy_of[copied[hit]] = ref[hit]
@@ -208,7 +209,7 @@ class _Parse:
         is_copy[copied[hit]] = True
         self.is_copy = is_copy & (words.counts >= size)
 
-        rows, known = _listed(batch.column("marks"), "h")
+        rows, known = _listed(batch.column("repeat_marks"), "h")
         keys = _row_keys(rows, known)
         order = np.argsort(keys)
         at, found = words.windows(hashes, size)
@@ -217,8 +218,8 @@ class _Parse:
         ok = keys[order][place] == mine if len(keys) else np.zeros(len(at), dtype=bool)
         ok &= ~self.is_copy[words.rows[at]]
         at, place = at[ok], order[place[ok]] if len(keys) else place[:0]
-        ref = _listed(batch.column("marks"), "ref")[1][place]
-        pos = _listed(batch.column("marks"), "pos")[1][place]
+        ref = _listed(batch.column("repeat_marks"), "ref")[1][place]
+        pos = _listed(batch.column("repeat_marks"), "pos")[1][place]
         # A factor goes on while the next word's phrase is the next one of the same reference.
         new = np.ones(len(at), dtype=bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (ref[1:] != ref[:-1]) | (pos[1:] != pos[:-1] + 1)
@@ -271,7 +272,8 @@ class _Parse:
 
 
 def _marked(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    return docs.join(found, F.col(key) == F.col("id"), "left").drop("id")
+    names = {"id": "repeat_id", "marks": "repeat_marks", "whole": "repeat_whole"}
+    return docs.join(found.withColumnsRenamed(names), F.col(key) == F.col("repeat_id"), "left").drop("repeat_id")
 
 
 _FACTORS = T.ArrayType(
@@ -290,10 +292,10 @@ def without_repeats(docs: DataFrame, size: int = PHRASE, key: str = "doc_id", te
     """``docs`` with repeated words cut out of the text, and ``n_words``, ``n_removed`` (words
     before, and removed) and ``factors`` (start, words, reference document and its start).
 
-    Own columns of those names, and ``id``, ``marks`` or ``whole``, are replaced.
+    Own columns of those names, or named ``repeat_*`` as the marks are, are replaced.
     """
     added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("factors", _FACTORS)]
-    hidden = {"id", "marks", "whole", *(name for name, _ in added)}
+    hidden = {"repeat_id", "repeat_marks", "repeat_whole", *(name for name, _ in added)}
     plain = docs.select(*[c for c in docs.columns if c not in hidden])
     schema = T.StructType(plain.schema.fields + [T.StructField(name, kind) for name, kind in added])
     names = plain.columns
