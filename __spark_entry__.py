@@ -25,13 +25,13 @@ import oracle_sql as O  # noqa: E402
 from disclosure.functions import display as D  # noqa: E402
 from disclosure.operators.report import loan_report  # noqa: E402
 from disclosure.operators.search import detail, search, search_cards  # noqa: E402
-from disclosure.plans.job import TableSink, run  # noqa: E402
+from disclosure.plans.job import ConnectorSink, TableSink, run  # noqa: E402
 from disclosure.schema import DATE_COLUMNS, LOAN_FIELDS, PROCEEDS, SOURCE_DATE_FORMAT  # noqa: E402
 from disclosure.session import scratch_path  # noqa: E402
 from disclosure.sinks import tables  # noqa: E402
 from disclosure.sources import derived, listing  # noqa: E402
 from disclosure.sources import manifest as M  # noqa: E402
-from disclosure.sources.csv import read_loans, read_loans_with_rejects, write_loans_csv  # noqa: E402
+from disclosure.sources.csv import limit_rows, read_loans, read_loans_with_rejects, write_loans_csv  # noqa: E402
 from disclosure.sources.star import loans_from_star, read_table  # noqa: E402
 from disclosure.streaming import publish_available  # noqa: E402
 
@@ -47,8 +47,31 @@ TOP_N = 3
 # ---------------------------------------------------------------- helpers
 
 
+def _spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table, round-robined over the cores when its scan has fewer splits than that.
+
+    The driver's small tables are one Parquet row group each, so one task would do all the work.
+    Tables with many splits are read as they are; the package itself never does this.
+    """
+    df = read_table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _loans(spark: SparkSession, sf: str) -> DataFrame:
+    return loans_from_star(spark, sf, read=_spread)
+
+
+def _events(spark: SparkSession, sf: str, with_direct: bool) -> DataFrame:
+    return derived.event_inventory(spark, sf, with_direct=with_direct, read=_spread)
+
+
+def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+    return derived.catalog_from_documents(spark, sf, read=_spread)
+
+
 def _report(spark: SparkSession, sf: str) -> DataFrame:
-    return loan_report(loans_from_star(spark, sf))
+    return loan_report(_loans(spark, sf))
 
 
 def _loan_cols(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
@@ -58,7 +81,7 @@ def _loan_cols(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
 
 def _write_loans(spark: SparkSession, sf: str, label: str, where=None) -> str:
     path = scratch_path(spark, label)
-    loans = loans_from_star(spark, sf)
+    loans = _loans(spark, sf)
     write_loans_csv(loans.filter(where) if where is not None else loans, path)
     return path
 
@@ -104,7 +127,17 @@ def q_row_count(spark, sf):
 
 
 def q_row_limit(spark, sf):
-    return loan_report(loans_from_star(spark, sf).limit(ROW_LIMIT)).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Any ``ROW_LIMIT`` rows: how many came, and how many of them are whole rows of the report."""
+    sample = loan_report(limit_rows(_loans(spark, sf), ROW_LIMIT))
+    whole = _report(spark, sf).withColumn("in_report", F.lit(1))
+    same = F.lit(True)
+    for c in sample.columns:
+        same &= F.col(f"s.{c}").eqNullSafe(F.col(f"w.{c}"))
+    return (
+        sample.alias("s")
+        .join(whole.alias("w"), same, "left")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count("in_report").alias("n_in_report"))
+    )
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -182,7 +215,7 @@ def q_location(spark, sf):
 
 
 def q_zip5(spark, sf):
-    loans = loans_from_star(spark, sf)
+    loans = _loans(spark, sf)
     return loans.select("LoanNumber", D.zip5("ProjectZip", "BorrowerZip").alias("zip5"))
 
 
@@ -276,25 +309,64 @@ def _malformed_text(loans: DataFrame) -> DataFrame:
 
 def q_csv_rejects(spark, sf):
     path = scratch_path(spark, "csv-rejects")
-    write_loans_csv(_malformed_text(loans_from_star(spark, sf)), path)
-    _, rejects = read_loans_with_rejects(spark, _csv_files(spark, path))
-    return rejects.select("LoanNumber", "DateApproved", "JobsReported")
+    write_loans_csv(_malformed_text(_loans(spark, sf)), path)
+    parsed = read_loans_with_rejects(spark, _csv_files(spark, path))
+    return parsed.rejects.select("LoanNumber", "DateApproved", "JobsReported")
+
+
+def q_csv_permissive(spark, sf):
+    """Malformed CSV through the plain reader: bad cells are null, every row stays."""
+    path = scratch_path(spark, "csv-permissive")
+    write_loans_csv(_malformed_text(_loans(spark, sf)), path)
+    return read_loans(spark, _csv_files(spark, path))
 
 
 def q_refresh_job(spark, sf):
     base = scratch_path(spark, "landing")
-    loans = loans_from_star(spark, sf)
+    loans = _loans(spark, sf)
     write_loans_csv(loans.filter(F.col("ProcessingMethod") == "PPP"), f"{base}/20240101")
     write_loans_csv(loans, f"{base}/20240102")
     return run(spark, base)
 
 
 def q_refresh_job_rejects(spark, sf):
-    """The job over malformed CSV: rejected lines go to their own table, the report has the rest."""
+    """The job over malformed CSV: every line is in the report, the bad lines also in the rejects;
+    both tables read back."""
     base = scratch_path(spark, "landing-rejects")
-    write_loans_csv(_malformed_text(loans_from_star(spark, sf)), f"{base}/20240102")
-    t = _table("rejects")
-    return run(spark, base, rejects=TableSink(t, path=_sink_path(spark, t)))
+    write_loans_csv(_malformed_text(_loans(spark, sf)), f"{base}/20240102")
+    t, r = _table("report"), _table("rejects")
+    report = run(
+        spark, base, sinks=[TableSink(t, path=_sink_path(spark, t))], rejects=TableSink(r, path=_sink_path(spark, r))
+    )
+    columns = ["LoanNumber", "DateApproved", "DateApproved_Display", "JobsReported_Display"]
+    nothing = F.lit(None).cast("string")
+    rejected = spark.table(r).select(
+        "LoanNumber", "DateApproved", nothing.alias("DateApproved_Display"), nothing.alias("JobsReported_Display")
+    )
+    return (
+        report.select(F.lit("report").alias("kind"), *columns)
+        .unionByName(rejected.select(F.lit("reject").alias("kind"), *columns))
+    )
+
+
+def q_refresh_job_sinks(spark, sf):
+    """CSV to the report to two sinks, end to end: a full refresh and a clear-and-append over old
+    rows; both tables read back."""
+    base = scratch_path(spark, "landing-sinks")
+    loans = _loans(spark, sf)
+    write_loans_csv(loans.filter(F.col("ProcessingMethod") == "PPP"), f"{base}/20240101")
+    a, b = _table("job_a"), _table("job_b")
+    sinks = [
+        TableSink(a, path=_sink_path(spark, a)),
+        TableSink(b, mode="clear_and_append", path=_sink_path(spark, b)),
+    ]
+    run(spark, base, sinks=sinks)
+    write_loans_csv(loans, f"{base}/20240102")
+    run(spark, base, sinks=sinks)
+    return (
+        spark.table(a).withColumn("sink", F.lit("overwrite"))
+        .unionByName(spark.table(b).withColumn("sink", F.lit("clear_and_append")))
+    )
 
 
 def q_stream_publish(spark, sf):
@@ -302,7 +374,7 @@ def q_stream_publish(spark, sf):
     landing = scratch_path(spark, "stream-landing")
     output = scratch_path(spark, "stream-report")
     checkpoint = scratch_path(spark, "stream-checkpoint")
-    loans = loans_from_star(spark, sf)
+    loans = _loans(spark, sf)
     first = F.col("ProcessingMethod") == "PPP"
     write_loans_csv(loans.filter(first), landing)
     publish_available(spark, landing, output, checkpoint)
@@ -314,39 +386,51 @@ def q_stream_publish(spark, sf):
 
 
 def q_list_files(spark, sf):
-    return listing.direct_csv_files(derived.event_inventory(spark, sf, with_direct=True), derived.LANDING)
+    return listing.direct_csv_files(_events(spark, sf, True), derived.LANDING)
 
 
 def q_subfolder_times(spark, sf):
-    return listing.subfolder_times(derived.event_inventory(spark, sf, with_direct=True), derived.LANDING)
+    return listing.subfolder_times(_events(spark, sf, True), derived.LANDING)
 
 
 def q_latest_snapshot(spark, sf):
-    return listing.latest_subfolder(derived.event_inventory(spark, sf, with_direct=True), derived.LANDING)
+    return listing.latest_subfolder(_events(spark, sf, True), derived.LANDING)
 
 
 def q_resolve_snapshot(spark, sf):
-    return listing.resolve(derived.event_inventory(spark, sf, with_direct=False), derived.LANDING)
+    return listing.resolve(_events(spark, sf, False), derived.LANDING)
+
+
+def q_resolve_snapshot_direct(spark, sf):
+    """The base's own CSV files win over newer subfolders."""
+    return listing.resolve(_events(spark, sf, True), derived.LANDING)
+
+
+def q_resolve_snapshot_file(spark, sf):
+    """A source that is one CSV file (the first one of the base): that file of the listing."""
+    files = _events(spark, sf, True)
+    first = listing.direct_csv_files(files, derived.LANDING).agg(F.min("path")).first()[0]
+    return listing.resolve(files, first)
 
 
 # ---------------------------------------------------------------- manifests and fetch planning
 
 
 def q_manifest(spark, sf):
-    return M.manifest(derived.catalog_from_documents(spark, sf))
+    return M.manifest(_catalog(spark, sf))
 
 
 def q_manifest_top_n(spark, sf):
-    return M.manifest(derived.catalog_from_documents(spark, sf), limit=TOP_N)
+    return M.manifest(_catalog(spark, sf), limit=TOP_N)
 
 
 def q_manifest_total(spark, sf):
-    return M.totals(M.manifest(derived.catalog_from_documents(spark, sf)))
+    return M.totals(M.manifest(_catalog(spark, sf)))
 
 
 def q_fetch_plan(spark, sf):
-    entries = M.manifest(derived.catalog_from_documents(spark, sf))
-    return M.fetch_plan(entries, derived.document_inventory(spark, sf))
+    entries = M.manifest(_catalog(spark, sf))
+    return M.fetch_plan(entries, derived.document_inventory(spark, sf, read=_spread), derived.DOWNLOADS)
 
 
 def q_fetch_failures(spark, sf):
@@ -357,16 +441,6 @@ def q_failed_files(spark, sf):
     return M.failed_entries(derived.label_outcomes(spark, sf))
 
 
-def q_download(spark, sf):
-    """Every document's text served as a file, listed in catalog documents, downloaded by tasks."""
-    from disclosure.sources.fetch import download
-
-    resources = derived.document_files(spark, sf, scratch_path(spark, "remote"))
-    catalog = M.catalog_documents(resources, ["block"], "doc_id")
-    outcomes = download(catalog.withColumnRenamed("block", "dataset"), scratch_path(spark, "downloads"), formats=["TXT"])
-    return outcomes.select("name", "bytes", "error")
-
-
 # ---------------------------------------------------------------- sinks
 
 
@@ -377,7 +451,7 @@ def _sink_path(spark, table: str) -> str:
 def q_overwrite_table(spark, sf):
     t = _table("overwrite")
     path = _sink_path(spark, t)
-    tables.overwrite_table(loans_from_star(spark, sf).select("LoanNumber", "BorrowerName"), t, path=path)
+    tables.overwrite_table(_loans(spark, sf).select("LoanNumber", "BorrowerName"), t, path=path)
     tables.overwrite_table(_report(spark, sf), t, path=path)
     return spark.table(t)
 
@@ -391,6 +465,16 @@ def q_append_table(spark, sf):
     return spark.table(t)
 
 
+def q_connector_append(spark, sf):
+    """Two appends through a connector format's writer (Parquet stands for the connector)."""
+    path = scratch_path(spark, "connector")
+    sink = ConnectorSink("parquet", {"path": path}, partitions=4)
+    report = _report(spark, sf)
+    sink(report)
+    sink(report)
+    return spark.read.parquet(path)
+
+
 def q_clear_and_append(spark, sf):
     t = _table("refresh")
     path = _sink_path(spark, t)
@@ -404,15 +488,15 @@ def q_create_if_missing(spark, sf):
     t = _table("create")
     path = _sink_path(spark, t)
     report = _report(spark, sf)
-    tables.create_if_missing(spark, t, report.schema, path=path, store_types=True)
-    tables.create_if_missing(spark, t, report.schema, path=path, store_types=True)
+    tables.create_if_missing(spark, t, report.schema, path=path)
+    tables.create_if_missing(spark, t, report.schema, path=path)
     tables.append_table(report, t, path=path)
     return spark.table(t)
 
 
 def q_replace_table(spark, sf):
     t = _table("replace")
-    tables.overwrite_table(loans_from_star(spark, sf).select("LoanNumber"), t, path=_sink_path(spark, t))
+    tables.overwrite_table(_loans(spark, sf).select("LoanNumber"), t, path=_sink_path(spark, t))
     tables.replace_table(_report(spark, sf), t, path=_sink_path(spark, t + "__next"))
     return spark.table(t)
 
@@ -464,22 +548,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "csv_multi_scan": q_csv_multi_scan,
     "csv_rejects": q_csv_rejects,
+    "csv_permissive": q_csv_permissive,
     "refresh_job": q_refresh_job,
     "refresh_job_rejects": q_refresh_job_rejects,
+    "refresh_job_sinks": q_refresh_job_sinks,
     "stream_publish": q_stream_publish,
     "list_files": q_list_files,
     "subfolder_times": q_subfolder_times,
     "latest_snapshot": q_latest_snapshot,
     "resolve_snapshot": q_resolve_snapshot,
+    "resolve_snapshot_direct": q_resolve_snapshot_direct,
+    "resolve_snapshot_file": q_resolve_snapshot_file,
     "manifest": q_manifest,
     "manifest_top_n": q_manifest_top_n,
     "manifest_total": q_manifest_total,
     "fetch_plan": q_fetch_plan,
     "fetch_failures": q_fetch_failures,
     "failed_files": q_failed_files,
-    "download": q_download,
     "overwrite_table": q_overwrite_table,
     "append_table": q_append_table,
+    "connector_append": q_connector_append,
     "clear_and_append": q_clear_and_append,
     "create_if_missing": q_create_if_missing,
     "replace_table": q_replace_table,

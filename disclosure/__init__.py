@@ -4,7 +4,7 @@ Subpackages:
 
 * ``functions`` - column-expression builders (display text, currency, AP dates, search text).
 * ``sources``   - explicit-schema CSV scan with rejects, file listings, snapshot choice,
-                  catalog manifests, fetch planning and the download job, and the inputs
+                  catalog manifests and fetch planning, and the inputs
                   derived from the test tables.
 * ``operators`` - the report projection and the search / card / detail operators.
 * ``sinks``     - full-refresh, append, clear-then-append and create-if-missing table writers.

@@ -6,9 +6,8 @@
         --source s3a://bucket/loans/ --table loans_report --table loans_store:clear_and_append \\
         --rejects loans_rejects
 
-With ``--catalog docs.json --download-to /mnt/shared/loans`` the files the catalog lists are
-downloaded first (a Spark job; present files of the right size are skipped) and that folder is
-the source. ``--table NAME[:MODE]`` may repeat (modes: overwrite, append, clear_and_append); with no table
+With ``--catalog docs.json`` only the files that the catalog lists are read from the source
+folder, all of which must be there. ``--table NAME[:MODE]`` may repeat (modes: overwrite, append, clear_and_append); with no table
 the report is computed and counted only. The session is the one ``spark-submit`` configures,
 plus :data:`disclosure.session.SESSION_CONF` for keys it leaves unset.
 """
@@ -18,8 +17,11 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from disclosure.plans.job import ConnectorSink, TableSink, run
 from disclosure.session import SESSION_CONF
+from disclosure.sources import manifest as M
 
 
 def _sink(spec: str, fmt: str, options: dict) -> TableSink:
@@ -30,9 +32,8 @@ def _sink(spec: str, fmt: str, options: dict) -> TableSink:
 def main(argv: list[str] | None = None, spark=None) -> int:
     p = argparse.ArgumentParser(prog="disclosure", description=__doc__.split("\n\n")[0])
     p.add_argument("--source", help="a .csv file, or a folder (snapshot chosen by listing)")
-    p.add_argument("--catalog", help="catalog lookup URL, or catalog JSON file(s), to download from first")
-    p.add_argument("--download-to", help="shared folder for the downloaded files (then the source)")
-    p.add_argument("--file-limit", type=int, help="download only the first N entries per document")
+    p.add_argument("--catalog", help="catalog JSON file(s): read only the files they list from the source folder")
+    p.add_argument("--file-limit", type=int, help="read only the first N entries per catalog document")
     p.add_argument("--table", action="append", default=[], help="NAME[:MODE] target table, repeatable")
     p.add_argument("--rejects", help="table for malformed source lines")
     p.add_argument("--format", default="parquet", help="table format (parquet, delta, a connector)")
@@ -61,19 +62,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             if key.startswith("spark.sql.") and not submitted.contains(key):
                 spark.conf.set(key, value)
     source, listed = args.source, None
-    if args.catalog:
-        if not args.download_to:
-            p.error("--catalog needs --download-to")
-        from disclosure.sources import manifest as M
-        from disclosure.sources.fetch import download, read_catalog
-
-        catalog = read_catalog(spark, args.catalog)
-        download(catalog, args.download_to, limit=args.file_limit)
-        if not source:  # read exactly the files this catalog lists, not older ones in the folder
-            source = args.download_to
-            listed = M.manifest(catalog, limit=args.file_limit)
     if not source:
-        p.error("give --source, or --catalog with --download-to")
+        p.error("give --source")
+    if args.catalog:
+        documents = spark.read.text(args.catalog, wholetext=True)
+        documents = documents.select(F.input_file_name().alias("dataset"), F.col("value").alias("doc"))
+        listed = M.manifest(documents, limit=args.file_limit)
     if args.explain:
         run(spark, source, row_limit=args.row_limit, manifest=listed, escape=args.escape).explain(mode="formatted")
         return 0

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from disclosure.operators.report import loan_report
 from disclosure.sinks import tables
-from disclosure.sources.csv import read_loans, read_loans_with_rejects
-from disclosure.sources.listing import manifest_glob, snapshot_glob
+from disclosure.sources.csv import limit_rows, read_loans, read_loans_with_rejects
+from disclosure.sources.listing import manifest_files, snapshot_glob
 
 
 @dataclass(frozen=True)
@@ -105,14 +105,16 @@ def run(
 
     With ``manifest`` (catalog entries, e.g. from :func:`disclosure.sources.manifest.manifest`),
     only the files it names are read from the ``source`` folder, so files of an older
-    generation left in the folder are not loaded a second time.
+    generation left in the folder are not loaded a second time. A named file that is not there
+    is an error.
 
-    With ``rejects``, malformed source lines (with their raw text) are written to that table
-    and left out of the report; the parse then runs once, staged (see
-    :func:`disclosure.sources.csv.read_loans_with_rejects`).
+    With ``rejects``, malformed source lines (with their raw text) are also written to that
+    table; the report has every line, with the bad cells null. The parse then runs once, staged
+    (see :func:`disclosure.sources.csv.read_loans_with_rejects`), and the staged copy is removed
+    when all sinks have run.
 
-    Returns the report the sinks were fed (the first sink's table when it is a full refresh and
-    there are several sinks).
+    Returns the report: the first sink's table when it is a full refresh, else computed from
+    the source when it is read.
     """
     targets = [*sinks, *([rejects] if rejects else [])]
     for sink in targets:
@@ -123,21 +125,22 @@ def run(
     if manifest is not None:
         if not isinstance(source, str):
             raise ValueError("A manifest selects files in one source folder")
-        # Catalog metadata: one name per listed file, a bounded list.
-        file_names = [r["name"] for r in manifest.select("name").distinct().collect()]
-        files = [manifest_glob(source, file_names)]
+        files = manifest_files(spark, source, manifest)
     elif isinstance(source, str):
         files = [snapshot_glob(spark, source)]
     else:
         files = list(source)
-    if rejects is not None:
-        loans, bad = read_loans_with_rejects(spark, files, **reader_options)
-        rejects(bad)
-        if row_limit is not None:
-            loans = loans.limit(row_limit)
-    else:
-        loans = read_loans(spark, files, row_limit=row_limit, **reader_options)
-    report = loan_report(loans)
-    if not sinks:
+    report = loan_report(read_loans(spark, files, row_limit=row_limit, **reader_options))
+    if rejects is None:
+        if sinks:
+            return tables.fan_out(report, list(sinks), strategy=strategy)
         return report
-    return tables.fan_out(report, list(sinks), strategy=strategy)
+    parsed = read_loans_with_rejects(spark, files, **reader_options)
+    try:
+        rejects(parsed.rejects)
+        loans = parsed.loans if row_limit is None else limit_rows(parsed.loans, row_limit)
+        tables.fan_out(loan_report(loans), list(sinks), strategy=strategy)
+    finally:
+        parsed.close()
+    published = [s for s in sinks if getattr(s, "replaces_content", False)]
+    return published[0].read(spark) if published else report

@@ -1,20 +1,23 @@
 """Table sinks: full refresh, append, clear-then-append, create-if-missing, and fan-out.
 
 The format is an argument (``parquet`` by default; ``delta`` or a connector's format where its
-package is on the classpath). ``path`` makes the table external at that location; without it
-the table is managed by the session catalog.
-
-Refresh semantics:
-
-* :func:`overwrite_table` - full refresh, the table's schema is replaced by the DataFrame's.
+package is on the classpath). ``path`` is the table's base folder; without it the base is the
+warehouse folder of the table's name.
+
+Refresh semantics. A refresh of a file-format table never touches the published files: it writes
+a new version folder under the base, checks that the folder reads back as many rows as were
+written, and only then points the table at it (one catalog change; a changed schema replaces the
+catalog entry). If anything fails before, the table still shows the old rows. The previous
+version stays for readers that are under way and goes with the refresh after. Other formats
+(``delta``, a connector's) refresh with their own transactional overwrite.
+
+* :func:`overwrite_table`, :func:`replace_table` - full refresh, the table's schema is replaced
+  by the DataFrame's; ``replace_table`` returns the number of rows.
 * :func:`append_table` - append rows, matched to the table's columns *by name* (a DataFrame
   with other column names is rejected); creates the table when it is missing.
-* :func:`clear_and_append` - when the table exists, its rows are replaced and its schema kept
-  (one ``INSERT OVERWRITE``, so there is no window in which the table is empty); when it is
-  missing, it is created from the DataFrame's schema first.
+* :func:`clear_and_append` - full refresh that keeps an existing table's schema; columns the
+  table does not have are an error unless they are named in ``ignore``.
 * :func:`create_if_missing` - creates an empty table from a schema; True if it did.
-* :func:`replace_table` - builds ``<table>__next``, checks its row count, then swaps names:
-  readers see the old or the new table, never a half-written one (not a transaction).
 * :func:`connector_write` - an external store through its connector format's ``save()``.
 * :func:`fan_out` - one computation feeding several sinks.
 
@@ -24,14 +27,16 @@ None of these shuffle unless ``partitions`` asks for a round-robin repartition b
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructType
 
 from disclosure.functions.display import IDENTIFIER_PATTERN
-from disclosure.session import SCRATCH_WRITE_OPTIONS, scratch_path
+from disclosure.session import SCRATCH_WRITE_OPTIONS, remove_folder, scratch_path, subfolders
 
 # --- Fixed values: column types the external event store accepts, by Spark type. ---
 STORE_TYPES = {StringType: "string", IntegerType: "int", DoubleType: "real", DateType: "datetime"}
@@ -73,6 +78,70 @@ def _writer(
     return w.option("path", path) if path else w
 
 
+# Formats whose tables are plain files in a folder, refreshed by version folders.
+FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
+_VERSION = "version-"
+
+
+def table_details(spark: SparkSession, table: str) -> dict[str, str]:
+    """``Provider``, ``Location`` and the other entries of ``DESCRIBE TABLE EXTENDED``."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {validate_table_name(table)}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
+def _base_folder(spark: SparkSession, table: str, path: str | None) -> str:
+    if path:
+        return path.rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.lower().replace('.', '/')}__versions"
+
+
+def _publish(
+    df: DataFrame, table: str, fmt: str, path: str | None, options: dict | None, sort_within: Sequence[str] = ()
+) -> int:
+    """Writes a new version, checks it, points ``table`` at it; returns its number of rows."""
+    spark = df.sparkSession
+    base = _base_folder(spark, table, path)
+    folder = f"{base}/{_VERSION}{uuid.uuid4().hex}"
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    try:
+        _writer(out, fmt, None, None, options, sort_within).save(folder)
+        written = spark.read.format(fmt).schema(df.schema).load(folder).count()
+        if written != seen.get["rows"]:
+            raise ValueError(f"Refresh of {table} wrote {seen.get['rows']} rows, but {written} can be read")
+        before = _point(spark, table, fmt, folder, df.schema)
+    except Exception:
+        remove_folder(spark, folder)
+        raise
+    for old in subfolders(spark, base):
+        name = old.rstrip("/").rsplit("/", 1)[-1]
+        if name.startswith(_VERSION) and name not in (folder.rsplit("/", 1)[-1], before.rstrip("/").rsplit("/", 1)[-1]):
+            remove_folder(spark, old)
+    return written
+
+
+def _point(spark: SparkSession, table: str, fmt: str, folder: str, schema: StructType) -> str:
+    """Points ``table`` at ``folder``; returns the folder it showed before, or ``""``."""
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=folder, source=fmt, schema=schema)
+        return ""
+    details = table_details(spark, table)
+    before = details.get("Location", "")
+    columns = [(f.name, f.dataType) for f in schema.fields]
+    same = columns == [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+    if same and details.get("Provider", "").lower() == fmt and details.get("Type") == "EXTERNAL":
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        # A new schema needs a new entry: the new one is complete before the old one goes.
+        nxt = validate_table_name(f"{table}__next")
+        spark.sql(f"DROP TABLE IF EXISTS {nxt}")
+        spark.catalog.createTable(nxt, path=folder, source=fmt, schema=schema)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+    return before
+
+
 def overwrite_table(
     df: DataFrame,
     table: str,
@@ -81,7 +150,7 @@ def overwrite_table(
     options: dict | None = None,
     sort_within: Sequence[str] = (),
 ) -> None:
-    """Full refresh: rows and schema of ``table`` are replaced by ``df``.
+    """Full refresh: rows and schema of ``table`` are replaced by ``df``, or nothing changes.
 
     ``options`` go to the writer (a connector format's settings, for example). ``sort_within``
     sorts each write task's rows by those columns first (a local sort, no shuffle), so every
@@ -89,8 +158,11 @@ def overwrite_table(
     other row groups of each file.
     """
     validate_table_name(table)
-    w = _writer(df, fmt, path, None, options, sort_within)
-    w.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    if fmt in FILE_FORMATS:
+        _publish(df, table, fmt, path, options, sort_within)
+    else:
+        w = _writer(df, fmt, path, None, options, sort_within)
+        w.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 
 
 def append_table(
@@ -133,19 +205,22 @@ def create_if_missing(
     schema: StructType,
     fmt: str = "parquet",
     path: str | None = None,
-    store_types: bool = False,
+    store_types: bool = True,
 ) -> bool:
     """Creates an empty ``table`` with ``schema`` unless it exists; True when it was created.
 
-    ``store_types=True`` also checks every column type against :data:`STORE_TYPES`.
+    An existing table is left as it is, whatever the schema. A new one may only have column
+    types of :data:`STORE_TYPES` (``store_types=False`` allows any). Of two sessions that both
+    find the table missing, one creates it and the other leaves it.
     """
     validate_table_name(table)
-    if store_types:
-        store_column_types(schema)
     if spark.catalog.tableExists(table):
         return False
-    options = {"path": path} if path else {}
-    spark.catalog.createTable(table, source=fmt, schema=schema, **options)
+    if store_types:
+        store_column_types(schema)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    location = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt}{location}")
     return True
 
 
@@ -156,42 +231,37 @@ def clear_and_append(
     path: str | None = None,
     partitions: int | None = None,
     options: dict | None = None,
+    ignore: Sequence[str] = (),
 ) -> bool:
     """Full refresh that keeps an existing table's schema; returns True if it created the table.
 
-    An existing table gets ``df``'s columns selected by the table's column names (a missing name
-    fails) and written with one ``INSERT OVERWRITE``.
+    ``df`` must have the table's columns; others are an error unless named in ``ignore``. The
+    old rows stay until the new ones are complete.
     """
     spark = df.sparkSession
-    created = create_if_missing(spark, table, df.schema, fmt=fmt, path=path)
-    columns = spark.table(table).columns
-    aligned = df.select(*columns)
+    df = df.drop(*ignore)
+    first = f"{path.rstrip('/')}/{_VERSION}empty" if path and fmt in FILE_FORMATS else path
+    created = create_if_missing(spark, table, df.schema, fmt=fmt, path=first)
+    schema = spark.table(table).schema
+    missing = [c for c in schema.names if c not in df.columns]
+    extra = [c for c in df.columns if c not in schema.names]
+    if missing or extra:
+        raise ValueError(f"Columns of {table}: missing {missing}, not in the table {extra}")
+    aligned = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     if partitions:
         aligned = aligned.repartition(partitions)
-    aligned.write.options(**(options or {})).insertInto(table, overwrite=True)
+    provider = table_details(spark, table).get("Provider", fmt).lower()
+    if provider in FILE_FORMATS:
+        _publish(aligned, table, provider, path, options)
+    else:
+        aligned.write.options(**(options or {})).insertInto(table, overwrite=True)
     return created
 
 
-def replace_table(
-    df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None, min_rows: int = 1
-) -> int:
-    """Writes ``<table>__next``, verifies its row count, then swaps it in; returns the count.
-
-    With fewer than ``min_rows`` rows (an empty refresh, by default) nothing is swapped, the
-    published table stays as it was, and ``ValueError`` is raised. The count reads only Parquet
-    footers. Dropping the old table and renaming are two catalog operations, so a reader
-    between them finds no table; rows are never half-written.
-    """
-    spark = df.sparkSession
-    nxt = validate_table_name(f"{table}__next")
-    spark.sql(f"DROP TABLE IF EXISTS {nxt}")
-    overwrite_table(df, nxt, fmt=fmt, path=path)
-    n = spark.table(nxt).count()
-    if n < min_rows:
-        raise ValueError(f"Refresh of {table} produced {n} rows (< {min_rows}); kept the published table")
-    spark.sql(f"DROP TABLE IF EXISTS {validate_table_name(table)}")
-    spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
-    return n
+def replace_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> int:
+    """Full refresh as :func:`overwrite_table`; returns the number of rows published."""
+    validate_table_name(table)
+    return _publish(df, table, fmt, path, None)
 
 
 Sink = Callable[[DataFrame], object]
@@ -208,8 +278,8 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto") -> Dat
     * ``stage``: written once as Parquet to the shared checkpoint folder and read back.
 
     Both cut the lineage at a written table: a lost executor never re-runs the source parse,
-    and the later sinks read a compact columnar copy. Staged files stay until the checkpoint
-    folder is cleaned.
+    and the later sinks read a compact columnar copy. The staged copy is removed at the end
+    and ``df`` returned (which computes anew if it is read again).
 
     * ``cache``: ``persist(MEMORY_AND_DISK)`` and ``count()`` first, always unpersisted
       afterwards (even when a sink fails); the returned DataFrame then recomputes from source.
@@ -231,11 +301,14 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto") -> Dat
         strategy = "stage"
     if strategy == "stage":
         staged_path = scratch_path(spark, "stage")
-        df.write.options(**SCRATCH_WRITE_OPTIONS).parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        for sink in sinks:
-            sink(staged)
-        return staged
+        try:
+            df.write.options(**SCRATCH_WRITE_OPTIONS).parquet(staged_path)
+            staged = spark.read.schema(df.schema).parquet(staged_path)
+            for sink in sinks:
+                sink(staged)
+        finally:
+            remove_folder(spark, staged_path)
+        return df
     if strategy != "cache":
         raise ValueError(f"Unknown fan-out strategy: {strategy!r}")
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)

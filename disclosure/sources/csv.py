@@ -8,30 +8,30 @@ Reader settings (never inferred, never changing session conf):
   pass ``escape='\\\\'`` for Spark's historical backslash escape;
 * ``enforce_schema=False`` by default: each file's header is checked against the schema
   names, so a file with reordered columns fails instead of loading shifted data;
-* ``multiLine`` stays off so every file is split into ~128 MB tasks
-  (``spark.sql.files.maxPartitionBytes``); the scan is one map stage with no shuffle.
+* ``multiLine`` stays off so every file is split into tasks of ``spark.sql.files.maxPartitionBytes``
+  (512 MB in this package's sessions); the scan is one map stage with no shuffle.
 
-Rejected rows: with ``corrupt_column`` set, a malformed line (bad cell, too few or too many
-cells) keeps its raw text there. Spark only fills that column when the *whole* row is parsed,
-so :func:`read_loans_with_rejects` materialises one full parse before the good and rejected
-rows are split; selecting only some columns before that would change which rows count as
+Rejected rows are additional: every line stays a row of the loans, with its bad cells null, and
+with ``corrupt_column`` set a malformed line (bad cell, too few or too many cells) also keeps its
+raw text there. Spark only fills that column when the *whole* row is parsed, so
+:func:`read_loans_with_rejects` materialises one full parse before it is read twice; selecting only some columns before that would change which rows count as
 malformed (the CSV reader prunes columns and only converts those it returns).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
-from disclosure.session import SCRATCH_WRITE_OPTIONS, scratch_path
+from disclosure.session import SCRATCH_WRITE_OPTIONS, remove_folder, scratch_path
 
 CORRUPT_COLUMN = "_corrupt_record"
-REJECTED_FLAG = "_rejected"
 
 
 def loan_reader(
@@ -74,7 +74,32 @@ def read_loans(
     if not files:
         raise ValueError("No CSV files to read")
     df = loan_reader(spark, **reader_options).load(files)
-    return df.limit(row_limit) if row_limit is not None else df
+    return limit_rows(df, row_limit) if row_limit is not None else df
+
+
+def limit_rows(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows. The limit itself ends in one task, so its rows are dealt out again for what
+    follows."""
+    return df.limit(n).repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+@dataclass
+class ParsedLoans:
+    """One parse of source files: all ``loans``, and the ``rejects`` with their raw lines.
+
+    Both read the same materialised copy; :meth:`close` removes it.
+    """
+
+    loans: DataFrame
+    rejects: DataFrame
+    parsed: DataFrame
+    folder: str | None
+
+    def close(self) -> None:
+        if self.folder:
+            remove_folder(self.parsed.sparkSession, self.folder)
+        else:
+            self.parsed.unpersist()
 
 
 def read_loans_with_rejects(
@@ -83,36 +108,34 @@ def read_loans_with_rejects(
     corrupt_column: str = CORRUPT_COLUMN,
     materialize: str = "stage",
     **reader_options,
-) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)`` from ONE full parse of the files.
+) -> ParsedLoans:
+    """All loans and the rejected lines from ONE full parse of the files.
 
-    ``good`` has the source columns; ``rejects`` also has ``corrupt_column`` with the raw line.
-    The parse must cover every column before it is split (see the module notes), so it is
+    ``loans`` has the source columns of every line; ``rejects`` holds the malformed lines again,
+    with ``corrupt_column``. The parse must cover every column (see the module notes), so it is
     materialised once:
 
-    * ``stage`` (default): written as Parquet, partitioned by a ``_rejected`` flag, to the shared
-      checkpoint folder, and read back; each side then reads only its own partition folder and
-      only the columns it needs, and a lost executor never re-parses the CSV.
+    * ``stage`` (default): written as Parquet to the shared checkpoint folder and read back (no
+      shuffle, no sort); the rejects are a filter pushed to the scan, the loans a column-pruned
+      read, and a lost executor never re-parses the CSV.
     * ``persist``: kept in executor memory, spilling to disk; a lost executor's blocks are
-      re-parsed from the files. Unpersist ``good`` when both sides are consumed.
+      re-parsed from the files.
+
+    Call ``close()`` when both have been consumed.
     """
     files = [paths] if isinstance(paths, str) else list(paths)
     reader = loan_reader(spark, corrupt_column=corrupt_column, **reader_options)
     parsed = reader.load(files)
+    folder = None
     if materialize == "persist":
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-        is_bad = F.col(corrupt_column).isNotNull()
-        return parsed.filter(~is_bad).drop(corrupt_column), parsed.filter(is_bad)
-    if materialize != "stage":
+    elif materialize == "stage":
+        folder = scratch_path(spark, "parsed")
+        parsed.write.options(**SCRATCH_WRITE_OPTIONS).parquet(folder)
+        parsed = spark.read.schema(parsed.schema).parquet(folder)
+    else:
         raise ValueError(f"Unknown materialization: {materialize!r}")
-    path = scratch_path(spark, "parsed")
-    flagged = parsed.withColumn(REJECTED_FLAG, F.col(corrupt_column).isNotNull())
-    flagged.write.options(**SCRATCH_WRITE_OPTIONS).partitionBy(REJECTED_FLAG).parquet(path)
-    schema = StructType(parsed.schema.fields + [StructField(REJECTED_FLAG, BooleanType(), True)])
-    staged = spark.read.schema(schema).parquet(path)
-    good = staged.filter(~F.col(REJECTED_FLAG)).drop(REJECTED_FLAG, corrupt_column)
-    rejects = staged.filter(F.col(REJECTED_FLAG)).drop(REJECTED_FLAG)
-    return good, rejects
+    return ParsedLoans(parsed.drop(corrupt_column), parsed.filter(F.col(corrupt_column).isNotNull()), parsed, folder)
 
 
 def write_loans_csv(

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosure.functions.display import base_name
-from disclosure.session import spread
 from disclosure.sources.manifest import catalog_documents
 from disclosure.sources.star import read_table
 
@@ -36,13 +35,13 @@ def _suffix(key: Column) -> Column:
     )
 
 
-def event_inventory(spark: SparkSession, sf_dir: str, with_direct: bool = True) -> DataFrame:
+def event_inventory(spark: SparkSession, sf_dir: str, with_direct: bool = True, read=read_table) -> DataFrame:
     """Listing of one file per event under :data:`LANDING`.
 
     Files sit in a subfolder named after the event day (``yyyyMMdd``); with ``with_direct``,
     events of every tenth user sit directly in the base folder instead.
     """
-    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"))
+    ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     name = F.concat(F.lit("events_"), F.col("event_id").cast("string"), _suffix(F.col("event_id")))
     nested = F.concat(F.lit(LANDING + "/"), F.date_format("ts", "yyyyMMdd"), F.lit("/"), name)
     path = F.when(F.col("user_id") % 10 == 0, F.concat(F.lit(LANDING + "/"), name)) if with_direct else None
@@ -53,9 +52,9 @@ def event_inventory(spark: SparkSession, sf_dir: str, with_direct: bool = True)
     )
 
 
-def document_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_resources(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
     """One catalog resource per document: ``(doc_id, block, id, name, url, size, format)``."""
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars"))
+    d = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
     k = F.col("doc_id")
     return d.select(
         k.alias("doc_id"),
@@ -75,20 +74,20 @@ def document_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catalog_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def catalog_from_documents(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
     """Catalog JSON documents ``(dataset, doc)``, one per block of 64 document ids.
 
     The block bounds each document (and each ``collect_list`` group) to 64 entries.
     """
-    res = document_resources(spark, sf_dir)
+    res = document_resources(spark, sf_dir, read)
     docs = catalog_documents(res, ["block"], "doc_id")
     return docs.select(F.concat(F.lit("catalog-"), F.col("block").cast("string")).alias("dataset"), "doc")
 
 
-def document_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_inventory(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
     """One file in :data:`DOWNLOADS` per document: every third is an unfinished ``.part``
     download (so its entry has no file of its name), some are one byte off."""
-    res = document_resources(spark, sf_dir)
+    res = document_resources(spark, sf_dir, read)
     k = F.col("doc_id")
     file_name = base_name(F.coalesce(F.nullif(F.col("name"), F.lit("")), F.col("id")))
     unfinished = F.when(k % 3 == 0, F.lit(".part")).otherwise(F.lit(""))
@@ -106,28 +105,3 @@ def label_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv")).alias("name"),
         F.when(F.col("toxic") == 1, F.lit("HTTP Error 500: Internal Server Error")).alias("error"),
     )
-
-
-def document_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """Writes every document's whole text as its own file under ``folder`` (one text line per
-    file, in a ``doc_id=<id>`` subfolder) and returns their catalog resources
-    ``(doc_id, block, id, name, url, size, format)``, from a listing of what was written."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    docs.write.partitionBy("doc_id").text(folder)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path", "length")
-    )
-    doc_id = F.regexp_extract("path", r"/doc_id=(\d+)/", 1).cast("bigint")
-    return files.select(
-        doc_id.alias("doc_id"),
-        F.floor(doc_id / F.lit(CATALOG_BLOCK)).alias("block"),
-        F.concat(F.lit("doc-"), doc_id.cast("string")).alias("id"),
-        F.concat(F.lit("doc-"), doc_id.cast("string"), F.lit(".txt")).alias("name"),
-        F.col("path").alias("url"),
-        F.col("length").alias("size"),
-        F.lit("TXT").alias("format"),
-    )
-

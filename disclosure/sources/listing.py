@@ -14,7 +14,7 @@ Snapshot rules of the source layout (a folder of CSVs, or a base folder of dated
 * ``resolve`` / ``snapshot_glob``: a path ending in ``.csv`` is that file; else the base's own
   CSV files if it has any (even when newer subfolders exist); else the CSV files directly in
   the latest subfolder. Nothing found raises ``ValueError``. The job reads the snapshot through
-  ``snapshot_glob``: a glob Spark expands itself, so no file list passes through the driver.
+  ``snapshot_glob``, a glob that Spark's file index expands.
 """
 
 from __future__ import annotations
@@ -106,51 +106,91 @@ def latest_subfolder(listing: DataFrame, base: str) -> DataFrame:
     ).filter(F.col("folder").isNotNull())
 
 
-def resolve(listing: DataFrame, base: str) -> DataFrame:
-    """Files of the current snapshot under ``base`` as a listing, sorted by path.
+def _snapshot_folder(rel: DataFrame) -> DataFrame:
+    """One row ``(depth, folder)`` saying where the snapshot's CSV files are; no row if nowhere.
 
-    The base's own CSV files win; otherwise the CSV files directly in the latest subfolder.
-    Which branch applies is one bounded action (does the base hold any CSV file?); the files
-    themselves stay a lazy DataFrame.
+    One aggregation by first-level folder (null: the base itself), then the choice among its
+    rows: the base if it holds a CSV file, else the folder with the newest file, which must hold
+    CSV files directly.
     """
-    if not _direct_csv(listing, base).isEmpty():
-        return direct_csv_files(listing, base)
-    latest = latest_subfolder(listing, base).select("folder")
-    nested = (
-        with_relative(listing, base)
-        .filter((F.col("depth") == 1) & has_csv_suffix("rel"))
-        .join(latest, "folder", "left_semi")
+    here = has_csv_suffix("rel") & (F.col("depth") == F.when(F.col("folder").isNull(), 0).otherwise(1))
+    folders = rel.groupBy("folder").agg(F.max("modificationTime").alias("newest"), F.count_if(here).alias("files"))
+    return folders.agg(
+        F.coalesce(F.max(F.when(F.col("folder").isNull(), F.col("files"))), F.lit(0)).alias("direct"),
+        F.max(F.when(F.col("folder").isNotNull(), F.struct("newest", "folder", "files"))).alias("latest"),
+    ).select(
+        F.when(F.col("direct") > 0, 0).when(F.col("latest.files") > 0, 1).alias("depth"),
+        F.when(F.col("direct") == 0, F.col("latest.folder")).alias("folder"),
     )
-    return nested.select("path", "length", "modificationTime").orderBy("path")
+
+
+def _no_files(source: str) -> ValueError:
+    return ValueError(f"No .csv files found in {source} or its latest subfolder")
+
+
+def resolve(listing: DataFrame, base: str) -> DataFrame:
+    """Files of the current snapshot under ``base`` as a listing.
+
+    A ``base`` that ends in ``.csv`` is that file. Otherwise the base's own CSV files win, then
+    the CSV files directly in the latest subfolder; none at all is a ``ValueError``. One bounded
+    action chooses the folder (one row); one filtered pass gives the files, unsorted.
+    """
+    if base.lower().endswith(".csv"):
+        files = listing.filter(path_only("path") == _base_path(base)).select("path", "length", "modificationTime")
+        if files.isEmpty():
+            raise _no_files(base)
+        return files
+    rel = with_relative(listing, base)
+    chosen = _snapshot_folder(rel).first()
+    if chosen is None or chosen["depth"] is None:
+        raise _no_files(base)
+    files = rel.filter((F.col("depth") == chosen["depth"]) & has_csv_suffix("rel"))
+    if chosen["depth"]:
+        files = files.filter(F.col("folder") == chosen["folder"])
+    return files.select("path", "length", "modificationTime")
 
 
 def snapshot_glob(spark: SparkSession, source: str) -> str:
     """The path to hand the CSV reader for ``source``: the file itself, or a glob of the snapshot.
 
     ``base/*.[cC][sS][vV]`` when the base holds CSV files, else ``base/<latest>/*.[cC][sS][vV]``.
-    Spark expands the glob (and skips hidden files) when it plans the scan, so no file list
-    passes through the driver; the only values brought back are one boolean and one folder name.
+    Spark lists the tree once to choose the folder and expands the glob (skipping hidden files)
+    when it plans the scan; like every file scan, both keep the file statuses on the driver.
     """
     if source.lower().endswith(".csv"):
         return source
     base = source.rstrip("/")
-    listing = list_tree(spark, base)
-    if not _direct_csv(listing, base).isEmpty():
+    chosen = _snapshot_folder(with_relative(list_tree(spark, base), base)).first()
+    if chosen is None or chosen["depth"] is None:
+        raise _no_files(source)
+    if chosen["depth"] == 0:
         return f"{_glob_escape(base)}/{CSV_GLOB}"
-    latest = latest_subfolder(listing, base).select("folder").first()
-    nested = None
-    if latest is not None:
-        nested = with_relative(listing, base).filter(
-            (F.col("depth") == 1) & (F.col("folder") == latest["folder"]) & has_csv_suffix("rel")
-        )
-    if nested is None or nested.isEmpty():
-        raise ValueError(f"No .csv files found in {source} or its latest subfolder")
-    return f"{_glob_escape(base)}/{_glob_escape(latest['folder'])}/{CSV_GLOB}"
-
-
-def manifest_glob(folder: str, names: list[str]) -> str:
-    """A glob of exactly the named files directly in ``folder`` (``folder/{a.csv,b.csv}``)."""
-    if not names:
+    return f"{_glob_escape(base)}/{_glob_escape(chosen['folder'])}/{CSV_GLOB}"
+
+
+def manifest_files(spark: SparkSession, folder: str, entries: DataFrame) -> list[str]:
+    """Paths of the files directly in ``folder`` that the manifest ``entries`` name.
+
+    A name that several entries have, or a named file that is not there, raises
+    :class:`MissingFiles` with the names as a DataFrame. The paths are what the scan's own file
+    index holds on the driver; the names are compared as a join.
+    """
+    names = entries.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    base = folder.rstrip("/")
+    here = with_relative(list_tree(spark, base), base).filter(F.col("depth") == 0).select("path", "rel")
+    found = names.join(here, names["name"] == here["rel"], "left")
+    wrong = found.filter(F.col("path").isNull() | (F.col("n") > 1)).select("name", "n", "path")
+    if not wrong.isEmpty():
+        raise MissingFiles(f"Manifest names files that are not in {folder}, or one file twice", wrong)
+    paths = [r["path"] for r in found.select("path").collect()]
+    if not paths:
         raise ValueError("The manifest names no files")
-    alternatives = ",".join(_glob_escape(n).replace(",", "\\,") for n in sorted(set(names)))
-    return f"{_glob_escape(folder.rstrip('/'))}/{{{alternatives}}}"
+    return [_glob_escape(p) for p in paths]
+
+
+class MissingFiles(ValueError):
+    """Manifest names without a file, or named twice; ``names`` is the DataFrame of them."""
+
+    def __init__(self, message: str, names: DataFrame):
+        super().__init__(message)
+        self.names = names

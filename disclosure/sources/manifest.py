@@ -5,9 +5,8 @@ The data catalog answers a dataset lookup with a JSON document::
     {"success": true, "result": {"resources": [{"id", "name", "url", "size", "format"}, ...]}}
 
 Here each document is a row (``dataset``, ``doc``), so any number of datasets or catalog
-pages are parsed in parallel. Per document, the resource list is filtered and capped with
-array functions inside the row (``filter`` / ``slice``), then exploded: no shuffle and no
-window. Fetch planning is a left-anti equi-join against a file inventory; the outcome roll-up
+pages are parsed in parallel. Per document, the resource list is parsed and filtered once
+inside the row, then exploded; checks and the cap are row filters: no shuffle and no window. Fetch planning is a left-anti equi-join against a file inventory; the outcome roll-up
 is an aggregate with map-side partial aggregation.
 
 Rules kept from the reference job:
@@ -19,7 +18,7 @@ Rules kept from the reference job:
 * ``name`` is the entry name, or its ``id`` when the name is null or empty; ``format`` is
   reported upper-cased (``''`` for null);
 * an entry is skipped by the fetch plan iff not ``overwrite``, its expected size is neither
-  null nor 0, and a file of that name with exactly that byte length exists;
+  null nor 0, and a file of that name with exactly that byte length is in the target folder;
 * totals count entries and sum sizes with null as 0.
 
 Entry names are reduced to their last path segment (``a/../b.csv`` -> ``b.csv``) so a hostile
@@ -42,6 +41,7 @@ from pyspark.sql.types import (
 )
 
 from disclosure.functions.display import base_name, human_bytes
+from disclosure.sources.listing import with_relative
 
 RESOURCE_SCHEMA = StructType(
     [
@@ -74,33 +74,27 @@ def _format_filter(formats: Iterable[str] | None):
 
 
 def parse_catalog(documents: DataFrame, doc_column: str = "doc") -> DataFrame:
-    """Parses the JSON column into ``_resources``.
+    """Parses the JSON column once into ``_resources``.
 
     A document whose ``success`` is not true, or that has no resource list, fails the job.
     """
-    parsed = F.from_json(F.col(doc_column), CATALOG_SCHEMA)
-    resources = parsed["result"]["resources"]
+    parsed = documents.withColumn("_parsed", F.from_json(F.col(doc_column), CATALOG_SCHEMA))
+    success, resources = F.col("_parsed.success"), F.col("_parsed.result.resources")
     checked = (
         F.when(
-            parsed["success"].isNull() | ~parsed["success"],
+            success.isNull() | ~success,
             F.raise_error(F.lit("Catalog lookup failed: success is not true")),
         )
         .when(resources.isNull(), F.raise_error(F.lit("Catalog document has no resource list")))
         .otherwise(resources)
     )
-    return documents.withColumn("_resources", checked)
+    return parsed.withColumn("_resources", checked).drop("_parsed")
 
 
 def _entry_name(r: Column) -> Column:
     return F.coalesce(F.nullif(r["name"], F.lit("")), r["id"])
 
 
-def _require_fields(resources: Column) -> Column:
-    """Fails the job when a kept entry has no url, or neither a name nor an id."""
-    incomplete = F.exists(resources, lambda r: r["url"].isNull() | _entry_name(r).isNull())
-    return F.when(incomplete, F.raise_error(F.lit("Catalog entry without url or name/id"))).otherwise(resources)
-
-
 def manifest(
     documents: DataFrame,
     formats: Iterable[str] | None = DEFAULT_FORMATS,
@@ -111,25 +105,27 @@ def manifest(
     """Manifest entries ``(*keys, pos, name, url, size, format)`` from catalog documents.
 
     ``pos`` is the 1-based position among the kept entries of the document; ``limit`` keeps the
-    first ``limit`` of them (the file cap), per document.
+    first ``limit`` of them (the file cap), per document. A kept entry without a url, or without
+    both a name and an id, fails the job.
     """
     resources = F.col("_resources")
     keep = _format_filter(formats)
     if keep is not None:
         resources = F.filter(resources, keep)
-    resources = _require_fields(resources)
-    if limit is not None:
-        resources = F.slice(resources, 1, max(limit, 0))
     key_cols = list(keys)
     exploded = parse_catalog(documents, doc_column).select(
         *key_cols, F.posexplode(resources).alias("_pos", "_r")
     )
     r = F.col("_r")
-    name = _entry_name(r)
-    return exploded.select(
+    incomplete = r["url"].isNull() | _entry_name(r).isNull()
+    checked = F.when(incomplete, F.raise_error(F.lit("Catalog entry without url or name/id")).cast("boolean"))
+    entries = exploded.filter(checked.otherwise(F.lit(True)))  # a filter, so that no pruning skips it
+    if limit is not None:
+        entries = entries.filter(F.col("_pos") < max(limit, 0))
+    return entries.select(
         *key_cols,
         (F.col("_pos") + 1).alias("pos"),
-        base_name(name).alias("name"),
+        base_name(_entry_name(r)).alias("name"),
         r["url"].alias("url"),
         r["size"].alias("size"),
         F.upper(F.coalesce(r["format"], F.lit(""))).alias("format"),
@@ -143,17 +139,19 @@ def require_entries(entries: DataFrame) -> DataFrame:
     return entries
 
 
-def fetch_plan(entries: DataFrame, inventory: DataFrame, overwrite: bool = False) -> DataFrame:
-    """Entries that still have to be fetched, given the files already present.
+def fetch_plan(entries: DataFrame, inventory: DataFrame, folder: str, overwrite: bool = False) -> DataFrame:
+    """Entries that still have to be fetched into ``folder``, given the files already there.
 
-    ``inventory`` is a listing ``(path, length, ...)``. An entry is skipped iff a file with its
-    name has exactly its expected size and that size is neither null nor 0 (and not
-    ``overwrite``). A left-anti equi-join on ``(name, size)``: Spark broadcasts the inventory
-    when its statistics are small and otherwise shuffles both sides by the key.
+    ``inventory`` is a listing ``(path, length, ...)``. An entry is skipped iff the file of its
+    name directly in ``folder`` (not in a subfolder) has exactly its expected size and that size
+    is neither null nor 0 (and not ``overwrite``). A left-anti equi-join on ``(name, size)``:
+    Spark broadcasts the inventory when its statistics are small and otherwise shuffles both
+    sides by the key.
     """
     if overwrite:
         return entries
-    present = inventory.select(base_name("path").alias("_file"), F.col("length").alias("_length"))
+    here = with_relative(inventory, folder).filter(F.col("depth") == 0)
+    present = here.select(F.col("rel").alias("_file"), F.col("length").alias("_length"))
     cond = (
         (entries["name"] == present["_file"])
         & (entries["size"] == present["_length"])
@@ -183,7 +181,6 @@ def failed_entries(outcomes: DataFrame, error_column: str = "error") -> DataFram
     """The failed outcomes ``(name, error)`` (a filter; no shuffle).
 
     Not sorted: a range-partitioned sort cannot split a name repeated across many outcomes.
-    Ordered listings take a bounded top-N (see :func:`raise_on_failures`).
     """
     return outcomes.filter(F.col(error_column).isNotNull()).select("name", error_column)
 
@@ -196,28 +193,19 @@ class FetchFailed(RuntimeError):
         self.failures = failures
 
 
-def raise_on_failures(
-    outcomes: DataFrame, max_listed: int = 100, error_column: str = "error", total: int | None = None
-) -> None:
-    """Run all, then fail once: ``Failed to download n of total file(s): a, b, ...``.
+def raise_on_failures(outcomes: DataFrame, error_column: str = "error", total: int | None = None) -> None:
+    """Run all, then fail once: ``Failed to download n of total file(s)``.
 
     Counting is distributed. ``total`` overrides the outcome count (when skipped entries have
-    no outcome row). The message lists failed names (sorted) only while there are at most
-    ``max_listed`` of them; the complete list is always available, as a DataFrame, on the
-    raised exception's ``failures``.
+    no outcome row). The failed names, however many, are the DataFrame ``failures`` of the
+    raised exception.
     """
     summary = failure_summary(outcomes, error_column).first()
     if not summary or summary["n_failed"] == 0:
         return
-    failures = failed_entries(outcomes, error_column)
     n_total = summary["n_total"] if total is None else total
-    message = f"Failed to download {summary['n_failed']} of {n_total} file(s)"
-    if summary["n_failed"] <= max_listed:
-        first = failures.select("name").orderBy("name").limit(max_listed)  # per-task top-N, then merged
-        message += ": " + ", ".join(r["name"] for r in first.collect())
-    else:
-        message += " (see .failures for the list)"
-    raise FetchFailed(message, failures)
+    message = f"Failed to download {summary['n_failed']} of {n_total} file(s); their names are in .failures"
+    raise FetchFailed(message, failed_entries(outcomes, error_column))
 
 
 def duplicate_names(entries: DataFrame) -> DataFrame:

@@ -1,21 +1,20 @@
 """Loan records derived from the TPC-H-like star schema of the test tables.
 
-One loan per order: ``orders`` joined to ``customer``, its ``nation`` and ``region``, and a
-``supplier`` chosen as ``o_custkey % 10``. The test tables have no nulls, so nulls, blanks,
-placeholders and odd values are injected by ``k % n`` rules on the order key ``k``. Every
-one of the 53 source columns is filled, in the source layout, so the result can be written
-as a source CSV file or fed to the report directly.
+One loan per order: ``orders`` joined to ``customer``, its ``nation`` and ``region``, and the
+supplier of the order's lines with the smallest key (an order without lines, or with an unknown
+supplier, has none). The test tables have no nulls, so nulls, blanks, placeholders and odd
+values are injected by ``k % n`` rules on the order key ``k``. Every one of the 53 source columns
+is filled, in the source layout, so the result can be written as a source CSV file or fed to the
+report directly.
 
 Plan: ``orders`` (the fact side, streamed) joins ``customer`` on ``o_custkey``: Spark
 broadcasts ``customer`` when its file statistics are below the broadcast threshold and
 otherwise shuffles both sides by the key (AQE splits a hot customer). ``nation`` and
-``region`` are joined next; their tiny files are broadcast by the same size check. The
-supplier side is filtered to the ten keys used; that filter's selectivity is invisible to the
-planner's size estimate, so its row count is checked explicitly and it is broadcast, which
-keeps the ten-valued join key from ever becoming a ten-partition shuffle. The joins are
-written fact-first: without cost-based reordering, Spark keeps this order, and an estimate of
-a dimension-only join (product of its input sizes) can no longer make the fact table the
-build side.
+``region`` are joined next; their tiny files are broadcast by the same size check. ``lineitem``
+is reduced to one supplier key per order (two columns read, map-side partial minimum) and joined
+on the order key; the supplier's name comes last, again broadcast by file size only. All joins
+after the first are left joins in the fact's order, so no order is lost and no build side can
+be the fact table. Columns nobody asks for prune their joins' columns, not the joins.
 """
 
 from __future__ import annotations
@@ -24,9 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosure.schema import LOAN_FIELDS
-from disclosure.session import broadcast_if_small, spread
-
-SUPPLIER_KEYS = 10
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,23 +37,24 @@ def _null() -> Column:
     return F.lit(None)
 
 
-def loans_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 53-column loan source built from the star schema under ``sf_dir``."""
-    orders = spread(read_table(spark, sf_dir, "orders"))
+def loans_from_star(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    """The 53-column loan source built from the star schema under ``sf_dir``.
+
+    ``read`` opens a table; a caller may pass one that repartitions small files.
+    """
+    orders = read(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    supplier = broadcast_if_small(
-        read_table(spark, sf_dir, "supplier")
-        .filter((F.col("s_suppkey") >= 0) & (F.col("s_suppkey") < SUPPLIER_KEYS))
-        .select("s_suppkey", "s_name")
-    )
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("l_suppkey"))
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
 
     joined = (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .join(supplier, (orders.o_custkey % SUPPLIER_KEYS) == supplier.s_suppkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+        .join(region, nation.n_regionkey == region.r_regionkey, "left")
+        .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+        .join(supplier, lines.l_suppkey == supplier.s_suppkey, "left")
     )
 
     k = F.col("o_orderkey")

@@ -152,16 +152,17 @@ def _loan_select() -> str:
 
 
 LOANS_CTES = f"""
-sup AS (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey >= 0 AND s_suppkey < 10),
+lines AS (SELECT l_orderkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_orderkey),
 j AS (
   SELECT o.o_orderkey AS k, o.o_custkey, o.o_orderstatus, o.o_totalprice,
          CAST(o.o_orderdate AS DATE) AS day, o.o_orderpriority,
-         c.c_name, c.c_mktsegment, n.n_name, r.r_name, sup.s_name
+         c.c_name, c.c_mktsegment, n.n_name, r.r_name, s.s_name
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
-  JOIN sup ON o.o_custkey % 10 = sup.s_suppkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN lines l ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 ),
 loans AS (
   SELECT
@@ -182,6 +183,20 @@ CSV_LOANS_CTES = LOANS_CTES + f""",
 csv_loans AS (SELECT {_csv_loans_select()} FROM loans)"""
 
 
+# The malformed CSV of the reject queries: every 23rd approval date in ISO form and every 29th job
+# count as ``n.0``. The reader makes these cells null and keeps the row.
+REJECTED = "(bad_date OR bad_jobs)"
+PERMISSIVE_CTES = CSV_LOANS_CTES + f""",
+permissive AS (
+  SELECT * REPLACE (
+      CASE WHEN CAST(LoanNumber AS BIGINT) % 23 = 0 THEN NULL ELSE DateApproved END AS DateApproved,
+      CASE WHEN CAST(LoanNumber AS BIGINT) % 29 = 0 THEN NULL ELSE JobsReported END AS JobsReported),
+    CAST(LoanNumber AS BIGINT) % 23 = 0 AND DateApproved IS NOT NULL AS bad_date,
+    CAST(LoanNumber AS BIGINT) % 29 = 0 AND JobsReported IS NOT NULL AS bad_jobs
+  FROM csv_loans
+)"""
+
+
 def report_exprs() -> dict[str, str]:
     derived = {
         "Recipient_Display": f"upper({trim_sp('BorrowerName')})",
@@ -338,7 +353,9 @@ def oracle_queries() -> dict[str, str]:
         ),
         "loan_detail": _over_report(f"SELECT {DETAIL_COLS} FROM report WHERE LoanNumber = '10000'"),
         "row_count": f"WITH {LOANS_CTES}\nSELECT CAST(count(*) AS BIGINT) AS n_rows FROM loans",
-        "row_limit": f"WITH {LOANS_CTES}\nSELECT CAST(least(count(*), 1000) AS BIGINT) AS n_rows FROM loans",
+        # Any 1000 rows may come; each must be a whole row of the report.
+        "row_limit": f"WITH {LOANS_CTES}\nSELECT CAST(least(count(*), 1000) AS BIGINT) AS n_rows, "
+        "CAST(least(count(*), 1000) AS BIGINT) AS n_in_report FROM loans",
         "currency": _orders_amount("o_orderkey % 7 <> 0", cur),
         "currency_negative": f"SELECT c_custkey, c_acctbal AS amount, {cur('c_acctbal')} AS display FROM customer",
         "currency_half": (
@@ -386,12 +403,26 @@ def oracle_queries() -> dict[str, str]:
             f"WHERE ({k_rej} % 23 = 0 AND DateApproved IS NOT NULL) OR ({k_rej} % 29 = 0 AND JobsReported IS NOT NULL)"
         ),
         "refresh_job": csv_report_all,
-        "refresh_job_rejects": _over_report(
-            "SELECT * FROM report WHERE NOT ((CAST(LoanNumber AS BIGINT) % 23 = 0 AND DateApproved IS NOT NULL) "
-            "OR (CAST(LoanNumber AS BIGINT) % 29 = 0 AND JobsReported IS NOT NULL))",
+        # Rejected lines stay in the report, with the bad cells null; the rejects are additional.
+        "refresh_job_rejects": (
+            f"WITH {with_report('permissive', PERMISSIVE_CTES)}\n"
+            "SELECT 'report' AS kind, LoanNumber, DateApproved, DateApproved_Display, JobsReported_Display FROM report "
+            f"UNION ALL SELECT 'reject', LoanNumber, DateApproved, NULL, NULL FROM permissive WHERE {REJECTED}"
+        ),
+        "csv_permissive": f"WITH {PERMISSIVE_CTES}\nSELECT {', '.join(n for n, _ in LOAN_FIELDS)} FROM permissive",
+        "refresh_job_sinks": _over_report(
+            "SELECT *, 'overwrite' AS sink FROM report UNION ALL SELECT *, 'clear_and_append' AS sink FROM report",
             src="csv_loans",
             ctes=CSV_LOANS_CTES,
         ),
+        "connector_append": _over_report("SELECT * FROM report UNION ALL SELECT * FROM report"),
+        "resolve_snapshot_direct": (
+            _inventory(True) + "SELECT path, length, modificationTime FROM inv WHERE depth = 0 AND lower(rel) LIKE '%.csv'"
+        ),
+        "resolve_snapshot_file": (
+            _inventory(True) + "SELECT path, length, modificationTime FROM inv WHERE path = "
+            "(SELECT min(path) FROM inv WHERE depth = 0 AND lower(rel) LIKE '%.csv')"
+        ),
         "stream_publish": csv_report_all,
         "list_files": (
             _inventory(True) + "SELECT path, length, modificationTime FROM inv WHERE depth = 0 AND lower(rel) LIKE '%.csv'"
@@ -413,17 +444,13 @@ def oracle_queries() -> dict[str, str]:
         "fetch_plan": (
             f"WITH m AS ({manifest_sql()}),\ninv AS ({DOC_INVENTORY})\n"
             "SELECT m.* FROM m WHERE NOT EXISTS (SELECT 1 FROM inv WHERE "
-            "regexp_extract(inv.path, '[^/]+$', 0) = m.name AND inv.length = m.size AND m.size <> 0)"
+            "inv.path = 'file:/downloads/' || m.name AND inv.length = m.size AND m.size <> 0)"
         ),
         "fetch_failures": (
             f"SELECT CAST(count(*) FILTER (WHERE error IS NOT NULL) AS BIGINT) AS n_failed, "
             f"CAST(count(*) AS BIGINT) AS n_total FROM ({LABEL_OUTCOMES})"
         ),
         "failed_files": f"SELECT name, error FROM ({LABEL_OUTCOMES}) WHERE error IS NOT NULL",
-        "download": (
-            "SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS name, "
-            "CAST(strlen(text) + 1 AS BIGINT) AS bytes, CAST(NULL AS VARCHAR) AS error FROM documents"
-        ),
         "overwrite_table": report_all,
         "append_table": _over_report("SELECT * FROM report UNION ALL SELECT * FROM report"),
         "clear_and_append": report_all,

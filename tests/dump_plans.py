@@ -37,7 +37,7 @@ def main() -> None:
         "",
         f"Generated by `python tests/dump_plans.py` at `{sf_dir}` on `local[8]` with the session settings of",
         "`disclosure.session.build_session`. Each query ran first, so AQE's final plan is shown (expression",
-        "ids removed, lines cut). The one `RoundRobinPartitioning` exchange over `orders` comes from `spread()`:",
+        "ids removed, lines cut). The one `RoundRobinPartitioning` exchange over a table's scan comes from the entry file's `_spread`:",
         "each test table is a single Parquet row group, so one split; at scale it is absent.",
         "",
     ]

@@ -15,7 +15,7 @@ from tests.compare import compare, duck_connection  # noqa: E402
 
 def main(argv: list[str]) -> int:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    keys = argv[2:] or list(E.queries())
+    keys = argv[2:] or list(E.oracle_sql())
     spark = build_session("local[8]", shuffle_partitions=8)
     con = duck_connection(sf_dir)
     oracles = E.oracle_sql()

@@ -28,23 +28,22 @@ def test_cli_publishes_tables(spark, tmp_dir, capsys):
     assert "10 report rows" in capsys.readouterr().out
     assert main(["--source", base, "--explain", "--table", "cli_never_written"], spark=spark) == 0
     plan = capsys.readouterr().out
-    assert "Scan csv" in plan and "Exchange" not in plan
+    assert "Scan csv" in plan and "Exchange" not in plan and "Sort" not in plan
     assert not spark.catalog.tableExists("cli_never_written")
 
 
-def test_cli_downloads_then_publishes(spark, tmp_dir):
+def test_cli_reads_the_files_of_a_catalog(spark, tmp_dir):
     import json
 
-    remote = os.path.join(tmp_dir, "remote")
+    folder = os.path.join(tmp_dir, "dl")
     loans = loans_from_star(spark, SF001)
-    write_loans_csv(loans, remote)
-    parts = sorted(f for f in os.listdir(remote) if f.endswith(".csv"))
-    resources = [{"id": str(i), "name": f"loans_{i}.csv", "url": f"file://{remote}/{f}",
-                  "size": os.path.getsize(os.path.join(remote, f)), "format": "CSV"} for i, f in enumerate(parts)]
+    write_loans_csv(loans, folder)
+    parts = sorted(f for f in os.listdir(folder) if f.endswith(".csv"))
+    with open(os.path.join(folder, "stale.csv"), "w") as fh:
+        fh.write("not,the,columns\n")
+    resources = [{"id": str(i), "name": f, "url": "u", "size": 1, "format": "CSV"} for i, f in enumerate(parts)]
     catalog = os.path.join(tmp_dir, "catalog.json")
     with open(catalog, "w") as fh:
         json.dump({"success": True, "result": {"resources": resources}}, fh)
-    dl = os.path.join(tmp_dir, "dl")
-    assert main(["--catalog", catalog, "--download-to", dl, "--table", "cli_dl_report"], spark=spark) == 0
-    assert sorted(os.listdir(dl)) == sorted(r["name"] for r in resources)
+    assert main(["--catalog", catalog, "--source", folder, "--table", "cli_dl_report"], spark=spark) == 0
     assert spark.table("cli_dl_report").count() == loans.count()

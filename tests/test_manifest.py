@@ -60,13 +60,14 @@ def test_unsuccessful_lookup_fails(spark):
 def test_fetch_plan_skip_rule(spark, docs):
     entries = M.manifest(docs, formats=None)
     inventory = spark.createDataFrame(
-        [("file:/dl/public_150k_plus.csv", 100), ("file:/dl/r2", 7), ("file:/dl/r4", 0), ("file:/dl/up_to.csv", 2047)],
+        [("file:/dl/public_150k_plus.csv", 100), ("file:/dl/r2", 7), ("file:/dl/r4", 0), ("file:/dl/up_to.csv", 2047),
+         ("file:/dl/20240101/dictionary.xlsx", 5)],
         "path string, length bigint",
     )
-    todo = sorted(r["name"] for r in M.fetch_plan(entries, inventory).collect())
+    todo = sorted(r["name"] for r in M.fetch_plan(entries, inventory, "file:/dl").collect())
     # same name and size -> skipped; null size, size 0 and a size mismatch are fetched again
     assert todo == ["dictionary.xlsx", "r2", "r4", "up_to.csv"]
-    assert M.fetch_plan(entries, inventory, overwrite=True).count() == 5
+    assert M.fetch_plan(entries, inventory, "file:/dl", overwrite=True).count() == 5
 
 
 def test_totals(docs):
@@ -80,11 +81,8 @@ def test_failure_roll_up(spark):
     assert (s["n_failed"], s["n_total"]) == (2, 3)
     with pytest.raises(M.FetchFailed) as info:
         M.raise_on_failures(outcomes)
-    assert str(info.value) == "Failed to download 2 of 3 file(s): a.csv, b.csv"
-    assert info.value.failures.count() == 2
-    with pytest.raises(M.FetchFailed) as info:
-        M.raise_on_failures(outcomes, max_listed=1)
-    assert "see .failures" in str(info.value)
+    assert str(info.value).startswith("Failed to download 2 of 3 file(s)")
+    assert sorted(r["name"] for r in info.value.failures.collect()) == ["a.csv", "b.csv"]
     M.raise_on_failures(outcomes.filter("error is null"))
 
 
@@ -119,9 +117,7 @@ def test_failure_listing_needs_no_range_sort(spark):
     name = F.when(F.col("id") % 3 == 0, F.lit("a_hot.csv")).otherwise(F.concat(F.lit("f"), F.col("id").cast("string")))
     outcomes = spark.range(999).select(name.alias("name"), F.lit("boom").alias("error"))
     assert "rangepartitioning" not in plan_text(M.failed_entries(outcomes), "simple")
-    top = M.failed_entries(outcomes).select("name").orderBy("name").limit(3)
-    assert "TakeOrderedAndProject" in plan_text(top, "simple")
     with pytest.raises(M.FetchFailed) as info:
-        M.raise_on_failures(outcomes, max_listed=999)
-    assert str(info.value).startswith("Failed to download 999 of 999 file(s): a_hot.csv, a_hot.csv")
+        M.raise_on_failures(outcomes)
+    assert str(info.value).startswith("Failed to download 999 of 999 file(s)")
     assert info.value.failures.count() == 999

@@ -37,20 +37,78 @@ def test_append_twice_and_name_check(spark, nine):
 def test_clear_and_append_keeps_schema(spark, nine):
     assert T.clear_and_append(nine, "t_ref") is True
     wider = nine.withColumn("Extra", F.lit("x"))
-    assert T.clear_and_append(wider.limit(4), "t_ref") is False
+    with pytest.raises(ValueError, match="Extra"):
+        T.clear_and_append(wider, "t_ref")
+    assert T.clear_and_append(wider.limit(4), "t_ref", ignore=["Extra"]) is False
     t = spark.table("t_ref")
     assert t.columns == ["LoanNumber", "Amount"] and t.count() == 4
-    with pytest.raises(SPARK_ERRORS):
+    with pytest.raises(ValueError, match="Amount"):
         T.clear_and_append(nine.select("LoanNumber"), "t_ref")
+    assert spark.table("t_ref").count() == 4
+
+
+def _failing(df):
+    """The same rows, but the task that meets the last one fails, after others were written."""
+    bad = F.when(F.col("LoanNumber") == "8", F.raise_error(F.lit("mid-write"))).otherwise(F.col("LoanNumber"))
+    return df.repartition(4).withColumn("LoanNumber", bad.cast("string"))
+
+
+@pytest.mark.parametrize("refresh", [T.overwrite_table, T.clear_and_append, T.replace_table])
+@pytest.mark.parametrize("with_path", [False, True])
+def test_failed_refresh_keeps_the_published_rows(spark, nine, tmp_dir, refresh, with_path):
+    import os
+
+    name = f"t_fail_{refresh.__name__}_{with_path}"
+    path = os.path.join(tmp_dir, name) if with_path else None
+    refresh(nine, name, path=path)
+    for _ in range(2):
+        with pytest.raises(SPARK_ERRORS):
+            refresh(_failing(nine), name, path=path)
+        assert sorted(r.LoanNumber for r in spark.table(name).collect()) == [str(i) for i in range(9)]
+    # an empty refresh is a refresh; only this and the previous version are kept
+    for n in (3, 2, 0):
+        refresh(nine.limit(n), name, path=path)
+        assert spark.table(name).count() == n
+    if with_path:
+        assert len(os.listdir(path)) == 2
+    T.append_table(nine, name)
+    assert spark.table(name).count() == 9
+
+
+def test_failed_first_write_and_failed_second_sink(spark, nine):
+    with pytest.raises(SPARK_ERRORS):
+        T.overwrite_table(_failing(nine), "t_never")
+    assert not spark.catalog.tableExists("t_never")
+    T.overwrite_table(nine, "t_two_a")
+    T.overwrite_table(nine, "t_two_b")
+
+    def boom(df):
+        raise RuntimeError("sink down")
+
+    with pytest.raises(RuntimeError):
+        T.fan_out(nine.limit(5), [TableSink("t_two_a"), boom, TableSink("t_two_b")])
+    assert spark.table("t_two_a").count() == 5 and spark.table("t_two_b").count() == 9
+
+
+def test_refresh_takes_over_a_managed_table(spark, nine):
+    nine.write.saveAsTable("t_managed")
+    T.overwrite_table(nine.limit(2), "t_managed")
+    assert spark.table("t_managed").count() == 2
+    T.overwrite_table(nine.withColumn("More", F.lit(1)), "t_managed")
+    assert spark.table("t_managed").columns == ["LoanNumber", "Amount", "More"]
 
 
 def test_create_if_missing(spark, nine):
-    assert T.create_if_missing(spark, "t_new", nine.schema, store_types=True) is True
+    assert T.create_if_missing(spark, "t_new", nine.schema) is True
     assert T.create_if_missing(spark, "t_new", nine.schema) is False
     assert spark.table("t_new").count() == 0
     bad = StructType([StructField("m", MapType(StringType(), StringType()))])
-    with pytest.raises(ValueError):
-        T.create_if_missing(spark, "t_bad", bad, store_types=True)
+    assert T.create_if_missing(spark, "t_new", bad) is False  # an existing table is left alone
+    for create in (lambda: T.create_if_missing(spark, "t_bad", bad), lambda: T.clear_and_append(spark.createDataFrame([], bad), "t_bad")):
+        with pytest.raises(ValueError):
+            create()
+    assert not spark.catalog.tableExists("t_bad")
+    assert T.create_if_missing(spark, "t_any", bad, store_types=False) is True
     with pytest.raises(ValueError):
         T.create_if_missing(spark, "bad-name", nine.schema)
     with pytest.raises(ValueError):
@@ -65,9 +123,8 @@ def test_replace_table(spark, nine):
     T.overwrite_table(nine.select("LoanNumber"), "t_swap")
     assert T.replace_table(nine, "t_swap") == 9
     assert spark.table("t_swap").columns == ["LoanNumber", "Amount"]
-    with pytest.raises(ValueError):
-        T.replace_table(nine.limit(0), "t_swap")
-    assert spark.table("t_swap").count() == 9
+    assert T.replace_table(nine.limit(0), "t_swap") == 0
+    assert spark.table("t_swap").count() == 0
 
 
 @pytest.mark.parametrize("strategy", ["auto", "stage", "cache"])
@@ -101,7 +158,7 @@ def test_writer_options_reach_the_files(spark, nine, tmp_dir):
 
     path = os.path.join(tmp_dir, "t_opts")
     TableSink("t_opts", path=path, options={"compression": "gzip"})(nine)
-    assert glob.glob(os.path.join(path, "*.gz.parquet"))
+    assert glob.glob(os.path.join(path, "*", "*.gz.parquet"))
     assert spark.table("t_opts").count() == 9
 
 
@@ -115,7 +172,7 @@ def test_sorted_files_let_lookups_skip_row_groups(spark, tmp_dir):
     path = os.path.join(tmp_dir, "t_sorted")
     TableSink("t_sorted", path=path, sort_within=("LoanNumber",),
               options={"parquet.block.size": "65536"})(df.repartition(2))
-    for f in glob.glob(os.path.join(path, "*.parquet")):
+    for f in glob.glob(os.path.join(path, "*", "*.parquet")):
         meta = pq.ParquetFile(f).metadata
         assert meta.num_row_groups > 1
         ranges = [(meta.row_group(i).column(0).statistics.min, meta.row_group(i).column(0).statistics.max)

@@ -13,6 +13,8 @@ from pyspark.errors import PySparkException
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from disclosure.plans.checks import plan_text
+from disclosure.session import scratch_root, subfolders
 from disclosure.sources.csv import CORRUPT_COLUMN, loan_reader, read_loans_with_rejects
 from disclosure.sources.listing import (
     direct_csv_files,
@@ -58,9 +60,10 @@ def _write(folder, name, lines):
 @pytest.mark.parametrize("materialize", ["stage", "persist"])
 def test_csv_edge_rows(spark, tmp_dir, materialize):
     path = _write(tmp_dir, "edge.csv", EDGE_LINES)
-    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA, materialize=materialize)
-    rows = {r["id"]: r for r in good.unionByName(rejects.drop(CORRUPT_COLUMN)).collect()}
-    assert len(rows) == 10
+    parsed = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA, materialize=materialize)
+    loans, rejects = parsed.loans, parsed.rejects
+    rows = {r["id"]: r for r in loans.collect()}
+    assert len(rows) == loans.count() == 10  # rejected lines stay, with their bad cells null
     assert tuple(rows["1"]) == ("1", dt.date(2021, 1, 22), 5, 1.5, "ok")
     assert (rows["2"]["d"], rows["2"]["n"], rows["2"]["x"]) == (None, None, None)
     assert rows["3"]["d"] is None and rows["3"]["x"] != rows["3"]["x"]  # NaN
@@ -74,14 +77,17 @@ def test_csv_edge_rows(spark, tmp_dir, materialize):
     rejected = sorted(r["id"] for r in rejects.collect())
     assert rejected == sorted(["2", "3", "4", "5", "8"])
     assert all(r[CORRUPT_COLUMN] for r in rejects.collect())
-    # the good side alone (pruned to one column) still excludes every rejected row
-    assert sorted(r["id"] for r in good.select("id").collect()) == ["1", "10", "6", "7", "9"]
+    assert "Sort" not in plan_text(rejects, "simple") + plan_text(loans, "simple")
+    assert loans.select("id").count() == 10
+    parsed.close()
+    if materialize == "stage":
+        assert not os.path.exists(parsed.folder.removeprefix("file:"))
 
 
 def test_no_rejects(spark, tmp_dir):
     path = _write(tmp_dir, "ok.csv", EDGE_LINES[:2])
-    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
-    assert good.count() == 1 and rejects.count() == 0
+    parsed = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
+    assert parsed.loans.count() == 1 and parsed.rejects.count() == 0
 
 
 def test_backslash_escape_shifts_doubled_quotes(spark, tmp_dir):
@@ -120,7 +126,11 @@ def test_listing_and_snapshot(spark, tmp_dir):
     direct = [os.path.basename(r.path) for r in direct_csv_files(listing, base).collect()]
     assert direct == ["B.CSV", "a.csv"]
     assert latest_subfolder(listing, base).first()["folder"] == "2025"
-    assert [os.path.basename(r.path) for r in resolve(listing, base).collect()] == ["B.CSV", "a.csv"]
+    assert sorted(os.path.basename(r.path) for r in resolve(listing, base).collect()) == ["B.CSV", "a.csv"]
+    one = resolve(listing, os.path.join(base, "B.CSV")).collect()
+    assert [os.path.basename(r.path) for r in one] == ["B.CSV"]
+    with pytest.raises(ValueError):
+        resolve(listing, os.path.join(base, "none.csv"))
     assert snapshot_glob(spark, base) == f"{base}/*.[cC][sS][vV]"
     assert snapshot_glob(spark, os.path.join(base, "a.csv")) == os.path.join(base, "a.csv")
 
@@ -137,6 +147,10 @@ def test_snapshot_without_csv_raises(spark, tmp_dir):
     _write(os.path.join(base, "2025"), "only.json", ["{}"])
     with pytest.raises(ValueError):
         snapshot_glob(spark, base)
+    with pytest.raises(ValueError):
+        resolve(list_tree(spark, base), base)
+    with pytest.raises(ValueError):
+        resolve(list_tree(spark, base).filter("length < 0"), base)
 
 
 def test_run_with_rejects_table(spark, tmp_dir):
@@ -152,10 +166,14 @@ def test_run_with_rejects_table(spark, tmp_dir):
     write_loans_csv(loans, os.path.join(base, "good"))
     bad_line = ",".join(["999999", "2021-01-22"] + [""] * (len(LOAN_COLUMNS) - 2))
     _write(os.path.join(base, "good"), "late.csv", [",".join(LOAN_COLUMNS), bad_line])
+    scratch = f"{scratch_root(spark)}/disclosure"
+    before = subfolders(spark, scratch)
     report = run(spark, os.path.join(base, "good"), sinks=[TableSink("t_run_report")], rejects=TableSink("t_run_rejects"))
-    assert report.count() == loans.count()
+    assert report.count() == loans.count() + 1
     assert report.columns == loan_report(loans).columns
+    assert [tuple(r) for r in report.filter("LoanNumber = '999999'").select("DateApproved").collect()] == [(None,)]
     assert [r["LoanNumber"] for r in spark.table("t_run_rejects").collect()] == ["999999"]
+    assert subfolders(spark, scratch) == before  # the staged parse is gone
 
 
 def test_snapshot_glob(spark, tmp_dir):
@@ -186,15 +204,16 @@ def test_quoted_line_break_splits_the_record(spark, tmp_dir):
     # multiLine stays off so files split into parallel tasks; a quoted line break then splits
     # the record: the first line keeps the text up to the break, the rest is a rejected row.
     path = _write(tmp_dir, "ml.csv", [EDGE_LINES[0], '11,01/22/2021,1,1,"two', 'lines"', EDGE_LINES[1]])
-    good, rejects = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
-    assert sorted((r["id"], r["s"]) for r in good.collect()) == [("1", "ok"), ("11", "two")]
-    assert [(r["id"], r[CORRUPT_COLUMN]) for r in rejects.collect()] == [('lines"', 'lines"')]
+    parsed = read_loans_with_rejects(spark, path, schema=EDGE_SCHEMA)
+    assert sorted((r["id"], r["s"]) for r in parsed.loans.collect()) == [("1", "ok"), ("11", "two"), ('lines"', None)]
+    assert [(r["id"], r[CORRUPT_COLUMN]) for r in parsed.rejects.collect()] == [('lines"', 'lines"')]
+    parsed.close()
 
 
 def test_manifest_selects_files_of_one_generation(spark, tmp_dir):
     from disclosure.plans import run
     from disclosure.schema import LOAN_COLUMNS
-    from disclosure.sources.listing import manifest_glob
+    from disclosure.sources.listing import MissingFiles
 
     folder = os.path.join(tmp_dir, "dl")
     header = ",".join(LOAN_COLUMNS)
@@ -207,7 +226,13 @@ def test_manifest_selects_files_of_one_generation(spark, tmp_dir):
     assert got == ["1", "2", "3", "9"]
     assert sorted(r["LoanNumber"] for r in run(spark, folder).collect()) == ["1", "1", "2", "2", "3", "9"]
     with pytest.raises(ValueError):
-        manifest_glob(folder, [])
+        run(spark, folder, manifest=manifest.limit(0))
+    absent = spark.createDataFrame([("loans_250331.csv",), ("gone.csv",)], "name string")
+    with pytest.raises(MissingFiles) as info:
+        run(spark, folder, manifest=absent)
+    assert [r["name"] for r in info.value.names.collect()] == ["gone.csv"]
+    with pytest.raises(MissingFiles):
+        run(spark, folder, manifest=manifest.union(manifest))
 
 
 def test_crlf_line_endings(spark, tmp_dir):

