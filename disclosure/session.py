@@ -102,6 +102,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Folders directly in ``path`` (none if it does not exist)."""
     fs, folder = _folder(spark, path)

@@ -13,21 +13,20 @@ Structured Streaming query instead:
   so a restarted or retried run neither skips nor duplicates a file.
 
 ``trigger(availableNow=True)`` processes everything that has landed and stops, so the query
-can be scheduled like a batch job. The checkpoint must live in a shared folder; by default it
-is a stable folder, derived from the landing and output paths, under the session's
-checkpoint folder.
+can be scheduled like a batch job. The checkpoint belongs to the output: by default it is the
+folder beside it, so every session and every run finds it again. A fresh checkpoint over an
+output that already holds batches would number its batches from zero, which the output takes for
+repeats and skips; that is refused.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from disclosure.operators.report import loan_report
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
-from disclosure.session import scratch_root
+from disclosure.session import folder_exists
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -55,13 +54,9 @@ def loan_stream(
     return reader.load(landing)
 
 
-def default_checkpoint(spark: SparkSession, landing: str, output: str) -> str:
-    """A stable checkpoint folder for the (landing, output) pair under the shared checkpoint folder.
-
-    Stable, so that every scheduled run resumes where the previous one stopped.
-    """
-    key = hashlib.sha256(f"{landing}\0{output}".encode()).hexdigest()[:24]
-    return f"{scratch_root(spark)}/disclosure/stream-checkpoint-{key}"
+def default_checkpoint(output: str) -> str:
+    """The checkpoint folder beside ``output``, on the same file system."""
+    return f"{output.rstrip('/')}__checkpoint"
 
 
 def publish_stream(
@@ -76,13 +71,17 @@ def publish_stream(
     """Starts the incremental report query from ``landing`` into Parquet files at ``output``.
 
     With ``available_now`` (default) the query drains what has landed and stops; otherwise it
-    runs continuously with ``processing_time`` micro-batches.
+    runs continuously with ``processing_time`` micro-batches. A ``checkpoint`` that is not the
+    one that ``output`` was written with is a ``ValueError``.
     """
+    checkpoint = checkpoint or default_checkpoint(output)
+    if folder_exists(spark, f"{output.rstrip('/')}/_spark_metadata") and not folder_exists(spark, checkpoint):
+        raise ValueError(f"{output} holds batches of another checkpoint than {checkpoint}; new files would be skipped")
     writer = (
         loan_report(loan_stream(spark, landing, **stream_options))
         .writeStream.format("parquet")
         .option("path", output)
-        .option("checkpointLocation", checkpoint or default_checkpoint(spark, landing, output))
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
     if available_now:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from disclosure.sources.csv import write_loans_csv
@@ -32,13 +33,15 @@ def test_incremental_publish_is_exactly_once(spark, tmp_dir):
     loans.unpersist()
 
 
-def test_default_checkpoint_is_stable(spark, tmp_dir):
-    from disclosure.streaming.publish import default_checkpoint
-
+def test_checkpoint_belongs_to_the_output(spark, tmp_dir):
     landing, out = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "o")
-    assert default_checkpoint(spark, landing, out) == default_checkpoint(spark, landing, out)
-    assert default_checkpoint(spark, landing, out) != default_checkpoint(spark, landing, out + "2")
     loans = loans_from_star(spark, SF001)
-    write_loans_csv(loans, landing)
-    assert publish_available(spark, landing, out).count() == loans.count()
-    assert publish_available(spark, landing, out).count() == loans.count()
+    write_loans_csv(loans.filter("LoanNumber % 2 = 0"), landing)
+    n = publish_available(spark, landing, out).count()
+    assert os.path.isdir(out + "__checkpoint")
+    # a later run of another session finds the same checkpoint and adds only the new files
+    write_loans_csv(loans.filter("LoanNumber % 2 = 1"), landing, mode="append")
+    assert publish_available(spark.newSession(), landing, out).count() == loans.count() > n
+    with pytest.raises(ValueError):
+        publish_available(spark, landing, out, os.path.join(tmp_dir, "fresh"))
+    assert spark.read.parquet(out).count() == loans.count()
