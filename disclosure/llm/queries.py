@@ -170,4 +170,79 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS B
 FROM given LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_substring": OP3_SQL, "op5_chat": OP5_SQL}
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP2_SQL = rf"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM given WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * c >= 80 * (a.n + b.n - c)
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN both_ways l ON r.y = l.x
+), found AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM found LEFT JOIN sizes USING (doc_id)
+"""
+OP8_SQL = rf"""
+WITH given AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS p
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM given)
+), often AS (
+  SELECT doc_id, p FROM windows GROUP BY doc_id, p HAVING count(*) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS j FROM windows JOIN often USING (doc_id, p)) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, source, text, line,
+    array_to_string(regexp_extract_all({_LOWER.format("line")}, '{_WORD}'), ' ') AS plain,
+    len(regexp_extract_all(line, '{_WORD}')) AS n
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM given)
+), dups AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE n > 0 GROUP BY doc_id
+), hosts AS (
+  SELECT source, count(DISTINCT text) AS docs FROM given GROUP BY source
+), frequent AS (
+  SELECT source, plain FROM lines JOIN hosts USING (source) WHERE n > 0
+  GROUP BY source, plain, docs
+  HAVING count(DISTINCT text) > {quality.LIMIT_DOCS} AND count(DISTINCT text) > docs * {quality.LIMIT_SHARE}
+), lost AS (
+  SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN frequent USING (source, plain) GROUP BY doc_id
+), counted AS (
+  SELECT g.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(d.n, 0) AS n_dup_lines,
+    coalesce(c.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS lost
+  FROM given g LEFT JOIN dups d USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN lost l USING (doc_id)
+), judged AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND n_words - lost >= n_words * {quality.MIN_LEFT} AS kept
+FROM judged
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_minhash": OP2_SQL,
+    "op3_substring": OP3_SQL,
+    "op5_chat": OP5_SQL,
+    "op8_quality": OP8_SQL,
+}
