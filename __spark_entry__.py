@@ -579,7 +579,11 @@ def _optional() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], di
     """Queries and SQL of the optional subpackage and its pipeline; none when it isn't there."""
     from importlib.util import find_spec
 
-    if find_spec("disclosure.llm") is None:
+    try:
+        found = find_spec("disclosure.llm.queries")
+    except ModuleNotFoundError:
+        found = None
+    if found is None:
         return {}, {}
     from disclosure.llm.queries import ORACLES, QUERIES
 
