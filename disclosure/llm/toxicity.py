@@ -107,6 +107,7 @@ def choose_features(
     p = (positive + 0.5) / (n_positive + 1)
     q = (everywhere + 0.5) / (n_docs + 1)
     gain = n_positive * (p * np.log(p / q) + (1 - p) * np.log((1 - p) / np.maximum(1 - q, 1e-9)))
+    gain[p <= q] = 0  # clean words are no evidence: one insult in a long text is still one
     best = np.argsort(-gain, kind="stable")[:kept]
     return np.sort(best[gain[best] >= EVIDENCE])
 
@@ -149,6 +150,7 @@ def train(
         second = 0.999 * second + 0.001 * grad**2
         pace = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         weights -= pace * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        np.maximum(weights[:width], 0, out=weights[:width])
     return weights[:width], float(weights[width])
 
 
