@@ -6,13 +6,15 @@ smallest id, and only representatives go on.
 
 Candidates come from inverted lists of the kept values. Two sets of similarity 0.8 share at least
 :func:`least_overlap` kept values (exactly for sets that fit the sketch, else but for a chance
-below 1e-9), so they also share one of the rarest ``k - overlap + 1`` values of each: only
+of about 1e-6), so they also share one of the rarest ``k - overlap + 1`` values of each: only
 those are listed, and most documents end up in no list at all. Within a list every member is
 paired with one member chosen by hash, a different one in each list, so a group of copies of any
-size gives a linear number of pairs and is connected by them; members that then lie in different
-components are paired with each other. The union-sketch estimate filters the pairs, and the
-exact Jaccard similarity of the full sets confirms them: first the few best of each document,
-then those that still join two components. Pairs inside one component cannot change it.
+size gives a linear number of pairs and is connected by them. Members that then lie in different
+components are paired with each other: all of them in short lists; in long ones only those whose
+full sets share enough values with other components to be similar to anything there. The
+union-sketch estimate filters the pairs, and the exact Jaccard similarity of the full sets
+confirms them: first the few best of each document, then those that still join two components.
+Pairs inside one component cannot change it.
 
 Components are found by hooking each onto its smallest neighbour and halving the paths. Nothing
 but counts reaches the driver; every step is written to the shared scratch folder.
@@ -38,9 +40,11 @@ from disclosure.llm.text import Words, blocks, lists, mix, span_hashes
 
 SKETCH = 96
 SIMILARITY = (80, 100)  # 100 * intersection >= 80 * union
+SHORT_LIST = 32  # members up to which a list is paired completely
 BEST = 3  # pairs of each document that are confirmed first
-# Least union-sketch estimate: a pair of similarity 0.8 falls below it with a chance under 1e-6.
-LEAST_ESTIMATE = 0.55
+# Least union-sketch estimate, and least share of a sketch that similar sets have in common: a
+# pair of similarity 0.8 falls below it with a chance of about one in a million.
+LEAST_ESTIMATE = 0.58
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -62,6 +66,13 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, i
     return rows[new], values[new], len(column)
 
 
+def _set_hash(rows: np.ndarray, values: np.ndarray, n: int, salt: int) -> np.ndarray:
+    """A hash of each row's whole set."""
+    total = np.zeros(n, dtype=np.uint64)
+    np.add.at(total, rows, mix(values.view(np.uint64) + np.uint64(salt)))
+    return total.view(np.int64)
+
+
 def sketches(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text", k: int = SKETCH) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b`` (hashes of the whole set) and ``sketch``, per row."""
 
@@ -71,11 +82,7 @@ def sketches(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text"
             counts = np.bincount(rows, minlength=n)
             begin = np.cumsum(counts) - counts
             kept = np.arange(len(rows)) - begin[rows] < k
-            sums = []
-            for salt in (1, 2):
-                total = np.zeros(n, dtype=np.uint64)
-                np.add.at(total, rows, mix(values.view(np.uint64) + np.uint64(salt)))
-                sums.append(pa.array(total.view(np.int64)))
+            sums = [pa.array(_set_hash(rows, values, n, salt)) for salt in (1, 2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pa.array(counts.astype(np.int64)), *sums, lists(values[kept], np.minimum(counts, k))],
                 names=["doc_id", "n_shingles", "set_a", "set_b", "sketch"],
@@ -85,32 +92,38 @@ def sketches(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text"
     return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, schema)
 
 
-def full_sets(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, shingles``: the whole set of every row."""
+def full_sets(docs: DataFrame, wanted: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, shingles``: the whole set of every row whose id and set (``id, set_a``) is wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, text):
             rows, values, n = shingle_sets(batch.column(text), size)
+            own = _set_hash(rows, values, n, 1) == np.asarray(batch.column("set_a"))
+            counts = np.bincount(rows, minlength=n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), lists(values, np.bincount(rows, minlength=n))], names=["id", "shingles"]
+                [batch.column(key).filter(pa.array(own)), lists(values[own[rows]], counts[own])], names=["id", "shingles"]
             )
 
-    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, "id long, shingles array<long>")
+    texts = docs.select(F.col(key).cast("long").alias(key), text).join(
+        wanted.withColumnRenamed("id", "wanted_id"), F.col(key) == F.col("wanted_id")
+    )
+    return texts.select(key, text, "set_a").mapInArrow(run, "id long, shingles array<long>")
 
 
 def least_overlap(n: Column, k: int = SKETCH) -> Column:
     """Kept values that a set of ``n`` shares at least with any set of similarity 0.8.
 
     A set that fits the sketch and a partner of up to 1.25 times its size: 0.8 of the larger one,
-    less what the partner cannot keep. Beyond, half of ``k``: of the ``k`` smallest values of
-    the union each is common with chance 0.8.
+    less what the partner cannot keep. Beyond, :data:`LEAST_ESTIMATE` of ``k``: of the ``k``
+    smallest values of the union each is common with chance 0.8.
     """
     fits = F.least(F.ceil(n * F.lit(SIMILARITY[0]) / F.lit(SIMILARITY[1])), F.lit(k - k // 4))
-    return F.when(n <= k, fits).otherwise(k // 2)
+    return F.when(n <= k, fits).otherwise(int(LEAST_ESTIMATE * k))
 
 
 def prefixes(classes: DataFrame, k: int = SKETCH) -> DataFrame:
-    """``value, id``: the rarest kept values of every set, as far as another set has them, too."""
+    """``value, id, n``: the rarest kept values of every set of size ``n``, as far as another set
+    has them, too."""
     postings = classes.select("id", F.explode("sketch").alias("value"))
     shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     held = postings.join(shared, "value").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("held"))
@@ -120,8 +133,8 @@ def prefixes(classes: DataFrame, k: int = SKETCH) -> DataFrame:
         held.join(classes.select("id", "n_shingles"), "id")
         .withColumn("room", room.cast("int"))
         .filter("room > 0")
-        .select("id", F.explode(F.slice("held", F.lit(1), F.col("room"))).alias("h"))
-        .select("id", F.col("h.value").alias("value"))
+        .select("id", "n_shingles", F.explode(F.slice("held", F.lit(1), F.col("room"))).alias("h"))
+        .select(F.col("h.value").alias("value"), "id", F.col("n_shingles").alias("n"))
     )
 
 
@@ -134,15 +147,11 @@ def estimate(a: Column, b: Column, k: int = SKETCH) -> Column:
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b, estimate`` of the pairs that the estimate lets pass (and whose sizes allow it)."""
-    side = lambda x: classes.select(
-        F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")
-    )
-    low, high = SIMILARITY
+    """``a, b, estimate`` of the pairs that the estimate lets pass."""
+    side = lambda x: classes.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch_{x}"))
     return (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .filter(F.least("n_a", "n_b") * high >= F.greatest("n_a", "n_b") * low)
         .withColumn("estimate", estimate(F.col("sketch_a"), F.col("sketch_b")))
         .filter(F.col("estimate") >= LEAST_ESTIMATE)
         .select("a", "b", "estimate")
@@ -211,26 +220,28 @@ def near_duplicates(
         linkable.join(copies.select("id", *[F.col(c).alias(f"of_{c}") for c in same]), F.col("doc_id") == F.col("id"))
         .filter(" AND ".join(f"{c} = of_{c}" for c in same))
         .groupBy("id")
-        .agg(F.max_by(F.struct("n_shingles", "sketch"), F.struct("n_shingles", "set_a")).alias("s"))
-        .select("id", "s.n_shingles", "s.sketch"),
+        .agg(F.max_by(F.struct("n_shingles", "set_a", "sketch"), F.struct("n_shingles", "set_a")).alias("s"))
+        .select("id", "s.n_shingles", "s.set_a", "s.sketch"),
         "classes",
     )
     listed = written(prefixes(classes, k), "prefixes")
+    low, high = SIMILARITY
+    near_size = lambda m, n: F.least(m, n) * high >= F.greatest(m, n) * low
     pivots = listed.groupBy("value").agg(
-        F.min(F.struct(F.xxhash64("value", "id").alias("h"), F.col("id").alias("id"))).alias("pivot"),
-        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(F.xxhash64("value", "id").alias("h"), F.col("id").alias("id"), F.col("n").alias("n"))).alias("p"),
+        F.count(F.lit(1)).alias("members"),
     )
-    with_pivot = listed.join(pivots.filter("n > 1").select("value", F.col("pivot.id").alias("pivot")), "value")
-    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    pairs = with_pivot.filter("id <> pivot").select(*pair("id", "pivot")).distinct()
+    pivots = pivots.filter("members > 1").select("value", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    chosen = listed.join(pivots, "value").filter((F.col("id") != F.col("pivot")) & near_size(F.col("n"), F.col("pivot_n")))
+    pairs = chosen.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     pairs = written(_estimated(pairs, classes), "pairs")
 
-    members = written(listed.select("id").distinct(), "members")
-    texts = docs.select(F.col(key).cast("long").alias(key), text)
-    texts = texts.join(members, F.col(key) == F.col("id"), "left_semi")
-    sets = full_sets(texts, size, key, text).groupBy("id").agg(F.max_by("shingles", F.size("shingles")).alias("shingles"))
-    sets = written(sets, "sets")
+    def sets_of(ends: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+        """Ids at the ends of pairs, and their full sets."""
+        ids = written(ends.select(F.explode(F.array("a", "b")).alias("id")).distinct(), label)
+        return ids, written(full_sets(docs, ids.join(classes.select("id", "set_a"), "id"), size, key, text), label)
 
+    members, sets = sets_of(pairs, "sets")
     ends = pairs.select("a", "b", "estimate", F.explode(F.array("a", "b")).alias("end"))
     best = Window.partitionBy("end").orderBy(F.desc("estimate"), F.xxhash64("a", "b"))
     first = ends.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= BEST).select("a", "b").distinct()
@@ -239,14 +250,47 @@ def near_duplicates(
     labels = connect(labels, confirmed(_across(pairs, labels), sets))
 
     # What the chosen members did not decide: the other pairs of lists with several components.
-    inside = listed.join(labels, "id")
-    several = inside.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    inside = inside.join(several.filter("lo <> hi").select("value"), "value")
-    left = inside.select("value", F.col("id").alias("a"), F.col("component").alias("c_a"))
-    right = inside.select("value", F.col("id").alias("b"), F.col("component").alias("c_b"))
-    rest = left.join(right, "value").filter("a < b AND c_a <> c_b").select("a", "b").distinct()
-    rest = written(_estimated(rest.join(pairs, ["a", "b"], "left_anti"), classes), "rest")
-    labels = connect(labels, confirmed(rest, sets))
+    inside = listed.join(labels, "id", "left").select("value", "id", "n", F.coalesce("component", "id").alias("c"))
+    several = inside.groupBy("value").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("members")
+    )
+    inside = inside.join(several.filter("lo <> hi").select("value", "members"), "value")
+    inside = written(inside, "undecided")
+
+    def across(rows: DataFrame, near) -> DataFrame:
+        """Pairs of different components, each from the first of the lists that both are in."""
+        mine = rows.groupBy("id").agg(F.sort_array(F.collect_set("value")).alias("lists"))
+        rows = rows.join(mine, "id")
+        held = ("id", "n", "c", "common", "lists")
+        left = rows.select("value", *[F.col(c).alias(f"{c}_a") for c in held])
+        right = rows.select(F.col("value").alias("of"), *[F.col(c).alias(f"{c}_b") for c in held])
+        different = (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b"))
+        first = F.array_min(F.array_intersect("lists_a", "lists_b")) == F.col("value")
+        joined = left.join(right, (F.col("value") == F.col("of")) & different & near & first)
+        new = joined.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+        return new.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+
+    # Short lists: all pairs, a bounded number for each member.
+    short = inside.filter(F.col("members") <= SHORT_LIST).withColumn("common", F.lit(0))
+    rest = written(_estimated(across(short, near_size(F.col("n_a"), F.col("n_b"))), classes), "rest")
+    # Long lists: only the values that a set shares with another component can be common to a pair.
+    long = inside.filter(F.col("members") > SHORT_LIST)
+    ids = written(long.select("id", "c").distinct(), "long-ids")
+    long_sets = written(full_sets(docs, ids.join(classes.select("id", "set_a"), "id"), size, key, text), "long-sets")
+    held = long_sets.join(ids, "id").select("id", "c", F.explode("shingles").alias("shingle"))
+    spread = held.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    common = held.join(spread, "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("common"))
+    long = long.join(common, "id").filter(F.col("common") * high >= F.col("n") * low)
+    # intersection >= 0.8 * union, with both sizes given: intersection * 1.8 >= 0.8 * (n_a + n_b)
+    fits = F.least("common_a", "common_b") * (low + high) >= (F.col("n_a") + F.col("n_b")) * low
+    long_pairs = written(across(long, fits), "long-pairs")
+
+    new = inside.select("id").distinct().join(labels.select("id"), "id", "left_anti")
+    labels = written(labels.unionByName(new.select("id", F.col("id").alias("component"))), "labels")
+    if not rest.isEmpty():
+        _, more = sets_of(rest, "more-sets")
+        labels = connect(labels, confirmed(rest, more))
+    labels = connect(labels, confirmed(long_pairs, long_sets))
 
     found = copies.join(labels, "id", "left").select(*same, F.coalesce("component", "id").alias("component"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
