@@ -10,11 +10,18 @@ of about 1e-6), so they also share one of the rarest ``k - overlap + 1`` values
 those are listed, and most documents end up in no list at all. Within a list every member is
 paired with one member chosen by hash, a different one in each list, so a group of copies of any
 size gives a linear number of pairs and is connected by them. Members that then lie in different
-components are paired with each other: all of them in short lists; in long ones only those whose
-full sets share enough values with other components to be similar to anything there. The
-union-sketch estimate filters the pairs, and the exact Jaccard similarity of the full sets
-confirms them: first the few best of each document, then those that still join two components.
-Pairs inside one component cannot change it.
+components are compared with each other inside the tasks: a list is cut into blocks, every two
+blocks meet in one task, and what comes out is a spanning forest of the links found, never the
+pairs. Before, the sets without enough shingles that some other component has are left out.
+
+The union-sketch estimate filters every pair, and the exact Jaccard similarity of the full sets
+confirms it: first the few best of each document, then those that still join two components,
+then those inside the meetings. Pairs inside one component cannot change it.
+
+The rows are linear in the listed values however large a group is; the comparisons inside the
+tasks are quadratic only in the members of one list that are left in different components,
+which are alike but below the threshold. With ``k`` at least the largest set's size every step is
+exact; with the default, see :data:`LEAST_ESTIMATE`.
 
 Components are found by hooking each onto its smallest neighbour and halving the paths. Nothing
 but counts reaches the driver; every step is written to the shared scratch folder.
@@ -40,7 +47,8 @@ from disclosure.llm.text import Words, blocks, lists, mix, span_hashes
 
 SKETCH = 96
 SIMILARITY = (80, 100)  # 100 * intersection >= 80 * union
-SHORT_LIST = 32  # members up to which a list is paired completely
+BLOCK_MEMBERS = 1024  # members and shingles of a block of a long list, about
+BLOCK_SHINGLES = 1 << 18
 BEST = 3  # pairs of each document that are confirmed first
 # Least union-sketch estimate, and least share of a sketch that similar sets have in common: a
 # pair of similarity 0.8 falls below it with a chance of about one in a million.
@@ -205,6 +213,129 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").filter("c_a <> c_b").drop("c_a", "c_b")
 
 
+def _several(rows: DataFrame) -> DataFrame:
+    """``rows`` (``value, id, n, c``) of the lists with members in several components ``c``."""
+    spread = rows.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    return rows.join(written(spread.select("value"), "several"), "value")
+
+
+def shared_sets(whole: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, shared``: the shingles of each set that another component has, too, where they are
+    enough for a link (100 * shared >= 80 * n); the other sets can't be linked with any component.
+    """
+    low, high = SIMILARITY
+    held = written(whole.join(ids, "id").select("id", "c", "n", F.explode("shingles").alias("shingle")), "held")
+    spread = held.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    shared = held.join(written(spread.select("shingle"), "spread"), "shingle")
+    found = shared.groupBy("id", "n").agg(F.collect_list("shingle").alias("shared"))
+    return found.filter(F.size("shared") * high >= F.col("n") * low).select("id", "shared")
+
+
+def members_at_meetings(inside: DataFrame, shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of the undecided lists, dealt to meetings of two blocks ``x <= y`` of a list.
+
+    Every list goes to its member with the smallest hash, its leader: the lists of a group, which
+    hold nearly the same members, mostly share one, and become one list there. Two members of a
+    list thus share a leader. A list is cut by a hash into blocks of about :data:`BLOCK_MEMBERS` members and
+    :data:`BLOCK_SHINGLES` shingles, so that a meeting is bounded however long the list is. Each
+    row has its block, its lists (a pair is compared in the first one that both are in), its
+    sketch and its shared shingles.
+    """
+    left = _several(inside.join(shared.select("id", F.size("shared").alias("held")), "id"))
+    left = written(left, "left")
+    leader = left.groupBy("value").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("l"))
+    leader = written(leader.select("value", F.col("l.id").alias("leader")), "leaders")
+    led = left.join(leader, "value").select(F.col("leader").alias("value"), "id", "n", "c", "held").distinct()
+    left = written(led, "led")
+    lists_of = written(left.groupBy("id").agg(F.sort_array(F.collect_set("value")).alias("lists")), "lists")
+    sizes = left.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.sum("held").alias("s"))
+    blocks_of = F.greatest(F.ceil(F.col("m") / BLOCK_MEMBERS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
+    sizes = written(sizes.select("value", blocks_of.alias("blocks")), "list-sizes")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    met = (
+        left.join(sizes, "value")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("value", "id", "n", "c", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    )
+    return met.join(lists_of, "id").join(shared, "id").join(classes.select("id", "sketch"), "id")
+
+
+def _padded(column: pa.ChunkedArray, fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """A list column as a matrix, short rows filled up; and the lengths."""
+    flat = column.combine_chunks()
+    counts = np.asarray(flat.value_lengths())
+    out = np.full((len(flat), max(1, int(counts.max()))), fill, dtype=np.int64)
+    out[np.arange(out.shape[1])[None, :] < counts[:, None]] = np.asarray(flat.flatten())
+    return out, counts
+
+
+def _estimates(own: np.ndarray, others: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
+    """:func:`estimate` of one sorted sketch with each row of ``others`` (sorted, filled up)."""
+    before = np.searchsorted(own, others)  # own values below each of the others'
+    both = own[np.minimum(before, len(own) - 1)] == others
+    both &= np.arange(others.shape[1])[None, :] < counts[:, None]
+    common = np.cumsum(both, axis=1)
+    place = np.arange(others.shape[1])[None, :] + before - (common - both)  # place in the union
+    union = len(own) + counts - common[:, -1]
+    top = np.where((counts < k) & (len(own) < k), union, np.minimum(union, k))
+    return (both & (place < top[:, None])).sum(axis=1) / top
+
+
+def _links(k: int):
+    """For a meeting: pairs of similar sets that join two components, a spanning forest of them.
+
+    Pairs of one component, of sizes that can't be similar or with an earlier list in common are
+    left out; the estimate passes the others on to the exact comparison of the shared shingles.
+    """
+    low, high = SIMILARITY
+
+    def run(meeting: pa.Table) -> pa.Table:
+        x, y = meeting["x"][0].as_py(), meeting["y"][0].as_py()
+        value = meeting["value"][0].as_py()
+        order = np.argsort(meeting["id"].to_numpy(), kind="stable")
+        meeting = meeting.take(pa.array(order))
+        ids, n, c, block = (meeting[name].to_numpy() for name in ("id", "n", "c", "block"))
+        sketch, kept = _padded(meeting["sketch"], np.iinfo(np.int64).max)
+        lists_, _ = _padded(meeting["lists"], np.iinfo(np.int64).max)
+        earlier = lists_ < value
+        codes, flat = np.unique(np.asarray(meeting["shared"].combine_chunks().flatten()), return_inverse=True)
+        held = np.asarray(meeting["shared"].combine_chunks().value_lengths()).astype(np.int64)
+        first = np.cumsum(held) - held
+        group = c.copy()  # components as this meeting joins them
+        mine, theirs = (block == x), (block == y)
+        out = []
+        marked = np.zeros(len(codes), dtype=bool)
+        for i in np.flatnonzero(mine):
+            sizes = (np.minimum(n, n[i]) * high >= np.maximum(n, n[i]) * low) & (c != c[i])
+            # intersection >= 0.8 * union, with both sizes given: intersection * 1.8 >= 0.8 * (n_a + n_b)
+            near = theirs & sizes & (np.minimum(held, held[i]) * (low + high) >= (n + n[i]) * low)
+            near[: i + 1 if x == y else 0] = False
+            at = np.flatnonzero(near)
+            if not len(at):
+                continue
+            own_lists = lists_[i][earlier[i]]
+            if len(own_lists):
+                at = at[~(np.isin(lists_[at], own_lists) & earlier[at]).any(axis=1)]
+            if len(at):
+                at = at[_estimates(sketch[i, : kept[i]], sketch[at], kept[at], k) >= LEAST_ESTIMATE]
+            at = at[group[at] != group[i]]
+            if not len(at):
+                continue
+            marked[flat[first[i] : first[i] + held[i]]] = True
+            spans = np.repeat(first[at] - (np.cumsum(held[at]) - held[at]), held[at]) + np.arange(held[at].sum())
+            both = np.add.reduceat(marked[flat[spans]].astype(np.int64), np.cumsum(held[at]) - held[at])
+            marked[flat[first[i] : first[i] + held[i]]] = False
+            for j in at[both * high >= (n[at] + n[i] - both) * low]:
+                if group[i] != group[j]:
+                    group[group == group[j]] = group[i]
+                    out.append((ids[i], ids[j]))
+        ends = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text", k: int = SKETCH
 ) -> DataFrame:
@@ -251,46 +382,14 @@ def near_duplicates(
 
     # What the chosen members did not decide: the other pairs of lists with several components.
     inside = listed.join(labels, "id", "left").select("value", "id", "n", F.coalesce("component", "id").alias("c"))
-    several = inside.groupBy("value").agg(
-        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("members")
-    )
-    inside = inside.join(several.filter("lo <> hi").select("value", "members"), "value")
-    inside = written(inside, "undecided")
-
-    def across(rows: DataFrame, near) -> DataFrame:
-        """Pairs of different components, each from the first of the lists that both are in."""
-        mine = rows.groupBy("id").agg(F.sort_array(F.collect_set("value")).alias("lists"))
-        rows = rows.join(mine, "id")
-        held = ("id", "n", "c", "common", "lists")
-        left = rows.select("value", *[F.col(c).alias(f"{c}_a") for c in held])
-        right = rows.select(F.col("value").alias("of"), *[F.col(c).alias(f"{c}_b") for c in held])
-        different = (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b"))
-        first = F.array_min(F.array_intersect("lists_a", "lists_b")) == F.col("value")
-        joined = left.join(right, (F.col("value") == F.col("of")) & different & near & first)
-        new = joined.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        return new.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-
-    # Short lists: all pairs, a bounded number for each member.
-    short = inside.filter(F.col("members") <= SHORT_LIST).withColumn("common", F.lit(0))
-    rest = written(_estimated(across(short, near_size(F.col("n_a"), F.col("n_b"))), classes), "rest")
-    # Long lists: only the values that a set shares with another component can be common to a pair.
-    long = inside.filter(F.col("members") > SHORT_LIST)
-    ids = written(long.select("id", "c").distinct(), "long-ids")
-    long_sets = written(full_sets(docs, ids.join(classes.select("id", "set_a"), "id"), size, key, text), "long-sets")
-    held = long_sets.join(ids, "id").select("id", "c", F.explode("shingles").alias("shingle"))
-    spread = held.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    common = held.join(spread, "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("common"))
-    long = long.join(common, "id").filter(F.col("common") * high >= F.col("n") * low)
-    # intersection >= 0.8 * union, with both sizes given: intersection * 1.8 >= 0.8 * (n_a + n_b)
-    fits = F.least("common_a", "common_b") * (low + high) >= (F.col("n_a") + F.col("n_b")) * low
-    long_pairs = written(across(long, fits), "long-pairs")
-
+    inside = written(_several(inside), "undecided")
+    ids = written(inside.select("id", "c", "n").distinct(), "undecided-ids")
+    whole = written(full_sets(docs, ids.join(classes.select("id", "set_a"), "id"), size, key, text), "undecided-sets")
+    rest = members_at_meetings(inside, written(shared_sets(whole, ids), "shared"), classes)
+    links = written(rest.groupBy("value", "x", "y").applyInArrow(_links(k), "a long, b long"), "rest-links")
     new = inside.select("id").distinct().join(labels.select("id"), "id", "left_anti")
     labels = written(labels.unionByName(new.select("id", F.col("id").alias("component"))), "labels")
-    if not rest.isEmpty():
-        _, more = sets_of(rest, "more-sets")
-        labels = connect(labels, confirmed(rest, more))
-    labels = connect(labels, confirmed(long_pairs, long_sets))
+    labels = connect(labels, links)
 
     found = copies.join(labels, "id", "left").select(*same, F.coalesce("component", "id").alias("component"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
