@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
@@ -107,9 +109,59 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+def path_part(path: str) -> str:
+    """The path without scheme and authority."""
+    parsed = urlparse(path)
+    return parsed.path if parsed.scheme else path
+
+
+def subfolder_times(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Folders directly in ``path`` and their modification times in seconds (none if it does not
+    exist)."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    return [(x.getPath().toString(), x.getModificationTime() / 1000) for x in fs.listStatus(folder) if x.isDirectory()]
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Folders directly in ``path`` (none if it does not exist)."""
+    return [found for found, _ in subfolder_times(spark, path)]
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` (none if it does not exist)."""
     fs, folder = _folder(spark, path)
     if not fs.exists(folder):
         return []
-    return [x.getPath().toString() for x in fs.listStatus(folder) if x.isDirectory()]
+    return [x.getPath().getName() for x in fs.listStatus(folder) if x.isFile()]
+
+
+def create_exclusively(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Makes a small file; False if it was there already."""
+    fs, file = _folder(spark, path)
+    try:
+        stream = fs.create(file, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, file = _folder(spark, path)
+    stream = fs.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    fs, old = _folder(spark, source)
+    if not fs.rename(old, _folder(spark, target)[1]):
+        raise OSError(f"Could not move {source} to {target}")

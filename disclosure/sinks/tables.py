@@ -6,10 +6,18 @@ warehouse folder of the table's name.
 
 Refresh semantics. A refresh of a file-format table never touches the published files: it writes
 a new version folder under the base, checks that the folder reads back as many rows as were
-written, and only then points the table at it (one catalog change; a changed schema replaces the
-catalog entry). If anything fails before, the table still shows the old rows. The previous
-version stays for readers that are under way and goes with the refresh after. Other formats
-(``delta``, a connector's) refresh with their own transactional overwrite.
+written, takes the next generation number (an exclusively made file beside the base), and only
+then points the table at it. If anything fails before, the table still shows the old rows. Of two
+refreshes that overlap, the first to take the generation wins; the other raises
+:class:`ConcurrentRefresh`, or writes on top when it was given ``retries``. The previous version
+stays for readers that are under way and goes with the refresh after; a folder that another
+refresh may be writing is never touched. Replacing a table's schema, or a managed table, needs
+two catalog changes, with a moment without the name in between. Other formats (``delta``, a
+connector's) refresh with their own transactional overwrite.
+
+Appends of file-format tables may carry a ``batch`` name. It is recorded in the table's folder
+once all rows are there, so a repeated append of a batch adds nothing, and one that repeats after
+a failure replaces what the failed one left.
 
 * :func:`overwrite_table`, :func:`replace_table` - full refresh, the table's schema is replaced
   by the DataFrame's; ``replace_table`` returns the number of rows.
@@ -27,6 +35,7 @@ None of these shuffle unless ``partitions`` asks for a round-robin repartition b
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -36,7 +45,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructType
 
 from disclosure.functions.display import IDENTIFIER_PATTERN
-from disclosure.session import SCRATCH_WRITE_OPTIONS, remove_folder, scratch_path, subfolders
+from disclosure.session import (
+    SCRATCH_WRITE_OPTIONS,
+    create_exclusively,
+    file_names,
+    move_file,
+    path_part,
+    read_text,
+    remove_folder,
+    scratch_path,
+    subfolder_times,
+)
 
 # --- Fixed values: column types the external event store accepts, by Spark type. ---
 STORE_TYPES = {StringType: "string", IntegerType: "int", DoubleType: "real", DateType: "datetime"}
@@ -81,6 +100,8 @@ def _writer(
 # Formats whose tables are plain files in a folder, refreshed by version folders.
 FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
 _VERSION = "version-"
+# Age after which a version folder that was never published counts as left behind.
+RETENTION_SECONDS = 7 * 24 * 3600.0
 
 
 def table_details(spark: SparkSession, table: str) -> dict[str, str]:
@@ -95,13 +116,56 @@ def _base_folder(spark: SparkSession, table: str, path: str | None) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.lower().replace('.', '/')}__versions"
 
 
+class ConcurrentRefresh(RuntimeError):
+    """Another refresh of the same table was published first; this one changed nothing."""
+
+
+def _claims_folder(base: str) -> str:
+    return f"{base}__commits"
+
+
+def _claims(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """``(generation, version folder name)`` of the last published versions, oldest first; the name is
+    empty where a job ended between taking the generation and recording its version."""
+    folder = _claims_folder(base)
+    numbers = sorted(int(name) for name in file_names(spark, folder) if name.isdigit())
+    return [(g, read_text(spark, f"{folder}/{g:012d}")) for g in numbers]
+
+
+def _claim(spark: SparkSession, base: str, generation: int, version: str) -> bool:
+    """Takes the generation for the version, if it is still the next one."""
+    file = f"{_claims_folder(base)}/{generation:012d}"
+    newest = max((g for g, _ in _claims(spark, base)), default=0)
+    if newest >= generation or not create_exclusively(spark, file, version):
+        return False
+    if max(g for g, _ in _claims(spark, base)) > generation:  # older claims had been cleared away meanwhile
+        remove_folder(spark, file)
+        return False
+    return True
+
+
 def _publish(
-    df: DataFrame, table: str, fmt: str, path: str | None, options: dict | None, sort_within: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    fmt: str,
+    path: str | None,
+    options: dict | None,
+    sort_within: Sequence[str] = (),
+    retries: int = 0,
+    retention: float = RETENTION_SECONDS,
 ) -> int:
-    """Writes a new version, checks it, points ``table`` at it; returns its number of rows."""
+    """Writes a new version, checks it, takes the next generation and points ``table`` at it;
+    returns its number of rows.
+
+    The generation is read before the write. If another refresh has taken the next one
+    meanwhile, this one raises :class:`ConcurrentRefresh`, or with ``retries`` left takes the
+    one after (a full refresh does not depend on the rows before it).
+    """
     spark = df.sparkSession
     base = _base_folder(spark, table, path)
-    folder = f"{base}/{_VERSION}{uuid.uuid4().hex}"
+    version = f"{_VERSION}{uuid.uuid4().hex}"
+    folder = f"{base}/{version}"
+    generation = max((g for g, _ in _claims(spark, base)), default=0)
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     try:
@@ -109,37 +173,100 @@ def _publish(
         written = spark.read.format(fmt).schema(df.schema).load(folder).count()
         if written != seen.get["rows"]:
             raise ValueError(f"Refresh of {table} wrote {seen.get['rows']} rows, but {written} can be read")
-        before = _point(spark, table, fmt, folder, df.schema)
+        while not _claim(spark, base, generation + 1, version):
+            if retries <= 0:
+                raise ConcurrentRefresh(f"{table} was refreshed by another job (generation {generation + 1}); nothing was changed")
+            retries -= 1
+            generation = max([generation + 1, *(g for g, _ in _claims(spark, base))])
     except Exception:
         remove_folder(spark, folder)
         raise
-    for old in subfolders(spark, base):
+    try:
+        _point_at_newest(spark, table, fmt, base, version, df.schema)
+    except Exception:
+        if _shown(spark, table) != version:  # the table still shows other rows: this version never was
+            remove_folder(spark, f"{_claims_folder(base)}/{generation + 1:012d}")
+            remove_folder(spark, folder)
+        raise
+    _remove_old(spark, table, base, retention)
+    return written
+
+
+def _point_at_newest(spark: SparkSession, table: str, fmt: str, base: str, version: str, schema: StructType) -> None:
+    """Points ``table`` at ``version``, unless a newer generation is there already.
+
+    After the change the claims are read again: a refresh that took a later generation in between
+    may have pointed the table first, so the newest claimed version wins whoever comes last.
+    """
+    if _claims(spark, base)[-1][1] == version:
+        _point(spark, table, fmt, f"{base}/{version}", schema)
+    newest = _claims(spark, base)[-1][1]
+    shown = _shown(spark, table)
+    if newest != version and shown == version:
+        newer = spark.read.format(fmt).load(f"{base}/{newest}").schema if fmt not in ("csv", "json") else schema
+        _point(spark, table, fmt, f"{base}/{newest}", newer)
+
+
+def _shown(spark: SparkSession, table: str) -> str:
+    """Name of the folder that the table's entry shows, or ``""``."""
+    if not spark.catalog.tableExists(table):
+        return ""
+    return table_details(spark, table).get("Location", "").rstrip("/").rsplit("/", 1)[-1]
+
+
+def _remove_old(spark: SparkSession, table: str, base: str, retention: float) -> None:
+    """Removes superseded versions: those two or more generations old, and folders that nobody
+    published within ``retention`` seconds (left by jobs that ended in the middle).
+
+    What the table's entry shows now and the last two published versions stay, and so does every
+    younger folder without a claim: another refresh may be writing it.
+    """
+    claims = _claims(spark, base)
+    published = [version for _, version in claims]
+    keep = {_shown(spark, table), *published[-2:]}
+    now = time.time()
+    for old, modified in subfolder_times(spark, base):
         name = old.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith(_VERSION) and name not in (folder.rsplit("/", 1)[-1], before.rstrip("/").rsplit("/", 1)[-1]):
+        if not name.startswith(_VERSION) or name in keep:
+            continue
+        if name in published or now - modified > retention:
             remove_folder(spark, old)
-    return written
+    for generation, version in claims[:-2]:
+        if version not in keep:
+            remove_folder(spark, f"{_claims_folder(base)}/{generation:012d}")
+
 
+def _point(spark: SparkSession, table: str, fmt: str, folder: str, schema: StructType) -> None:
+    """Points ``table`` at ``folder``.
 
-def _point(spark: SparkSession, table: str, fmt: str, folder: str, schema: StructType) -> str:
-    """Points ``table`` at ``folder``; returns the folder it showed before, or ``""``."""
+    With the same schema that is one catalog change. A new schema, another format or a managed
+    table needs a new entry: it is made complete under a name of its own, then takes the old
+    entry's place; between the two changes the name is missing for a moment. If the second
+    change fails, the old entry is made again (a managed table's files are gone by then, so its
+    name then shows the new version).
+    """
     if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path=folder, source=fmt, schema=schema)
-        return ""
+        return
     details = table_details(spark, table)
-    before = details.get("Location", "")
-    columns = [(f.name, f.dataType) for f in schema.fields]
-    same = columns == [(f.name, f.dataType) for f in spark.table(table).schema.fields]
-    if same and details.get("Provider", "").lower() == fmt and details.get("Type") == "EXTERNAL":
+    old_schema = spark.table(table).schema
+    same = [(f.name, f.dataType) for f in schema.fields] == [(f.name, f.dataType) for f in old_schema.fields]
+    external = details.get("Type") == "EXTERNAL"
+    if same and external and details.get("Provider", "").lower() == fmt:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     else:
-        # A new schema needs a new entry: the new one is complete before the old one goes.
-        nxt = validate_table_name(f"{table}__next")
-        spark.sql(f"DROP TABLE IF EXISTS {nxt}")
+        nxt = validate_table_name(f"{table}__next_{uuid.uuid4().hex[:12]}")
         spark.catalog.createTable(nxt, path=folder, source=fmt, schema=schema)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
+        try:
+            spark.sql(f"ALTER TABLE {nxt} RENAME TO {table}")
+        except Exception:
+            if not spark.catalog.tableExists(table):
+                old = (details["Location"], details["Provider"].lower(), old_schema) if external else (folder, fmt, schema)
+                spark.catalog.createTable(table, path=old[0], source=old[1], schema=old[2])
+            spark.sql(f"DROP TABLE IF EXISTS {nxt}")
+            raise
     spark.catalog.refreshTable(table)
-    return before
 
 
 def overwrite_table(
@@ -149,17 +276,19 @@ def overwrite_table(
     path: str | None = None,
     options: dict | None = None,
     sort_within: Sequence[str] = (),
+    retries: int = 0,
 ) -> None:
     """Full refresh: rows and schema of ``table`` are replaced by ``df``, or nothing changes.
 
     ``options`` go to the writer (a connector format's settings, for example). ``sort_within``
     sorts each write task's rows by those columns first (a local sort, no shuffle), so every
     file's row groups cover narrow key ranges and an equality lookup on the key skips the
-    other row groups of each file.
+    other row groups of each file. ``retries``: how often to write on top of another refresh
+    that was published meanwhile, before :class:`ConcurrentRefresh` is raised.
     """
     validate_table_name(table)
     if fmt in FILE_FORMATS:
-        _publish(df, table, fmt, path, options, sort_within)
+        _publish(df, table, fmt, path, options, sort_within, retries)
     else:
         w = _writer(df, fmt, path, None, options, sort_within)
         w.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
@@ -173,15 +302,71 @@ def append_table(
     partitions: int | None = None,
     options: dict | None = None,
     sort_within: Sequence[str] = (),
-) -> None:
-    """Appends ``df`` (columns matched by name); creates the table if it is missing.
+    batch: str | None = None,
+) -> bool:
+    """Appends ``df`` (columns matched by name); creates the table if it is missing. True if it
+    appended.
 
     ``partitions`` round-robins the rows into that many write tasks first (a full shuffle);
     leave it unset to write straight from the upstream partitions. ``options`` and
-    ``sort_within`` as in :func:`overwrite_table`.
+    ``sort_within`` as in :func:`overwrite_table`. ``path`` is the base folder as for a refresh:
+    a table that a refresh published below it is appended to where it is.
+
+    ``batch`` names the rows: a batch that the table (its current version) already holds is not
+    appended again, and the result is False. File formats only; a transactional format has
+    writer options of its own for that.
     """
     validate_table_name(table)
-    _writer(df, fmt, path, partitions, options, sort_within).mode("append").saveAsTable(table)
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists and path and _VERSION in _shown(spark, table):
+        location = table_details(spark, table)["Location"]
+        if path_part(location).startswith(path_part(path).rstrip("/") + f"/{_VERSION}"):
+            path = None
+    if batch is None:
+        _writer(df, fmt, path, partitions, options, sort_within).mode("append").saveAsTable(table)
+        return True
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"Batches are for file formats, not {fmt!r}")
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch):
+        raise ValueError(f"Invalid batch name: {batch!r}")
+    if not exists:
+        create_if_missing(spark, table, df.schema, fmt=fmt, path=path, store_types=False)
+    return _append_batch(df, table, fmt, partitions, options, sort_within, batch)
+
+
+def _append_batch(
+    df: DataFrame, table: str, fmt: str, partitions: int | None, options: dict | None, sort_within: Sequence[str], batch: str
+) -> bool:
+    """One batch: rows staged in a hidden folder of the table, moved under names with the batch's,
+    then recorded. A repeat before the record first removes the names that are there."""
+    spark = df.sparkSession
+    details = table_details(spark, table)
+    location, provider = details["Location"].rstrip("/"), details["Provider"].lower()
+    if provider != fmt:
+        raise ValueError(f"{table} is a {provider} table, not {fmt}")
+    schema = spark.table(table).schema
+    if sorted(schema.names) != sorted(df.columns):
+        raise ValueError(f"Columns of {table} are {schema.names}, not {df.columns}")
+    record = f"{location}/_batches/{batch}"
+    if batch in file_names(spark, f"{location}/_batches"):
+        return False
+    aligned = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    staged = f"{location}/_staged-{uuid.uuid4().hex}"
+    prefix = f"batch-{batch}--"
+    try:
+        _writer(aligned, fmt, None, partitions, options, sort_within).save(staged)
+        for name in file_names(spark, location):
+            if name.startswith(prefix):
+                remove_folder(spark, f"{location}/{name}")
+        for name in file_names(spark, staged):
+            if not name.startswith(("_", ".")):
+                move_file(spark, f"{staged}/{name}", f"{location}/{prefix}{name}")
+        create_exclusively(spark, record)
+    finally:
+        remove_folder(spark, staged)
+    spark.catalog.refreshTable(table)
+    return True
 
 
 def connector_write(
@@ -232,6 +417,7 @@ def clear_and_append(
     partitions: int | None = None,
     options: dict | None = None,
     ignore: Sequence[str] = (),
+    retries: int = 0,
 ) -> bool:
     """Full refresh that keeps an existing table's schema; returns True if it created the table.
 
@@ -240,7 +426,7 @@ def clear_and_append(
     """
     spark = df.sparkSession
     df = df.drop(*ignore)
-    first = f"{path.rstrip('/')}/{_VERSION}empty" if path and fmt in FILE_FORMATS else path
+    first = f"{path.rstrip('/')}/{_VERSION}empty-{uuid.uuid4().hex}" if path and fmt in FILE_FORMATS else path
     created = create_if_missing(spark, table, df.schema, fmt=fmt, path=first)
     schema = spark.table(table).schema
     missing = [c for c in schema.names if c not in df.columns]
@@ -252,7 +438,7 @@ def clear_and_append(
         aligned = aligned.repartition(partitions)
     provider = table_details(spark, table).get("Provider", fmt).lower()
     if provider in FILE_FORMATS:
-        _publish(aligned, table, provider, path, options)
+        _publish(aligned, table, provider, path, options, retries=retries)
     else:
         aligned.write.options(**(options or {})).insertInto(table, overwrite=True)
     return created

@@ -212,3 +212,159 @@ def test_bloom_filter_option_for_key_lookups(spark, tmp_dir):
     hit = spark.table("t_bloom").filter(F.col("LoanNumber") == "0012345")
     assert [r["id"] for r in hit.collect()] == [12345]
     assert spark.table("t_bloom").filter(F.col("LoanNumber") == "missing").count() == 0
+
+
+# ---------------------------------------------------------------- refreshes that overlap, batches
+
+
+def _meanwhile(spark, monkeypatch, action):
+    """Runs ``action`` once, after a refresh has written its version and before it is published."""
+    real, done = T._claim, []
+
+    def claim(*args):
+        if not done:
+            done.append(1)
+            action()
+        return real(*args)
+
+    monkeypatch.setattr(T, "_claim", claim)
+
+
+@pytest.mark.parametrize("refresh", [T.overwrite_table, T.clear_and_append, T.replace_table])
+def test_overlapping_refresh_loses_and_the_winners_rows_stay(spark, nine, tmp_dir, monkeypatch, refresh):
+    name = f"t_overlap_{refresh.__name__}"
+    path = f"{tmp_dir}/{name}"
+    T.overwrite_table(nine, name, path=path)
+    _meanwhile(spark, monkeypatch, lambda: T.overwrite_table(nine.limit(4), name, path=path))
+    with pytest.raises(T.ConcurrentRefresh):
+        refresh(nine.limit(2), name, path=path)
+    assert spark.table(name).count() == 4
+    monkeypatch.undo()
+    refresh(nine.limit(3), name, path=path)  # a later refresh is not held up
+    assert spark.table(name).count() == 3
+
+
+def test_overlapping_refresh_with_retries_is_written_on_top(spark, nine, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t_retry"
+    T.overwrite_table(nine, "t_retry", path=path)
+    _meanwhile(spark, monkeypatch, lambda: T.overwrite_table(nine.limit(4), "t_retry", path=path))
+    T.overwrite_table(nine.limit(2), "t_retry", path=path, retries=1)
+    assert spark.table("t_retry").count() == 2
+
+
+def test_refresh_published_between_claim_and_repoint_or_clean_up_stays(spark, nine, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t_between"
+    T.overwrite_table(nine, "t_between", path=path)
+    for step in ("_point_at_newest", "_remove_old"):
+        real, done = getattr(T, step), []
+
+        def later(*args, real=real, done=done):
+            if not done:
+                done.append(1)
+                T.overwrite_table(nine.limit(4), "t_between", path=path)
+            return real(*args)
+
+        monkeypatch.setattr(T, step, later)
+        T.overwrite_table(nine.limit(2), "t_between", path=path)
+        monkeypatch.undo()
+        assert spark.table("t_between").count() == 4  # the later generation, whichever came last
+
+
+def test_folder_being_written_is_not_removed_and_an_old_one_is(spark, nine, tmp_dir):
+    import os
+
+    path = f"{tmp_dir}/t_retention"
+    T.overwrite_table(nine, "t_retention", path=path)
+    for folder, age in (("version-young", 0), ("version-old", 8 * 24 * 3600)):
+        nine.write.parquet(f"{path}/{folder}")
+        then = os.stat(f"{path}/{folder}").st_mtime - age
+        os.utime(f"{path}/{folder}", (then, then))
+    T.overwrite_table(nine, "t_retention", path=path)
+    names = os.listdir(path)
+    assert "version-young" in names and "version-old" not in names
+
+
+def test_table_named_next_is_left_alone(spark, nine):
+    spark.sql("DROP TABLE IF EXISTS t_schema__next")
+    nine.write.saveAsTable("t_schema__next")
+    T.overwrite_table(nine, "t_schema")
+    T.overwrite_table(nine.select("LoanNumber"), "t_schema")
+    assert spark.table("t_schema").columns == ["LoanNumber"]
+    assert spark.table("t_schema__next").count() == 9
+
+
+def test_failing_rename_keeps_the_old_entry(spark, nine, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t_rename"
+    T.overwrite_table(nine, "t_rename", path=path)
+    real = type(spark).sql
+
+    def sql(self, text, *args, **kwargs):
+        if "RENAME TO" in text:
+            raise RuntimeError("rename failed")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError, match="rename failed"):
+        T.overwrite_table(nine.select("LoanNumber"), "t_rename", path=path)
+    monkeypatch.undo()
+    assert spark.table("t_rename").columns == ["LoanNumber", "Amount"] and spark.table("t_rename").count() == 9
+    assert [t.name for t in spark.catalog.listTables() if "t_rename__next" in t.name] == []
+    T.overwrite_table(nine.select("LoanNumber"), "t_rename", path=path)
+    assert spark.table("t_rename").columns == ["LoanNumber"]
+
+
+def test_job_that_ended_after_taking_a_generation_blocks_nobody(spark, nine, tmp_dir):
+    from disclosure.session import create_exclusively
+
+    path = f"{tmp_dir}/t_ended"
+    T.overwrite_table(nine, "t_ended", path=path)
+    assert create_exclusively(spark, f"{path}__commits/{2:012d}")
+    T.overwrite_table(nine.limit(5), "t_ended", path=path)
+    assert spark.table("t_ended").count() == 5
+
+
+def test_append_after_refresh_with_path(spark, nine, tmp_dir):
+    path = f"{tmp_dir}/t_mixed"
+    T.overwrite_table(nine, "t_mixed", path=path)
+    TableSink("t_mixed", mode="append", path=path)(nine)
+    assert spark.table("t_mixed").count() == 18
+    T.overwrite_table(nine, "t_mixed", path=path)
+    T.append_table(nine.limit(1), "t_mixed", path=path + "/")
+    assert spark.table("t_mixed").count() == 10
+    with pytest.raises(SPARK_ERRORS):
+        T.append_table(nine, "t_mixed", path=f"{tmp_dir}/elsewhere")
+
+
+@pytest.mark.parametrize("refreshed", [False, True])
+def test_batch_is_appended_once(spark, nine, tmp_dir, refreshed):
+    name = f"t_batch_{refreshed}"
+    path = f"{tmp_dir}/{name}"
+    if refreshed:
+        T.overwrite_table(nine.limit(1), name, path=path)
+    start = 1 if refreshed else 0
+    assert T.append_table(nine, name, path=path, batch="2024-01-01") is True
+    assert T.append_table(nine, name, path=path, batch="2024-01-01") is False
+    assert T.append_table(nine.limit(2), name, path=path, batch="2024-01-02", partitions=2) is True
+    assert spark.table(name).count() == start + 11
+    with pytest.raises(ValueError, match="batch name"):
+        T.append_table(nine, name, path=path, batch="../x")
+    with pytest.raises(ValueError, match="Columns"):
+        T.append_table(nine.select("LoanNumber"), name, path=path, batch="b")
+
+
+def test_batch_repeated_after_a_failure_counts_once(spark, nine, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t_batch_fail"
+    T.append_table(nine.limit(2), "t_batch_fail", path=path, batch="a")
+    with pytest.raises(SPARK_ERRORS):
+        T.append_table(_failing(nine), "t_batch_fail", path=path, batch="b")
+    assert spark.table("t_batch_fail").count() == 2
+
+    def ended(*args):
+        raise RuntimeError("ended")
+
+    monkeypatch.setattr(T, "create_exclusively", ended)  # all files are there, the record is not
+    with pytest.raises(RuntimeError, match="ended"):
+        T.append_table(nine, "t_batch_fail", path=path, batch="b", partitions=3)
+    monkeypatch.undo()
+    assert T.append_table(nine, "t_batch_fail", path=path, batch="b") is True
+    assert spark.table("t_batch_fail").count() == 11
