@@ -11,8 +11,8 @@ those are listed, and most documents end up in no list at all. Within a list eve
 paired with one member chosen by hash, a different one in each list, so a group of copies of any
 size gives a linear number of pairs and is connected by them. Members that then lie in different
 components are compared with each other inside the tasks: a list is cut into blocks, every two
-blocks meet in one task, and what comes out is a spanning forest of the links found, never the
-pairs. Before, the sets without enough shingles that some other component has are left out.
+blocks meet in one task, and what comes out is never the pairs: at first the members with an
+estimate that may be a link, then, from the full sets of these, a spanning forest of the links.
 
 The union-sketch estimate filters every pair, and the exact Jaccard similarity of the full sets
 confirms it: first the few best of each document, then those that still join two components,
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from disclosure.llm.stage import written
+from disclosure.llm.stage import Scratch, written
 from disclosure.llm.text import Words, blocks, lists, mix, span_hashes
 
 SKETCH = 96
@@ -213,52 +213,56 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").filter("c_a <> c_b").drop("c_a", "c_b")
 
 
-def _several(rows: DataFrame) -> DataFrame:
+def _several(rows: DataFrame, steps: Scratch) -> DataFrame:
     """``rows`` (``value, id, n, c``) of the lists with members in several components ``c``."""
     spread = rows.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    return rows.join(written(spread.select("value"), "several"), "value")
+    return rows.join(steps.written(spread.select("value"), "several"), "value")
 
 
-def shared_sets(whole: DataFrame, ids: DataFrame) -> DataFrame:
+def led(inside: DataFrame, steps: Scratch) -> DataFrame:
+    """The undecided lists merged: every list goes to its member with the smallest hash, its leader.
+
+    The lists of a group, which hold nearly the same members, mostly share a leader and become one
+    list there. Two members of a list share its leader.
+    """
+    leader = inside.groupBy("value").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("l"))
+    leader = steps.written(leader.select("value", F.col("l.id").alias("leader")), "leaders")
+    rows = inside.join(leader, "value").select(F.col("leader").alias("value"), "id", "n", "c").distinct()
+    return steps.written(rows, "led")
+
+
+def shared_sets(whole: DataFrame, ids: DataFrame, steps: Scratch) -> DataFrame:
     """``id, shared``: the shingles of each set that another component has, too, where they are
     enough for a link (100 * shared >= 80 * n); the other sets can't be linked with any component.
     """
     low, high = SIMILARITY
-    held = written(whole.join(ids, "id").select("id", "c", "n", F.explode("shingles").alias("shingle")), "held")
+    held = steps.written(whole.join(ids, "id").select("id", "c", "n", F.explode("shingles").alias("shingle")), "held")
     spread = held.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    shared = held.join(written(spread.select("shingle"), "spread"), "shingle")
-    found = shared.groupBy("id", "n").agg(F.collect_list("shingle").alias("shared"))
-    return found.filter(F.size("shared") * high >= F.col("n") * low).select("id", "shared")
+    spread = steps.written(spread.select("shingle"), "spread")
+    found = held.join(spread, "shingle").groupBy("id", "n").agg(F.collect_list("shingle").alias("shared"))
+    out = steps.written(found.filter(F.size("shared") * high >= F.col("n") * low).select("id", "shared"), "shared")
+    steps.free(held, spread)
+    return out
 
 
-def members_at_meetings(inside: DataFrame, shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members of the undecided lists, dealt to meetings of two blocks ``x <= y`` of a list.
+def at_meetings(rows: DataFrame, lists_of: DataFrame, weight: Column, steps: Scratch) -> DataFrame:
+    """The members of lists dealt to meetings of two blocks ``x <= y`` of a list.
 
-    Every list goes to its member with the smallest hash, its leader: the lists of a group, which
-    hold nearly the same members, mostly share one, and become one list there. Two members of a
-    list thus share a leader. A list is cut by a hash into blocks of about :data:`BLOCK_MEMBERS` members and
-    :data:`BLOCK_SHINGLES` shingles, so that a meeting is bounded however long the list is. Each
-    row has its block, its lists (a pair is compared in the first one that both are in), its
-    sketch and its shared shingles.
+    A list is cut by a hash into blocks of about :data:`BLOCK_MEMBERS` members and
+    :data:`BLOCK_SHINGLES` of ``weight``, so that a meeting is bounded however long the list is.
+    ``lists`` are a member's lists: a pair is compared in the first one that both are in.
     """
-    left = _several(inside.join(shared.select("id", F.size("shared").alias("held")), "id"))
-    left = written(left, "left")
-    leader = left.groupBy("value").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("l"))
-    leader = written(leader.select("value", F.col("l.id").alias("leader")), "leaders")
-    led = left.join(leader, "value").select(F.col("leader").alias("value"), "id", "n", "c", "held").distinct()
-    left = written(led, "led")
-    lists_of = written(left.groupBy("id").agg(F.sort_array(F.collect_set("value")).alias("lists")), "lists")
-    sizes = left.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.sum("held").alias("s"))
+    sizes = rows.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.sum(weight).alias("s"))
     blocks_of = F.greatest(F.ceil(F.col("m") / BLOCK_MEMBERS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
-    sizes = written(sizes.select("value", blocks_of.alias("blocks")), "list-sizes")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    sizes = steps.written(sizes.filter("m > 1").select("value", blocks_of.alias("blocks")), "list-sizes")
     met = (
-        left.join(sizes, "value")
-        .withColumn("block", block)
+        rows.join(sizes, "value")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("value", "id", "n", "c", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+        .withColumn("x", F.least("block", "other"))
+        .withColumn("y", F.greatest("block", "other"))
     )
-    return met.join(lists_of, "id").join(shared, "id").join(classes.select("id", "sketch"), "id")
+    return met.drop("blocks", "other").join(lists_of, "id")
 
 
 def _padded(column: pa.ChunkedArray, fill: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,8 +286,9 @@ def _estimates(own: np.ndarray, others: np.ndarray, counts: np.ndarray, k: int)
     return (both & (place < top[:, None])).sum(axis=1) / top
 
 
-def _links(k: int):
-    """For a meeting: pairs of similar sets that join two components, a spanning forest of them.
+def _met(k: int, exact: bool):
+    """For a meeting: ``a, b``, pairs of similar sets that join two components, a spanning forest of
+    them; without ``exact``, the list and id of every member with an estimate that may be a link.
 
     Pairs of one component, of sizes that can't be similar or with an earlier list in common are
     left out; the estimate passes the others on to the exact comparison of the shared shingles.
@@ -291,45 +296,50 @@ def _links(k: int):
     low, high = SIMILARITY
 
     def run(meeting: pa.Table) -> pa.Table:
-        x, y = meeting["x"][0].as_py(), meeting["y"][0].as_py()
-        value = meeting["value"][0].as_py()
-        order = np.argsort(meeting["id"].to_numpy(), kind="stable")
-        meeting = meeting.take(pa.array(order))
+        x, y, value = (meeting[name][0].as_py() for name in ("x", "y", "value"))
+        meeting = meeting.take(pa.array(np.argsort(meeting["id"].to_numpy(), kind="stable")))
         ids, n, c, block = (meeting[name].to_numpy() for name in ("id", "n", "c", "block"))
         sketch, kept = _padded(meeting["sketch"], np.iinfo(np.int64).max)
         lists_, _ = _padded(meeting["lists"], np.iinfo(np.int64).max)
         earlier = lists_ < value
-        codes, flat = np.unique(np.asarray(meeting["shared"].combine_chunks().flatten()), return_inverse=True)
-        held = np.asarray(meeting["shared"].combine_chunks().value_lengths()).astype(np.int64)
-        first = np.cumsum(held) - held
         group = c.copy()  # components as this meeting joins them
         mine, theirs = (block == x), (block == y)
+        most = n
+        if exact:
+            flat = meeting["shared"].combine_chunks()
+            most = held = np.asarray(flat.value_lengths()).astype(np.int64)
+            codes, flat = np.unique(np.asarray(flat.flatten()), return_inverse=True)
+            first = np.cumsum(held) - held
+            marked = np.zeros(len(codes), dtype=bool)
+        candidates = np.zeros(len(ids), dtype=bool)
         out = []
-        marked = np.zeros(len(codes), dtype=bool)
         for i in np.flatnonzero(mine):
-            sizes = (np.minimum(n, n[i]) * high >= np.maximum(n, n[i]) * low) & (c != c[i])
+            near = theirs & (group != group[i]) & (np.minimum(n, n[i]) * high >= np.maximum(n, n[i]) * low)
             # intersection >= 0.8 * union, with both sizes given: intersection * 1.8 >= 0.8 * (n_a + n_b)
-            near = theirs & sizes & (np.minimum(held, held[i]) * (low + high) >= (n + n[i]) * low)
+            near &= np.minimum(most, most[i]) * (low + high) >= (n + n[i]) * low
             near[: i + 1 if x == y else 0] = False
             at = np.flatnonzero(near)
-            if not len(at):
-                continue
             own_lists = lists_[i][earlier[i]]
-            if len(own_lists):
+            if len(at) and len(own_lists):
                 at = at[~(np.isin(lists_[at], own_lists) & earlier[at]).any(axis=1)]
             if len(at):
                 at = at[_estimates(sketch[i, : kept[i]], sketch[at], kept[at], k) >= LEAST_ESTIMATE]
-            at = at[group[at] != group[i]]
             if not len(at):
                 continue
+            if not exact:
+                candidates[i] = candidates[at] = True
+                continue
             marked[flat[first[i] : first[i] + held[i]]] = True
-            spans = np.repeat(first[at] - (np.cumsum(held[at]) - held[at]), held[at]) + np.arange(held[at].sum())
-            both = np.add.reduceat(marked[flat[spans]].astype(np.int64), np.cumsum(held[at]) - held[at])
+            begin = np.cumsum(held[at]) - held[at]
+            spans = np.repeat(first[at] - begin, held[at]) + np.arange(held[at].sum())
+            both = np.add.reduceat(marked[flat[spans]].astype(np.int64), begin)
             marked[flat[first[i] : first[i] + held[i]]] = False
             for j in at[both * high >= (n[at] + n[i] - both) * low]:
                 if group[i] != group[j]:
                     group[group == group[j]] = group[i]
                     out.append((ids[i], ids[j]))
+        if not exact:
+            return pa.table({"a": np.full(candidates.sum(), value), "b": ids[candidates]})
         ends = np.array(out, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
 
@@ -343,18 +353,23 @@ def near_duplicates(
 
     ``component_id`` is the smallest id reachable over links; ``kept`` marks the rows that have it.
     """
-    rows = written(sketches(docs, size, key, text, k), "sketches")
-    linkable = rows.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    steps = Scratch()
+    written = steps.written
+    sketched = written(sketches(docs, size, key, text, k), "sketches")
+    rows = written(sketched.drop("sketch"), "sets")
+    linkable = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     same = ["set_a", "set_b", "n_shingles"]
-    copies = written(linkable.groupBy(*same).agg(F.min("doc_id").alias("id")), "copies")
+    copies = written(rows.filter(linkable).groupBy(*same).agg(F.min("doc_id").alias("id")), "copies")
     classes = written(
-        linkable.join(copies.select("id", *[F.col(c).alias(f"of_{c}") for c in same]), F.col("doc_id") == F.col("id"))
+        sketched.filter(linkable)
+        .join(copies.select("id", *[F.col(c).alias(f"of_{c}") for c in same]), F.col("doc_id") == F.col("id"))
         .filter(" AND ".join(f"{c} = of_{c}" for c in same))
         .groupBy("id")
         .agg(F.max_by(F.struct("n_shingles", "set_a", "sketch"), F.struct("n_shingles", "set_a")).alias("s"))
         .select("id", "s.n_shingles", "s.set_a", "s.sketch"),
         "classes",
     )
+    steps.free(sketched)
     listed = written(prefixes(classes, k), "prefixes")
     low, high = SIMILARITY
     near_size = lambda m, n: F.least(m, n) * high >= F.greatest(m, n) * low
@@ -382,17 +397,32 @@ def near_duplicates(
 
     # What the chosen members did not decide: the other pairs of lists with several components.
     inside = listed.join(labels, "id", "left").select("value", "id", "n", F.coalesce("component", "id").alias("c"))
-    inside = written(_several(inside), "undecided")
-    ids = written(inside.select("id", "c", "n").distinct(), "undecided-ids")
-    whole = written(full_sets(docs, ids.join(classes.select("id", "set_a"), "id"), size, key, text), "undecided-sets")
-    rest = members_at_meetings(inside, written(shared_sets(whole, ids), "shared"), classes)
-    links = written(rest.groupBy("value", "x", "y").applyInArrow(_links(k), "a long, b long"), "rest-links")
-    new = inside.select("id").distinct().join(labels.select("id"), "id", "left_anti")
+    undecided = written(_several(written(inside, "inside"), steps), "undecided")
+    steps.free(listed, pairs, sets)
+    rest = led(undecided, steps)
+    steps.free(undecided)
+    lists_of = written(rest.groupBy("id").agg(F.sort_array(F.collect_set("value")).alias("lists")), "lists")
+    sketch_of = classes.select("id", "sketch")
+    met = at_meetings(rest, lists_of, F.least(F.col("n"), F.lit(k)), steps).join(sketch_of, "id")
+    near = met.groupBy("value", "x", "y").applyInArrow(_met(k, exact=False), "a long, b long")
+    near = written(near.select(F.col("a").alias("value"), F.col("b").alias("id")).distinct(), "near")
+    rest = written(rest.join(near, ["value", "id"]), "candidates")
+    ids = written(rest.select("id", "c", "n").distinct(), "candidate-ids")
+    whole = written(full_sets(docs, ids.join(classes.select("id", "set_a"), "id"), size, key, text), "candidate-sets")
+    shared = shared_sets(whole, ids, steps)
+    steps.free(whole)
+    rest = rest.join(shared.select("id", F.size("shared").alias("held")), "id")
+    met = at_meetings(written(rest, "candidates"), lists_of, F.col("held"), steps).join(shared, "id").join(sketch_of, "id")
+    links = written(met.groupBy("value", "x", "y").applyInArrow(_met(k, exact=True), "a long, b long"), "rest-links")
+    steps.free(shared)
+    new = ids.select("id").join(labels.select("id"), "id", "left_anti")
     labels = written(labels.unionByName(new.select("id", F.col("id").alias("component"))), "labels")
     labels = connect(labels, links)
 
     found = copies.join(labels, "id", "left").select(*same, F.coalesce("component", "id").alias("component"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    found = written(found, "found")
+    steps.free(classes, copies)
     by_row = rows.join(found, same, "left").select("doc_id", "n_shingles", own.alias("component"))
     return by_row.select(
         "doc_id",
