@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, language, lengths, mixing, neardup, neighbours, quality, substring, toxicity
+from disclosure.llm import bpe, chat, embeddup, language, lengths, mixing, neardup, neighbours, quality, substring, toxicity
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -106,6 +106,11 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op13_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    return embeddup.near_duplicates(read_table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_lengths": op1_token_lengths,
     "op2_minhash": op2_minhash,
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op13_embeddings": op13_embeddings,
 }
 
 # The same conversations in SQL. Escaping adds one backslash to a control string, so a formatted
@@ -240,9 +246,33 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged
 """
 
+OP13_SQL = """
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS n, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), taking AS (
+  SELECT * FROM given WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.n, a.vec_id AS x, b.vec_id AS y FROM taking a JOIN taking b ON a.label = b.label AND len(a.v) = len(b.v)
+  WHERE a.n <> b.n AND list_cosine_similarity(a.v, b.v) >= 0.98
+), counted AS (
+  SELECT n, count(*) AS c FROM links GROUP BY n
+), reached AS (
+  SELECT vec_id AS x, vec_id AS y FROM given WHERE vec_id IS NOT NULL
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+), found AS (
+  SELECT x, min(y) AS component FROM reached GROUP BY x
+)
+SELECT g.vec_id, CAST(coalesce(c, 0) AS BIGINT) AS n_links, component AS component_id,
+  g.vec_id IS NOT DISTINCT FROM component AS kept
+FROM given g LEFT JOIN counted USING (n) LEFT JOIN found ON x = g.vec_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_minhash": OP2_SQL,
     "op3_substring": OP3_SQL,
     "op5_chat": OP5_SQL,
     "op8_quality": OP8_SQL,
+    "op13_embeddings": OP13_SQL,
 }
