@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, embeddup, language, lengths, mixing, neardup, neighbours, quality, substring, toxicity
+from disclosure.llm import bpe, chat, embeddup, language, lengths, mixing, neardup, neighbours, quality, substring, toxicity, trie
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -106,6 +106,13 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op12_trie(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    head = F.crc32(F.col("conv").cast("string")) % 9
+    return trie.trie(turns, base=F.col("conv") - F.col("conv") % 5, head=head)
+
+
 def op13_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     return embeddup.near_duplicates(read_table(spark, sf, "embeddings"))
@@ -122,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op12_trie": op12_trie,
     "op13_embeddings": op13_embeddings,
 }
 
@@ -269,10 +277,52 @@ SELECT g.vec_id, CAST(coalesce(c, 0) AS BIGINT) AS n_links, component AS compone
 FROM given g LEFT JOIN counted USING (n) LEFT JOIN found ON x = g.vec_id
 """
 
+# CRC-32 byte by byte and bit by bit, with its polynomial (reflected) 0xEDB88320 = 3988292384.
+_CRC32 = """xor(list_reduce([ord(b)::BIGINT for b in string_split({}, '')], lambda crc, b:
+    list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
+    4294967295::BIGINT), 4294967295)"""
+OP12_SQL = f"""
+WITH given AS (
+  SELECT conv_id AS c, coalesce(text, '') AS text, sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, ''))) AS hash,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, '')))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), heads AS (
+  SELECT c, c - c % 5 AS base, {_CRC32.format("CAST(c AS VARCHAR)")} % 9 AS h, max(pos) AS own FROM given GROUP BY c
+), convs AS (
+  SELECT a.*, least(a.h, coalesce(b.own, 0)) AS taken FROM heads a LEFT JOIN heads b ON b.c = a.base
+), built AS (
+  SELECT v.c, pos, text, hash FROM convs v JOIN given g ON g.c = v.base AND pos <= h
+  UNION ALL
+  SELECT v.c, pos - h + taken, text, hash FROM convs v JOIN given g ON g.c = v.c AND pos > h
+), paths AS (
+  SELECT c, pos AS depth, octet_length(encode(text)) AS bytes,
+    sha256(string_agg(hash, '') OVER (PARTITION BY c ORDER BY pos)) AS node,
+    coalesce(sha256(string_agg(hash, '') OVER (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 'root') AS up,
+    pos = max(pos) OVER (PARTITION BY c) AS ends
+  FROM built
+  UNION ALL
+  SELECT c, 0, 0, 'root', NULL, c NOT IN (SELECT c FROM built) FROM convs
+), nodes AS (
+  SELECT node, any_value(up) AS up, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY node
+), kids AS (
+  SELECT up AS node, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up
+), sums AS (
+  SELECT p.node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum(CASE WHEN x.depth > 0 THEN (x.n_convs - 1) * x.bytes ELSE 0 END) AS saved
+  FROM nodes x LEFT JOIN kids k ON k.node = x.node JOIN paths p ON p.c = x.conv_id AND p.depth <= x.depth GROUP BY p.node
+)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, x.n_convs, coalesce(k.n, 0) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM nodes x JOIN sums s ON s.node = x.node LEFT JOIN nodes u ON u.node = x.up LEFT JOIN kids k ON k.node = x.node
+"""
+
 ORACLES: dict[str, str] = {
     "op2_minhash": OP2_SQL,
     "op3_substring": OP3_SQL,
     "op5_chat": OP5_SQL,
     "op8_quality": OP8_SQL,
+    "op12_trie": OP12_SQL,
     "op13_embeddings": OP13_SQL,
 }
