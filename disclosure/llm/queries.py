@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosure.llm import bpe, chat, embeddup, language, lengths, mixing, neardup, neighbours, quality, substring, toxicity, trie
+from disclosure.llm import bpe, chat, embeddup, language, lengths, lexical, mixing, neardup, neighbours, quality, substring, toxicity, trie
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
@@ -106,6 +106,12 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op11_search(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    found = lexical.index(read_table(spark, sf, "documents"))
+    return lexical.search(found, read_table(spark, sf, "benchmark"))
+
+
 def op12_trie(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
@@ -129,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_search": op11_search,
     "op12_trie": op12_trie,
     "op13_embeddings": op13_embeddings,
 }
@@ -277,6 +284,32 @@ SELECT g.vec_id, CAST(coalesce(c, 0) AS BIGINT) AS n_links, component AS compone
 FROM given g LEFT JOIN counted USING (n) LEFT JOIN found ON x = g.vec_id
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP11_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), taking AS (
+  SELECT r, doc_id, w, len(w) AS n FROM docs WHERE len(w) > 0
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM taking
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS t
+  FROM benchmark WHERE item_id IS NOT NULL
+), postings AS (
+  SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS t FROM taking) SEMI JOIN asked USING (t)
+  GROUP BY ALL
+), weights AS (
+  SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY t, n_docs
+), scored AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (t) JOIN weights USING (t), totals GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
 # CRC-32 byte by byte and bit by bit, with its polynomial (reflected) 0xEDB88320 = 3988292384.
 _CRC32 = """xor(list_reduce([ord(b)::BIGINT for b in string_split({}, '')], lambda crc, b:
     list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
@@ -323,6 +356,7 @@ ORACLES: dict[str, str] = {
     "op3_substring": OP3_SQL,
     "op5_chat": OP5_SQL,
     "op8_quality": OP8_SQL,
+    "op11_search": OP11_SQL,
     "op12_trie": OP12_SQL,
     "op13_embeddings": OP13_SQL,
 }

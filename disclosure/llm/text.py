@@ -14,6 +14,9 @@ import pyarrow as pa
 SPACES = b" \t\n\x0b\x0c\r"
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[list(SPACES)] = True
+# Bytes of terms: ASCII letters and digits, and all bytes of characters above ASCII.
+IS_TERM = np.arange(256) >= 128
+IS_TERM[48:58] = IS_TERM[65:91] = IS_TERM[97:123] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32  # A-Z only
 
@@ -87,14 +90,17 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
 
 
 class Words:
-    """Words of a block of texts: byte spans, row of each word, and words per row."""
+    """Words of a block of texts: byte spans, row of each word, and words per row.
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    ``inside`` marks the bytes that words are made of; without it, all but the six spaces.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = False, inside: np.ndarray | None = None):
         data, self.offsets = utf8(column)
         self.data = LOWER[data] if lower else data
         n = len(data)
         solid = np.zeros(n + 2, dtype=bool)
-        solid[1 : n + 1] = ~IS_SPACE[data]
+        solid[1 : n + 1] = ~IS_SPACE[data] if inside is None else inside[data]
         cut = np.zeros(n + 1, dtype=bool)  # a text begins (or the last one ends) here
         cut[self.offsets] = True
         inner = solid[1:-1]
