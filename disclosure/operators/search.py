@@ -29,30 +29,37 @@ def normalize_query(q: str | None) -> str:
     return re.sub(" {2,}", " ", (q or "").strip(" ")).lower()
 
 
-def _wildcard_regex(needle: str) -> str | None:
-    """Java regex for a needle with ``*``/``?`` wildcards; None when it has none."""
-    parts: list[str] = []
+def _tokens(needle: str) -> list[str]:
+    """Literal runs and the wildcards ``*`` and ``?`` between them; a literal run is never one of those."""
+    out: list[str] = []
     literal: list[str] = []
-    wild = False
     i = 0
     while i < len(needle):
         ch = needle[i]
-        if ch == "~" and i + 1 < len(needle) and needle[i + 1] in "*?~":
-            literal.append(needle[i + 1])
-            i += 2
-            continue
+        escaped = ch == "~" and i + 1 < len(needle) and needle[i + 1] in "*?~"
         if ch in "*?":
-            wild = True
             if literal:
-                parts.append(re.escape("".join(literal)))
+                out.append("=" + "".join(literal))
                 literal = []
-            parts.append("(?s:.*)" if ch == "*" else "(?s:.)")
+            out.append(ch)
         else:
-            literal.append(ch)
-        i += 1
-    if literal:
-        parts.append(re.escape("".join(literal)))
-    return "".join(parts) if wild else None
+            literal.append(needle[i + 1] if escaped else ch)
+        i += 2 if escaped else 1
+    return out + (["=" + "".join(literal)] if literal else [])
+
+
+def literal_runs(q: str | None) -> list[str]:
+    """The texts between wildcards that every match of the search box value contains."""
+    return [t[1:] for t in _tokens(normalize_query(q)) if t.startswith("=")]
+
+
+def _wildcard_regex(needle: str) -> str | None:
+    """Java regex for a needle with ``*``/``?`` wildcards; None when it has none."""
+    tokens = _tokens(needle)
+    if not any(t in ("*", "?") for t in tokens):
+        return None
+    wild = {"*": "(?s:.*)", "?": "(?s:.)"}
+    return "".join(wild.get(t) or re.escape(t[1:]) for t in tokens)
 
 
 def match(searchtext: Column | str, q: str | None) -> Column:
