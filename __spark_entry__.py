@@ -25,13 +25,15 @@ import oracle_sql as O  # noqa: E402
 from disclosure.functions import display as D  # noqa: E402
 from disclosure.operators.report import loan_report  # noqa: E402
 from disclosure.operators.search import detail, search, search_cards  # noqa: E402
+from disclosure.operators.search_index import build_index, search_table  # noqa: E402
 from disclosure.plans.job import ConnectorSink, TableSink, run  # noqa: E402
 from disclosure.schema import DATE_COLUMNS, LOAN_FIELDS, PROCEEDS, SOURCE_DATE_FORMAT  # noqa: E402
-from disclosure.session import scratch_path  # noqa: E402
+from disclosure.session import file_names, move_file, scratch_path  # noqa: E402
 from disclosure.sinks import tables  # noqa: E402
 from disclosure.sources import derived, listing  # noqa: E402
 from disclosure.sources import manifest as M  # noqa: E402
 from disclosure.sources.csv import limit_rows, read_loans, read_loans_with_rejects, write_loans_csv  # noqa: E402
+from disclosure.sources.names import joined_names  # noqa: E402
 from disclosure.sources.star import loans_from_star, read_table  # noqa: E402
 from disclosure.streaming import publish_available  # noqa: E402
 
@@ -118,6 +120,14 @@ def q_search_wildcard(spark, sf):
     return search(_report(spark, sf), WILDCARD_Q).select("LoanNumber", "searchtext")
 
 
+def q_search_indexed(spark, sf):
+    """The search box over the published report, through its trigram index."""
+    t = _table("indexed")
+    tables.overwrite_table(_report(spark, sf), t, path=_sink_path(spark, t))
+    build_index(spark, t)
+    return search_table(spark, t, SEARCH_Q)
+
+
 def q_loan_detail(spark, sf):
     return detail(_report(spark, sf), DETAIL_ID)
 
@@ -314,6 +324,27 @@ def q_csv_rejects(spark, sf):
     return parsed.rejects.select("LoanNumber", "DateApproved", "JobsReported")
 
 
+def q_csv_reject_cells(spark, sf):
+    """The failed cells of malformed lines, and whether each is located in a file."""
+    path = scratch_path(spark, "csv-reject-cells")
+    write_loans_csv(_malformed_text(_loans(spark, sf)), path)
+    cells = read_loans_with_rejects(spark, _csv_files(spark, path)).cells()
+    located = F.col("file").endswith(".csv") & (F.col("row_in_block") > 0) & (F.col("block_start") >= 0)
+    return cells.select("LoanNumber", F.col("column").alias("column_name"), "cell", "problem", located.alias("located"))
+
+
+def q_newest_generation(spark, sf):
+    """A folder with two publications of the same files: every loan of the newer one, once."""
+    base = scratch_path(spark, "generations")
+    loans = _loans(spark, sf)
+    for date, rows in (("240101", loans.filter(F.col("ProcessingMethod") == "PPP")), ("240930", loans)):
+        written = scratch_path(spark, "generation")
+        write_loans_csv(rows, written, files=4)
+        for number, name in enumerate(sorted(n for n in file_names(spark, written) if n.endswith(".csv"))):
+            move_file(spark, f"{written}/{name}", f"{base}/public_{number}_{date}.csv")
+    return read_loans(spark, listing.newest_files(spark, base))
+
+
 def q_csv_permissive(spark, sf):
     """Malformed CSV through the plain reader: bad cells are null, every row stays."""
     path = scratch_path(spark, "csv-permissive")
@@ -441,6 +472,12 @@ def q_failed_files(spark, sf):
     return M.failed_entries(derived.label_outcomes(spark, sf))
 
 
+def q_failed_names(spark, sf):
+    """The names list of the one error, as its message has it."""
+    names = joined_names(M.failed_entries(derived.label_outcomes(spark, sf)), "name")
+    return spark.createDataFrame([(names,)], "names string")
+
+
 # ---------------------------------------------------------------- sinks
 
 
@@ -465,6 +502,18 @@ def q_append_table(spark, sf):
     return spark.table(t)
 
 
+def q_append_batches(spark, sf):
+    """Two batches, the first one appended again: it adds nothing."""
+    t = _table("batches")
+    path = _sink_path(spark, t)
+    report = _report(spark, sf)
+    first = report.filter(F.col("LoanNumber").cast("bigint") % 2 == 0)
+    tables.append_table(first, t, path=path, batch="even")
+    tables.append_table(report.filter(F.col("LoanNumber").cast("bigint") % 2 == 1), t, path=path, batch="odd")
+    tables.append_table(first, t, path=path, batch="even")
+    return spark.table(t)
+
+
 def q_connector_append(spark, sf):
     """Two appends through a connector format's writer (Parquet stands for the connector)."""
     path = scratch_path(spark, "connector")
@@ -520,6 +569,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_empty": q_search_empty,
     "search_cards": q_search_cards,
     "search_wildcard": q_search_wildcard,
+    "search_indexed": q_search_indexed,
     "loan_detail": q_loan_detail,
     "row_count": q_row_count,
     "row_limit": q_row_limit,
@@ -548,7 +598,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "csv_multi_scan": q_csv_multi_scan,
     "csv_rejects": q_csv_rejects,
+    "csv_reject_cells": q_csv_reject_cells,
     "csv_permissive": q_csv_permissive,
+    "newest_generation": q_newest_generation,
     "refresh_job": q_refresh_job,
     "refresh_job_rejects": q_refresh_job_rejects,
     "refresh_job_sinks": q_refresh_job_sinks,
@@ -565,8 +617,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fetch_plan": q_fetch_plan,
     "fetch_failures": q_fetch_failures,
     "failed_files": q_failed_files,
+    "failed_names": q_failed_names,
     "overwrite_table": q_overwrite_table,
     "append_table": q_append_table,
+    "append_batches": q_append_batches,
     "connector_append": q_connector_append,
     "clear_and_append": q_clear_and_append,
     "create_if_missing": q_create_if_missing,
@@ -576,24 +630,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _optional() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
-    """Queries and SQL of the optional subpackage and its pipeline; none when it isn't there."""
-    from importlib.util import find_spec
-
+    """Queries and SQL of the optional subpackage and its pipeline; none where it can't be imported."""
     try:
-        found = find_spec("disclosure.llm.queries")
-    except ModuleNotFoundError:
-        found = None
-    if found is None:
+        from disclosure.llm.queries import ORACLES, QUERIES
+    except ImportError:
         return {}, {}
-    from disclosure.llm.queries import ORACLES, QUERIES
-
     queries, sql = dict(QUERIES), dict(ORACLES)
-    if find_spec("corpus_pipeline") is not None:
+    try:
         import corpus_pipeline
-
-        queries["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return queries, sql
+    queries["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return queries, sql
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from disclosure.operators.report import loan_report
 from disclosure.sinks import tables
 from disclosure.sources.csv import limit_rows, read_loans, read_loans_with_rejects
-from disclosure.sources.listing import manifest_files, snapshot_glob
+from disclosure.sources.listing import manifest_files, newest_files, snapshot_glob
 
 
 @dataclass(frozen=True)
@@ -99,6 +99,8 @@ def run(
     strategy: str = "auto",
     rejects: TableSink | None = None,
     manifest: DataFrame | None = None,
+    newest_only: bool = False,
+    ledger: str | None = None,
     **reader_options,
 ) -> DataFrame:
     """Read ``source`` (a ``.csv`` file, a folder snapshot, or explicit files), publish, return.
@@ -108,6 +110,11 @@ def run(
     generation left in the folder are not loaded a second time. A named file that is not there
     is an error.
 
+    With ``newest_only``, of files whose names differ only by their date suffix the newest is read
+    (see :func:`disclosure.sources.listing.newest_generation`): the same without a manifest. With
+    ``ledger``, a folder that keeps the listing of a source's subfolders between refreshes, only
+    subfolders that changed are listed again.
+
     With ``rejects``, malformed source lines (with their raw text) are also written to that
     table; the report has every line, with the bad cells null. The parse then runs once, staged
     (see :func:`disclosure.sources.csv.read_loans_with_rejects`), and the staged copy is removed
@@ -127,7 +134,7 @@ def run(
             raise ValueError("A manifest selects files in one source folder")
         files = manifest_files(spark, source, manifest)
     elif isinstance(source, str):
-        files = [snapshot_glob(spark, source)]
+        files = newest_files(spark, source) if newest_only else [snapshot_glob(spark, source, ledger)]
     else:
         files = list(source)
     report = loan_report(read_loans(spark, files, row_limit=row_limit, **reader_options))

@@ -115,7 +115,7 @@ def path_part(path: str) -> str:
     return parsed.path if parsed.scheme else path
 
 
-def subfolder_times(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+def folder_times(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     """Folders directly in ``path`` and their modification times in seconds (none if it does not
     exist)."""
     fs, folder = _folder(spark, path)
@@ -126,7 +126,7 @@ def subfolder_times(spark: SparkSession, path: str) -> list[tuple[str, float]]:
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Folders directly in ``path`` (none if it does not exist)."""
-    return [found for found, _ in subfolder_times(spark, path)]
+    return [found for found, _ in folder_times(spark, path)]
 
 
 def file_names(spark: SparkSession, path: str) -> list[str]:
@@ -163,5 +163,7 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     fs, old = _folder(spark, source)
-    if not fs.rename(old, _folder(spark, target)[1]):
+    new = _folder(spark, target)[1]
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
         raise OSError(f"Could not move {source} to {target}")

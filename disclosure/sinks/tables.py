@@ -54,7 +54,7 @@ from disclosure.session import (
     read_text,
     remove_folder,
     scratch_path,
-    subfolder_times,
+    folder_times,
 )
 
 # --- Fixed values: column types the external event store accepts, by Spark type. ---
@@ -225,7 +225,7 @@ def _remove_old(spark: SparkSession, table: str, base: str, retention: float) ->
     published = [version for _, version in claims]
     keep = {_shown(spark, table), *published[-2:]}
     now = time.time()
-    for old, modified in subfolder_times(spark, base):
+    for old, modified in folder_times(spark, base):
         name = old.rstrip("/").rsplit("/", 1)[-1]
         if not name.startswith(_VERSION) or name in keep:
             continue

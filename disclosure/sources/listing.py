@@ -20,12 +20,14 @@ Snapshot rules of the source layout (a folder of CSVs, or a base folder of dated
 from __future__ import annotations
 
 import re
+import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosure.functions.display import has_csv_suffix
+from disclosure.session import file_names, folder_times, remove_folder, subfolders
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?"
 
@@ -150,24 +152,118 @@ def resolve(listing: DataFrame, base: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def snapshot_glob(spark: SparkSession, source: str) -> str:
+def snapshot_glob(spark: SparkSession, source: str, ledger: str | None = None) -> str:
     """The path to hand the CSV reader for ``source``: the file itself, or a glob of the snapshot.
 
     ``base/*.[cC][sS][vV]`` when the base holds CSV files, else ``base/<latest>/*.[cC][sS][vV]``.
-    Spark lists the tree once to choose the folder and expands the glob (skipping hidden files)
-    when it plans the scan; like every file scan, both keep the file statuses on the driver.
+    The base's own level is listed first; only if it has no CSV file are the subfolders looked at,
+    and with a ``ledger`` (see :func:`folder_ledger`) only those that changed since it was written.
+    Spark expands the glob (skipping hidden files) when it plans the scan; like every file scan,
+    that keeps the file statuses on the driver.
     """
     if source.lower().endswith(".csv"):
         return source
     base = source.rstrip("/")
-    chosen = _snapshot_folder(with_relative(list_tree(spark, base), base)).first()
-    if chosen is None or chosen["depth"] is None:
-        raise _no_files(source)
-    if chosen["depth"] == 0:
+    if any(has_suffix(name) for name in file_names(spark, base)):
         return f"{_glob_escape(base)}/{CSV_GLOB}"
+    if ledger is None:
+        folders = _folder_facts(with_relative(list_tree(spark, base), base))
+    else:
+        folders = folder_ledger(spark, base, ledger)
+    chosen = folders.agg(F.max(F.struct("newest", "folder", "files")).alias("latest")).first()["latest"]
+    if chosen is None or not chosen["files"]:
+        raise _no_files(source)
     return f"{_glob_escape(base)}/{_glob_escape(chosen['folder'])}/{CSV_GLOB}"
 
 
+def has_suffix(name: str) -> bool:
+    return name.lower().endswith(".csv") and not name.startswith(("_", "."))
+
+
+def _folder_facts(rel: DataFrame) -> DataFrame:
+    """``folder, newest, files`` (CSV files directly in it) of every first-level folder."""
+    here = has_csv_suffix("rel") & (F.col("depth") == 1)
+    return (
+        rel.filter(F.col("folder").isNotNull())
+        .groupBy("folder")
+        .agg(F.max("modificationTime").alias("newest"), F.count_if(here).alias("files"))
+    )
+
+
+def folder_ledger(spark: SparkSession, base: str, ledger: str) -> DataFrame:
+    """``folder, newest, files, changed`` of the first-level folders, listing only what changed.
+
+    ``ledger`` is a small Parquet folder that keeps these rows between refreshes. One level is
+    listed; a folder is listed again when it is not in the ledger or its own modification time
+    (``changed``) is another one. A store without folder times (they are 0) is listed whole. A
+    file system that doesn't change a folder's time when something deeper inside it changes needs
+    the tree without a ledger.
+    """
+    schema = "folder string, newest timestamp, files long, changed long"
+    now = [(p.rstrip("/").rsplit("/", 1)[-1], int(t * 1000)) for p, t in folder_times(spark, base)]
+    now = [(name, t) for name, t in now if not name.startswith(("_", "."))]
+    level = spark.createDataFrame(now, "folder string, changed long")
+    number_of = lambda x: int(x.rstrip("/").rsplit("/listing-", 1)[-1].split("-")[0])
+    known = [x for x in subfolders(spark, ledger) if "/listing-" in x and "_SUCCESS" in file_names(spark, x)]
+    newest = max(known, key=number_of, default=None)
+    before = spark.read.schema(schema).parquet(newest) if newest else spark.createDataFrame([], schema)
+    same = before.join(level.filter("changed > 0"), ["folder", "changed"], "left_semi").select("folder", "newest", "files", "changed")
+    fresh = level.join(same.select("folder"), "folder", "left_anti").select("folder", "changed")
+    names = [r["folder"] for r in fresh.collect()]  # one row per changed folder
+    listed = spark.createDataFrame([], "folder string, newest timestamp, files long")
+    if names:
+        tree = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        tree = tree.load([f"{_glob_escape(base)}/{_glob_escape(n)}" for n in names]).select("path", "length", "modificationTime")
+        listed = _folder_facts(with_relative(tree, base))
+    rows = same.unionByName(fresh.join(listed, "folder", "left").select("folder", "newest", F.coalesce("files", F.lit(0)).alias("files"), "changed"))
+    if names or len(now) != same.count():
+        path = f"{ledger.rstrip('/')}/listing-{number_of(newest) + 1 if newest else 0}-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(path)
+        for old in known:
+            if old != newest:  # the one before stays for a refresh that is reading it
+                remove_folder(spark, old)
+        return spark.read.schema(schema).parquet(path)
+    return rows
+
+
+# --- Fixed value: the date that the publisher puts at the end of a file's name. ---
+GENERATION = r"^(.*?)(?:[_-]?(\d{8}|\d{6}))?\.[^.]*$"
+
+
+def generations(files: DataFrame) -> DataFrame:
+    """``files`` with ``stem`` (folder and name without the date suffix) and ``generation`` (``yyyyMMdd``, null
+    for a name without a date). A six-digit date is ``yyMMdd``."""
+    name = F.substring_index("path", "/", -1)
+    folder = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)))")
+    date = F.nullif(F.regexp_extract(name, GENERATION, 2), F.lit(""))
+    return files.withColumn("stem", F.concat(folder, F.lower(F.regexp_extract(name, GENERATION, 1)))).withColumn(
+        "generation", F.when(F.length(date) == 6, F.concat(F.lit("20"), date)).otherwise(date)
+    )
+
+
+def newest_generation(files: DataFrame) -> DataFrame:
+    """The newest file of every stem: a folder that still holds the files of older publications
+    loads every record once.
+
+    The date in the name decides, a name without one is oldest; then the modification time, then
+    the greatest path. One aggregation by stem with map-side reduction.
+    """
+    order = F.struct(F.coalesce("generation", F.lit("")).alias("g"), "modificationTime", "path", "length")
+    newest = generations(files).groupBy("stem").agg(F.max(order).alias("f"))
+    return newest.select("f.path", "f.length", "f.modificationTime")
+
+
+def newest_files(spark: SparkSession, source: str) -> list[str]:
+    """Paths of the newest file of every stem in the snapshot of ``source``, for the CSV reader."""
+    found = newest_generation(list_files(spark, snapshot_glob(spark, source)))
+    return [_glob_escape(r["path"]) for r in found.select("path").collect()]
+
+
+def list_files(spark: SparkSession, glob: str) -> DataFrame:
+    """The files of a glob as a listing; contents are not read."""
+    return spark.read.format("binaryFile").load(glob).select("path", "length", "modificationTime")
+
+
 def manifest_files(spark: SparkSession, folder: str, entries: DataFrame) -> list[str]:
     """Paths of the files directly in ``folder`` that the manifest ``entries`` name.
 

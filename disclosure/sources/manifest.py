@@ -42,6 +42,7 @@ from pyspark.sql.types import (
 
 from disclosure.functions.display import base_name, human_bytes
 from disclosure.sources.listing import with_relative
+from disclosure.sources.names import joined_names
 
 RESOURCE_SCHEMA = StructType(
     [
@@ -194,18 +195,20 @@ class FetchFailed(RuntimeError):
 
 
 def raise_on_failures(outcomes: DataFrame, error_column: str = "error", total: int | None = None) -> None:
-    """Run all, then fail once: ``Failed to download n of total file(s)``.
+    """Run all, then fail once: ``Failed to download n of total file(s): name, name, ...``.
 
-    Counting is distributed. ``total`` overrides the outcome count (when skipped entries have
-    no outcome row). The failed names, however many, are the DataFrame ``failures`` of the
-    raised exception.
+    Counting is distributed, and so is putting the names together (sorted; see
+    :func:`disclosure.sources.names.joined_names`); the message has all of them, whatever their number.
+    ``total`` overrides the outcome count (when skipped entries have no outcome row). The failed
+    entries with their errors are the DataFrame ``failures`` of the raised exception.
     """
     summary = failure_summary(outcomes, error_column).first()
     if not summary or summary["n_failed"] == 0:
         return
     n_total = summary["n_total"] if total is None else total
-    message = f"Failed to download {summary['n_failed']} of {n_total} file(s); their names are in .failures"
-    raise FetchFailed(message, failed_entries(outcomes, error_column))
+    failures = failed_entries(outcomes, error_column)
+    message = f"Failed to download {summary['n_failed']} of {n_total} file(s): {joined_names(failures, 'name')}"
+    raise FetchFailed(message, failures)
 
 
 def duplicate_names(entries: DataFrame) -> DataFrame:

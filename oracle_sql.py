@@ -346,6 +346,7 @@ def oracle_queries() -> dict[str, str]:
     q = {
         "loan_report": report_all,
         "search": _over_report(f"SELECT * FROM report WHERE contains(searchtext, '{SEARCH_Q}')"),
+        "search_indexed": _over_report(f"SELECT * FROM report WHERE contains(searchtext, '{SEARCH_Q}')"),
         "search_empty": _over_report(f"SELECT {CARD_COLS} FROM report"),
         "search_cards": _over_report(f"SELECT {CARD_COLS} FROM report WHERE contains(searchtext, 'nation_2 asia')"),
         "search_wildcard": _over_report(
@@ -392,6 +393,7 @@ def oracle_queries() -> dict[str, str]:
             f"(SELECT p_partkey, {valid_raw} AS name FROM part)"
         ),
         "csv_scan": f"WITH {CSV_LOANS_CTES}\nSELECT * FROM csv_loans",
+        "newest_generation": f"WITH {CSV_LOANS_CTES}\nSELECT * FROM csv_loans",
         "csv_multi_scan": (
             f"WITH {CSV_LOANS_CTES}\nSELECT * FROM csv_loans UNION ALL "
             "SELECT * FROM csv_loans WHERE ProcessingMethod = 'PPP'"
@@ -402,6 +404,12 @@ def oracle_queries() -> dict[str, str]:
             f"CASE WHEN {k_rej} % 29 = 0 THEN NULL ELSE JobsReported END AS JobsReported FROM loans "
             f"WHERE ({k_rej} % 23 = 0 AND DateApproved IS NOT NULL) OR ({k_rej} % 29 = 0 AND JobsReported IS NOT NULL)"
         ),
+        "csv_reject_cells": (
+            f"WITH {LOANS_CTES}\nSELECT LoanNumber, 'DateApproved' AS column_name, strftime(DateApproved, '%Y-%m-%d') AS cell, "
+            f"'not a date (MM/dd/yyyy)' AS problem, true AS located FROM loans WHERE {k_rej} % 23 = 0 AND DateApproved IS NOT NULL "
+            f"UNION ALL SELECT LoanNumber, 'JobsReported', CAST(JobsReported AS VARCHAR) || '.0', 'not of type int', true "
+            f"FROM loans WHERE {k_rej} % 29 = 0 AND JobsReported IS NOT NULL"
+        ),
         "refresh_job": csv_report_all,
         # Rejected lines stay in the report, with the bad cells null; the rejects are additional.
         "refresh_job_rejects": (
@@ -451,6 +459,10 @@ def oracle_queries() -> dict[str, str]:
             f"CAST(count(*) AS BIGINT) AS n_total FROM ({LABEL_OUTCOMES})"
         ),
         "failed_files": f"SELECT name, error FROM ({LABEL_OUTCOMES}) WHERE error IS NOT NULL",
+        "failed_names": (
+            f"SELECT coalesce(string_agg(name, ', ' ORDER BY name) FILTER (WHERE error IS NOT NULL), '') AS names FROM ({LABEL_OUTCOMES})"
+        ),
+        "append_batches": report_all,
         "overwrite_table": report_all,
         "append_table": _over_report("SELECT * FROM report UNION ALL SELECT * FROM report"),
         "clear_and_append": report_all,
