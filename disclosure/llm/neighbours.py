@@ -13,8 +13,10 @@ directions (as in the test tables) nearly all. The default is set by recall agai
 
 Equal vectors are collapsed before indexing: of each, only the ``k + 1`` smallest ids can be
 among the nearest ``k`` of any query, so nothing is lost and a large group of copies cannot fill
-a leaf. Leaves of more than ``CELL_ROWS`` rows and more than ``CELL_QUERIES`` queries are
-dealt out as several cells, so that what meets in one task is bounded.
+a leaf. Leaves of more than ``CELL_ROWS`` rows are dealt out as several cells. A task holds one
+cell's rows and streams the cell's queries past them, so its memory is bounded; each vector is
+shuffled once per tree, whatever the number of queries. Leaves are as many as the rows ask for, up
+to what the sample can tell apart (``fit_rows`` is an argument); beyond, they are cut into cells.
 
 Defined cases: a vector that is null, zero, of another dimension than most of the sample, or
 that holds a null or non-finite component takes no part, nor does a null id; ties go to the
@@ -29,7 +31,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,9 +42,8 @@ TREES = 4
 SHARE = 1.2
 LEAF_ROWS = 400
 FIT_ROWS = 20_000
-MAX_DEPTH = 11  # FIT_ROWS / 2**11: some ten sample rows in a leaf
+FIT_LEAF = 8  # least sample rows in a leaf: with FIT_ROWS, up to 2,048 leaves in a tree
 CELL_ROWS = 20_000
-CELL_QUERIES = 5_000
 SEED = 7
 
 
@@ -96,7 +96,7 @@ class Forest:
 def fit(sample: np.ndarray, n_rows: int, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = SEED) -> Forest:
     """A forest for ``n_rows`` rows from the unit vectors of a sample."""
     deep = int(np.log2(max(1.0, n_rows / leaf_rows)))
-    depth = max(0, min(deep, MAX_DEPTH, int(np.log2(max(1.0, len(sample) / 8)))))
+    depth = max(0, min(deep, int(np.log2(max(1.0, len(sample) / FIT_LEAF)))))
     rng = np.random.default_rng(seed)
     nodes = 2**depth - 1
     directions, thresholds = [], []
@@ -164,6 +164,7 @@ def neighbours(
     share: float = SHARE,
     trees: int = TREES,
     leaf_rows: int = LEAF_ROWS,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest ``k`` found of every row where ``is_query``.
 
@@ -173,12 +174,12 @@ def neighbours(
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
     n = rows.count()
-    portion = int(2**32 * min(1.0, FIT_ROWS / max(n, 1)))
+    portion = int(2**32 * min(1.0, fit_rows / max(n, 1)))
     sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(2**32)) < portion).select("vector").toArrow().combine_chunks()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample.num_rows:
         if n:  # fewer rows than the sample's hash let through
-            sample = rows.select("vector").limit(FIT_ROWS).toArrow().combine_chunks()
+            sample = rows.select("vector").limit(fit_rows).toArrow().combine_chunks()
         else:
             return spark.createDataFrame([], schema)
     column = sample["vector"].combine_chunks()
@@ -189,7 +190,7 @@ def neighbours(
     model = spark.sparkContext.broadcast(forest)
 
     same = Window.partitionBy("vector").orderBy("id")
-    distinct = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1).drop("nth")
+    distinct = rows.distinct().withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1).drop("nth")
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,52 +225,55 @@ def neighbours(
 
     queries = rows.filter(is_query)
     visited = queries.mapInArrow(walk, "id long, vector array<double>, tree int, leaf int")
-    # Cells: a leaf's rows and queries in blocks of bounded size.
+    # Cells: a leaf's rows in blocks of bounded size. Every vector goes to one cell of each tree, and
+    # a query to the cells of the leaves it visits; in a cell the rows come first.
     row_blocks = spark.createDataFrame(
         [(t, x, int(-(-sizes[t, x] // CELL_ROWS))) for t in range(trees) for x in range(sizes.shape[1]) if sizes[t, x]],
         "tree int, leaf int, blocks int",
     )
-    query_blocks = max(1, -(-queries.count() // CELL_QUERIES))
-    cells = placed.join(F.broadcast(row_blocks), ["tree", "leaf"]).select(
-        "tree",
-        "leaf",
-        F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
-        "id",
-        "vector",
-    )
-    asked = visited.join(F.broadcast(row_blocks), ["tree", "leaf"]).select(
-        "tree",
-        "leaf",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("query_block"),
-        "id",
-        "vector",
-    )
-    names = ["tree", "leaf", "block", "query_block"]
-
-    def rerank(asked: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(cell):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids = cell["id"].to_numpy()
-        matrix = np.stack(cell["vector"].to_numpy())
-        order = np.argsort(ids, kind="stable")  # equal scores keep the smaller id first
-        ids, matrix = ids[order], matrix[order]
-        out = []
-        for at in range(0, len(asked), 256):
-            part = asked.iloc[at : at + 256]
-            own = part["id"].to_numpy()
-            scores = cosines(np.stack(part["vector"].to_numpy()), matrix)
-            scores[own[:, None] == ids[None, :]] = -np.inf
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            top = np.take_along_axis(scores, best, axis=1)
-            real = np.isfinite(top)
-            out.append((np.repeat(own, real.sum(axis=1)), ids[best][real], top[real]))
-        return pd.DataFrame({name: np.concatenate([x[i] for x in out]) for i, name in enumerate(("query_id", "vec_id", "score"))})
-
-    found = (
-        asked.groupBy(*names).cogroup(cells.groupBy(*names)).applyInPandas(rerank, "query_id long, vec_id long, score double")
-    )
+    names = ["tree", "leaf", "block"]
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")
+    cells = placed.join(F.broadcast(row_blocks), ["tree", "leaf"]).select("tree", "leaf", own, F.lit(0).alias("kind"), "id", "vector")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    asked = visited.join(F.broadcast(row_blocks), ["tree", "leaf"]).select("tree", "leaf", every, F.lit(1).alias("kind"), "id", "vector")
+    met = cells.unionByName(asked).repartition(*names).sortWithinPartitions(*names, "kind")
+
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, ids, parts, matrix = None, [], [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([np.asarray(batch.column(name)) for name in (*names, "kind")])
+            cuts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+            for begin, end in zip(cuts, np.append(cuts[1:], batch.num_rows)):
+                now = tuple(key[:3, begin])
+                if now != cell:
+                    cell, ids, parts, matrix = now, [], [], None
+                part_ids = np.asarray(batch.column("id"))[begin:end]
+                vectors = _matrix(batch.column("vector").slice(begin, end - begin))
+                if key[3, begin] == 0:
+                    ids.append(part_ids)
+                    parts.append(vectors)
+                    continue
+                if not parts:
+                    continue
+                if matrix is None:
+                    row_ids, matrix = np.concatenate(ids), np.concatenate(parts)
+                    order = np.argsort(row_ids, kind="stable")  # equal scores keep the smaller id first
+                    row_ids, matrix = row_ids[order], matrix[order]
+                for at in range(0, len(part_ids), 256):
+                    asking = part_ids[at : at + 256]
+                    scores = cosines(vectors[at : at + 256], matrix)
+                    scores[asking[:, None] == row_ids[None, :]] = -np.inf
+                    best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                    top = np.take_along_axis(scores, best, axis=1)
+                    real = np.isfinite(top)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(asking, real.sum(axis=1))), pa.array(row_ids[best][real]), pa.array(top[real])],
+                        names=["query_id", "vec_id", "score"],
+                    )
+
+    found = met.mapInArrow(rerank, "query_id long, vec_id long, score double")
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.groupBy("query_id", "vec_id")
