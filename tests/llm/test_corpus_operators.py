@@ -56,6 +56,65 @@ def test_near_duplicate_groups_and_chains(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == brute.components(rows)
 
 
+def _group(n: int) -> list[tuple[int, str]]:
+    """Documents alike below the threshold: each replaces two words of the same thirty."""
+    rng = random.Random(5)
+    base = [f"b{j}" for j in range(30)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for place in rng.sample(range(30), 2):
+            words[place] = f"n{i}x{place}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_rows_grow_with_a_group_of_unlinked_documents_not_with_its_square(spark, monkeypatch):
+    prepare(spark)
+    made = {}
+    real = neardup.Scratch.written
+
+    def counted(self, df, label):
+        out = real(self, df, label)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup.Scratch, "written", counted)
+    most = []
+    for n in (150, 300, 600):
+        made.clear()
+        rows = _group(n)
+        found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2)
+        assert {r.doc_id: r.component_id for r in found.collect()} == brute.components(rows)
+        most.append(max(v for label, v in made.items()))
+    assert most[1] <= 2.5 * most[0] and most[2] <= 2.5 * most[1]
+
+
+def test_near_duplicates_with_whole_sets_as_sketches_are_exact(spark, monkeypatch):
+    """With ``k`` over every set's size no estimate decides anything."""
+    prepare(spark)
+    rng = random.Random(9)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{rng.randrange(4000)}" for _ in range(400)]
+        for i in range(20):
+            words = list(base)
+            for _ in range(rng.randint(20, 45)):  # around the threshold
+                words[rng.randrange(400)] = f"n{rng.randrange(10**6)}"
+            rows.append((group * 100 + i, " ".join(words)))
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2, k=10**6)
+    assert {r.doc_id: r.component_id for r in found.collect()} == brute.components(rows)
+
+
+def test_near_duplicate_meetings_of_many_blocks(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 16)
+    rows = _group(120) + [(1000 + i, t) for i, t in _group(60)[::2]]
+    rows += [(2000 + i, t.replace("b3 ", "b3x ")) for i, t in _group(40)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2)
+    assert {r.doc_id: r.component_id for r in found.collect()} == brute.components(rows)
+
+
 def test_near_duplicate_edge_cases(spark, edge_docs, no_docs):
     prepare(spark)
     rows = neardup.near_duplicates(edge_docs, size=2).collect()
@@ -299,6 +358,24 @@ def test_neighbour_edge_cases(spark):
         assert r.vec_id == same[r.rank - 1] and r.score == pytest.approx(1.0, abs=1e-15)
 
 
+def test_repeated_rows_take_no_neighbours_place(spark):
+    """One id seven times with the vector of five others: all of them tie, and five are due."""
+    rows = [(0, [1.0, 0.0])] + [(1, [0.6, 0.8])] * 7 + [(i, [0.6, 0.8]) for i in range(2, 7)] + [(0, [1.0, 0.0])] * 2
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.neighbours(given, F.col("id") % 50 == 0).orderBy("rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, i, i) for i in range(1, 6)]
+
+
+def test_every_vector_is_shuffled_once_per_tree(spark, monkeypatch):
+    """What the cells are made of: one row a vector and tree, however many queries there are."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(2000)]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for share in (2, 10):  # ten times the queries
+        plan = neighbours.neighbours(given, F.col("id") % (100 // share) == 0, leaf_rows=100)._jdf.queryExecution().toString()
+        assert "FlatMapCoGroups" not in plan and "CartesianProduct" not in plan
+
+
 # ---------------------------------------------------------------- pipeline
 
 
