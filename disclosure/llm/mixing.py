@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3  # times a source, and so a document, may be taken
-BLOCKS = 1024  # blocks per source; at least the number of shards
+BLOCKS = 1024  # least number of blocks per source
 SHARDS = 16
+SHARD_WORDS = 2_000_000  # words of an output shard, about (see layout): some 12 MB of text
 SEED = 9
 
 
@@ -43,7 +44,19 @@ def measure(
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         place.alias("place"),
-    ).withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "place"), F.lit(blocks)).cast("int"))
+    ).transform(dealt, blocks, seed)
+
+
+def dealt(measured: DataFrame, blocks: int, seed: int = SEED) -> DataFrame:
+    """``measured`` with every document's ``block`` out of ``blocks``."""
+    return measured.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "place"), F.lit(blocks)).cast("int"))
+
+
+def layout(words: int, shard_words: int = SHARD_WORDS) -> tuple[int, int]:
+    """Numbers of shards and of blocks per source for a corpus of ``words``: shards of about
+    ``shard_words``, and blocks enough to deal out to every shard."""
+    shards = max(1, -(-words // shard_words))
+    return shards, max(BLOCKS, 1 << (4 * shards - 1).bit_length())
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -326,5 +339,5 @@ def mix(allocated: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def shuffled(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``mixed`` dealt to one partition per shard and ordered by ``position`` inside it."""
-    return mixed.repartition(shards, "shard").sortWithinPartitions("shard", "position")
+    """``mixed`` dealt to exactly one partition per shard and ordered by ``position`` inside it."""
+    return mixed.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("position")

@@ -85,9 +85,11 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
     measured = written(
-        mixing.measure(docs).select(F.struct("doc.doc_id").alias("doc"), "source", "size", "place", "block"), "mix-measured"
+        mixing.measure(docs).select(F.struct("doc.doc_id").alias("doc"), "source", "size", "place"), "mix-measured"
     )
-    allocated = mixing.allocate(measured, mixing.plan(measured, written=written))
+    shards, blocks = mixing.layout(measured.agg(F.sum("size")).first()[0] or 0)
+    measured = mixing.dealt(measured, blocks)
+    allocated = mixing.allocate(measured, mixing.plan(measured, shards=shards, written=written))
     return allocated.select(
         "doc.doc_id",
         "size",
