@@ -6,7 +6,9 @@ input. All stages but the last return the columns of ``documents``.
 
 Defined cases (the operators' own apply, too): an empty table passes every stage; a null text is
 kept as it is until it is encoded as no tokens; a row without an id is never a duplicate; rows
-that share an id are one document, of which the near-duplicate stage keeps one row.
+that share an id are one document, of which the near-duplicate stage keeps the one with the longest
+text (then the greatest in text, lang, source and n_chars). Texts of any length and columns besides
+those of ``documents`` pass: whole texts are worked on, other columns are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -35,11 +37,17 @@ def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies (five-word shingles, similarity 0.8)."""
     prepare(spark)
+    docs = docs.select(*COLUMNS)
     found = neardup.near_duplicates(docs, size=5)
     kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    docs = docs.select(*COLUMNS)
-    one = docs.join(kept, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter("doc_id IS NULL"))
+    left = docs.join(written(kept, "pipeline-kept"), F.col("doc_id") == F.col("id"), "left_semi")
+    often = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("doc_id").alias("id"))
+    often = written(often, "pipeline-repeated")
+    order = F.struct(F.length("text").alias("length"), *[c for c in COLUMNS if c != "doc_id"])
+    several = left.join(often, F.col("doc_id") == F.col("id"), "left_semi").groupBy("doc_id").agg(F.max(order).alias("row"))
+    several = several.select("doc_id", *[f"row.{c}" for c in COLUMNS if c != "doc_id"]).select(*COLUMNS)
+    single = left.join(often, F.col("doc_id") == F.col("id"), "left_anti")
+    return single.unionByName(several).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +61,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws documents to their sources' targets and shuffles them inside output shards."""
     prepare(spark)
-    measured = mixing.measure(docs.select(*COLUMNS))
+    measured = mixing.measure(docs.select(*COLUMNS)).drop("block")
     narrow = written(measured.drop("doc"), "mix-measured")
-    allocated = mixing.allocate(measured, mixing.plan(narrow, written=written))
-    return mixing.shuffled(mixing.mix(allocated)).select(*COLUMNS)
+    shards, blocks = mixing.layout(narrow.agg(F.sum("size")).first()[0] or 0)
+    planned = mixing.plan(mixing.dealt(narrow, blocks), shards=shards, written=written)
+    mixed = mixing.mix(mixing.allocate(mixing.dealt(measured, blocks), planned))
+    return mixing.shuffled(mixed, shards).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
