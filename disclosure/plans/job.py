@@ -12,15 +12,17 @@ With no sinks nothing runs and the lazy report is returned for inspection.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from disclosure.operators.report import loan_report
 from disclosure.sinks import tables
 from disclosure.sources.csv import limit_rows, read_loans, read_loans_with_rejects
-from disclosure.sources.listing import manifest_files, newest_files, snapshot_glob
+from disclosure.sources.listing import list_files, manifest_files, newest_files, snapshot_glob
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,7 @@ class TableSink:
     partitions: int | None = None
     options: dict | None = None
     sort_within: tuple[str, ...] = ()
+    batch: str | None = None  # of an append: see tables.append_table
 
     def validate(self) -> None:
         tables.validate_table_name(self.table)
@@ -62,7 +65,7 @@ class TableSink:
         if self.mode == "overwrite":
             tables.overwrite_table(df, self.table, sort_within=self.sort_within, **common)
         elif self.mode == "append":
-            tables.append_table(df, self.table, partitions=self.partitions, sort_within=self.sort_within, **common)
+            tables.append_table(df, self.table, partitions=self.partitions, sort_within=self.sort_within, batch=self.batch, **common)
         else:
             tables.clear_and_append(df, self.table, partitions=self.partitions, **common)
 
@@ -91,6 +94,17 @@ class ConnectorSink:
         tables.connector_write(df, self.fmt, self.options, mode=self.mode, partitions=self.partitions)
 
 
+def _run_name(spark: SparkSession, files: Sequence[str], row_limit: int | None) -> str:
+    """A name for what a run reads: a digest over one row per file, summed on the cluster."""
+    found = list_files(spark, list(files))
+    facts = found.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("files"),
+    ).first()
+    return hashlib.sha256(f"{facts['n']} {facts['bytes']} {facts['files']} {row_limit}".encode()).hexdigest()[:24]
+
+
 def run(
     spark: SparkSession,
     source: str | Sequence[str],
@@ -101,6 +115,7 @@ def run(
     manifest: DataFrame | None = None,
     newest_only: bool = False,
     ledger: str | None = None,
+    journal: str | None = None,
     **reader_options,
 ) -> DataFrame:
     """Read ``source`` (a ``.csv`` file, a folder snapshot, or explicit files), publish, return.
@@ -120,6 +135,11 @@ def run(
     (see :func:`disclosure.sources.csv.read_loans_with_rejects`), and the staged copy is removed
     when all sinks have run.
 
+    With ``journal``, a folder, a run that is repeated after a failure goes on where it stopped: its
+    rows are staged in a subfolder named after the files it reads (their paths, sizes and times),
+    finished sinks are skipped, and an append to a file-format table carries that name as its batch,
+    so that it is there once.
+
     Returns the report: the first sink's table when it is a full refresh, else computed from
     the source when it is read.
     """
@@ -138,15 +158,22 @@ def run(
     else:
         files = list(source)
     report = loan_report(read_loans(spark, files, row_limit=row_limit, **reader_options))
+    if journal and sinks:
+        name = _run_name(spark, files, row_limit)
+        journal = f"{journal.rstrip('/')}/{name}"
+        sinks = [
+            replace(s, batch=s.batch or name) if getattr(s, "mode", "") == "append" and getattr(s, "fmt", "") in tables.FILE_FORMATS and isinstance(s, TableSink) else s
+            for s in sinks
+        ]
     if rejects is None:
         if sinks:
-            return tables.fan_out(report, list(sinks), strategy=strategy)
+            return tables.fan_out(report, list(sinks), strategy=strategy, journal=journal)
         return report
     parsed = read_loans_with_rejects(spark, files, **reader_options)
     try:
         rejects(parsed.rejects)
         loans = parsed.loans if row_limit is None else limit_rows(parsed.loans, row_limit)
-        tables.fan_out(loan_report(loans), list(sinks), strategy=strategy)
+        tables.fan_out(loan_report(loans), list(sinks), strategy=strategy, journal=journal if sinks else None)
     finally:
         parsed.close()
     published = [s for s in sinks if getattr(s, "replaces_content", False)]

@@ -453,7 +453,36 @@ def replace_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | N
 Sink = Callable[[DataFrame], object]
 
 
-def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto") -> DataFrame:
+def _resumable(df: DataFrame, sinks: Sequence[Sink], journal: str) -> DataFrame:
+    """The rows staged in the journal's folder once, then every sink that has no record there yet."""
+    spark = df.sparkSession
+    journal = journal.rstrip("/")
+    schema, folder = df.schema.json(), ""
+    if "staged" in file_names(spark, journal):
+        folder, _, held = read_text(spark, f"{journal}/staged").partition("\n")
+        if held != schema:  # of another program
+            remove_folder(spark, journal)
+            folder = ""
+    if not folder:
+        folder = f"{journal}/rows-{uuid.uuid4().hex}"
+        df.write.options(**SCRATCH_WRITE_OPTIONS).parquet(folder)
+        if not create_exclusively(spark, f"{journal}/staged", f"{folder}\n{schema}"):
+            raise ConcurrentRefresh(f"Another run uses the journal {journal}")
+    staged = spark.read.schema(df.schema).parquet(folder)
+    for number, sink in enumerate(sinks):
+        record = f"sink-{number}-{getattr(sink, 'table', 'sink')}"
+        record = re.sub(r"[^A-Za-z0-9._-]", "_", record)
+        if record not in file_names(spark, journal):
+            sink(staged)
+            create_exclusively(spark, f"{journal}/{record}")
+    remove_folder(spark, journal)
+    for sink in sinks:
+        if getattr(sink, "replaces_content", False) and hasattr(sink, "read"):
+            return sink.read(spark)
+    return df
+
+
+def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto", journal: str | None = None) -> DataFrame:
     """Feeds one computation to every sink; returns the DataFrame the later sinks read.
 
     With one sink, ``df`` is written directly (one job). With several, ``df`` is computed once:
@@ -467,10 +496,16 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink], strategy: str = "auto") -> Dat
     and the later sinks read a compact columnar copy. The staged copy is removed at the end
     and ``df`` returned (which computes anew if it is read again).
 
+    With ``journal``, a folder that names this run, the rows are staged there and every finished sink
+    leaves a record: a run that is repeated with the same folder after a failure reads the staged
+    rows and skips the sinks that are done. The folder goes when all of them are.
+
     * ``cache``: ``persist(MEMORY_AND_DISK)`` and ``count()`` first, always unpersisted
       afterwards (even when a sink fails); the returned DataFrame then recomputes from source.
     """
     sinks = list(sinks)
+    if journal:
+        return _resumable(df, sinks, journal)
     if len(sinks) <= 1:
         for sink in sinks:
             sink(df)

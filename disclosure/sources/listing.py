@@ -259,8 +259,8 @@ def newest_files(spark: SparkSession, source: str) -> list[str]:
     return [_glob_escape(r["path"]) for r in found.select("path").collect()]
 
 
-def list_files(spark: SparkSession, glob: str) -> DataFrame:
-    """The files of a glob as a listing; contents are not read."""
+def list_files(spark: SparkSession, glob: str | list[str]) -> DataFrame:
+    """The files of a glob (or several) as a listing; contents are not read."""
     return spark.read.format("binaryFile").load(glob).select("path", "length", "modificationTime")
 
 

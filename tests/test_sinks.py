@@ -368,3 +368,59 @@ def test_batch_repeated_after_a_failure_counts_once(spark, nine, tmp_dir, monkey
     monkeypatch.undo()
     assert T.append_table(nine, "t_batch_fail", path=path, batch="b") is True
     assert spark.table("t_batch_fail").count() == 11
+
+
+# ---------------------------------------------------------------- a run that goes on where it stopped
+
+
+class _Sink:
+    def __init__(self, table, fail=0):
+        self.table, self.fail, self.calls, self.rows = table, fail, 0, None
+
+    def __call__(self, df):
+        self.calls += 1
+        if self.calls <= self.fail:
+            raise RuntimeError("sink failed")
+        self.rows = sorted(r.LoanNumber for r in df.collect())
+
+
+def test_repeated_fan_out_skips_finished_sinks_and_reads_the_staged_rows(spark, nine, tmp_dir):
+    import os
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    source = nine.mapInArrow(count, nine.schema)
+    journal = f"{tmp_dir}/journal"
+    sinks = [_Sink("a"), _Sink("b", fail=1), _Sink("c")]
+    with pytest.raises(RuntimeError, match="sink failed"):
+        T.fan_out(source, sinks, journal=journal)
+    assert [s.calls for s in sinks] == [1, 1, 0]
+    T.fan_out(source, sinks, journal=journal)
+    assert [s.calls for s in sinks] == [1, 2, 1] and reads.value == 9
+    assert all(s.rows == [str(i) for i in range(9)] for s in sinks)
+    assert not os.path.exists(journal)
+    T.fan_out(source, sinks, journal=journal)  # a new run
+    assert [s.calls for s in sinks] == [2, 3, 2]
+
+
+def test_repeated_run_appends_once(spark, tmp_dir, monkeypatch):
+    from disclosure.schema import LOAN_COLUMNS
+
+    with open(f"{tmp_dir}/loans.csv", "w") as f:
+        f.write("\n".join([",".join(LOAN_COLUMNS), *[",".join([str(i)] + [""] * (len(LOAN_COLUMNS) - 1)) for i in range(5)]]) + "\n")
+    boom = _Sink("later", fail=1)
+    boom.validate = lambda: None
+    sinks = [TableSink("t_run_once", mode="append", path=f"{tmp_dir}/once"), boom]
+    for _ in range(2):
+        try:
+            run(spark, f"{tmp_dir}/loans.csv", sinks=sinks, journal=f"{tmp_dir}/journals")
+        except RuntimeError:
+            pass
+    assert spark.table("t_run_once").count() == 5 and boom.calls == 2
+    run(spark, f"{tmp_dir}/loans.csv", sinks=sinks[:1], journal=f"{tmp_dir}/journals")  # the same files again
+    assert spark.table("t_run_once").count() == 5
