@@ -12,8 +12,9 @@ Sizes are bounded: at most ``1 / MIN_RATE`` trigrams per language are kept, and
 ``SLOTS_PER_ENTRY`` slots for each, rounded up to a power of two.
 
 Defined cases: a text without letters (or null) is ``und`` with score 0; letters without any
-known trigram get the commonest training language with score 0; without any labelled text all
-predictions are ``und``. Rows are judged one by one and keep their other columns; columns named
+known trigram get the commonest training language with score 0; without any labelled text, so
+also with an empty table, all predictions are ``und``. Invalid UTF-8 counts as U+FFFD, which is no
+letter; texts may be of any length, one that is longer than a block is a block of its own. Rows are judged one by one and keep their other columns; columns named
 like an output are replaced.
 """
 

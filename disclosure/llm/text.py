@@ -74,8 +74,24 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _valid(batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
+    """The batch with U+FFFD for every byte sequence of ``column`` that is not UTF-8 (Spark's strings may
+    hold any bytes)."""
+    data, _ = utf8(batch.column(column))
+    if not len(data) or data.max() < 128:
+        return batch
+    try:
+        data.tobytes().decode("utf-8")
+        return batch
+    except UnicodeDecodeError:
+        raw = batch.column(column).cast(pa.binary()).to_pylist()
+        texts = pa.array([None if x is None else x.decode("utf-8", errors="replace") for x in raw], pa.string())
+        return batch.set_column(batch.schema.get_field_index(column), column, texts)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about :data:`BLOCK_BYTES` of ``column`` (whole rows)."""
+    """The batches cut into slices of about :data:`BLOCK_BYTES` of ``column`` (whole rows), with
+    invalid UTF-8 replaced. A longer text is a slice of its own."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -85,7 +101,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         while at < n:
             to = int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1
             to = min(max(to, at + 1), n)
-            yield batch.slice(at, to - at)
+            yield _valid(batch.slice(at, to - at), column)
             at = to
 
 

@@ -6,16 +6,18 @@ hidden toxic documents cause is taken away, and when that leaves less than nothi
 starts to fit single documents) the step goes the other way.
 
 A document's features are its distinct words (letter runs, case folded) and their first 3 to 6
-letters. Candidate features are those in at least ``MIN_SHARE`` of the positives; their document
-frequencies are counted over all documents, and the ``KEPT`` that tell positives from all text
-best are used. The classifier is fitted on a sample with documented bounds (at most
-``POSITIVES`` confirmed toxic documents and about ``UNLABELLED`` others, chosen by hash of the
-id); the prior and all counts cover everything.
+letters. Candidate features are those in at least ``MIN_SHARE`` of the positives, of these the
+``candidates`` in the most positives; their document frequencies are counted over all documents,
+and the ``KEPT`` that tell positives from all text best are used. The classifier is fitted on a
+sample with documented bounds (at most ``positives`` confirmed toxic documents and about
+``unlabelled`` others, chosen by hash of the id); the prior and all counts cover everything. The
+three bounds are arguments of :func:`learn`; None takes everything.
 
 Defined cases: a null or empty text has no features and scores by the prior alone; a document
 labelled more than once is toxic if any of its rows says so; null labels are no labels; without
-any confirmed toxic document every score is 0. Rows are scored one by one and keep their other
-columns; columns named like an output are replaced.
+any confirmed toxic document, so also with an empty table, every score is 0. Rows are scored one
+by one, whole texts of any length, and keep their other columns; columns named like an output are
+replaced. Invalid UTF-8 counts as U+FFFD.
 """
 
 from __future__ import annotations
@@ -171,7 +173,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    positives: int | None = POSITIVES,
+    unlabelled: int | None = UNLABELLED,
+    candidates: int | None = CANDIDATES,
+) -> Model:
     """Trains on ``docs`` (all text) and ``labels`` (only those that may be learned from)."""
     spark = docs.sparkSession
     judged = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -181,9 +192,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     nothing = Model(np.zeros(0, np.int64), np.zeros(0), None)
     if not toxic:
         return nothing
-    confirmed = F.broadcast(  # bounded: POSITIVES ids
-        judged.filter("toxic").select("of").orderBy(F.xxhash64("of"), "of").limit(POSITIVES)
-    )
+    confirmed = judged.filter("toxic").select("of")
+    if positives is not None:
+        confirmed = F.broadcast(confirmed.orderBy(F.xxhash64("of"), "of").limit(positives))  # bounded by the argument
     of_positive = docs.select(key, text).join(confirmed, F.col(key) == F.col("of"), "left_semi")
     found = document_frequency(of_positive, text)
     n_positive = of_positive.count()
@@ -191,16 +202,16 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return nothing
     least = max(MIN_DOCS, int(np.ceil(MIN_SHARE * n_positive)))
     found = found.filter(F.col("n_docs") >= min(least, n_positive)).orderBy(F.desc("n_docs"), "feature")
-    found = found.limit(CANDIDATES).toArrow()  # bounded: CANDIDATES rows
-    candidates, positive = np.asarray(found["feature"]), np.asarray(found["n_docs"])
-    order = np.argsort(candidates)
-    candidates, positive = candidates[order], positive[order]
-    counted = document_frequency(docs, text, candidates).toArrow()
-    everywhere = np.zeros(len(candidates), dtype=np.int64)
-    _, at = _known(np.asarray(counted["feature"]), candidates)
+    found = (found if candidates is None else found.limit(candidates)).toArrow()
+    asked, positive = np.asarray(found["feature"]), np.asarray(found["n_docs"])
+    order = np.argsort(asked)
+    asked, positive = asked[order], positive[order]
+    counted = document_frequency(docs, text, asked).toArrow()
+    everywhere = np.zeros(len(asked), dtype=np.int64)
+    _, at = _known(np.asarray(counted["feature"]), asked)
     everywhere[at] = np.asarray(counted["n_docs"])
     n_docs = docs.count()
-    chosen = candidates[choose_features(positive, everywhere, n_positive, n_docs)]
+    chosen = asked[choose_features(positive, everywhere, n_positive, n_docs)]
     shared = spark.sparkContext.broadcast(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +223,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 [batch.column("positive"), lists(at.astype(np.int32), counts)], names=["positive", "places"]
             )
 
-    share = int(2**32 * min(1.0, UNLABELLED / max(n_docs, 1)))
+    share = 2**32 if unlabelled is None else int(2**32 * min(1.0, unlabelled / max(n_docs, 1)))
     sample = docs.select(key, text).join(confirmed, F.col(key) == F.col("of"), "left")
     sample = sample.select(F.col("of").isNotNull().alias("positive"), key, text).filter(
         F.col("positive") | (F.pmod(F.xxhash64(key), F.lit(2**32)) < share)
