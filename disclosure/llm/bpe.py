@@ -65,12 +65,30 @@ def _packed(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [raw[i:j] for i, j in zip([0, *to[:-1]], to)]
 
 
+def _check(spec: dict) -> None:
+    """ValueError unless the file asks for just what is built here: byte-level BPE after the usual split
+    into words, no normaliser, and added tokens that match as they stand."""
+    split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = (
+        model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback"))
+        and spec.get("normalizer") is None
+        and split.get("type") == "ByteLevel"
+        and not split.get("add_prefix_space")
+        and split.get("use_regex", True)
+        and not any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    )
+    if not plain:
+        raise ValueError("The vocabulary file asks for steps that this encoder doesn't have")
+
+
 class Encoder:
     """A byte-level BPE vocabulary with vectorised encoding of text blocks."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        _check(spec)
         symbols = _byte_symbols()
         spell = lambda token: bytes(symbols[c] for c in token)
         vocab = {spell(token): i for token, i in spec["model"]["vocab"].items()}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +12,12 @@ from disclosure.llm import bpe, chat, embeddup, language, lengths, lexical, mixi
 from disclosure.llm.stage import prepare, remainder, written
 from disclosure.sources.star import read_table
 
-TOKENIZERS = "/opt/tokenizers"  # the public vocabulary files; the same place on every worker
 VOCABULARY = "byte_bpe_50k.json"
 
 
-def vocabulary(folder: str = TOKENIZERS) -> str:
-    return os.path.join(folder, VOCABULARY)
+def vocabulary(name: str = VOCABULARY) -> str:
+    """Place of a public vocabulary file, the same on every worker."""
+    return public_tokenizers.path(name)
 
 
 def op1_token_lengths(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,11 +243,12 @@ WITH given AS (
 ), hosts AS (
   SELECT source, count(DISTINCT text) AS docs FROM given GROUP BY source
 ), frequent AS (
-  SELECT source, plain FROM lines JOIN hosts USING (source) WHERE n > 0
-  GROUP BY source, plain, docs
+  SELECT l.source, plain FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source WHERE n > 0
+  GROUP BY l.source, plain, docs
   HAVING count(DISTINCT text) > {quality.LIMIT_DOCS} AND count(DISTINCT text) > docs * {quality.LIMIT_SHARE}
 ), lost AS (
-  SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN frequent USING (source, plain) GROUP BY doc_id
+  SELECT doc_id, sum(n) AS n FROM lines l SEMI JOIN frequent f
+  ON l.source IS NOT DISTINCT FROM f.source AND l.plain = f.plain GROUP BY doc_id
 ), counted AS (
   SELECT g.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(d.n, 0) AS n_dup_lines,

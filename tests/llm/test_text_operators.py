@@ -192,3 +192,15 @@ def test_unlabelled_risk_is_corrected_by_the_prior():
     places, rows = np.nonzero(has)
     weights, bias = toxicity.train(rows, places, confirmed, 2, 0.2)
     assert weights[0] + bias > 0 > weights[1] + bias
+
+
+def test_vocabulary_files_that_ask_for_more_are_refused(tmp_path):
+    import json
+
+    with open(vocabulary(), encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [dict(spec["added_tokens"][0], lstrip=True)]}):
+        path = tmp_path / "vocabulary.json"
+        path.write_text(json.dumps(spec | change), encoding="utf-8")
+        with pytest.raises(ValueError, match="vocabulary file"):
+            bpe.Encoder(str(path))
