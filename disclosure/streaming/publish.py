@@ -26,9 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from disclosure.operators.report import loan_report
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
-from disclosure.session import folder_exists
+from disclosure.session import create_exclusively, file_names, folder_exists, path_part, read_text
+from disclosure.sources.listing import CSV_GLOB
 
-CSV_GLOB = "*.[cC][sS][vV]"
+_OUTPUT = "_output"  # in the checkpoint: the output it belongs to
 
 
 def loan_stream(
@@ -77,6 +78,13 @@ def publish_stream(
     checkpoint = checkpoint or default_checkpoint(output)
     if folder_exists(spark, f"{output.rstrip('/')}/_spark_metadata") and not folder_exists(spark, checkpoint):
         raise ValueError(f"{output} holds batches of another checkpoint than {checkpoint}; new files would be skipped")
+    own = path_part(output).rstrip("/")
+    if _OUTPUT in file_names(spark, checkpoint):
+        other = read_text(spark, f"{checkpoint.rstrip('/')}/{_OUTPUT}")
+        if other != own:
+            raise ValueError(f"The checkpoint {checkpoint} belongs to the output {other}, not {output}")
+    else:
+        create_exclusively(spark, f"{checkpoint.rstrip('/')}/{_OUTPUT}", own)
     writer = (
         loan_report(loan_stream(spark, landing, **stream_options))
         .writeStream.format("parquet")

@@ -45,3 +45,7 @@ def test_checkpoint_belongs_to_the_output(spark, tmp_dir):
     with pytest.raises(ValueError):
         publish_available(spark, landing, out, os.path.join(tmp_dir, "fresh"))
     assert spark.read.parquet(out).count() == loans.count()
+    # nor does the checkpoint of one output serve another
+    with pytest.raises(ValueError, match="belongs to the output"):
+        publish_available(spark, landing, os.path.join(tmp_dir, "other"), out + "__checkpoint")
+    assert not os.path.exists(os.path.join(tmp_dir, "other"))
