@@ -19,6 +19,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from disclosure.operators.search_index import build_index
 from disclosure.plans.job import ConnectorSink, TableSink, run
 from disclosure.session import SESSION_CONF
 from disclosure.sources import manifest as M
@@ -36,6 +37,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--file-limit", type=int, help="read only the first N entries per catalog document")
     p.add_argument("--table", action="append", default=[], help="NAME[:MODE] target table, repeatable")
     p.add_argument("--rejects", help="table for malformed source lines")
+    p.add_argument("--reject-cells", help="table for the failed cells of those lines: file, place, column, text")
+    p.add_argument("--newest-only", action="store_true", help="of files that differ by their date suffix, read the newest")
+    p.add_argument("--ledger", help="folder that keeps the listing of subfolders between refreshes")
+    p.add_argument("--journal", help="folder that lets a repeated run go on where it stopped")
+    p.add_argument("--index", action="store_true", help="build the trigram index of every refreshed report table")
     p.add_argument("--format", default="parquet", help="table format (parquet, delta, a connector)")
     p.add_argument("--option", action="append", default=[], help="KEY=VALUE writer option, repeatable")
     p.add_argument("--connector", help="also append to an external store through this connector format")
@@ -49,6 +55,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     options = dict(o.split("=", 1) for o in args.option)
     sinks = [_sink(t, args.format, options) for t in args.table]
     rejects = _sink(args.rejects, args.format, options) if args.rejects else None
+    cells = _sink(args.reject_cells, args.format, options) if args.reject_cells else None
     if args.connector:
         connector_options = dict(o.split("=", 1) for o in args.connector_option)
         sinks.append(ConnectorSink(args.connector, connector_options, partitions=args.connector_partitions))
@@ -68,12 +75,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         documents = spark.read.text(args.catalog, wholetext=True)
         documents = documents.select(F.input_file_name().alias("dataset"), F.col("value").alias("doc"))
         listed = M.manifest(documents, limit=args.file_limit)
+    chosen = {"manifest": listed, "newest_only": args.newest_only, "ledger": args.ledger, "escape": args.escape}
     if args.explain:
-        run(spark, source, row_limit=args.row_limit, manifest=listed, escape=args.escape).explain(mode="formatted")
+        run(spark, source, row_limit=args.row_limit, **chosen).explain(mode="formatted")
         return 0
     report = run(
-        spark, source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, manifest=listed, escape=args.escape
+        spark, source, sinks=sinks, row_limit=args.row_limit, rejects=rejects, reject_cells=cells, journal=args.journal, **chosen
     )
+    if args.index:
+        for sink in sinks:
+            if isinstance(sink, TableSink) and sink.mode != "append":
+                build_index(spark, sink.table)
     if not sinks:
         print(f"{report.count()} report rows (nothing written)")
     return 0

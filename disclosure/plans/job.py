@@ -112,6 +112,7 @@ def run(
     row_limit: int | None = None,
     strategy: str = "auto",
     rejects: TableSink | None = None,
+    reject_cells: TableSink | None = None,
     manifest: DataFrame | None = None,
     newest_only: bool = False,
     ledger: str | None = None,
@@ -133,7 +134,8 @@ def run(
     With ``rejects``, malformed source lines (with their raw text) are also written to that
     table; the report has every line, with the bad cells null. The parse then runs once, staged
     (see :func:`disclosure.sources.csv.read_loans_with_rejects`), and the staged copy is removed
-    when all sinks have run.
+    when all sinks have run. ``reject_cells`` gets a row for every failed cell of those lines, with its
+    file, place, column and text.
 
     With ``journal``, a folder, a run that is repeated after a failure goes on where it stopped: its
     rows are staged in a subfolder named after the files it reads (their paths, sizes and times),
@@ -143,7 +145,7 @@ def run(
     Returns the report: the first sink's table when it is a full refresh, else computed from
     the source when it is read.
     """
-    targets = [*sinks, *([rejects] if rejects else [])]
+    targets = [*sinks, *[t for t in (rejects, reject_cells) if t]]
     for sink in targets:
         sink.validate()
     target_names = [t.table.lower() for t in targets]
@@ -165,13 +167,16 @@ def run(
             replace(s, batch=s.batch or name) if getattr(s, "mode", "") == "append" and getattr(s, "fmt", "") in tables.FILE_FORMATS and isinstance(s, TableSink) else s
             for s in sinks
         ]
-    if rejects is None:
+    if rejects is None and reject_cells is None:
         if sinks:
             return tables.fan_out(report, list(sinks), strategy=strategy, journal=journal)
         return report
     parsed = read_loans_with_rejects(spark, files, **reader_options)
     try:
-        rejects(parsed.rejects)
+        if rejects:
+            rejects(parsed.rejects)
+        if reject_cells:
+            reject_cells(parsed.cells())
         loans = parsed.loans if row_limit is None else limit_rows(parsed.loans, row_limit)
         tables.fan_out(loan_report(loans), list(sinks), strategy=strategy, journal=journal if sinks else None)
     finally:

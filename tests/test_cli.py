@@ -47,3 +47,31 @@ def test_cli_reads_the_files_of_a_catalog(spark, tmp_dir):
         json.dump({"success": True, "result": {"resources": resources}}, fh)
     assert main(["--catalog", catalog, "--source", folder, "--table", "cli_dl_report"], spark=spark) == 0
     assert spark.table("cli_dl_report").count() == loans.count()
+
+
+def test_cli_newest_files_cells_journal_and_index(spark, tmp_dir):
+    from disclosure.operators.search_index import candidate_files, search_table
+    from disclosure.schema import LOAN_COLUMNS
+
+    def row(number, name, date):
+        cells = dict.fromkeys(LOAN_COLUMNS, "") | {"LoanNumber": number, "BorrowerName": name, "DateApproved": date}
+        return ",".join(cells[c] for c in LOAN_COLUMNS)
+
+    base = os.path.join(tmp_dir, "landing", "20240101")
+    os.makedirs(base)
+    for date, names in (("240101", ["OLD NAME"]), ("240930", ["NEW NAME", "SECOND"])):
+        with open(os.path.join(base, f"public_{date}.csv"), "w") as fh:
+            body = [row(str(i), n, "01/02/2021" if i else "2021-01-02") for i, n in enumerate(names)]
+            fh.write("\n".join([",".join(LOAN_COLUMNS), *body]) + "\n")
+    given = ["--source", os.path.dirname(base), "--ledger", os.path.join(tmp_dir, "ledger"), "--journal", os.path.join(tmp_dir, "journal")]
+    both = ["--table", "cli_all", "--reject-cells", "cli_all_cells"]
+    assert main([*given, *both], spark=spark) == 0
+    assert spark.table("cli_all").count() == 3
+    newest = ["--source", base, "--newest-only", "--table", "cli_newest", "--index", "--reject-cells", "cli_cells"]
+    assert main(newest, spark=spark) == 0
+    assert sorted(r.BorrowerName for r in spark.table("cli_newest").collect()) == ["NEW NAME", "SECOND"]
+    cells = spark.table("cli_cells").collect()
+    assert [(r.LoanNumber, r.column, r.cell, r.row_in_block) for r in cells] == [("0", "DateApproved", "2021-01-02", 1)] * len(cells)
+    assert {os.path.basename(r.file) for r in cells} <= {"public_240930.csv", "public_240101.csv"} and cells
+    assert candidate_files(spark, "cli_newest", "new name") is not None
+    assert search_table(spark, "cli_newest", "new name").count() == 1
