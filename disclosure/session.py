@@ -22,8 +22,7 @@ SESSION_CONF = {
     # The report projection fuses ~50 string expressions into one generated method (~10 KB of
     # bytecode). Above HotSpot's 8000-byte JIT limit such a method is never compiled and runs
     # interpreted; at 8000 Spark keeps that stage out of whole-stage fusion and evaluates the
-    # projection with split, JIT-compiled methods instead: the CSV -> report job ran 2.4x
-    # faster (2.6 s vs 6.1 s on 1.5M rows, local[8]).
+    # projection with split, JIT-compiled methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Source splits of 512 MB: 100 TB of CSV is ~200k map tasks instead of ~800k at the 128 MB
     # default (less driver scheduling), and each task writes ~100 MB Parquet files per sink.
