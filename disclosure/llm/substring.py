@@ -1,12 +1,18 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
-The reference of a document is every document with a smaller id. Its phrases (``size``
-consecutive words) are indexed with their first occurrence, in blocks by hash of the phrase
-spread over the cluster. A document is factored greedily against all blocks: a factor starts at
-a word whose phrase the index knows and grows as long as the next phrase follows in the same
-place of the reference. At its end every phrase that crosses the boundary is looked up again and
-may start the next factor. A factor is ``size`` words or longer; words covered by factors are
-removed. Phrases are judged on the input, not on what is left.
+The reference of a document is what the documents with smaller ids say for the first time: a
+reference block is a maximal run of consecutive phrases (``size`` words each) of one document that no
+earlier document holds. So the index has one place per phrase however often it occurs, spread over
+the cluster by hash of the phrase. A document is factored greedily against all blocks: a factor
+starts at a word whose phrase a block holds and is the longest match there, that is, it grows as long
+as the next phrase follows in the same block. At its end every phrase that crosses the boundary is
+looked up again and may start the next factor, which then overlaps this one. A factor is ``size`` words
+or longer; words covered by factors are removed. Phrases are judged on the input, not on what is left.
+
+Against unpruned documents a longest match could be longer than against blocks: a passage whose
+middle was said earlier elsewhere lies in three blocks and makes three overlapping factors. They cover
+the same words. Every place of every phrase would have to be kept for that, and a phrase that a third of
+all documents hold would meet them all in each.
 
 Indexing every phrase would shuffle the corpus many times over. Whether a phrase can occur twice
 is decided by its anchor, the smallest hash among its ``ANCHOR``-word sequences: equal phrases

@@ -99,3 +99,39 @@ def targets(sizes: dict[str | None, int], weights=(5, 2, 1), most=3) -> dict[str
             left -= out[s]
             open_.remove(s)
     return out
+
+
+def greedy_factors(docs: list[tuple[int, str | None]], size: int = 13) -> dict[int, list[tuple]]:
+    """Per document: (start, words, reference, its start) of a greedy parse, by comparing words, against
+    the blocks of new phrases of every earlier document."""
+    texts = [(i, words(t)) for i, t in sorted(docs)]
+    seen: set = set()
+    blocks: list[tuple[int, int, list[str]]] = []  # document, first word, words
+    out = {}
+    for x, (i, found) in enumerate(texts):
+        same = [j for j, other in texts[:x] if other == found and len(found) >= size]
+        out[i] = [(0, len(found), same[0], 0)] if same else []
+        at = len(found) if same else 0
+        while at + size <= len(found):
+            best = (0, 0, 0)
+            for ref, begin, block in blocks:
+                for k in range(len(block) - size + 1):
+                    n = 0
+                    while at + n < len(found) and k + n < len(block) and found[at + n] == block[k + n]:
+                        n += 1
+                    best = max(best, (n, ref, begin + k))
+            if best[0] < size:
+                at += 1
+                continue
+            out[i].append((at, *best))
+            at += best[0] - size + 1  # the first phrase that crosses the factor's end
+        run: list[int] = []
+        for k in range(len(found) - size + 2):
+            phrase = tuple(found[k : k + size])
+            if len(phrase) == size and phrase not in seen:
+                seen.add(phrase)
+                run.append(k)
+            elif run:
+                blocks.append((i, run[0], found[run[0] : run[-1] + size]))
+                run = []
+    return out

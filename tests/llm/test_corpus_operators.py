@@ -163,6 +163,29 @@ def test_substring_factors_name_their_reference(spark):
         assert len(covered) == r.n_removed
 
 
+def test_substring_factors_are_greedy_longest_matches(spark):
+    prepare(spark)
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passages = [[word() for _ in range(rng.randint(14, 60))] for _ in range(6)]
+    rows = [(0, " ".join(passages[0][3:18])), (1, " ".join(passages[0])), (2, " ".join(passages[0]))]
+    rows.append((3, " ".join([word(), *passages[0], word()])))
+    for i in range(4, 60):  # parts of passages, some side by side, some with new words between
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            whole = rng.choice(passages)
+            cut = rng.randrange(0, len(whole) // 2)
+            out += whole[cut : cut + rng.randint(5, 50)] + [word() for _ in range(rng.choice([0, 0, 1, 15]))]
+        rows.append((i, " ".join(out)))
+    rows.append((60, " ".join(["rep"] * 40)))
+    rows.append((61, " ".join(["rep"] * 60 + ["end"])))
+    expected = brute.greedy_factors(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for r in substring.without_repeats(docs).collect():
+        assert [tuple(f) for f in r.factors] == expected[r.doc_id], r.doc_id
+    assert sum(map(len, expected.values())) > 80
+
+
 def test_substring_edge_cases(spark, edge_docs, no_docs):
     prepare(spark)
     rows = substring.without_repeats(edge_docs).collect()
