@@ -64,8 +64,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     measured = mixing.measure(docs.select(*COLUMNS)).drop("block")
     narrow = written(measured.drop("doc"), "mix-measured")
     shards, blocks = mixing.layout(narrow.agg(F.sum("size")).first()[0] or 0)
-    planned = mixing.plan(mixing.dealt(narrow, blocks), shards=shards, written=written)
-    mixed = mixing.mix(mixing.allocate(mixing.dealt(measured, blocks), planned))
+    planned = written(mixing.plan(mixing.dealt(narrow, blocks), shards=shards, written=written), "mix-plan")
+    small = planned.count() <= mixing.PLAN_ROWS
+    mixed = mixing.mix(mixing.allocate(mixing.dealt(measured, blocks), planned, small=small))
     return mixing.shuffled(mixed, shards).select(*COLUMNS)
 
 

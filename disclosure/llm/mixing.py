@@ -31,6 +31,7 @@ MOST = 3  # times a source, and so a document, may be taken
 BLOCKS = 1024  # least number of blocks per source
 SHARDS = 16
 SHARD_WORDS = 2_000_000  # words of an output shard, about (see layout): some 12 MB of text
+PLAN_ROWS = 100_000  # blocks of a plan that every task may hold, some 100 bytes each
 SEED = 9
 
 
@@ -99,20 +100,51 @@ def _uniform(*keys: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys), 11) * F.lit(2.0**-53)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of ``value``, which is computed once and appears in the expression once, however often
+    ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hypergeometric(good: Column, total: Column, drawn: Column, uniform: Column) -> Column:
     """How many of ``drawn`` out of ``total`` are among the ``good`` ones: the inverse of the
     distribution function at ``uniform``, folded from 12 standard deviations (and 12) below the
-    mode to as many above, beyond which the weight is under double precision."""
-    g, n, d = good.cast("double"), total.cast("double"), drawn.cast("double")
-    bad = n - g
-    low, high = F.greatest(F.lit(0.0), d - bad), F.least(d, g)
-    mode = F.least(F.greatest(F.floor((d + 1) * (g + 1) / (n + 2)).cast("double"), low), high)
-    spread = F.sqrt(d * (g / n) * (bad / n) * (n - d) / F.greatest(n - 1, F.lit(1.0)))
-    reach = F.ceil(spread * 12).cast("double") + 12
-    lowest, highest = F.greatest(low, mode - reach), F.least(high, mode + reach)
-
-    def up(k: Column) -> Column:  # weight of k + 1 over weight of k
-        return (g - k) * (d - k) / ((k + 1) * (bad - d + k + 1))
+    mode to as many above, beyond which the weight is under double precision.
+
+    Every step binds its values, so that the expression stays small: written out, each step would
+    hold several copies of the ones before, and the tree splits many times."""
+    given = F.struct(
+        good.cast("double").alias("g"), total.cast("double").alias("n"), drawn.cast("double").alias("d"), uniform.alias("u")
+    )
+
+    def limits(v: Column) -> Column:
+        bad = v["n"] - v["g"]
+        return F.struct(
+            *[v[c].alias(c) for c in ("g", "n", "d", "u")],
+            bad.alias("bad"),
+            F.greatest(F.lit(0.0), v["d"] - bad).alias("low"),
+            F.least(v["d"], v["g"]).alias("high"),
+        )
+
+    def middle(v: Column) -> Column:
+        g, n, d, bad = v["g"], v["n"], v["d"], v["bad"]
+        mode = F.least(F.greatest(F.floor((d + 1) * (g + 1) / (n + 2)).cast("double"), v["low"]), v["high"])
+        spread = F.sqrt(d * (g / n) * (bad / n) * (n - d) / F.greatest(n - 1, F.lit(1.0)))
+        return F.struct(
+            *[v[c].alias(c) for c in ("g", "d", "u", "bad", "low", "high")],
+            mode.alias("mode"),
+            (F.ceil(spread * 12).cast("double") + 12).alias("reach"),
+        )
+
+    def window(v: Column) -> Column:
+        return F.struct(
+            *[v[c].alias(c) for c in ("g", "d", "u", "bad", "mode")],
+            F.greatest(v["low"], v["mode"] - v["reach"]).alias("lowest"),
+            F.least(v["high"], v["mode"] + v["reach"]).alias("highest"),
+        )
+
+    def up(v: Column, k: Column) -> Column:  # weight of k + 1 over weight of k
+        return (v["g"] - k) * (v["d"] - k) / ((k + 1) * (v["bad"] - v["d"] + k + 1))
 
     def steps(start: Column, stop: Column) -> Column:
         """start, start + 1, .. below stop (empty when start is stop)."""
@@ -123,27 +155,37 @@ def hypergeometric(good: Column, total: Column, drawn: Column, uniform: Column)
     one = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("s"))
 
     def add(acc: Column, ratio: Column) -> Column:
-        w = acc["w"] * ratio
-        return F.struct(w.alias("w"), (acc["s"] + w).alias("s"))
-
-    above = F.aggregate(steps(mode, highest), one, lambda a, k: add(a, up(k)))
-    below = F.aggregate(F.reverse(steps(lowest, mode)), one, lambda a, k: add(a, F.lit(1.0) / up(k)))
-    goal = uniform * (above["s"] + below["s"] - 1)
-    start = F.struct(
-        below["w"].alias("w"), below["w"].alias("s"), goal.alias("goal"), lowest.cast("long").alias("k")
-    )
+        return _bound(acc["w"] * ratio, lambda w: F.struct(w.alias("w"), (acc["s"] + w).alias("s")))
 
-    def walk(acc: Column, k: Column) -> Column:
-        w = acc["w"] * up(k)
-        more = acc["s"] < acc["goal"]
-        return F.struct(
-            w.alias("w"),
-            (acc["s"] + F.when(more, w).otherwise(F.lit(0.0))).alias("s"),
-            acc["goal"].alias("goal"),
-            F.when(more, k + 1).otherwise(acc["k"]).alias("k"),
+    def sums(v: Column) -> Column:
+        above = F.aggregate(steps(v["mode"], v["highest"]), one, lambda a, k: add(a, up(v, k)))
+        below = F.aggregate(
+            F.reverse(steps(v["lowest"], v["mode"])), one, lambda a, k: add(a, F.lit(1.0) / up(v, k))
+        )
+        return F.struct(v.alias("v"), above["s"].alias("above"), below.alias("below"))
+
+    def inverse(x: Column) -> Column:
+        v, below = x["v"], x["below"]
+        goal = v["u"] * (x["above"] + below["s"] - 1)
+        start = F.struct(
+            below["w"].alias("w"), below["w"].alias("s"), goal.alias("goal"), v["lowest"].cast("long").alias("k")
         )
 
-    found = F.aggregate(steps(lowest, highest), start, walk, lambda a: a["k"])
+        def walk(acc: Column, k: Column) -> Column:
+            more = acc["s"] < acc["goal"]
+            return _bound(
+                acc["w"] * up(v, k),
+                lambda w: F.struct(
+                    w.alias("w"),
+                    (acc["s"] + F.when(more, w).otherwise(F.lit(0.0))).alias("s"),
+                    acc["goal"].alias("goal"),
+                    F.when(more, k + 1).otherwise(acc["k"]).alias("k"),
+                ),
+            )
+
+        return F.aggregate(steps(v["lowest"], v["highest"]), start, walk, lambda a: a["k"])
+
+    found = _bound(_bound(_bound(_bound(_bound(given, limits), middle), window), sums), inverse)
     return F.when(total <= 0, F.lit(0).cast("long")).otherwise(found)
 
 
@@ -169,11 +211,13 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
 
         def draw(acc: Column, x: Column) -> Column:
             chance = _uniform(F.lit(seed), F.col("low"), F.col("high"), x["source"])
-            got = hypergeometric(x["quota"], acc["rest"], acc["due"], chance)
-            return F.struct(
-                (acc["rest"] - x["quota"]).alias("rest"),
-                (acc["due"] - got).alias("due"),
-                F.concat(acc["out"], F.array(got)).alias("out"),
+            return _bound(
+                hypergeometric(x["quota"], acc["rest"], acc["due"], chance),
+                lambda got: F.struct(
+                    (acc["rest"] - x["quota"]).alias("rest"),
+                    (acc["due"] - got).alias("due"),
+                    F.concat(acc["out"], F.array(got)).alias("out"),
+                ),
             )
 
         nodes = nodes.withColumn("taken", F.aggregate("quotas", begin, draw, lambda a: a["out"]))
@@ -309,9 +353,15 @@ def plan(
     )
 
 
-def allocate(measured: DataFrame, planned: DataFrame) -> DataFrame:
-    """``measured`` with ``source_size``, ``target`` and its own ``draws`` (epoch, shard)."""
+def allocate(measured: DataFrame, planned: DataFrame, small: bool = False) -> DataFrame:
+    """``measured`` with ``source_size``, ``target`` and its own ``draws`` (epoch, shard).
+
+    A ``small`` plan (at most :data:`PLAN_ROWS` blocks) is sent to every task, so that the documents
+    stay where they are; a longer one meets them by a shuffle on (source, block).
+    """
     planned = planned.withColumnRenamed("source", "of").withColumnRenamed("block", "in")
+    if small:
+        planned = F.broadcast(planned)
     joined = measured.join(planned, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")))
     own = F.filter(
         "draws",

@@ -250,6 +250,22 @@ def test_quotas_are_exact(spark, shards):
     assert len(per_shard) == shards and max(per_shard.values()) - min(per_shard.values()) <= shards.bit_length()
 
 
+def test_draw_stays_a_small_expression(spark):
+    drawn = mixing.hypergeometric(*[F.col(c) for c in ("good", "total", "drawn", "uniform")])
+    assert len(str(drawn)) < 5000
+
+
+def test_small_plan_leaves_documents_in_place(spark, edge_docs):
+    prepare(spark)
+    measured = mixing.measure(edge_docs)
+    planned = written(mixing.plan(measured, shards=2), "test-plan")
+    here = mixing.allocate(measured, planned, small=True)
+    text = here._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    key = lambda r: str((r.source, r.block, r.place, r.draws))
+    assert sorted(map(key, here.collect())) == sorted(map(key, mixing.allocate(measured, planned).collect()))
+
+
 def test_mix_meets_targets_and_agrees_on_reruns(spark):
     rows = QUERIES["op9_mixing"](spark, SF01).collect()
     again = QUERIES["op9_mixing"](spark, SF01).repartition(3).collect()
