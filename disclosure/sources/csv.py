@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from disclosure.schema import LOAN_SCHEMA, SOURCE_DATE_FORMAT
-from disclosure.session import SCRATCH_WRITE_OPTIONS, remove_folder, scratch_path
+from disclosure.session import SCRATCH_WRITE_OPTIONS, compile_in_pieces, remove_folder, scratch_path
 from disclosure.sources.names import joined_names
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -47,6 +47,7 @@ def loan_reader(
     corrupt_column: str | None = None,
 ):
     """A configured ``DataFrameReader`` for loan CSV files."""
+    compile_in_pieces(spark)
     if corrupt_column:
         schema = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
     reader = (
@@ -242,35 +243,43 @@ class HeaderMismatch(ValueError):
         self.files = files
 
 
-def wrong_headers(spark: SparkSession, paths: Sequence[str], names: Sequence[str], escape: str = '"') -> DataFrame:
-    """``file, header`` of the files whose first line does not name the columns, in order, any case.
+_NOT_BLANK = r"(?Us)^\x{FEFF}?+.*?[^\s\x1C-\x1F]"  # a character besides white space, after a byte order mark
+
 
-    Reads in a session of its own in which every block of a file is a task, so that the tasks of
-    first blocks stop after the first line and the others at once: a few kilobytes per block.
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``value, file``: the first line of every file that is not blank.
+
+    Reads in a session of its own in which every block of a file is a task: the first line of a first
+    block that is not blank is the one its task numbers 0. All others are dropped by Spark's own scan.
     """
     gate = spark.newSession()
     gate.conf.set("spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
     gate.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    gate.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = gate.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    lines = lines.filter((F.col("start") == 0) & F.col("value").rlike(_NOT_BLANK))
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the row's number in its partition
+    return lines.select("value", "file", inside.alias(_AT)).filter(F.col(_AT) == 0).drop(_AT)
+
+
+def wrong_headers(spark: SparkSession, paths: Sequence[str], names: Sequence[str], escape: str = '"') -> DataFrame:
+    """``file, header`` of the files whose first line does not name the columns, in order, any case.
+
+    Python gets one line a file (:func:`header_lines`).
+    """
     wanted = [n.lower() for n in names]
     quoting = {"doublequote": True} if escape == '"' else {"doublequote": False, "escapechar": escape}
 
-    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row = batch.slice(0, 1).to_pylist()[0]
-            if row["start"]:
-                return
-            line = (row["value"] or "").removeprefix("\ufeff")
-            if line.strip():
+            for row in batch.to_pylist():
+                line = row["value"].removeprefix("\ufeff")
                 cells = [c.strip().lower() for c in next(csv.reader([line], **quoting), [])]
                 if cells != wanted:
                     yield pa.RecordBatch.from_arrays([pa.array([row["file"]]), pa.array([line])], names=["file", "header"])
-                return
 
-    lines = gate.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
-    return lines.mapInArrow(first_lines, "file string, header string")
+    return header_lines(spark, paths).mapInArrow(compared, "file string, header string")
 
 
 def check_headers(spark: SparkSession, paths: Sequence[str], names: Sequence[str], escape: str = '"') -> None:
@@ -292,6 +301,7 @@ def write_loans_csv(
     Leading and trailing spaces are written as they are, so a read gives them back; an
     empty string and a null both become an empty cell and read back as null.
     """
+    compile_in_pieces(df.sparkSession)
     out = df.repartition(files) if files else df
     (
         out.write.mode(mode)
