@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from disclosure.functions import display as D
 from disclosure.schema import PROCEEDS, REPORT_COLUMNS
+from disclosure.session import compile_in_pieces
 
 
 def report_columns() -> list[Column]:
@@ -51,4 +52,5 @@ def report_columns() -> list[Column]:
 
 def loan_report(loans: DataFrame) -> DataFrame:
     """Project raw loan records (the 53-column source layout) to the published report."""
+    compile_in_pieces(loans.sparkSession)
     return loans.select(*report_columns())

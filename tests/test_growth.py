@@ -28,3 +28,11 @@ def test_gate_passes_on_one_line_a_file(spark, tmp_dir):
     assert sorted(r.file.rsplit("/", 1)[-1] for r in lines) == sorted(starts)
     assert {r.value.lstrip("﻿") for r in lines} == {"x,y"}
     check_headers(spark, [tmp_dir], ["X", "Y"])
+
+
+@pytest.mark.parametrize("before,after", [("65535", "8000"), ("4000", "4000")])
+def test_report_is_compiled_in_any_session(spark, before, after):
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+    loan_report(plain.createDataFrame([], LOAN_SCHEMA))
+    assert plain.conf.get("spark.sql.codegen.hugeMethodLimit") == after
