@@ -45,6 +45,13 @@ def test_connector_append_splits_tasks_that_would_read_too_much(spark, tmp_dir,
     assert spark.read.parquet(f"{tmp_dir}/c").select("id").distinct().count() == 40000
 
 
+def test_publications_have_more_files_for_more_loans(spark, monkeypatch):
+    monkeypatch.setattr(E, "FILE_LOANS", 150)
+    found = E.q_newest_generation(spark, SF001)
+    assert len({f.rsplit("/", 1)[-1] for f in found.inputFiles()}) == 10
+    assert found.select("LoanNumber").distinct().count() == found.count() == 1500
+
+
 def test_gate_passes_on_one_line_a_file(spark, tmp_dir):
     starts = {"a.csv": "\n \n \n", "b.csv": "﻿", "c.csv": "﻿ \n\x1c\n", "d.csv": ""}
     for name, start in starts.items():
