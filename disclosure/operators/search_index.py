@@ -9,8 +9,8 @@ just those. The result is the same as without the index:
 * files without index rows (appended after it was built) are always read;
 * a needle without a run of three characters reads all files, as does a table without an index.
 
-Building is one pass over ``searchtext``: trigrams are reduced to distinct ones inside the row, then per
-file with map-side aggregation, and sorted by trigram so that a lookup skips the other row groups.
+Building is one pass over ``searchtext``: trigrams are reduced to distinct ones per file with map-side
+aggregation, and sorted by trigram so that a lookup skips the other row groups.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from disclosure.sources.listing import _glob_escape
 
 INDEX_FOLDER = "_trigrams"
 LENGTH = 3
+_GRAM = rf"(?s)(?=(.{{{LENGTH}}}))."  # at every character, the characters from it on
 
 
 def _place(spark: SparkSession, table: str) -> tuple[str, str]:
@@ -38,15 +39,23 @@ def _place(spark: SparkSession, table: str) -> tuple[str, str]:
     return provider, details["Location"].rstrip("/")
 
 
+def file_grams(rows: DataFrame) -> DataFrame:
+    """``hash, gram``: the trigrams of the texts ``t`` of every ``file``, and an empty one.
+
+    Paths are long, so they are hashed before the texts are taken apart. Should two have one hash,
+    each gets the trigrams of both, and a search reads a file too many.
+    """
+    grams = F.coalesce(F.regexp_extract_all("t", F.lit(_GRAM), 1), F.array().cast("array<string>"))
+    held = F.concat(F.array(F.lit("")), grams)
+    return rows.select(F.xxhash64("file").alias("hash"), F.explode(held).alias("gram")).distinct()
+
+
 def build_index(spark: SparkSession, table: str, column: str = "searchtext") -> None:
     """Indexes all data files of the table's current version (again, if there was an index)."""
     _, location = _place(spark, table)
     rows = spark.table(table).select(F.col(column).alias("t"), F.col("_metadata.file_path").alias("file"))
-    last = F.greatest(F.length("t") - LENGTH + 1, F.lit(0))
-    grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring("t", i, F.lit(LENGTH)))
-    grams = F.when(last > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
-    held = F.array_union(F.coalesce(grams, F.array().cast("array<string>")), F.array(F.lit("")))
-    pairs = rows.select("file", F.explode(held).alias("gram")).distinct()
+    files = rows.select(F.xxhash64("file").alias("hash"), "file").distinct()
+    pairs = file_grams(rows).join(files, "hash").select("file", "gram")
     pairs.repartitionByRange("gram").sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{location}/{INDEX_FOLDER}")
 
 

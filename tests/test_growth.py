@@ -71,3 +71,20 @@ def test_report_is_compiled_in_any_session(spark, before, after):
     plain.conf.set("spark.sql.codegen.hugeMethodLimit", before)
     loan_report(plain.createDataFrame([], LOAN_SCHEMA))
     assert plain.conf.get("spark.sql.codegen.hugeMethodLimit") == after
+
+
+def test_index_holds_the_trigrams_of_every_file(spark):
+    texts = ["ab", "abc", "a\U0001f600bc\n d", "", None, "größe größe"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "LoanNumber int, searchtext string")
+    T.overwrite_table(rows.repartition(3, "LoanNumber"), "t_growth_index")
+    search_index.build_index(spark, "t_growth_index")
+    _, location = search_index._place(spark, "t_growth_index")
+    found = {(r.file, r.gram) for r in spark.read.parquet(f"{location}/{search_index.INDEX_FOLDER}").collect()}
+    held = spark.table("t_growth_index").select("searchtext", F.col("_metadata.file_path").alias("file")).collect()
+    want = {(r.file, t[i : i + 3]) for r in held for t in [r.searchtext or ""] for i in range(len(t) - 2)}
+    assert found == want | {(r.file, "") for r in held}
+
+
+def test_index_does_not_carry_paths_with_every_trigram(spark):
+    rows = spark.createDataFrame([("a b c",)], "t string").withColumn("file", F.lit("some/path"))
+    assert search_index.file_grams(rows).columns == ["hash", "gram"]
